@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from paperloom.llm import token_store
+from paperloom.llm import mixing, packing, quality_rules, token_store
 
 QUERIES = {
     "op1_token_store": token_store.query,
+    "op3_mixing": mixing.query,
+    "op4_quality_rules": quality_rules.query,
+    "op9_packing": packing.query,
 }
 
 ORACLES: dict[str, str] = {}

@@ -1,9 +1,10 @@
 """Encoding of whole texts with a byte-level BPE tokenizer file, fast for text with recurring words.
 
-A byte-level BPE splits text into pre-tokens that never depend on one another. A single space between two
-characters that aren't white space always starts a pre-token, so a text may be cut there and each piece encoded on
-its own; pieces recur, so their ids are kept in a bounded dictionary. Texts with runs of white space, or with white
-space next to a cut, go to the tokenizer as a whole. Both ways give the ids of ``Tokenizer.encode``.
+A byte-level BPE splits text into pre-tokens that never depend on one another. A single space or line feed between two
+characters that aren't white space always starts a pre-token, and so does a full stop or comma after a letter. A text
+may be cut there and each piece encoded on its own; pieces recur, so their ids are kept in a bounded dictionary. Texts
+with runs of white space, or with other white space next to a cut, go to the tokenizer as a whole. Both ways give the
+ids of ``Tokenizer.encode``.
 """
 
 from __future__ import annotations
@@ -12,9 +13,11 @@ import os
 from collections.abc import Iterator
 from functools import lru_cache
 
-CACHE = 250_000
+CACHE = 500_000
 CHUNK = 2_000
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 500_000
+#: No id: vocabularies have fewer than 2**31 entries, so this never occurs in the bytes of ids.
+NOT_APART = b"\xff" * 4
 
 
 class Encoder:
@@ -27,56 +30,79 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         vocab = self.tok.get_vocab()
-        self.opens = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
-        self.opens[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
-        self.size = len(self.opens)
-        self.memo: dict[str, bytes | None] = {}
+        self.opens = {}
+        for first, mark in (("Ġ", " "), ("Ċ", "\n")):
+            self.opens[mark] = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
+            self.opens[mark][[i for t, i in vocab.items() if t.startswith(first)]] = True
+        self.size = max(vocab.values(), default=0) + 1
+        self.memo: dict[str, bytes] = {}
+        self.points = dict(zip(".,", self.whole([".", ","])))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         np = self.np
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: list[str]) -> None:
-        """Put the ids of " " + word into the dictionary; None for words that may not be cut off."""
-        np, memo = self.np, self.memo
-        good = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        if len(good) < len(words):
-            memo.update(dict.fromkeys(set(words).difference(good)))
-        for i in range(0, len(good), CHUNK):
-            some = good[i : i + CHUNK]
-            ids = np.array(self.tok.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            starts = np.flatnonzero(self.opens[ids])
+    def learn(self, words: set[str]) -> None:
+        """Put the ids of each piece, after its space or with its line feed, into the dictionary.
+
+        Pieces that may not be cut off get NOT_APART.
+        """
+        memo, points = self.memo, self.points
+        lines, inner, ended = [], [], []
+        for w in words:
+            if not w or w[-1].isspace():
+                memo[w] = NOT_APART
+            elif w[0] == "\n":
+                if w[1].isspace():
+                    memo[w] = NOT_APART
+                else:
+                    lines.append(w)
+            elif w[0].isspace():
+                memo[w] = NOT_APART
+            elif w[-1] in points and w[:-1].isalpha():
+                ended.append(w)
+                if w[:-1] not in memo:
+                    inner.append(w[:-1])
+            else:
+                inner.append(w)
+        self.join("\n", lines)
+        self.join(" ", list(dict.fromkeys(inner)))
+        for w in ended:
+            memo[w] = memo[w[:-1]] + points[w[-1]]
+
+    def join(self, mark: str, words: list[str]) -> None:
+        """Learn words that follow ``mark`` by encoding many as one text: only first tokens start with the mark."""
+        np, memo, opens = self.np, self.memo, self.opens[mark]
+        for i in range(0, len(words), CHUNK):
+            some = words[i : i + CHUNK]
+            whole = " " + " ".join(some) if mark == " " else "".join(some)
+            ids = np.array(self.tok.encode_batch_fast([whole], add_special_tokens=False)[0].ids, dtype="<u4")
+            starts = np.flatnonzero(opens[ids])
             if len(starts) == len(some) and starts[0] == 0:
                 raw, edges = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
                 memo.update(zip(some, [raw[a:b] for a, b in zip(edges, edges[1:])]))
             else:
-                memo.update(zip(some, self.whole([" " + w for w in some])))
+                memo.update(zip(some, self.whole([w if mark == "\n" else " " + w for w in some])))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
         texts = [t or "" for t in texts]
-        pieces = [t.split(" ") for t in texts]
-        inner = set()
-        for p in pieces:
-            inner.update(p[1:-1])
-        need = inner - self.memo.keys()
-        if len(self.memo) + len(need) > CACHE:
-            self.memo.clear()
-            need = inner
-        self.learn(list(need))
-        ends = self.whole([p[0] for p in pieces] + [" " + p[-1] for p in pieces])
-        out, odd = [], []
-        get, n = self.memo.__getitem__, len(pieces)
-        for i, p in enumerate(pieces):
-            if len(p) == 1:
-                out.append(ends[i])
-                continue
-            middle = [get(w) for w in p[1:-1]]
-            if not p[0] or p[0][-1].isspace() or not p[-1] or p[-1][0].isspace() or None in middle:
+        pieces = [t.replace("\n", " \n").split(" ") for t in texts]
+        words = set().union(*pieces)
+        memo = self.memo
+        new = words - memo.keys()
+        if len(memo) + len(new) > CACHE:
+            memo.clear()
+            new = words
+        self.learn(new)
+        own = {w: memo[w] for w in words}  # small enough for the CPU's caches, unlike the whole dictionary
+        firsts = self.whole([p[0] for p in pieces])
+        out, odd, get = [], [], own.__getitem__
+        for i, (p, first) in enumerate(zip(pieces, firsts)):
+            raw = first + b"".join(map(get, p[1:]))
+            if len(p) > 1 and (not p[0] or p[0][-1].isspace() or NOT_APART in raw):
                 odd.append(i)
-                out.append(b"")
-            else:
-                out.append(ends[i] + b"".join(middle) + ends[n + i])
+            out.append(raw)
         for i, raw in zip(odd, self.whole([texts[i] for i in odd]) if odd else ()):
             out[i] = raw
         return out
