@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from paperloom.llm import mixing, packing, quality_rules, token_store
+from paperloom.llm import fingerprints, mixing, packing, quality_rules, secret_scan, token_store
 
 QUERIES = {
     "op1_token_store": token_store.query,
+    "op2_secret_scan": secret_scan.query,
     "op3_mixing": mixing.query,
     "op4_quality_rules": quality_rules.query,
+    "op8_fingerprints": fingerprints.query,
     "op9_packing": packing.query,
 }
 
