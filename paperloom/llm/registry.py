@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paperloom.llm import fingerprints, mixing, packing, quality_rules, secret_scan, token_store
+from paperloom.llm import fingerprints, mixing, ngram_join, packing, quality_rules, secret_scan, token_store
 
 QUERIES = {
     "op1_token_store": token_store.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_quality_rules": quality_rules.query,
     "op8_fingerprints": fingerprints.query,
     "op9_packing": packing.query,
+    "op10_ngram_join": ngram_join.query,
 }
 
 ORACLES: dict[str, str] = {}
