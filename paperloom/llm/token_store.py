@@ -90,7 +90,7 @@ def write_token_store(spark: SparkSession, docs: DataFrame, out: str, tokenizer:
     width = width_of(tokenizer)
 
     def sample(batches):
-        for _, raw in encoded(tokenizer, _rows(batches, "doc_id", "text"), end_id):
+        for _, raw in encoded(tokenizer, batches, end_id):
             yield pa.record_batch({"raw": [narrow(raw[: 4 * DICT_SAMPLE_IDS], width)]})
 
     taken = [] if least is None else docs.filter(F.xxhash64("doc_id") <= least).mapInArrow(sample, "raw binary").collect()
@@ -112,7 +112,7 @@ def write_token_store(spark: SparkSession, docs: DataFrame, out: str, tokenizer:
         own = f"{base}/{shard:05d}.ids"
         with fs.open_output_stream(f"{own}.{mark}") as f:
             f.write(IDS_MAGIC + digest)
-            for doc_id, raw in encoded(tokenizer, _rows(batches, "doc_id", "text"), end_id):
+            for doc_id, raw in encoded(tokenizer, batches, end_id):
                 frame = press.compress(narrow(raw, width))
                 f.write(frame)
                 ids.append(doc_id or 0)

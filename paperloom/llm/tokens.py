@@ -14,8 +14,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 CACHE = 500_000
-CHUNK = 2_000
-BATCH_CHARS = 500_000
+CHUNK = 128
+BATCH_CHARS = 4_000_000
 #: No id: vocabularies have fewer than 2**31 entries, so this never occurs in the bytes of ids.
 NOT_APART = b"\xff" * 4
 
@@ -42,14 +42,15 @@ class Encoder:
         np = self.np
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: list[str]) -> None:
         """Put the ids of each piece, after its space or with its line feed, into the dictionary.
 
         Pieces that may not be cut off get NOT_APART.
         """
         memo, points = self.memo, self.points
-        lines, inner, ended = [], [], []
-        for w in words:
+        inner = [w for w in words if w.isalpha()]
+        lines, ended = [], []
+        for w in [w for w in words if not w.isalpha()]:
             if not w or w[-1].isspace():
                 memo[w] = NOT_APART
             elif w[0] == "\n":
@@ -61,50 +62,62 @@ class Encoder:
                 memo[w] = NOT_APART
             elif w[-1] in points and w[:-1].isalpha():
                 ended.append(w)
-                if w[:-1] not in memo:
-                    inner.append(w[:-1])
             else:
                 inner.append(w)
         self.join("\n", lines)
-        self.join(" ", list(dict.fromkeys(inner)))
+        self.join(" ", list({*inner, *(c for w in ended if (c := w[:-1]) not in memo)}))
         for w in ended:
             memo[w] = memo[w[:-1]] + points[w[-1]]
 
     def join(self, mark: str, words: list[str]) -> None:
         """Learn words that follow ``mark`` by encoding many as one text: only first tokens start with the mark."""
+        if not words:
+            return
         np, memo, opens = self.np, self.memo, self.opens[mark]
-        for i in range(0, len(words), CHUNK):
-            some = words[i : i + CHUNK]
-            whole = " " + " ".join(some) if mark == " " else "".join(some)
-            ids = np.array(self.tok.encode_batch_fast([whole], add_special_tokens=False)[0].ids, dtype="<u4")
-            starts = np.flatnonzero(opens[ids])
-            if len(starts) == len(some) and starts[0] == 0:
-                raw, edges = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
-                memo.update(zip(some, [raw[a:b] for a, b in zip(edges, edges[1:])]))
-            else:
-                memo.update(zip(some, self.whole([w if mark == "\n" else " " + w for w in some])))
+        chunks = [words[i : i + CHUNK] for i in range(0, len(words), CHUNK)]
+        wholes = [" " + " ".join(c) if mark == " " else "".join(c) for c in chunks]
+        parts = [np.array(e.ids, dtype="<u4") for e in self.tok.encode_batch_fast(wholes, add_special_tokens=False)]
+        ids = np.concatenate(parts)
+        starts = np.flatnonzero(opens[ids])
+        if len(starts) == len(words) and all(np.count_nonzero(opens[p]) == len(c) and opens[p[0]] for p, c in zip(parts, chunks)):
+            raw, edges = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
+            memo.update(zip(words, [raw[a:b] for a, b in zip(edges, edges[1:])]))
+        else:
+            memo.update(zip(words, self.whole([w if mark == "\n" else " " + w for w in words])))
+
+    def encode(self, texts) -> list[bytes]:
+        """Ids of each text of an Arrow array, as little-endian unsigned 32-bit integers; null is empty.
+
+        Arrow splits the texts and numbers their distinct pieces; Python looks at each distinct piece once.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
-        texts = [t or "" for t in texts]
-        pieces = [t.replace("\n", " \n").split(" ") for t in texts]
-        words = set().union(*pieces)
+        np = self.np
+        texts = pc.fill_null(texts, "")
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        bounds = lists.offsets.to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # strings, several times as fast as to_pylist
         memo = self.memo
-        new = words - memo.keys()
+        new = [w for w in words if w not in memo]
         if len(memo) + len(new) > CACHE:
             memo.clear()
             new = words
         self.learn(new)
-        own = {w: memo[w] for w in words}  # small enough for the CPU's caches, unlike the whole dictionary
-        firsts = self.whole([p[0] for p in pieces])
-        out, odd, get = [], [], own.__getitem__
-        for i, (p, first) in enumerate(zip(pieces, firsts)):
-            raw = first + b"".join(map(get, p[1:]))
-            if len(p) > 1 and (not p[0] or p[0][-1].isspace() or NOT_APART in raw):
+        ids = pa.array([memo[w] for w in words], pa.binary()).take(coded.indices)
+        offsets, data = np.frombuffer(ids.buffers()[1], dtype=np.int32), memoryview(ids.buffers()[2] or b"")
+        firsts = coded.dictionary.take(coded.indices.take(pa.array(bounds[:-1]))).to_pylist()
+        after, ends = offsets[bounds[:-1] + 1].tolist(), offsets[bounds[1:]].tolist()
+        out, odd = [], []
+        for i, (p, first, a, b) in enumerate(zip(firsts, self.whole(firsts), after, ends)):
+            raw = first + data[a:b]
+            if bounds[i + 1] - bounds[i] > 1 and (not p or p[-1].isspace() or NOT_APART in raw):
                 odd.append(i)
             out.append(raw)
-        for i, raw in zip(odd, self.whole([texts[i] for i in odd]) if odd else ()):
-            out[i] = raw
+        if odd:
+            for i, raw in zip(odd, self.whole(texts.take(pa.array(odd)).to_pylist())):
+                out[i] = raw
         return out
 
 
@@ -114,16 +127,20 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded(path: str, rows: Iterator[tuple[object, str | None]], end_id: int | None) -> Iterator[tuple[object, bytes]]:
-    """(key, ids with the end id) of (key, text) rows, in order, holding about BATCH_CHARS of text at a time."""
+def encoded(path: str, batches: Iterator, end_id: int | None) -> Iterator[tuple[object, bytes]]:
+    """(doc_id, ids with the end id) of the rows (doc_id, text) of Arrow batches, in order.
+
+    Works on runs of rows of about BATCH_CHARS bytes, so batches of very long texts need no more memory.
+    """
+    import pyarrow.compute as pc
+
     enc, tail = encoder(path), b"" if end_id is None else end_id.to_bytes(4, "little")
-    keys, texts, chars = [], [], 0
-    for key, text in rows:
-        keys.append(key)
-        texts.append(text)
-        chars += len(text or "")
-        if chars >= BATCH_CHARS or len(texts) >= 2_000:
-            yield from zip(keys, [raw + tail for raw in enc.encode(texts)])
-            keys, texts, chars = [], [], 0
-    if texts:
-        yield from zip(keys, [raw + tail for raw in enc.encode(texts)])
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+        start = held = 0
+        for i, n in enumerate([*sizes, BATCH_CHARS]):
+            if i > start and held + n > BATCH_CHARS:
+                run = batch.slice(start, i - start)
+                yield from zip(run.column("doc_id").to_pylist(), [raw + tail for raw in enc.encode(run.column("text"))])
+                start, held = i, 0
+            held += n
