@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from paperloom.llm import fingerprints, mixing, ngram_join, packing, quality_rules, secret_scan, token_store
+from paperloom.llm import fingerprints, mixing, ngram_join, packing, preferences, quality_rules, secret_scan, substring_dedup, token_store
 
 QUERIES = {
     "op1_token_store": token_store.query,
     "op2_secret_scan": secret_scan.query,
     "op3_mixing": mixing.query,
     "op4_quality_rules": quality_rules.query,
+    "op5_substring_dedup": substring_dedup.query,
+    "op7_preferences": preferences.query,
     "op8_fingerprints": fingerprints.query,
     "op9_packing": packing.query,
     "op10_ngram_join": ngram_join.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_preferences": preferences.SQL}
