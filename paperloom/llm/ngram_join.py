@@ -12,7 +12,7 @@ Answers from answers. Equal sets are one set. Each set is first held against the
 a set that links to a hub takes over the hub's answers, and so on through components. Only entries that this leaves in
 different components of a list are held against each other. A group of many near copies so costs a few checks a copy.
 
-Checks. A parity bitmap of each set (2 to 4 bits an n-gram) bounds the symmetric difference of two sets from below, and
+Checks. A parity bitmap of each set (half a bit to one bit an n-gram) bounds the symmetric difference of two sets from below, and
 pairs over the limit are dropped. Pairs that are left are compared by their whole sets, made anew from the texts of
 just these documents.
 
@@ -24,6 +24,7 @@ link nothing; an empty table gives an empty result; other columns are ignored (`
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ from paperloom.llm import common
 from paperloom.llm.graph import components
 
 #: Lists that are longer than this count as frequent; at most FREQUENT n-grams do (8 bytes each are broadcast).
-COMMON, FREQUENT = 64, 1 << 20
+COMMON, FREQUENT = 16, 1 << 20
 LIST = 2_000
 WORDS = 200_000
 #: Bits of the bitmap that tells which documents' sets are read again.
@@ -100,10 +101,10 @@ def prefix(tokens, percent: int, frequent):
 
 
 def parities(tokens) -> bytes:
-    """Parity of the number of n-grams in each of b cells; b is a power of two of at least twice their number."""
+    """Parity of the number of n-grams in each of b cells; b is a power of two of half to all their number, 64 at least."""
     import numpy as np
 
-    b = max(64, 1 << (2 * len(tokens) - 1).bit_length())
+    b = max(64, 1 << (len(tokens).bit_length() - 1))
     cells = (tokens >> np.uint64(17)) & np.uint64(b - 1)
     return np.packbits((np.bincount(cells.astype(np.int64), minlength=b) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -173,36 +174,70 @@ def close_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "sa", "sb", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
-def sets_of(spark: SparkSession, docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(node, grams) of the documents in ``nodes``. A bitmap of their ids, of bounded size, keeps others from moving."""
-    import pyarrow as pa
+def cell(c: str):
+    """The cell of an id in a bitmap of ids."""
+    return F.shiftrightunsigned(F.xxhash64(F.col(c)), 64 - ID_BITS)
 
-    cell = F.shiftrightunsigned(F.xxhash64(F.col("node")), 64 - ID_BITS)
-    word = nodes.select(cell.alias("c")).groupBy(F.shiftright("c", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("c").bitwiseAND(F.lit(63)).cast("int"))).alias("m"))
-    rows = word.collect()  # at most 2**ID_BITS / 64 rows
+
+def bitmap(spark: SparkSession, ids: DataFrame, column: str):
+    """A broadcast bitmap of 2**ID_BITS bits (1 MB) that has the cell of every id, whatever their number."""
     import numpy as np
 
+    rows = ids.select(cell(column).alias("c")).groupBy(F.shiftright("c", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("c").bitwiseAND(F.lit(63)).cast("int"))).alias("m")).collect()
     table = np.zeros(1 << (ID_BITS - 6), dtype=np.int64)
     for r in rows:
         table[r["w"]] = r["m"]
-    bits = spark.sparkContext.broadcast(table.tobytes())
+    return spark.sparkContext.broadcast(table.tobytes())
+
+
+def marked(table, cells):
+    import numpy as np
+
+    words = np.frombuffer(table, dtype=np.uint64)
+    cells = np.asarray(cells, dtype=np.int64)
+    return ((words[cells >> 6] >> (cells & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
+def sets_of(spark: SparkSession, docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(node, grams) of the documents in ``nodes``. A bitmap of their ids, of bounded size, keeps others from moving."""
+    import pyarrow as pa
+
+    bits = bitmap(spark, nodes, "node")
 
     def run(batches):
         import numpy as np
 
-        shingle, table = Shingler(n), np.frombuffer(bits.value, dtype=np.uint64)
+        shingle = Shingler(n)
         for b in batches:
-            cells = b.column("cell").to_numpy(zero_copy_only=False).astype(np.int64)
-            keep = np.flatnonzero((table[cells >> 6] >> (cells & 63).astype(np.uint64)) & np.uint64(1))
+            keep = np.flatnonzero(marked(bits.value, b.column("cell").to_numpy(zero_copy_only=False)))
             for i in range(0, len(keep), 500):
                 some = b.take(pa.array(keep[i : i + 500]))
                 yield pa.record_batch({"node": some.column("doc_id"), "grams": pa.array([shingle(t.as_py()).tobytes() for t in some.column("text")], pa.binary())})
 
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).filter("doc_id is not null")
-    found = own.withColumn("cell", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - ID_BITS)).mapInArrow(run, "node long, grams binary")
+    found = own.withColumn("cell", cell("doc_id")).mapInArrow(run, "node long, grams binary")
     return found.join(nodes, "node", "left_semi")
 
 
+def heads_of(spark: SparkSession, rows: DataFrame, first: DataFrame) -> DataFrame:
+    """Rows of non-empty sets that aren't copies of a set with a smaller id, as (node, size, tokens, bits).
+
+    Copies are found on (id, signature) alone. A bitmap of their ids lets all other rows stay where they are.
+    """
+    some = rows.filter("size > 0 and doc_id is not null")
+    copies = some.select("doc_id", "sig").join(first, "sig").filter("doc_id <> node").select("doc_id", "sig")
+    bits = bitmap(spark, copies, "doc_id")
+
+    @F.pandas_udf("boolean")
+    def perhaps(cells: pd.Series) -> pd.Series:
+        return pd.Series(marked(bits.value, cells.to_numpy()))
+
+    flagged = some.withColumn("perhaps", perhaps(cell("doc_id")))
+    sure = flagged.filter(~F.col("perhaps"))
+    checked = flagged.filter("perhaps").join(copies, ["doc_id", "sig"], "left_anti").select(*sure.columns)
+    return sure.unionByName(checked).select(F.col("doc_id").alias("node"), "size", "tokens", "bits")
+
+
 def linked(spark: SparkSession, docs: DataFrame, pairs: DataFrame, n: int, percent: int, work: str) -> DataFrame:
     """The pairs (a, b) that are links by their whole sets; ``pairs`` is written."""
     import pyarrow as pa
@@ -308,19 +343,18 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 3, percent: int = 90) ->
     rows = common.cut(spark, features(docs, n, percent, frequent), f"{work}/features")
     # Equal sets are one node, named by their smallest id.
     some = rows.filter("size > 0 and doc_id is not null")
-    first = some.groupBy("sig").agg(F.min("doc_id").alias("node"))
-    first = common.cut(spark, first, f"{work}/first")
-    heads = some.join(first, "sig").filter(F.col("doc_id") == F.col("node")).groupBy("node", "sig").agg(F.first("size").alias("size"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
-    heads = common.cut(spark, heads, f"{work}/heads")
+    first = common.cut(spark, some.groupBy("sig").agg(F.min("doc_id").alias("node")), f"{work}/first")
+    heads = heads_of(spark, rows, first)
     sets = heads.select("node", "size", "bits")
-    posted = heads.select("node", "size", F.posexplode("tokens").alias("pos", "token"))
-    hubs = posted.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct("node", "size", "pos")).alias("hub")).filter("n > 1")
-    lists = common.cut(spark, posted.join(hubs, "token"), f"{work}/lists")
+    posted = heads.select("node", F.posexplode("tokens").alias("pos", "token"), F.col("size").cast("int").alias("size"))
+    counts = posted.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
+    lists = common.cut(spark, posted.join(counts, "token"), f"{work}/lists")
+    hubs = lists.groupBy("token").agg(F.min(F.struct("node", "size", "pos")).alias("hub"))
     # Every entry against its list's first one.
     total = F.col("size") + F.col("hub.size")
     need = F.ceil(F.lit(percent) * total / (100 + percent))
     allowed = (F.lit(100) * F.least("size", "hub.size") >= F.lit(percent) * F.greatest("size", "hub.size")) & (F.least(F.col("size") - F.col("pos"), F.col("hub.size") - F.col("hub.pos")) >= need)
-    stars = lists.filter("node > hub.node").filter(allowed).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
+    stars = lists.join(hubs, "token").filter("node > hub.node").filter(allowed).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
     stars = common.cut(spark, close_enough(stars, sets, percent), f"{work}/stars")
     edges = common.cut(spark, linked(spark, docs, stars, n, percent, f"{work}/star-sets"), f"{work}/edges")
     labels = components(spark, edges, f"{work}/star-components")
