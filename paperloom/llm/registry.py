@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paperloom.llm import fingerprints, mixing, ngram_join, packing, preferences, quality_rules, secret_scan, substring_dedup, token_store
+from paperloom.llm import fingerprints, mixing, ngram_join, packing, perplexity, preferences, quality_rules, secret_scan, substring_dedup, token_store
 
 QUERIES = {
     "op1_token_store": token_store.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mixing": mixing.query,
     "op4_quality_rules": quality_rules.query,
     "op5_substring_dedup": substring_dedup.query,
+    "op6_perplexity": perplexity.query,
     "op7_preferences": preferences.query,
     "op8_fingerprints": fingerprints.query,
     "op9_packing": packing.query,
