@@ -203,7 +203,7 @@ def scores(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
             k = _keys(p)
             at = np.flatnonzero(of >= 0)
             order = at[np.argsort(k[at])]
-            s, found = k[order], np.full(len(order), np.nan)
+            s, found = k[order], np.full(len(order), np.inf)
             for f in shards:
                 keys, logp = shard(f)
                 if not len(keys):
@@ -213,7 +213,7 @@ def scores(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
                     place = np.searchsorted(keys, s[a:b])
                     hit = keys[place] == s[a:b]
                     found[a:b][hit] = logp[place[hit]]
-            assert not np.isnan(found).any() or not shards, "an n-gram without probability"
+            assert not np.isinf(found).any(), "an n-gram that the tables lack"
             total = np.bincount(of[order], weights=found, minlength=len(rows))
             count = np.bincount(of[order], minlength=len(rows))
             ids = []
