@@ -118,6 +118,8 @@ def findings(spark: SparkSession, versions: DataFrame, ledger: str, rules=RULES)
     """``versions`` with ``_blob`` and ``_spans`` by the current rules, from the ledger. Only blobs with spans are joined."""
     current = F.array(*(F.lit(r.name) for r in rules))
     known = seen(spark, ledger).select(F.col("blob").alias("_blob"), F.filter("spans", lambda s: F.array_contains(current, s["rule"])).alias("_spans")).filter(F.size("_spans") > 0)
+    # Written first, so that the join is a plain one of two tables, whose frequent keys Spark splits.
+    known = common.cut(spark, known, common.work_dir(spark, "findings"))
     return addressed(versions).join(known, "_blob", "left").withColumn("_spans", F.coalesce("_spans", F.array().cast(f"array<{SPAN}>")))
 
 
