@@ -1,6 +1,6 @@
 """The corpus store: snapshot-versioned Parquet tables under one base path.
 
-A write makes a new folder ``<table>/v=<n>`` and then puts its number into ``<table>/_current``, written last: readers see
+A write makes a new folder ``<table>/v=<n>`` and then puts its number into ``<table>/current.txt``, written last: readers see
 the old snapshot or the new one, older snapshots are backups, and no write reads the folder it replaces. All file access
 goes through Spark's file system layer, so any store that Spark can reach will do.
 """
@@ -38,7 +38,7 @@ class CorpusStore:
 
     def version(self, table: str) -> int:
         """The current snapshot's number; 0 if there is none."""
-        p, fs = self._fs(f"{self.base}/{table}/_current")
+        p, fs = self._fs(f"{self.base}/{table}/current.txt")
         return int(self.spark.read.text(p.toString()).first()[0]) if fs.exists(p) else 0
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
@@ -54,7 +54,7 @@ class CorpusStore:
     def write(self, table: str, df: DataFrame) -> int:
         v = self.version(table) + 1
         df.write.mode("overwrite").parquet(f"{self.base}/{table}/v={v}")
-        p, fs = self._fs(f"{self.base}/{table}/_current")
+        p, fs = self._fs(f"{self.base}/{table}/current.txt")
         out = fs.create(p, True)
         out.write(bytearray(str(v).encode()))
         out.close()
