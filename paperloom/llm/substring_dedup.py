@@ -4,9 +4,10 @@ A line is a unit; a line of more than ``PART`` words is cut into parts before wo
 ``REACH`` pairs to either side within the line. Such cuts depend on nearby words only, so a passage that stands in
 other surroundings, or in a line with edits, is cut the same way but for its ends. Units are normalised (A-Z in lower
 case, white space as one separator), and their 128-bit digests are grouped over all documents. The occurrence of lowest
-rank (document id, then place) stays. Others go if they are whole lines of at least ``LINE_WORDS`` words, or if they lie in
-a run of repeated units of one document of at least ``RUN_WORDS`` words. What goes is told by its offsets in the original
-text, in code points.
+rank (document id, then place) stays. Others go if they lie in a run of repeated units of one document, lines or parts of
+lines, of at least ``RUN_WORDS`` words: a heading or a licence line that many documents share is no repeat by itself, and a
+passage of over 50 words has a run of that length within it wherever it stands. What goes is told by its offsets in the
+original text, in code points.
 
 Digests are counted before they are shuffled and joined back only where they repeat, so a line that a third of all
 documents share costs one row for each task and an even split of its occurrences.
@@ -26,7 +27,6 @@ from paperloom.llm import common
 
 PART = 16
 REACH = 4
-LINE_WORDS = 5
 LEAST = 3
 RUN_WORDS = 24
 WORDS = 200_000
@@ -126,7 +126,7 @@ def units(docs: DataFrame) -> DataFrame:
                 t = pa.RecordBatch.from_arrays([ids, *(pa.array(x.astype(np.int32)) for x in (unit, start, end, size)), pa.array(whole), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))], schema=schema)
                 yield t.filter(pa.array(size >= LEAST))
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, UNITS)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(common.task(run), UNITS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, work: str) -> DataFrame:
@@ -139,7 +139,7 @@ def repeats(spark: SparkSession, docs: DataFrame, work: str) -> DataFrame:
     apart = F.coalesce(F.col("unit") - F.lag("unit").over(of) > 2, F.lit(True))
     again = again.withColumn("opens", apart.cast("int")).withColumn("run", F.sum("opens").over(of.rowsBetween(W.Window.unboundedPreceding, 0)))
     again = again.withColumn("run_words", F.sum("words").over(W.Window.partitionBy("doc_id", "run")))
-    gone = again.filter((F.col("line") & (F.col("words") >= LINE_WORDS)) | (F.col("run_words") >= RUN_WORDS))
+    gone = again.filter(F.col("run_words") >= RUN_WORDS)
     return gone.select("doc_id", "unit", "start", "end", "words", "line", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
 
 
