@@ -23,8 +23,13 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Rows in an Arrow batch: whole texts go to Python, and a batch of them is held on both sides.
+BATCH_ROWS = 1_000
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared root."""
+    """A fresh folder below the shared root; from here on the session sends texts to Python in batches of BATCH_ROWS."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -60,3 +65,30 @@ def open_fs(uri: str):
     if "://" in uri:
         return fs.FileSystem.from_uri(uri)
     return fs.LocalFileSystem(), uri.removeprefix("file:")
+
+
+def tidy() -> None:
+    """Give memory that a Python worker no longer uses back to the system: workers live on, idle, between tasks."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
+def task(run):
+    """``run`` for mapInArrow, with ``tidy`` at the end of each task."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return wrapped

@@ -130,7 +130,7 @@ def grams(docs: DataFrame) -> DataFrame:
         for i in range(0, len(keys), 100_000):
             yield batch(keys[i : i + 100_000], points[i : i + 100_000], counts[i : i + 100_000])
 
-    return docs.select(docs["text"].cast("string").alias("text")).mapInArrow(run, "key long, gram string, n long")
+    return docs.select(docs["text"].cast("string").alias("text")).mapInArrow(common.task(run), "key long, gram string, n long")
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -225,7 +225,7 @@ def scores(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array(ids, pa.int64()), pa.array(count, pa.int64()), pa.array(total, pa.float64())], schema=schema)
 
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["lang"].cast("string").alias("lang"), docs["text"].cast("string").alias("text"))
-    parts = own.mapInArrow(run, "doc_id long, lang string, row long, n long, sum double")
+    parts = own.mapInArrow(common.task(run), "doc_id long, lang string, row long, n long, sum double")
     # A very long text has a row for each run that held a part of it.
     whole = parts.groupBy("doc_id", "lang", "row").agg(F.sum("n").alias("n_chars"), F.sum("sum").alias("sum"))
     mean = F.when((F.col("n_chars") > 0) & ~F.isnan("sum"), F.exp(-F.col("sum") / F.col("n_chars")))

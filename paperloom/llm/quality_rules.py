@@ -133,7 +133,7 @@ def features(docs: DataFrame) -> DataFrame:
             cols = list(zip(*rows)) if rows else [[] for _ in range(7)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(cols, list(schema)[1:]))], schema=schema)
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, f"doc_id long, {FEATURES}")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(common.task(run), f"doc_id long, {FEATURES}")
 
 
 def estimate(counts: dict[str, int], rounds: int = 500) -> dict:
@@ -204,7 +204,7 @@ def keep_good(spark: SparkSession, docs: DataFrame) -> DataFrame:
             rows = [one(t.as_py()) for t in b.column("text")]
             yield b.filter(pa.array([not r[5] and r[6] in good for r in rows], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.task(run), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,7 +93,7 @@ def write_token_store(spark: SparkSession, docs: DataFrame, out: str, tokenizer:
         for _, raw in encoded(tokenizer, batches, end_id):
             yield pa.record_batch({"raw": [narrow(raw[: 4 * DICT_SAMPLE_IDS], width)]})
 
-    taken = [] if least is None else docs.filter(F.xxhash64("doc_id") <= least).mapInArrow(sample, "raw binary").collect()
+    taken = [] if least is None else docs.filter(F.xxhash64("doc_id") <= least).mapInArrow(common.task(sample), "raw binary").collect()
     dictionary = train_dictionary(sorted(bytes(r[0]) for r in taken)[:DICT_SAMPLE])
     fs, base = common.open_fs(out)
     fs.create_dir(base, recursive=True)
@@ -132,7 +132,7 @@ def write_token_store(spark: SparkSession, docs: DataFrame, out: str, tokenizer:
         yield pa.record_batch({"shard": [shard], "n_docs": [len(ids)], "n_tokens": [firsts[-1]]}, schema=pa.schema([("shard", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
     dealt = docs.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    dealt.mapInArrow(write, "shard int, n_docs long, n_tokens long").write.mode("overwrite").parquet(f"{out}/manifest")
+    dealt.mapInArrow(common.task(write), "shard int, n_docs long, n_tokens long").write.mode("overwrite").parquet(f"{out}/manifest")
 
 
 def read_index(fs, base: str, shard: int) -> tuple[bytes, int, list]:
@@ -197,7 +197,7 @@ def read_token_store(spark: SparkSession, out: str) -> DataFrame:
                     yield pa.record_batch([keys, (firsts[i:j].astype("i8") + start).tolist(), [len(d) // 4 for d in docs], docs], schema=schema)
 
     table = spark.createDataFrame(starts, "shard int, start long")
-    return table.repartition(max(1, len(starts)), "shard").mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return table.repartition(max(1, len(starts)), "shard").mapInArrow(common.task(read), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
