@@ -12,7 +12,7 @@ Answers from answers. Equal sets are one set. Each set is first held against the
 a set that links to a hub takes over the hub's answers, and so on through components. Only entries that this leaves in
 different components of a list are held against each other. A group of many near copies so costs a few checks a copy.
 
-Checks. A parity bitmap of each set (half a bit to one bit an n-gram) bounds the symmetric difference of two sets from below, and
+Checks. A parity bitmap of each set (1 to 4 bits an n-gram) bounds the symmetric difference of two sets from below, and
 pairs over the limit are dropped. Pairs that are left are compared by their whole sets, made anew from the texts of
 just these documents.
 
@@ -24,6 +24,8 @@ link nothing; an empty table gives an empty result; other columns are ignored (`
 
 from __future__ import annotations
 
+import itertools
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ from paperloom.llm.graph import components
 #: Lists that are longer than this count as frequent; at most FREQUENT n-grams do (8 bytes each are broadcast).
 COMMON, FREQUENT = 16, 1 << 20
 LIST = 2_000
+#: Entries that are held against one another at a time, besides those of one unfinished block.
+TOGETHER = 20_000
 WORDS = 200_000
 #: Bits of the bitmap that tells which documents' sets are read again.
 ID_BITS = 23
@@ -100,11 +104,16 @@ def prefix(tokens, percent: int, frequent):
     return rare[:p]
 
 
-def parities(tokens) -> bytes:
-    """Parity of the number of n-grams in each of b cells; b is a power of two of half to all their number, 64 at least."""
+def parities(tokens, percent: int) -> bytes:
+    """Parity of the number of n-grams in each of b cells.
+
+    b is the power of two from 20 to 40 times the differences that a linked pair may have for each of its n-grams: then
+    few of these fall together, and pairs a few hundredths below the threshold are told apart.
+    """
     import numpy as np
 
-    b = max(64, 1 << (len(tokens).bit_length() - 1))
+    least = 20 * len(tokens) * (100 - percent) // (100 + percent)
+    b = max(64, 1 << max(0, least - 1).bit_length())
     cells = (tokens >> np.uint64(17)) & np.uint64(b - 1)
     return np.packbits((np.bincount(cells.astype(np.int64), minlength=b) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -148,10 +157,10 @@ def features(docs: DataFrame, n: int, percent: int, frequent=None) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([tokens], schema=schema)
                     continue
                 sigs = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array(sigs, pa.binary()), tokens, pa.array([parities(s) if len(s) else b"" for s in sets], pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array(sigs, pa.binary()), tokens, pa.array([parities(s, percent) if len(s) else b"" for s in sets], pa.binary())], schema=schema)
 
     kind = "tokens array<long>" if first else "doc_id long, size long, sig binary, tokens array<long>, bits binary"
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, kind)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(common.task(run), kind)
 
 
 def close_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +180,7 @@ def close_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     side = lambda k: sets.select(F.col("node").alias(k), F.col("size").alias(f"s{k}"), F.col("bits").alias(f"x{k}"))
     met = pairs.join(side("b"), "b").join(side("a"), "a")
-    return met.select("a", "b", "sa", "sb", "xa", "xb").mapInArrow(run, "a long, b long")
+    return met.select("a", "b", "sa", "sb", "xa", "xb").mapInArrow(common.task(run), "a long, b long")
 
 
 def cell(c: str):
@@ -215,7 +224,7 @@ def sets_of(spark: SparkSession, docs: DataFrame, nodes: DataFrame, n: int) -> D
                 yield pa.record_batch({"node": some.column("doc_id"), "grams": pa.array([shingle(t.as_py()).tobytes() for t in some.column("text")], pa.binary())})
 
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).filter("doc_id is not null")
-    found = own.withColumn("cell", cell("doc_id")).mapInArrow(run, "node long, grams binary")
+    found = own.withColumn("cell", cell("doc_id")).mapInArrow(common.task(run), "node long, grams binary")
     return found.join(nodes, "node", "left_semi")
 
 
@@ -259,7 +268,7 @@ def linked(spark: SparkSession, docs: DataFrame, pairs: DataFrame, n: int, perce
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], schema=schema)
 
     side = lambda k: sets.select(F.col("node").alias(k), F.col("grams").alias(f"x{k}"))
-    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
+    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "xa", "xb").mapInArrow(common.task(run), "a long, b long")
 
 
 def in_lists(entries: DataFrame, percent: int, parts: int) -> DataFrame:
@@ -311,9 +320,17 @@ def in_lists(entries: DataFrame, percent: int, parts: int) -> DataFrame:
     def run(batches):
         import numpy as np
 
-        kept = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
+        kept, more = None, []
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                more.append(batch)
+                if sum(b.num_rows for b in more) < TOGETHER:
+                    continue
+            if not more:
+                break
+            t = pa.Table.from_batches(more)
+            more = []
+            t = t if kept is None else pa.concat_tables([kept, t])
             if not t.num_rows:
                 continue
             last = t.slice(t.num_rows - 1)
@@ -327,7 +344,7 @@ def in_lists(entries: DataFrame, percent: int, parts: int) -> DataFrame:
         if kept is not None:
             yield held(kept)
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(common.task(run), "a long, b long")
 
 
 def join(spark: SparkSession, docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -368,7 +385,10 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 3, percent: int = 90) ->
     more = common.cut(spark, linked(spark, docs, rest, n, percent, f"{work}/rest-sets"), f"{work}/more")
     final = components(spark, edges.unionByName(more), f"{work}/components") if not more.isEmpty() else labels
     out = rows.select("doc_id", F.col("size").alias("n_shingles"), "sig").join(first, "sig", "left").join(final, "node", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))
+    out = common.cut(spark, out, common.work_dir(spark, "ngram-components"))
+    common.drop(spark, work)
+    return out
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

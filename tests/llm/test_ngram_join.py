@@ -93,8 +93,9 @@ def test_bitmaps_never_overstate(a, b):
 
     x, y = (np.array(sorted(s), dtype=np.uint64) for s in (a, b))
     if len(x) and len(y):
-        p, q = J.parities(x), J.parities(y)
-        assert J.apart(int.from_bytes(p, "little"), 8 * len(p), int.from_bytes(q, "little"), 8 * len(q)) <= len(a ^ b)
+        for percent in (60, 80, 90):
+            p, q = J.parities(x, percent), J.parities(y, percent)
+            assert J.apart(int.from_bytes(p, "little"), 8 * len(p), int.from_bytes(q, "little"), 8 * len(q)) <= len(a ^ b)
 
 
 def test_components(spark, work):
