@@ -145,3 +145,36 @@ def guard(ids: DataFrame, check_num: int) -> DataFrame:
     if ids.limit(check_num).count() >= check_num:
         raise ValueError(f"{check_num} ids or more; narrow the query or raise check_num")
     return ids
+
+
+def changes(existing: DataFrame, merged: DataFrame) -> DataFrame:
+    """(pmid, changes): what a merge added to each row or made longer."""
+    a, b = existing.alias("a"), merged.alias("b")
+    length = lambda c: F.coalesce(F.length(c), F.lit(0))
+    notes = []
+    for name in ("abstract", "full_text"):
+        x, y = F.col(f"a.{name}"), F.col(f"b.{name}")
+        notes.append(F.when(~filled(x) & filled(y), F.lit(f"{name} added")).when(length(y) > length(x), F.concat(F.lit(f"{name} longer by "), (length(y) - length(x)).cast("string"))))
+    for name in ("authors", "keywords", "mesh_terms"):
+        if name in existing.columns:
+            more = F.coalesce(F.size(f"b.{name}"), F.lit(0)) - F.coalesce(F.size(f"a.{name}"), F.lit(0))
+            notes.append(F.when(more > 0, F.concat(F.lit(f"{name} grew by "), more.cast("string"))))
+    rows = a.join(b, F.col("a.pmid") == F.col("b.pmid")).select(F.col("a.pmid").alias("pmid"), F.filter(F.array(*notes), lambda x: x.isNotNull()).alias("changes"))
+    return rows.filter(F.size("changes") > 0)
+
+
+def reclean_preview(papers: DataFrame, samples: int = 3, chars: int = 500) -> DataFrame:
+    """The first characters of some texts before and after cleaning."""
+    text = F.col("full_text")
+    rows = papers.filter(filled(text)).orderBy("pmid").limit(samples)
+    return rows.select("pmid", F.substring(text, 1, chars).alias("before"), F.substring(clean_comprehensive(text), 1, chars).alias("after"), F.length(text).alias("chars_before"), F.length(clean_comprehensive(text)).alias("chars_after"))
+
+
+def run_summary(run: DataFrame) -> str:
+    """A run's row as text, with its duration and the share of full texts."""
+    r = run.first()
+    done = r["total_processed"] or 0
+    percent = f"{100 * r['with_full_text'] / done:.1f} %" if done else "-"
+    seconds = run.sparkSession.range(1).select(F.expr(f"timestampdiff(SECOND, timestamp'{r['start_time']}', timestamp'{r['end_time']}')")).first()[0] if r["start_time"] and r["end_time"] else None
+    names = ("query", "total_found", "total_processed", "with_full_text", "without_full_text", "with_openalex", "failed_pubmed", "failed_openalex")
+    return "\n".join([*(f"{n.replace('_', ' ')}: {r[n]}" for n in names), f"full text: {percent}", f"seconds: {'-' if seconds is None else seconds}"])
