@@ -35,7 +35,7 @@ from paperloom.llm.graph import components
 
 #: Lists that are longer than this count as frequent; at most FREQUENT n-grams do (8 bytes each are broadcast).
 COMMON, FREQUENT = 16, 1 << 20
-LIST = 2_000
+LIST = 8_000
 #: Entries that are held against one another at a time, besides those of one unfinished block.
 TOGETHER = 20_000
 WORDS = 200_000
@@ -375,8 +375,9 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 3, percent: int = 90) ->
     stars = common.cut(spark, close_enough(stars, sets, percent), f"{work}/stars")
     edges = common.cut(spark, linked(spark, docs, stars, n, percent, f"{work}/star-sets"), f"{work}/edges")
     labels = components(spark, edges, f"{work}/star-components")
-    # What hubs have not explained: entries of a list in different components.
-    named = lists.select("token", "n", "node", "size", "pos").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # What hubs have not explained: entries of a list in different components. A list of two holds its hub and one other,
+    # a pair that has been checked.
+    named = lists.filter("n > 2").select("token", "n", "node", "size", "pos").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = named.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("token")
     entries = named.join(mixed, "token", "left_semi").join(sets.select("node", "bits"), "node")
     rest = common.cut(spark, in_lists(entries, percent, parts).distinct(), f"{work}/rest")
