@@ -55,6 +55,7 @@ RULES = (
     Rule("bearer", 1, r"(?i)bearer\x20+[A-Za-z0-9+/_.=-]{16,}", r"(?i)bearer\x20"),
 )
 BASE = ("assign", "access", "hex")
+CELL_BITS = 17
 
 SPAN = "struct<start:bigint,rank:int,kind:string,end:bigint,rule:string>"
 
@@ -120,7 +121,22 @@ def findings(spark: SparkSession, versions: DataFrame, ledger: str, rules=RULES)
     known = seen(spark, ledger).select(F.col("blob").alias("_blob"), F.filter("spans", lambda s: F.array_contains(current, s["rule"])).alias("_spans")).filter(F.size("_spans") > 0)
     # Written first, so that the join is a plain one of two tables, whose frequent keys Spark splits.
     known = common.cut(spark, known, common.work_dir(spark, "findings"))
-    return addressed(versions).join(known, "_blob", "left").withColumn("_spans", F.coalesce("_spans", F.array().cast(f"array<{SPAN}>")))
+    rows, flag = addressed(versions), may_hold(known)
+    empty = F.array().cast(f"array<{SPAN}>")
+    sure = rows.filter(~flag).withColumn("_spans", empty)
+    perhaps = rows.filter(flag).join(known, "_blob", "left").withColumn("_spans", F.coalesce("_spans", empty))
+    return sure.unionByName(perhaps.select(*sure.columns))
+
+
+def may_hold(known: DataFrame) -> Column:
+    """Whether ``_blob`` may be among ``known``, by a bitmap of 2**CELL_BITS cells (16 KB): rows that certainly have no
+    findings, most of them, then need no join and their texts stay where they are."""
+    cell = F.shiftrightunsigned(F.xxhash64("_blob"), 64 - CELL_BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(F.lit(63)).cast("int"))
+    words = dict.fromkeys(range(1 << (CELL_BITS - 6)), 0)
+    words |= {r["w"]: r["m"] for r in known.groupBy(F.shiftright(cell, 6).alias("w")).agg(F.bit_or(bit).alias("m")).collect()}
+    table = F.array(*(F.lit(words[w]) for w in sorted(words))).cast("array<bigint>")
+    return F.get(table, F.shiftright(cell, 6).cast("int")).bitwiseAND(bit) != 0
 
 
 def joined(spans: Column) -> Column:
