@@ -13,7 +13,7 @@ import os
 from collections.abc import Iterator
 from functools import lru_cache
 
-CACHE = 500_000
+CACHE = 800_000
 CHUNK = 128
 BATCH_CHARS = 4_000_000
 #: No id: vocabularies have fewer than 2**31 entries, so this never occurs in the bytes of ids.
