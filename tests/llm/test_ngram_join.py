@@ -1,10 +1,12 @@
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from paperloom.llm import graph
 from paperloom.llm import ngram_join as J
 from paperloom.llm.graph import components
 
@@ -107,6 +109,19 @@ def test_components(spark, work):
     assert components(spark, spark.createDataFrame([], "a long, b long"), f"{work}/none").count() == 0
 
 
+def test_components_of_a_chain_in_ascending_order(spark, work):
+    """Each document an edit of the one before: rounds by the least neighbour alone shorten this by one link a round."""
+    edges = [(i, i + 1) for i in range(300)] + [(1000 + i, 1001 + i) for i in range(40)]
+    rows = {r["node"]: r["component"] for r in components(spark, spark.createDataFrame(edges, "a long, b long"), work).collect()}
+    assert rows == {**{i: 0 for i in range(301)}, **{i: 1000 for i in range(1000, 1041)}}
+
+
+def test_components_raise_when_rounds_run_out(spark, work, monkeypatch):
+    monkeypatch.setattr(graph, "ROUNDS", 2)
+    with pytest.raises(RuntimeError):
+        components(spark, spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long"), work)
+
+
 def test_frequent_ngrams_change_nothing(spark, monkeypatch):
     rows = corpus(9, 80)
     df = spark.createDataFrame(rows, "doc_id long, text string")
