@@ -135,15 +135,21 @@ def encoded(path: str, batches: Iterator, end_id: int | None) -> Iterator[tuple[
     import pyarrow.compute as pc
 
     enc, tail = encoder(path), b"" if end_id is None else end_id.to_bytes(4, "little")
+
+    def run(batch, start, stop):
+        some = batch.slice(start, stop - start)
+        return zip(some.column("doc_id").to_pylist(), [raw + tail for raw in enc.encode(some.column("text"))])
+
     try:
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
             start = held = 0
-            for i, n in enumerate([*sizes, BATCH_CHARS]):
+            for i, n in enumerate(sizes):
                 if i > start and held + n > BATCH_CHARS:
-                    run = batch.slice(start, i - start)
-                    yield from zip(run.column("doc_id").to_pylist(), [raw + tail for raw in enc.encode(run.column("text"))])
+                    yield from run(batch, start, i)
                     start, held = i, 0
                 held += n
+            if start < batch.num_rows:
+                yield from run(batch, start, batch.num_rows)
     finally:
         enc.memo.clear()  # the worker lives on, idle, and other tasks of its executor need the memory

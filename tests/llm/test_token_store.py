@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.llm import token_store
+from paperloom.llm import token_store, tokens
 from paperloom.llm.tokens import Encoder
 
 
@@ -30,6 +30,21 @@ def test_encoder_equals_the_library(tokenizer, whole):
             assert np.frombuffer(raw, "<u4").tolist() == whole(t), t
 
 
+@pytest.mark.parametrize("texts", [[""], [None, "", None], ["a b", ""], ["word " * 30, None, ""], ["x", "word " * 30, "", ""], ["", "word " * 30]])
+def test_rows_behind_a_flush_stay(tokenizer, whole, monkeypatch, texts):
+    monkeypatch.setattr(tokens, "BATCH_CHARS", 100)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    got = [(k, np.frombuffer(raw, "<u4").tolist()) for k, raw in tokens.encoded(tokenizer, [batch, batch], 2)]
+    assert got == 2 * [(k, whole(t) + [2]) for k, t in enumerate(texts)]
+
+
+def test_table_of_empty_texts(spark, tokenizer, work):
+    docs = spark.createDataFrame([(i, None if i % 2 else "") for i in range(6)], "doc_id long, text string")
+    token_store.write_token_store(spark, docs, work, tokenizer, 2, shards=1)
+    rows = token_store.read_token_store(spark, work).select("doc_id", "start", "n_tokens").orderBy("start").collect()
+    assert [tuple(r) for r in rows] == [(i, i, 1) for i in range(6)]
+
+
 def test_round_trip(spark, rough, tokenizer, whole, work):
     token_store.write_token_store(spark, rough, work, tokenizer, 2, shards=3)
     rows = token_store.read_token_store(spark, work).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc"), "ids").orderBy("start").collect()
