@@ -50,6 +50,30 @@ def test_passages_within_other_text(spark, work):
         assert set(text[r["doc_id"]][r["start"] : r["end"]].split()) <= set(passage) and r["kept_doc_id"] < r["doc_id"] and r["kept_doc_id"] % 3 == 0
 
 
+def test_passages_of_short_lines(spark, work):
+    """Lists, verse and lines of 1 or 2 words between others belong to a passage; short lines that many share don't go."""
+    rng = random.Random(5)
+    rows = []
+    for k, shape in enumerate([[1], [2], [1, 2], [10, 2, 2], [20, 1, 1], [17, 1, 1, 2]]):
+        lines = [" ".join(words(rng, shape[i % len(shape)])) for i in range(200) if sum(shape[j % len(shape)] for j in range(i)) < 110]
+        rows += [(10 * k + d, "\n".join([" ".join(words(rng, 7)), *lines, " ".join(words(rng, 7))])) for d in (0, 1)]
+    answers = ["yes", "no", "not known", "often", "never", "at times"]
+    rows += [(100 + d, "\n".join(w for q in range(20) for w in (" ".join(words(rng, 8)), rng.choice(answers)))) for d in range(20)]
+    gone = {}
+    for r in spans(spark, rows, work):
+        gone[r["doc_id"]] = gone.get(r["doc_id"], 0) + r["words"]
+    assert set(gone) == {10 * k + 1 for k in range(6)}
+    assert all(n >= 90 for n in gone.values()), gone
+
+
+def test_rows_without_id_are_apart(spark, work):
+    """Short repeats of several rows without id don't add up to a run."""
+    rng = random.Random(6)
+    some = [" ".join(words(rng, 10)) for _ in range(3)]
+    rows = [(None, f"{' '.join(words(rng, 5))}\n{line}") for line in some for _ in range(2)] + [(1, "\n".join(some))]
+    assert {r["doc_id"] for r in spans(spark, rows, work)} == {1}
+
+
 def test_removed_keeps_the_rest(spark, rough, work):
     out = D.removed(spark, rough, work)
     rows = {r["doc_id"]: r for r in out.filter("doc_id is not null").collect()}
