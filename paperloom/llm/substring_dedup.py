@@ -8,8 +8,8 @@ words says too little by itself: its digest takes in the neighbours of its line
 behind it, so lists and verse are found as other passages are. The occurrence of lowest rank (document id, then place)
 stays. Others go if they lie in a run of repeated units of one document, lines or parts of lines, of at least ``RUN_WORDS``
 words. A passage of over 50 words in lines of its own has a run of that length; within longer lines its ends share parts
-with what surrounds it, and about one passage of 51 words in a hundred has no run left. What goes is told by its offsets in
-the original text, in code points.
+with what surrounds it, and about one passage of 51 words in a hundred has no run left. The query also removes every repeated whole line of at least ``LEAST`` words (``lines``). What goes is told
+by its offsets in the original text, in code points.
 
 Digests are counted before they are shuffled and joined back only where they repeat, so a line that a third of all
 documents share costs one row for each task and an even split of its occurrences.
@@ -149,8 +149,11 @@ def units(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.monotonically_increasing_id().alias("row")).mapInArrow(common.task(run), UNITS)
 
 
-def repeats(spark: SparkSession, docs: DataFrame, work: str) -> DataFrame:
-    """Every occurrence that goes: doc_id, unit, start, end, words, line, and the occurrence that stays (kept_doc_id, kept_unit)."""
+def repeats(spark: SparkSession, docs: DataFrame, work: str, lines: bool = False) -> DataFrame:
+    """Every occurrence that goes: doc_id, unit, start, end, words, line, and the occurrence that stays (kept_doc_id, kept_unit).
+
+    With ``lines``, repeated whole lines of at least ``LEAST`` words go as well, whatever stands beside them.
+    """
     found = common.cut(spark, units(docs), f"{work}/units")
     first = found.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "unit")).alias("kept")).filter("n > 1")
     again = found.join(first.drop("n"), ["d1", "d2"]).filter(F.struct("doc_id", "unit") != F.col("kept"))
@@ -159,13 +162,18 @@ def repeats(spark: SparkSession, docs: DataFrame, work: str) -> DataFrame:
     apart = F.coalesce(F.col("unit") - F.lag("unit").over(of) > 2, F.lit(True))
     again = again.withColumn("opens", apart.cast("int")).withColumn("run", F.sum("opens").over(of.rowsBetween(W.Window.unboundedPreceding, 0)))
     again = again.withColumn("run_words", F.sum("words").over(W.Window.partitionBy("row", "run")))
-    gone = again.filter(F.col("run_words") >= RUN_WORDS)
+    goes = F.col("run_words") >= RUN_WORDS
+    if lines:
+        # A line of several parts has more than PART words; it repeats if all its parts do.
+        again = again.withColumn("found_parts", F.count("*").over(W.Window.partitionBy("row", "head")))
+        goes |= (F.col("found_parts") == F.col("parts")) & (~F.col("line") | (F.col("words") >= LEAST))
+    gone = again.filter(goes)
     return gone.select("doc_id", "unit", "start", "end", "words", "line", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
 
 
-def removed(spark: SparkSession, docs: DataFrame, work: str) -> DataFrame:
+def removed(spark: SparkSession, docs: DataFrame, work: str, lines: bool = False) -> DataFrame:
     """``docs`` without the repeats, and ``removed_spans``: the offsets of what went, array<struct<start, end>>."""
-    spans = repeats(spark, docs, work).groupBy(F.col("doc_id").alias("_doc")).agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("start", "end")))).alias("removed_spans"))
+    spans = repeats(spark, docs, work, lines).groupBy(F.col("doc_id").alias("_doc")).agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("start", "end")))).alias("removed_spans"))
     out = docs.join(spans, docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")), "left").drop("_doc")
     empty = F.array().cast("array<struct<start:int,end:int>>")
     init = F.struct(F.lit(0).alias("upto"), F.array().cast("array<string>").alias("out"))
@@ -176,4 +184,4 @@ def removed(spark: SparkSession, docs: DataFrame, work: str) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: everything that substring dedup removes from ``documents``, by original offsets."""
-    return repeats(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), common.work_dir(spark, "substring-dedup"))
+    return repeats(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), common.work_dir(spark, "substring-dedup"), lines=True)

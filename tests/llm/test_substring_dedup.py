@@ -50,6 +50,22 @@ def test_passages_within_other_text(spark, work):
         assert set(text[r["doc_id"]][r["start"] : r["end"]].split()) <= set(passage) and r["kept_doc_id"] < r["doc_id"] and r["kept_doc_id"] % 3 == 0
 
 
+def test_whole_lines_go_at_every_length(spark, work, tmp_path):
+    """As the query runs: lines from LEAST words, lines cut into parts, copies of short documents, repeats in one document."""
+    rng = random.Random(8)
+    line = {n: " ".join(words(rng, n)) for n in (2, 3, 5, 8, 16, 17, 20, 23)}
+    own = lambda: " ".join(words(rng, 9))
+    rows = [(1, "\n".join(x for n in line for x in (own(), line[n]))), (4, "two words"), (5, "two words"), (6, "a whole short document"), (7, "A  whole short document"), (8, "see here now\nsee here now\nlast")]
+    rows += [(20 + n, f"{own()}\n{line[n]}\n{own()}") for n in line] + [(50, f"{own()} {line[8]} {own()}")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    text, gone = dict(rows), {}
+    for r in D.query(spark, str(tmp_path)).orderBy("doc_id", "start").collect():
+        gone.setdefault(r["doc_id"], []).append(text[r["doc_id"]][r["start"] : r["end"]])
+    assert {k: " ".join(v) for k, v in gone.items()} == {**{20 + n: line[n] for n in line if n > 2}, 7: "A  whole short document", 8: "see here now"}
+    out = D.removed(spark, spark.createDataFrame(rows, "doc_id long, text string"), work, lines=True)
+    assert {r["doc_id"]: r["text"] for r in out.collect()}[8] == "see here now\n\nlast"
+
+
 def test_passages_of_short_lines(spark, work):
     """Lists, verse and lines of 1 or 2 words between others belong to a passage; short lines that many share don't go."""
     rng = random.Random(5)
