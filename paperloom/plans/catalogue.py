@@ -158,6 +158,11 @@ query("clean_comprehensive", f"SELECT pmid, {strip_sql(clean_sql('text'))} AS te
 query("reclean_changed", f"SELECT pmid, text AS full_text FROM (SELECT pmid, text AS old, {strip_sql(clean_sql('text'))} AS text FROM latex) WHERE old <> text")(
     lambda s, d: corpus.reclean(views.latex(s, d).select("pmid", F.lit("a").alias("abstract"), F.col("text").alias("full_text"))).select("pmid", "full_text")
 )
+# The same over whole texts, without SQL
+query("clean_full_text_whole")(lambda s, d: views.latex_whole(s, d).select("pmid", text.clean_full_text(F.col("text")).alias("text")))
+query("strip_references_whole")(lambda s, d: views.latex_whole(s, d).select("pmid", text.strip_references(F.col("text")).alias("text")))
+query("clean_comprehensive_whole")(lambda s, d: views.latex_whole(s, d).select("pmid", text.clean_comprehensive(F.col("text")).alias("text")))
+query("reclean_changed_whole")(lambda s, d: corpus.reclean(views.latex_whole(s, d).select("pmid", F.lit("a").alias("abstract"), F.col("text").alias("full_text"))).select("pmid", "full_text"))
 paper_query("query_hash", f"SELECT pmid, md5({STRIP % f'''regexp_replace(title, '{WS}+', ' ', 'g')'''}) AS hash FROM papers")(lambda p: p.select("pmid", text.query_hash(F.col("title")).alias("hash")))
 paper_query("summary_line", "SELECT 'PMID: ' || pmid || ' | DOI: ' || coalesce(doi, 'None') || ' | Title: ' || substring(title, 1, 50) || '...' AS line FROM papers")(lambda p: p.select(text.summary_line(F.col("pmid"), F.col("doi"), F.col("title")).alias("line")))
 paper_query("author_split", f"SELECT pmid, array_to_string(list_filter(list_transform(string_split(array_to_string(authors, '; ') || ';;', ';'), lambda s: {STRIP % 's'}), lambda s: s <> ''), '|') AS authors FROM papers")(lambda p: p.select("pmid", F.array_join(text.authors_of(F.concat(F.array_join("authors", "; "), F.lit(";;"))), "|").alias("authors")))

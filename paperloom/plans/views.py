@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+HEAD = "\\documentclass[12pt]{minimal}\n\\usepackage{amsmath} \\begin{document}$$\\alpha$$ \\multirow $5   and "
+
 SQL = r"""
 papers AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS pmid,
@@ -66,8 +68,15 @@ def works(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = "\\documentclass[12pt]{minimal}\n\\usepackage{amsmath} \\begin{document}$$\\alpha$$ \\multirow $5   and "
-    return papers(spark, sf_dir).select("pmid", F.concat(F.lit(head), "title", F.lit("\n-\n * \n\t"), "abstract", F.lit("\n\\foo{bar} \\baz qux\nReferences\n[1] "), "title").alias("text"))
+    return papers(spark, sf_dir).select("pmid", F.concat(F.lit(HEAD), "title", F.lit("\n-\n * \n\t"), "abstract", F.lit("\n\\foo{bar} \\baz qux\nReferences\n[1] "), "title").alias("text"))
+
+
+def latex_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole text of every document between the head and the tail of ``latex``."""
+    title = F.substring("text", 1, 80)
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("pmid"), F.concat(F.lit(HEAD), title, F.lit("\n-\n * \n\t"), "text", F.lit("\n\\foo{bar} \\baz qux\nReferences\n[1] "), title).alias("text")
+    )
 
 
 def section_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -37,6 +38,17 @@ def test_query(spark, duck, name):
     assert mine == theirs
 
 
+def test_cleaners_run_over_whole_texts(spark):
+    """The last word of every line of every document is in the cleaned text."""
+    docs = {str(r["doc_id"]): r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for name in ("clean_full_text_whole", "strip_references_whole", "clean_comprehensive_whole", "reclean_changed_whole"):
+        got = {r[0]: r[1] for r in catalogue.QUERIES[name](spark, SF).collect()}
+        assert set(got) == set(docs), name
+        for k, t in docs.items():
+            last = [w[-1] for x in t.split("\n") if (w := re.findall(r"[a-z]{3,}", x))]
+            assert all(w in got[k] for w in last), (name, k)
+
+
 def test_entry_and_guard(tmp_path):
     """Without the training-data operators the entry file imports and has all other queries."""
     code = "import __spark_entry__ as e; q = e.queries(); assert 'dedup_keep_recent' in q and set(e.oracle_sql()) <= set(q); print(sum(k.startswith('op') or k == 'pipeline' for k in q))"
