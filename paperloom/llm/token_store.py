@@ -11,9 +11,10 @@ each partition straight from the task that encoded it. A shard is two files:
     (i64), whether the id is null (u8), first id of each document within the shard (u64, n + 1) and offset of each
     frame in the ``.ids`` file (u64, n + 1).
 
-``dictionary.zdict`` is trained on the serialized ids of a bounded sample of documents (``DICT_SAMPLE`` documents with
-the smallest hash of their id over the whole table, ``DICT_SAMPLE_IDS`` ids of each). It only affects the compression
-ratio: every document is encoded whole, whatever the sample holds. One short document is read with two ranged reads.
+``dictionary.zdict`` is trained on the serialized ids of a bounded sample of documents: rows drawn evenly over the whole
+table, at most ``DICT_SAMPLE`` of them, whatever their ids, and ``DICT_SAMPLE_IDS`` ids of each. It only affects the
+compression ratio: every document is encoded whole, whatever the sample holds. One short document is read with two ranged
+reads.
 
 Defined results: null text is empty (the document is its end id alone); null ids sort first; rows with equal ids stay,
 ordered by the hash of their text; an empty table gives a store without shards; other columns are ignored. Tasks write
@@ -35,6 +36,7 @@ from paperloom.llm.tokens import encoded, encoder
 DICT_SAMPLE = 512
 DICT_SAMPLE_IDS = 32_768
 DICT_BYTES = 65_536
+SEED = 40_961
 LEVEL = 3
 IDS_MAGIC, IDX_MAGIC = b"PLTOK001", b"PLTIX001"
 
@@ -80,21 +82,27 @@ def _rows(batches, *names):
         yield from zip(*(b.column(n).to_pylist() for n in names))
 
 
+def dictionary_rows(docs: DataFrame) -> DataFrame:
+    """About ``DICT_SAMPLE`` rows of ``docs``: each row is drawn for itself, so equal or null ids don't come together."""
+    n = docs.count()
+    return docs if n <= DICT_SAMPLE else docs.sample(DICT_SAMPLE / n, seed=SEED)
+
+
 def write_token_store(spark: SparkSession, docs: DataFrame, out: str, tokenizer: str, end_id: int, shards: int | None = None) -> None:
     """Encode ``docs`` (doc_id, text) into a store at ``out``; see the module's docstring for the format."""
     import pyarrow as pa
+    from pyarrow import fs as pafs
 
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), common.text_of(docs).alias("text"))
     n = shards or common.partitions(spark)
-    least = docs.select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(DICT_SAMPLE).agg(F.max("h")).first()[0]
     width = width_of(tokenizer)
 
     def sample(batches):
         for _, raw in encoded(tokenizer, batches, end_id):
             yield pa.record_batch({"raw": [narrow(raw[: 4 * DICT_SAMPLE_IDS], width)]})
 
-    taken = [] if least is None else docs.filter(F.xxhash64("doc_id") <= least).mapInArrow(common.task(sample), "raw binary").collect()
-    dictionary = train_dictionary(sorted(bytes(r[0]) for r in taken)[:DICT_SAMPLE])
+    taken = dictionary_rows(docs).mapInArrow(common.task(sample), "raw binary").orderBy("raw").limit(DICT_SAMPLE).collect()
+    dictionary = train_dictionary([bytes(r[0]) for r in taken])
     fs, base = common.open_fs(out)
     fs.create_dir(base, recursive=True)
     with fs.open_output_stream(f"{base}/dictionary.zdict") as f:
@@ -133,6 +141,9 @@ def write_token_store(spark: SparkSession, docs: DataFrame, out: str, tokenizer:
 
     dealt = docs.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     dealt.mapInArrow(common.task(write), "shard int, n_docs long, n_tokens long").write.mode("overwrite").parquet(f"{out}/manifest")
+    for left in fs.get_file_info(pafs.FileSelector(base)):
+        if left.is_file and left.base_name.count(".") > 1:  # of attempts that were lost
+            fs.delete_file(left.path)
 
 
 def read_index(fs, base: str, shard: int) -> tuple[bytes, int, list]:

@@ -3,8 +3,8 @@
 A byte-level BPE splits text into pre-tokens that never depend on one another. A single space or line feed between two
 characters that aren't white space always starts a pre-token, and so does a full stop or comma after a letter. A text
 may be cut there and each piece encoded on its own; pieces recur, so their ids are kept in a bounded dictionary. Texts
-with runs of white space, or with other white space next to a cut, go to the tokenizer as a whole. Both ways give the
-ids of ``Tokenizer.encode``.
+with runs of white space, with other white space next to a cut, or with the string of an added token go to the tokenizer
+as a whole. Both ways give the ids of ``Tokenizer.encode``: the string of a special token in a text becomes its id.
 """
 
 from __future__ import annotations
@@ -28,8 +28,11 @@ class Encoder:
 
         self.np = np
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         vocab = self.tok.get_vocab()
+        #: Strings that the library looks for in the text before it splits it; those with white space may span pieces.
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values() if t.content]
+        self.added = [t for t in added if not any(c.isspace() for c in t)]
+        self.spanning = [t for t in added if t not in self.added]
         self.opens = {}
         for first, mark in (("Ġ", " "), ("Ċ", "\n")):
             self.opens[mark] = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
@@ -48,6 +51,11 @@ class Encoder:
         Pieces that may not be cut off get NOT_APART.
         """
         memo, points = self.memo, self.points
+        seen = "\n".join(words)
+        held = {w for t in self.added if t in seen for w in words if t in w}
+        if held:
+            memo.update(dict.fromkeys(held, NOT_APART))
+            words = [w for w in words if w not in held]
         inner = [w for w in words if w.isalpha()]
         lines, ended = [], []
         for w in [w for w in words if not w.isalpha()]:
@@ -109,10 +117,11 @@ class Encoder:
         offsets, data = np.frombuffer(ids.buffers()[1], dtype=np.int32), memoryview(ids.buffers()[2] or b"")
         firsts = coded.dictionary.take(coded.indices.take(pa.array(bounds[:-1]))).to_pylist()
         after, ends = offsets[bounds[:-1] + 1].tolist(), offsets[bounds[1:]].tolist()
+        spanned = {i for t in self.spanning for i in np.flatnonzero(pc.match_substring(texts, t).to_numpy(zero_copy_only=False)).tolist()}
         out, odd = [], []
         for i, (p, first, a, b) in enumerate(zip(firsts, self.whole(firsts), after, ends)):
             raw = first + data[a:b]
-            if bounds[i + 1] - bounds[i] > 1 and (not p or p[-1].isspace() or NOT_APART in raw):
+            if i in spanned or bounds[i + 1] - bounds[i] > 1 and (not p or p[-1].isspace() or NOT_APART in raw or any(t in p for t in self.added)):
                 odd.append(i)
             out.append(raw)
         if odd:

@@ -28,7 +28,6 @@ def test_rough_rows(spark, rough, tokenizer):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer)
-    tok.encode_special_tokens = True
     rows = packing.pack_documents(spark, rough, tokenizer, 2).collect()
     want = []
     for r in rough.select("doc_id", "text").collect():

@@ -15,7 +15,6 @@ def whole(tokenizer):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer)
-    tok.encode_special_tokens = True
     return lambda t: tok.encode(t or "", add_special_tokens=False).ids
 
 
@@ -78,3 +77,31 @@ def test_wrong_dictionary_is_refused(spark, rough, tokenizer, work):
         f.write(b"other")
     with pytest.raises(AssertionError):
         token_store.read_document(work, 0, 4)
+
+
+def test_strings_of_added_tokens_are_ids_of_their_own(spark, tokenizer, whole, work):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y and more words", "line\n<|endoftext|>\nline", "<|endof text|> a b", "plain words only"]
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in Encoder(tokenizer).encode(pa.array(texts, pa.string()))]
+    assert got == [whole(t) for t in texts] and [ids.count(50256) for ids in got] == [1, 1, 1, 1, 0, 0]
+    assert len(got[0]) == 4
+
+
+def test_the_dictionary_sample_is_bounded_by_rows(spark):
+    """Ids that are all null or all equal don't enlarge what the driver collects."""
+    docs = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("some text").alias("text"))
+    n = token_store.dictionary_rows(docs).count()
+    assert 0.7 * token_store.DICT_SAMPLE < n < 1.3 * token_store.DICT_SAMPLE
+    assert token_store.dictionary_rows(docs.limit(5)).count() == 5
+
+
+def test_a_repeated_attempt_leaves_one_shard(spark, tokenizer, work):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
+    fs, base = token_store.common.open_fs(work)
+    token_store.write_token_store(spark, docs, work, tokenizer, 2, shards=2)
+    with fs.open_output_stream(f"{base}/00000.ids.lost") as f:
+        f.write(b"half")
+    token_store.write_token_store(spark, docs, work, tokenizer, 2, shards=2)
+    names = [x.base_name for x in fs.get_file_info(__import__("pyarrow.fs").fs.FileSelector(base))]
+    assert "00000.ids.lost" not in names
+    rows = token_store.read_token_store(spark, work).orderBy("start").collect()
+    assert [r["doc_id"] for r in rows] == list(range(20))
