@@ -3,25 +3,31 @@
 A line is a unit; a line of more than ``PART`` words is cut into parts before words whose pair hash is the least among
 ``REACH`` pairs to either side within the line. Such cuts depend on nearby words only, so a passage that stands in
 other surroundings, or in a line with edits, is cut the same way but for its ends. Units are normalised (A-Z in lower
-case, white space as one separator), and their 128-bit digests are grouped over all documents. A unit of less than ``LEAST``
-words says too little by itself: its digest takes in the neighbours of its line or, if it is a whole line, those before and
-behind it, so lists and verse are found as other passages are. The occurrence of lowest rank (document id, then place)
-stays. Others go if they lie in a run of repeated units of one document, lines or parts of lines, of at least ``RUN_WORDS``
-words. A passage of over 50 words in lines of its own has a run of that length; within longer lines its ends share parts
-with what surrounds it, and about one passage of 51 words in a hundred has no run left. The query also removes every repeated whole line of at least ``LEAST`` words (``lines``). What goes is told
-by its offsets in the original text, in code points.
+case, white space as one separator), and their 128-bit digests are grouped over all documents. The occurrence of lowest rank
+(document id, then row, then place) stays. Of the others go
+
+* every whole line of at least ``least`` words (``lines``), whatever stands beside it, and
+* parts of lines, and shorter lines, that lie in a run of repeated units of one document of at least ``run_words`` words.
+
+With ``run_words=1`` and ``least=1`` every repeated unit goes. A unit of less than ``least`` words says too little by
+itself: its digest takes in the neighbours of its line or, if it is a whole line, those before and behind it, so lists and
+verse are found as other passages are. A passage of over 50 words in lines of its own has a run of ``RUN_WORDS``; within
+longer lines its ends share parts with what surrounds it, and about one passage of 51 words in a hundred has no run left.
+What goes is told by its offsets in the original text, in code points.
 
 Digests are counted before they are shuffled and joined back only where they repeat, so a line that a third of all
 documents share costs one row for each task and an even split of its occurrences.
 
-Defined results: null and empty texts have no units; rows of an equal id share a rank, so a unit at the same place in
-each stays in each; rows without id rank first; an empty table gives an empty result; other columns are ignored
-(``removed`` passes them through).
+Defined results: null and empty texts have no units; a very long text gives as many units as others of its length
+together; rows of an equal id or without one are rows of their own, ranked by their hashes (null ids first), and lose only
+what repeats in themselves or another row; wholly equal rows are one after another, so all but the first lose their units;
+an empty table gives an empty result; other columns are ignored (``removed`` passes them through, and a column of the name
+``removed_spans`` gives way to its own).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
@@ -52,12 +58,14 @@ def _turned(d):
 
 
 class Units:
-    """Units of a text: (start, end, words, is a whole line, two halves of the digest, first unit of its line, units of its line), as arrays."""
+    """Units of a text, as arrays: (start, end, words, is a whole line, two halves of the digest, first unit of its line,
+    units of its line)."""
 
-    def __init__(self):
+    def __init__(self, least: int = LEAST):
         import numpy as np
         import xxhash
 
+        self.least = least
         self.np, self.hash, self.memo, self.mixers = np, xxhash.xxh3_64_intdigest, {}, _mixers()
         self.space = np.zeros(256, dtype=bool)
         self.space[[9, 10, 11, 12, 13, 32]] = True
@@ -113,7 +121,7 @@ class Units:
         opens = new_line[begins]
         closes = np.append(opens[1:], True)
         whole = opens & closes
-        short = size < LEAST
+        short = size < self.least
         if short.any():
             # Of the neighbours within the line, or around a whole short line.
             before, behind = short & (whole | ~opens), short & (whole | ~closes)
@@ -123,8 +131,8 @@ class Units:
         return a[begins], z[ends], size, whole, d1, d2, np.repeat(heads, parts), np.repeat(parts, parts)
 
 
-def units(docs: DataFrame) -> DataFrame:
-    """UNITS of every row of ``docs``; ``row`` is a row's own number, also where ids repeat or are null."""
+def units(docs: DataFrame, row: Column, least: int = LEAST) -> DataFrame:
+    """UNITS of every row of ``docs``; ``row`` is a number that no other row has, also where ids repeat or are null."""
     import pyarrow as pa
 
     schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int32()) for c in ("unit", "start", "end", "words")), ("line", pa.bool_()), ("d1", pa.int64()), ("d2", pa.int64()), ("row", pa.int64()), ("head", pa.int32()), ("parts", pa.int32())])
@@ -132,7 +140,7 @@ def units(docs: DataFrame) -> DataFrame:
     def run(batches):
         import numpy as np
 
-        cut = Units()
+        cut = Units(least)
         for b in batches:
             for i in range(0, b.num_rows, 500):
                 some = b.slice(i, 500)
@@ -146,42 +154,62 @@ def units(docs: DataFrame) -> DataFrame:
                 whole, d1, d2 = pa.array(whole), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(x.astype(np.int32)) for x in (unit, start, end, size)), whole, d1, d2, row, *(pa.array(x.astype(np.int32)) for x in (head, parts))], schema=schema)
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.monotonically_increasing_id().alias("row")).mapInArrow(common.task(run), UNITS)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), row.alias("row")).mapInArrow(common.task(run), UNITS)
 
 
-def repeats(spark: SparkSession, docs: DataFrame, work: str, lines: bool = False) -> DataFrame:
-    """Every occurrence that goes: doc_id, unit, start, end, words, line, and the occurrence that stays (kept_doc_id, kept_unit).
-
-    With ``lines``, repeated whole lines of at least ``LEAST`` words go as well, whatever stands beside them.
-    """
-    found = common.cut(spark, units(docs), f"{work}/units")
-    first = found.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "unit")).alias("kept")).filter("n > 1")
-    again = found.join(first.drop("n"), ["d1", "d2"]).filter(F.struct("doc_id", "unit") != F.col("kept"))
+def gone(found: DataFrame, lines: bool, least: int, run_words: int) -> DataFrame:
+    """UNITS that go, with ``kept``, the occurrence that stays (doc_id, row, unit), of the written UNITS ``found``."""
+    # Digests that occur once are most of them: they are counted on 16 bytes each, and only others' units move again.
+    rank = F.struct("doc_id", "row", "unit")
+    first = found.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(rank).alias("kept")).filter("n > 1")
+    again = found.join(first.drop("n"), ["d1", "d2"]).filter(rank != F.col("kept"))
     # Runs of repeated units of one row; one other unit between two of them doesn't end a run.
     of = W.Window.partitionBy("row").orderBy("head", "unit")
     apart = F.coalesce(F.col("unit") - F.lag("unit").over(of) > 2, F.lit(True))
-    again = again.withColumn("opens", apart.cast("int")).withColumn("run", F.sum("opens").over(of.rowsBetween(W.Window.unboundedPreceding, 0)))
+    again = again.withColumn("opens", apart.cast("int"))
+    again = again.withColumn("run", F.sum("opens").over(of.rowsBetween(W.Window.unboundedPreceding, 0)))
     again = again.withColumn("run_words", F.sum("words").over(W.Window.partitionBy("row", "run")))
-    goes = F.col("run_words") >= RUN_WORDS
+    goes = F.col("run_words") >= run_words
     if lines:
         # A line of several parts has more than PART words; it repeats if all its parts do.
         again = again.withColumn("found_parts", F.count("*").over(W.Window.partitionBy("row", "head")))
-        goes |= (F.col("found_parts") == F.col("parts")) & (~F.col("line") | (F.col("words") >= LEAST))
-    gone = again.filter(goes)
-    return gone.select("doc_id", "unit", "start", "end", "words", "line", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
+        goes |= (F.col("found_parts") == F.col("parts")) & (~F.col("line") | (F.col("words") >= least))
+    return again.filter(goes)
 
 
-def removed(spark: SparkSession, docs: DataFrame, work: str, lines: bool = False) -> DataFrame:
-    """``docs`` without the repeats, and ``removed_spans``: the offsets of what went, array<struct<start, end>>."""
-    spans = repeats(spark, docs, work, lines).groupBy(F.col("doc_id").alias("_doc")).agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("start", "end")))).alias("removed_spans"))
-    out = docs.join(spans, docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+def repeats(
+    spark: SparkSession, docs: DataFrame, work: str, lines: bool = True, least: int = LEAST, run_words: int = RUN_WORDS
+) -> DataFrame:
+    """Every occurrence that goes: doc_id, unit, start, end, words, line, and what stays (kept_doc_id, kept_unit)."""
+    found = common.cut(spark, units(docs, F.monotonically_increasing_id(), least), f"{work}/units")
+    out = gone(found, lines, least, run_words)
+    kept = (F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
+    return out.select("doc_id", "unit", "start", "end", "words", "line", *kept)
+
+
+def removed(
+    spark: SparkSession, docs: DataFrame, work: str, lines: bool = True, least: int = LEAST, run_words: int = RUN_WORDS
+) -> DataFrame:
+    """``docs`` without the repeats, and ``removed_spans``: the offsets of what went, array<struct<start, end>>.
+
+    Rows are numbered in a written copy, so spans go back to their own row, whatever ids repeat or are null.
+    """
+    own = common.cut(spark, docs.withColumn("_dedup_row", F.monotonically_increasing_id()), f"{work}/rows")
+    found = common.cut(spark, units(own, own["_dedup_row"], least), f"{work}/units")
+    spans = gone(found, lines, least, run_words).groupBy(F.col("row").alias("_dedup_row"))
+    spans = spans.agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_dedup_spans"))
+    # Between and behind the spans; all pieces' places come from the spans, so no piece waits for another.
     empty = F.array().cast("array<struct<start:int,end:int>>")
-    init = F.struct(F.lit(0).alias("upto"), F.array().cast("array<string>").alias("out"))
-    step = lambda acc, s: F.struct(s["end"].alias("upto"), F.concat(acc["out"], F.array(F.substring("text", acc["upto"] + 1, s["start"] - acc["upto"]))).alias("out"))
-    left = F.aggregate("removed_spans", init, step, lambda acc: F.array_join(F.concat(acc["out"], F.array(F.substring("text", acc["upto"] + 1, F.length("text")))), ""))
-    return out.withColumn("text", F.when(F.col("removed_spans").isNull(), F.col("text")).otherwise(left)).withColumn("removed_spans", F.coalesce("removed_spans", empty))
+    spans_of, n = F.col("_dedup_spans"), F.size("_dedup_spans")
+    upto = lambda i: F.when(i == 0, 0).otherwise(F.get(spans_of, i - 1)["end"])
+    before = F.transform(spans_of, lambda s, i: F.substring("text", upto(i) + 1, s["start"] - upto(i)))
+    behind = F.substring("text", upto(n) + 1, F.length("text"))
+    text = F.when(spans_of.isNull(), F.col("text")).otherwise(F.concat(F.array_join(before, ""), behind))
+    out = own.join(spans, "_dedup_row", "left")
+    columns = [text.alias(c) if c == "text" else F.col(c) for c in docs.columns if c != "removed_spans"]
+    return out.select(*columns, F.coalesce(spans_of, empty).alias("removed_spans"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: everything that substring dedup removes from ``documents``, by original offsets."""
-    return repeats(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), common.work_dir(spark, "substring-dedup"), lines=True)
+    return repeats(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), common.work_dir(spark, "substring-dedup"))

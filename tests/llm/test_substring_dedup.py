@@ -7,7 +7,7 @@ from paperloom.llm import substring_dedup as D
 
 def spans(spark, rows, work):
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    return D.repeats(spark, df, work).collect()
+    return D.repeats(spark, df, work, lines=False).collect()
 
 
 def words(rng, n):
@@ -91,7 +91,7 @@ def test_rows_without_id_are_apart(spark, work):
 
 
 def test_removed_keeps_the_rest(spark, rough, work):
-    out = D.removed(spark, rough, work)
+    out = D.removed(spark, rough, work, lines=False)
     rows = {r["doc_id"]: r for r in out.filter("doc_id is not null").collect()}
     assert out.count() == rough.count() and rows[12]["removed_spans"] == [] and rows[12]["text"].startswith("line one is here now\nline one")
     assert rows[1]["text"] is None and rows[5]["removed_spans"] == [] and rows[4]["text"] == "one" and rows[4]["line"] == "clash"
@@ -100,3 +100,67 @@ def test_removed_keeps_the_rest(spark, rough, work):
 
 def test_empty_table(spark, empty, work):
     assert D.repeats(spark, empty, work).count() == 0 and F is not None
+
+
+def test_rows_of_equal_or_null_ids_keep_their_own_text(spark, work):
+    rng = random.Random(9)
+    unique, again = " ".join(words(rng, 60)), " ".join(words(rng, 60))
+    rows = [(None, unique), (None, again), (None, f"own start\n{again}"), (7, " ".join(words(rng, 40))), (7, " ".join(words(rng, 41))), (8, again)]
+    rows += [(9, "a row that is there twice"), (9, "a row that is there twice")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("removed_spans", F.lit("clash")).repartition(3)
+    out = [(r["doc_id"], r["text"]) for r in D.removed(spark, df, work).collect()]
+    assert len(out) == len(rows)
+    for row in (rows[0], rows[3], rows[4], rows[6]):
+        assert out.count(row) == 1
+    assert sum(again in t for _, t in out) == 1 and not any(again in t for i, t in out if i == 8)
+    assert out.count((9, "")) == 1 and [t.strip() for i, t in out if i == 8] == [""]
+
+
+def brute_lines(rows, least):
+    """{place in rows: lines left} by a set of the lines that came before; ranks by id alone, so ids are unique."""
+    seen, left = set(), {}
+    for i, t in sorted(rows):
+        left[i] = []
+        for line in t.split("\n"):
+            key = " ".join(line.lower().split())
+            if len(key.split()) < least or key not in seen:
+                left[i].append(line)
+            seen.add(key)
+    return left
+
+
+def test_every_line_goes_by_brute_force(spark, work):
+    """Lines of up to PART words; ``least=1`` is the exact setting that lets no repeat stay."""
+    rng = random.Random(10)
+    pool = [" ".join(words(rng, rng.randrange(1, 17))) for _ in range(60)]
+    rows = [(i, "\n".join(x.upper() if rng.random() < 0.2 else x for x in rng.choices(pool, k=rng.randrange(1, 9)))) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for least in (1, 3):
+        out = {r["doc_id"]: r["text"] for r in D.removed(spark, df, f"{work}/{least}", least=least, run_words=10**9).collect()}
+        want = brute_lines(rows, least)
+        for i, lines in want.items():
+            assert [x for x in out[i].split("\n") if x] == lines, (least, i)
+
+
+def test_a_line_that_many_share(spark, work):
+    line = "one line of eleven words that stands in twenty documents here"
+    rng = random.Random(3)
+    rows = [(i, f"{' '.join(words(rng, 9))}\n{line}") for i in range(20)]
+    got = D.repeats(spark, spark.createDataFrame(rows, "doc_id long, text string"), work).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(1, 20)) and {r["kept_doc_id"] for r in got} == {0}
+
+
+def test_every_part_goes_with_runs_of_one_word(spark, work):
+    """The exact setting for parts: whatever unit repeats by its digest goes, at any length."""
+    rng = random.Random(12)
+    shared = words(rng, 30)
+    rows = [(i, " ".join(words(rng, 30) + shared + words(rng, 30))) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r["doc_id"], r["d1"], r["d2"], r["unit"]) for r in D.units(df, F.monotonically_increasing_id()).collect()]
+    seen, want = set(), []
+    for i, a, b, u in sorted(found, key=lambda x: (x[0], x[3])):
+        if (a, b) in seen:
+            want.append((i, u))
+        seen.add((a, b))
+    got = D.repeats(spark, df, work, run_words=1, least=1)
+    assert want and {(i, u) for i, u in want} <= {(r["doc_id"], r["unit"]) for r in got.collect()}
