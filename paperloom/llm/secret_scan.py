@@ -3,19 +3,24 @@
 Every version of every path is addressed by the SHA-256 of its content. The ledger has, for each blob, the
 rule versions that have scanned it and what they found. A scan reads only pairs of blob and rule version that the
 ledger lacks, each blob once however many paths and versions have it, appends to the ledger, and joins findings back
-to all paths. The ledger is a folder of Parquet batches, named by a hash of their rules and inputs' order of arrival, so
-nothing is ever rewritten.
+to all paths. Hashes are compared first, and texts of unseen blobs only are moved.
+
+The ledger is a folder of Parquet batches, each named by a hash of the pairs of blob and rule version that it scanned, so a
+repeated scan of the same pairs is the same batch. Batches are only ever added; ``compact`` puts them together. A pair that
+two batches hold (concurrent scans) counts once, since spans are made distinct when they are read.
 
 Spans are [start, end) in code points, leftmost and non-overlapping for each kind. SQL's regex functions give matches
 but no places: texts are split at the matches, and running sums of the lengths of gaps and matches give the places.
 
 Defined results: null content is empty and has no findings; rows of equal or null paths get their content's findings
-each; an empty table gives an empty result; other columns of the input are ignored (``redact`` passes them through).
+each; repeated rows are one blob; a very long text is scanned whole, each finding a row of its own until they are
+collected again; findings of equal places follow one another in the order of ``RULES``; an empty table gives an empty
+result; other columns of the input are ignored (``redact`` passes them through, whatever their names).
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,6 +61,7 @@ RULES = (
 )
 BASE = ("assign", "access", "hex")
 CELL_BITS = 17
+CHUNK = 4_096
 
 SPAN = "struct<start:bigint,rank:int,kind:string,end:bigint,rule:string>"
 
@@ -92,45 +98,94 @@ def addressed(versions: DataFrame) -> DataFrame:
     return versions.withColumn("_blob", F.sha2(common.text_of(versions).cast("binary"), 256))
 
 
+LEDGER = f"blob string, rules array<string>, spans array<{SPAN}>"
+
+
+def batches(spark: SparkSession, ledger: str) -> list[str]:
+    """Paths of the ledger's whole batches."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/batches")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = [x.getPath() for x in fs.listStatus(root)]
+    return sorted(str(p) for p in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
 def seen(spark: SparkSession, ledger: str) -> DataFrame | None:
-    """(blob, rules, spans) of the ledger, or None if nothing has been written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/batches")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    """(blob, rules, spans) of the ledger, one row a blob, or None if nothing has been written."""
+    paths = batches(spark, ledger)
+    if not paths:
         return None
-    rows = spark.read.schema(f"blob string, rules array<string>, spans array<{SPAN}>").parquet(f"{ledger}/batches/*")
-    return rows.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("rules"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    rows = spark.read.schema(LEDGER).parquet(*paths)
+    if len(paths) == 1:
+        return rows  # one batch has one row a blob
+    every = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+    return rows.groupBy("blob").agg(every("rules").alias("rules"), F.array_sort(every("spans")).alias("spans"))
 
 
 def update(spark: SparkSession, versions: DataFrame, ledger: str, rules=RULES) -> int:
     """Scan what the ledger lacks of ``versions`` (text; any other columns) and append it. Gives the blobs scanned."""
     names = F.array(*(F.lit(r.name) for r in rules))
     texts = addressed(versions.select(common.text_of(versions).alias("text")))
-    blobs = texts.groupBy(F.col("_blob").alias("blob")).agg(F.first("text").alias("text"))
+    todo = texts.select(F.col("_blob").alias("blob")).distinct()
     known = seen(spark, ledger)
     if known is None:
-        blobs = blobs.withColumn("todo", names)
+        todo = todo.withColumn("todo", names)
     else:
-        blobs = blobs.join(known.select("blob", "rules"), "blob", "left").withColumn("todo", F.array_except(names, F.coalesce("rules", F.array().cast("array<string>")))).drop("rules").filter(F.size("todo") > 0)
-    batch = common.cut(spark, scan_blobs(blobs, rules), f"{ledger}/batches/{uuid.uuid4().hex}")
-    return batch.count()
+        lacks = F.array_except(names, F.coalesce("rules", F.array().cast("array<string>")))
+        todo = todo.join(known.select("blob", "rules"), "blob", "left").select("blob", lacks.alias("todo"))
+    pending = common.work_dir(spark, "ledger-todo")
+    todo = common.cut(spark, todo.filter(F.size("todo") > 0), pending)
+    # Sums of hashes don't depend on the order of rows; two of them make a name of 128 bits.
+    part = lambda seed: F.hex(F.bit_xor(F.xxhash64(F.lit(seed), "blob", F.array_join("todo", ","))))
+    told = todo.agg(F.count("*").alias("n"), part(1).alias("x"), part(2).alias("y")).first()
+    path = f"{ledger}/batches/{told['x']}{told['y']}".lower()
+    if told["n"] and path not in {p.lower() for p in batches(spark, ledger)}:
+        # Of the texts, those whose blob may be unseen meet by blob, each task's repeats put together first.
+        wanted = texts if known is None else texts.filter(may_hold(todo.withColumnRenamed("blob", "_blob")))
+        blobs = wanted.groupBy(F.col("_blob").alias("blob")).agg(F.first("text").alias("text"))
+        scan_blobs(blobs.join(todo, "blob"), rules).write.mode("overwrite").parquet(path)
+    common.drop(spark, pending)
+    return told["n"]
+
+
+def compact(spark: SparkSession, ledger: str) -> None:
+    """Put all batches of a ledger into one. If this is cut short, both forms are there, which counts as one."""
+    paths = batches(spark, ledger)
+    if len(paths) > 1:
+        name = hashlib.sha256("\n".join(p.rsplit("/", 1)[-1] for p in paths).encode()).hexdigest()[:32]
+        seen(spark, ledger).write.mode("overwrite").parquet(f"{ledger}/batches/{name}")
+        for p in paths:
+            common.drop(spark, p)
 
 
 def findings(spark: SparkSession, versions: DataFrame, ledger: str, rules=RULES) -> DataFrame:
     """``versions`` with ``_blob`` and ``_spans`` by the current rules, from the ledger. Only blobs with spans are joined."""
+    return attached(spark, addressed(versions.drop("_spans")), found(spark, ledger, rules), "_spans")
+
+
+def found(spark: SparkSession, ledger: str, rules=RULES) -> DataFrame:
+    """(_blob, _spans) of the ledger's blobs that have any span by ``rules``."""
     current = F.array(*(F.lit(r.name) for r in rules))
-    known = seen(spark, ledger).select(F.col("blob").alias("_blob"), F.filter("spans", lambda s: F.array_contains(current, s["rule"])).alias("_spans")).filter(F.size("_spans") > 0)
+    spans = F.filter("spans", lambda s: F.array_contains(current, s["rule"]))
+    known = seen(spark, ledger)
+    known = spark.createDataFrame([], LEDGER) if known is None else known
+    return known.select(F.col("blob").alias("_blob"), spans.alias("_spans")).filter(F.size("_spans") > 0)
+
+
+def attached(spark: SparkSession, rows: DataFrame, known: DataFrame, column: str) -> DataFrame:
+    """``rows`` with the array ``column`` of ``known`` by ``_blob``; empty where that lacks the blob."""
     # Written first, so that the join is a plain one of two tables, whose frequent keys Spark splits.
     known = common.cut(spark, known, common.work_dir(spark, "findings"))
-    rows, flag = addressed(versions), may_hold(known)
-    empty = F.array().cast(f"array<{SPAN}>")
-    sure = rows.filter(~flag).withColumn("_spans", empty)
-    perhaps = rows.filter(flag).join(known, "_blob", "left").withColumn("_spans", F.coalesce("_spans", empty))
+    empty, flag = F.array().cast(known.schema[column].dataType), may_hold(known)
+    sure = rows.filter(~flag).withColumn(column, empty)
+    perhaps = rows.filter(flag).join(known, "_blob", "left").withColumn(column, F.coalesce(column, empty))
     return sure.unionByName(perhaps.select(*sure.columns))
 
 
 def may_hold(known: DataFrame) -> Column:
-    """Whether ``_blob`` may be among ``known``, by a bitmap of 2**CELL_BITS cells (16 KB): rows that certainly have no
-    findings, most of them, then need no join and their texts stay where they are."""
+    """Whether ``_blob`` may be among ``known``, by a bitmap of 2**CELL_BITS cells (16 KB): rows that certainly aren't,
+    mostly most of them, then need no join and their texts stay where they are."""
     cell = F.shiftrightunsigned(F.xxhash64("_blob"), 64 - CELL_BITS)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(F.lit(63)).cast("int"))
     words = dict.fromkeys(range(1 << (CELL_BITS - 6)), 0)
@@ -143,22 +198,52 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def stretches(known: DataFrame) -> DataFrame:
+    """(_blob, _kept) of (_blob, _spans): the stretches [a, b) of a text that no span covers, in order. The last, behind
+    all spans, has a null b. Spans that overlap leave no stretch between them."""
+    spans = known.select("_blob", F.explode("_spans").alias("s")).select("_blob", "s.start", "s.end")
+    of = W.Window.partitionBy("_blob").orderBy("start", "end").rowsBetween(W.Window.unboundedPreceding, -1)
+    upto = F.coalesce(F.max("end").over(of), F.lit(0).cast("long"))
+    spans = spans.withColumn("a", upto)
+    piece = F.when(F.col("start") >= F.col("a"), F.struct("a", F.col("start").alias("b")))
+    tail = F.struct(F.max("end").alias("a"), F.lit(None).cast("long").alias("b"))
+    grouped = spans.groupBy("_blob").agg(F.array_sort(F.collect_list(piece)).alias("pieces"), tail.alias("tail"))
+    return grouped.select("_blob", F.concat("pieces", F.array("tail")).alias("_kept"))
+
+
+def _cut_out(text: Column, kept: Column) -> Column:
+    """The texts of stretches. Texts are cut into chunks first, as finding a place in a string takes its whole length."""
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    size = F.length(text).cast("long")
+    div = lambda x: F.floor(x / CHUNK).cast("int")
+
+    def piece(p):
+        a, b = p["a"], F.coalesce(p["b"], size)
+        some = F.array_join(F.slice(chunks, div(a) + 1, F.greatest(div(b - 1) - div(a) + 1, F.lit(0))), "")
+        return F.when(b > a, F.substring(some, (a % CHUNK + 1).cast("int"), (b - a).cast("int"))).otherwise("")
+
+    return F.transform(kept, piece)
+
+
 def redact(spark: SparkSession, docs: DataFrame, ledger: str, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each secret replaced by ``mark``; overlapping spans are replaced as one. Other texts stay as they are."""
     update(spark, docs, ledger)
-    rows = findings(spark, docs, ledger)
-    # Spans come by start. A span opens a new stretch if it begins after all earlier ones' ends.
-    init = F.struct(F.lit(0).cast("long").alias("upto"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, s):
-        apart = F.when(s["start"] >= acc["upto"], F.concat(acc["out"], F.array(F.substring("text", acc["upto"] + 1, s["start"] - acc["upto"])))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["upto"], s["end"]).alias("upto"), apart.alias("out"))
-
-    clean = F.aggregate("_spans", init, step, lambda acc: F.array_join(F.concat(acc["out"], F.array(F.substring("text", acc["upto"] + 1, F.length("text")))), mark))
-    out = rows.withColumn("text", F.when(F.size("_spans") > 0, clean).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    # Other columns travel in a struct, so that no name can clash.
+    others = F.struct(F.lit(0).alias("_none"), *(F.col(f"`{c}`") for c in docs.columns if c != "text"))
+    rows = addressed(docs.select("text", others.alias("_rest")))
+    rows = attached(spark, rows, stretches(found(spark, ledger)), "_kept")
+    held = F.size("_kept") > 0
+    rows = rows.select("_rest", F.when(held, F.array_join(_cut_out(F.col("text"), F.col("_kept")), mark)).otherwise(F.col("text")).alias("text"), held.alias("held"))
+
+    def column(c: str) -> Column:
+        if c == "text":
+            return F.col("text")
+        old = F.col("_rest").getField(c)
+        if c == "n_chars":
+            old = F.when(F.col("held"), F.length("text").cast(docs.schema[c].dataType)).otherwise(old)
+        return old.alias(c)
+
+    return rows.select(*map(column, docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

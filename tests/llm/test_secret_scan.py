@@ -75,3 +75,56 @@ def test_empty_table(spark, empty, work):
     assert secret_scan.update(spark, empty, work) == 0
     assert secret_scan.findings(spark, empty, work).count() == 0
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_a_batch_that_is_there_twice_changes_nothing(spark, work):
+    df = spark.createDataFrame([(1, "token=abcdefgh token=ijklmnop"), (2, "plain")], "path long, text string")
+    assert secret_scan.update(spark, df, work) == 2
+    rows = lambda: {r["path"]: [(s["start"], s["end"]) for s in r["_spans"]] for r in secret_scan.findings(spark, df, work).collect()}
+    want = rows()
+    (batch,) = secret_scan.batches(spark, work)
+    spark.read.parquet(batch).write.parquet(f"{work}/batches/again")
+    assert len(secret_scan.batches(spark, work)) == 2 and rows() == want and len(want[1]) == 2
+    assert secret_scan.update(spark, df, work) == 0
+    secret_scan.compact(spark, work)
+    assert len(secret_scan.batches(spark, work)) == 1 and rows() == want
+
+
+def test_batches_are_named_by_what_they_scan(spark, work):
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(9)], "path long, text string")
+    for k in range(2):
+        secret_scan.update(spark, df.repartition(k + 1), f"{work}/{k}")
+    a, b = (secret_scan.batches(spark, f"{work}/{k}")[0].rsplit("/", 1)[-1] for k in range(2))
+    assert a == b
+
+
+def test_half_a_batch_is_not_read(spark, work):
+    df = spark.createDataFrame([(1, "token=abcdefgh")], "path long, text string")
+    secret_scan.update(spark, df, work)
+    (batch,) = secret_scan.batches(spark, work)
+    secret_scan.common.drop(spark, f"{batch}/_SUCCESS")
+    assert secret_scan.findings(spark, df, work).first()["_spans"] == [] and secret_scan.update(spark, df, work) == 1
+    assert len(secret_scan.findings(spark, df, work).first()["_spans"]) == 1
+
+
+def plain_redaction(text, spans):
+    cover = [False] * len(text)
+    starts = set()
+    upto = 0
+    for a, b in sorted(spans):
+        if a >= upto:
+            starts.add(a)
+        upto = max(upto, b)
+        cover[a:b] = [True] * (b - a)
+    return "".join(("[SECRET]" if i in starts else "") + ("" if cover[i] else c) for i, c in enumerate(text))
+
+
+def test_redaction_by_brute_force(spark, work, monkeypatch):
+    monkeypatch.setattr(secret_scan, "CHUNK", 7)
+    texts = [t for t in TEXTS if t] + ["token=ghp_" + "aZ" * 18, "x" * 50 + "\n\ntoken=abcdefgh", "token=abcdefgh" * 9, "😀 secret=abcdefgh 😀" * 20]
+    df = spark.createDataFrame([(i, t, 5, "mine") for i, t in enumerate(texts)], "doc_id long, text string, n_chars int, _spans string").withColumn("_blob", F.lit("b")).withColumn("_kept", F.lit("k"))
+    out = {r["doc_id"]: r for r in secret_scan.redact(spark, df, work).collect()}
+    spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["_spans"]] for r in secret_scan.findings(spark, df.drop("_blob"), work).collect()}
+    for i, t in enumerate(texts):
+        want = plain_redaction(t, spans[i])
+        assert out[i]["text"] == want and out[i]["n_chars"] == (len(want) if spans[i] else 5) and out[i]["_spans"] == "mine" and out[i]["_kept"] == "k", (i, out[i], want)
