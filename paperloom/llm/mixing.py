@@ -1,18 +1,22 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree (operator 3).
 
-Each source's documents are put into a hash order (their permutation) and their words into one stream, which is cut
-into equal blocks. A source's quota is the whole number of blocks that meets its target: whole passes over all blocks,
-then a last part. The tree splits the output shards in two again and again and draws how many blocks of each source go
-left from a multivariate hypergeometric law, so every shard gets a random mix while each source's quota is kept exactly.
-A node's draw is seeded by its place, so any subtree can be drawn anew alone. A shard then takes, for each source, its
-own run of blocks, disjoint from other shards', and shuffles locally by a hash (``place``).
-
-Only sums for each source (the weights that a user gives are one for each source, too) and quotas reach the driver.
-Prefix sums over a source run in two levels of hash ranges, so a source that holds a third of all rows is spread over
-as many tasks as any other rows.
+Each source's documents are put into a hash order and their words into one stream, which is cut into equal blocks. A
+source's quota is the whole number of blocks that meets its target: whole passes over all blocks, then a last part. The
+tree splits the output shards in two again and again and draws how many blocks of each source go left from a multivariate
+hypergeometric law, so every shard gets a random mix while each source's quota is kept exactly. A node's draw is seeded by
+its place, so any subtree can be drawn anew alone. The leaves number a source's draws shard by shard; in each pass a
+seeded permutation of the source's blocks says which block a draw takes, so shards' blocks are disjoint and the last,
+partial pass takes blocks from all over the source. A shard shuffles its blocks' documents locally by a hash (``place``).
+
+Only sums for each source (the weights that a user gives are one for each source, too) and runs of draws (one for each
+source, pass and shard) are made on the driver; the draws themselves are a table, which documents' pieces join by source
+and block. Prefix sums over a source run in two levels of hash ranges (at most 2**``MOST_BITS``), so a source that holds a
+third of all rows is spread over as many tasks as any other rows.
 
 Defined results: null text has no words and is taken 0 words; null is a source of its own, the last; rows with equal or
-null ids count each on their own; an empty table or one without words gives targets of 0; other columns are ignored.
+null ids count each on their own; repeated rows and very long texts are pieces of as many blocks as they cover; an empty
+table or one without words gives targets of 0; other columns are ignored (``mixed_documents`` passes them through,
+whatever their names).
 """
 
 from __future__ import annotations
@@ -30,7 +34,11 @@ SHARE_PERCENT = 150
 CAP = 2
 BLOCK_WORDS = 65_536
 LEAST_BLOCKS = 1_024
+#: Blocks of all sources together, beside LEAST_BLOCKS for each; beyond, blocks get larger.
+MOST_BLOCKS = 1 << 28
 RANGE_ROWS = 1_024
+MOST_BITS = 20
+SHARDS = 64
 SEED = 20_111
 
 
@@ -73,80 +81,118 @@ def split(quotas: list[int], shards: int, seed: int = SEED) -> list[list[int]]:
     return out
 
 
+def runs(blocks: list[int], quotas: list[int], shards: int, seed: int = SEED) -> list[tuple]:
+    """(source, pass, shard, lo, hi, factor, shift): draws [lo, hi) of a pass over a source's blocks go to a shard; draw i
+    takes block (factor * i + shift) mod blocks. The factor shares no divisor with blocks, so each pass is a permutation."""
+    import numpy as np
+
+    out, ends = [], [0] * len(quotas)
+    maps: dict[tuple[int, int], tuple[int, int]] = {}
+    for shard, own in enumerate(split(quotas, shards, seed)):
+        for s, n in enumerate(own):
+            at, end, k = ends[s], ends[s] + n, blocks[s]
+            ends[s] = end
+            while at < end:
+                p = at // k
+                upto = min(end, (p + 1) * k)
+                if (s, p) not in maps:
+                    rng = np.random.default_rng([seed, s, p])
+                    factor = next(f for f in iter(lambda: int(rng.integers(1, k + 1)), 0) if math.gcd(f, k) == 1)
+                    maps[s, p] = factor, int(rng.integers(0, k))
+                out.append((s, p, shard, at - p * k, upto - p * k, *maps[s, p]))
+                at = upto
+    return out
+
+
+def drawn(spark: SparkSession, blocks: list[int], quotas: list[int], shards: int) -> DataFrame:
+    """(no, pass, block, shard): which shard takes a block of source ``no`` in a pass."""
+    rows = [(*r, blocks[r[0]]) for r in runs(blocks, quotas, shards)]
+    names = "no int, pass int, shard int, lo long, hi long, factor long, shift long, blocks long"
+    each = spark.createDataFrame(rows, names).withColumn("i", F.explode(F.sequence("lo", F.col("hi") - 1)))
+    # Below 2**28 blocks and a source's least, products fit 64 bits.
+    block = F.pmod(F.col("factor") * F.col("i") + F.col("shift"), F.col("blocks"))
+    return each.select("no", "pass", block.alias("block"), "shard")
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size): words of each whole text."""
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"), F.regexp_count(common.text_of(docs), F.lit(common.WORD)).cast("long").alias("size"))
+    size = F.regexp_count(common.text_of(docs), F.lit(common.WORD)).cast("long")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"), size.alias("size"))
 
 
 def streamed(rows: DataFrame, n_rows: int) -> DataFrame:
     """Adds ``start``: the words of its source before a document in the source's hash order. ``rows`` has a stable uid."""
-    bits = max(0, math.ceil(math.log2(max(1, n_rows / RANGE_ROWS))))
+    bits = min(MOST_BITS, max(0, math.ceil(math.log2(max(1, n_rows / RANGE_ROWS)))))
     key = F.xxhash64(F.lit(SEED), F.coalesce("doc_id", "uid"), "source", "size")
-    rows = rows.withColumn("h", key).withColumn("part", F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long"))
+    part = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
+    rows = rows.withColumn("h", key).withColumn("part", part)
     sums = rows.groupBy("source", "part").agg(F.sum("size").alias("words"))
     before = W.Window.partitionBy("source").orderBy("part").rowsBetween(W.Window.unboundedPreceding, -1)
-    sums = sums.select(F.col("source").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
+    base = F.coalesce(F.sum("words").over(before), F.lit(0))
+    sums = sums.select(F.col("source").alias("s"), F.col("part").alias("p"), base.alias("base"))
     within = W.Window.partitionBy("source", "part").orderBy("h", "uid").rowsBetween(W.Window.unboundedPreceding, -1)
     rows = rows.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return rows.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))).withColumn("start", F.col("base") + F.col("inner")).drop("s", "p", "base", "inner", "part")
+    met = rows.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+    return met.withColumn("start", F.col("base") + F.col("inner")).drop("s", "p", "base", "inner", "part")
 
 
-def mix(spark: SparkSession, docs: DataFrame, work: str, shards: int | None = None, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+def mix(
+    spark: SparkSession, docs: DataFrame, work: str, shards: int | None = None, whole: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces).
 
-    documents: uid, doc_id, source, size, source_size, target. pieces: uid, pass, shard, place and the words
+    documents: uid, doc_id, source, size, source_size, target. pieces: uid, pass, block, shard, place and the words
     [from_word, to_word) of the document that this piece holds. Blocks may cut documents, so a source's words meet its
     target to within half a block; with ``whole`` a document belongs to the block of its first word and stays whole.
     """
     shards = shards or common.partitions(spark)
     rows = common.cut(spark, sized(docs).withColumn("uid", F.monotonically_increasing_id()), f"{work}/sizes")
-    totals = [(r["source"], r["words"], r["n"]) for r in rows.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()]
+    sums = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()
+    totals = [(r["source"], r["words"], r["n"]) for r in sums]
     totals.sort(key=lambda s: (s[0] is None, (s[0] or "").encode("utf-8", "surrogatepass")))
     goal = targets([(s, w) for s, w, _ in totals])
-    blocks = [max(1, min(w, max(LEAST_BLOCKS, -(-w // BLOCK_WORDS)))) for _, w, _ in totals]
+    block_words = max(BLOCK_WORDS, -(-sum(w for _, w, _ in totals) // MOST_BLOCKS))
+    blocks = [max(1, min(w, max(LEAST_BLOCKS, -(-w // block_words)))) for _, w, _ in totals]
     quotas = [round(k * goal[s] / w) if w else 0 for (s, w, _), k in zip(totals, blocks)]
-    ends = [0] * len(totals)
-    bounds: list[list[int]] = [[] for _ in totals]
-    for own in split(quotas, shards):
-        for i, n in enumerate(own):
-            ends[i] += n
-            bounds[i].append(ends[i])
     sources = spark.createDataFrame(
-        [(s, w, float(goal[s]), k, q, b) for (s, w, _), k, q, b in zip(totals, blocks, quotas, bounds)] or [],
-        "source string, source_size long, target double, blocks long, quota long, bounds array<long>",
-    ).withColumnRenamed("source", "s")
+        [(i, s, w, float(goal[s]), k) for i, ((s, w, _), k) in enumerate(zip(totals, blocks))],
+        "no int, s string, source_size long, target double, blocks long",
+    )
     n_rows = sum(n for *_, n in totals)
-    placed = streamed(rows, n_rows).join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    placed = streamed(rows, n_rows).join(sources, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     documents = placed.select("uid", "doc_id", "source", "size", "source_size", "target")
     # Block k of a source holds the words from k * source_size div blocks up to the next block's first, so word x is in
     # block ((x + 1) * blocks - 1) div source_size. Decimals keep the products exact at any size.
     big = lambda c: F.col(c).cast("decimal(19,0)") if isinstance(c, str) else c.cast("decimal(19,0)")
     div = lambda a, b: F.call_function("div", a, b).cast("long")
-    block_of = lambda word: F.greatest(F.lit(0), F.least(F.col("blocks") - 1, div((big(word) + 1) * big("blocks") - 1, big("source_size"))))
+    inside = lambda word: div((big(word) + 1) * big("blocks") - 1, big("source_size"))
+    block_of = lambda word: F.greatest(F.lit(0), F.least(F.col("blocks") - 1, inside(word)))
     edge = lambda block: div(big(block) * big("source_size"), big("blocks"))
-    some = placed.filter("source_size > 0 and quota > 0")
+    some = placed.filter("source_size > 0")
     some = some if whole else some.filter("size > 0")
-    some = some.withColumn("first", block_of(F.col("start"))).withColumn("last", F.col("first") if whole else block_of(F.col("start") + F.col("size") - 1))
+    some = some.withColumn("first", block_of(F.col("start")))
+    some = some.withColumn("last", F.col("first") if whole else block_of(F.col("start") + F.col("size") - 1))
     some = some.withColumn("block", F.explode(F.sequence("first", "last")))
-    # Draw t takes block t mod blocks in pass t div blocks, so a document's draws follow from its blocks alone.
-    some = some.withColumn("passes", div(F.col("quota") - 1 - F.col("block") + F.col("blocks"), F.col("blocks"))).filter("passes > 0")
-    some = some.withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)))
-    some = some.withColumn("draw", F.col("pass") * F.col("blocks") + F.col("block"))
+    some = some.join(drawn(spark, blocks, quotas, shards), ["no", "block"])
     from_word = F.lit(0).cast("long") if whole else F.greatest(F.col("start"), edge(F.col("block"))) - F.col("start")
     to_word = F.col("size") if whole else F.least(F.col("start") + F.col("size"), edge(F.col("block") + 1)) - F.col("start")
-    cut = some.select(
-        "uid", "doc_id", "source", "pass", "block",
-        F.expr("cast(size(filter(bounds, b -> b <= draw)) as int)").alias("shard"),
+    pieces = some.select(
+        "uid", "doc_id", "source", "pass", "block", "shard",
         F.xxhash64(F.lit(SEED), "h", "uid", "pass", "block").alias("place"),
         from_word.alias("from_word"), to_word.alias("to_word"),
     )
-    return documents, cut
+    return documents, pieces
 
 
 def taken(documents: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every document."""
-    words = pieces.groupBy("uid").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("words"))
-    return documents.join(words, "uid", "left").select("doc_id", "source", "size", "source_size", "target", F.coalesce("words", F.lit(0).cast("long")).alias("taken"))
+    """(doc_id, source, size, source_size, target, taken, shards) of every document; ``shards`` lists shard:words."""
+    words = pieces.groupBy("uid", "shard").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("words"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("shard", "words"))), lambda x: F.concat_ws(":", x["shard"], x["words"]))
+    words = words.groupBy("uid").agg(F.sum("words").alias("words"), F.array_join(listed, ",").alias("shards"))
+    columns = ("doc_id", "source", "size", "source_size", "target")
+    none = F.lit(0).cast("long")
+    out = documents.join(words, "uid", "left")
+    return out.select(*columns, F.coalesce("words", none).alias("taken"), F.coalesce("shards", F.lit("")).alias("shards"))
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, work: str) -> DataFrame:
@@ -154,15 +200,15 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, work: str) -> DataFram
 
     Columns are those of ``docs``. Texts move once: rows are numbered as they are read, from one written copy.
     """
+    shards = common.partitions(spark)
     own = common.cut(spark, docs.withColumn("_mix_row", F.monotonically_increasing_id()), f"{work}/rows")
-    _, cut = mix(spark, own.select(F.col("_mix_row").alias("doc_id"), "text", "source"), work, whole=True)
-    chosen = cut.select(F.col("doc_id").alias("_mix_row"), "shard", "place")
-    out = own.join(chosen, "_mix_row").repartition(common.partitions(spark), "shard").sortWithinPartitions("shard", "place")
-    return out.select(*docs.columns)
+    _, pieces = mix(spark, own.select(F.col("_mix_row").alias("doc_id"), "text", "source"), work, shards, whole=True)
+    chosen = pieces.select(F.col("doc_id").alias("_mix_row"), F.col("shard").alias("_mix_shard"), F.col("place").alias("_mix_place"))
+    out = own.join(chosen, "_mix_row").repartitionById(shards, F.col("_mix_shard"))
+    return out.sortWithinPartitions("_mix_shard", "_mix_place").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: what the mix takes of each of all ``documents``."""
     work = common.work_dir(spark, "mixing")
-    documents, cut = mix(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), work)
-    return taken(documents, cut)
+    return taken(*mix(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), work, SHARDS))
