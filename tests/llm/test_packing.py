@@ -57,14 +57,69 @@ def test_near_the_bound_over_blocks(spark, work, monkeypatch):
     assert len(out) == len(sizes) and check(out, 1024) <= -(-sum(sizes) // 1024) * 1.01 + 5
 
 
+def starts(sizes):
+    """Bins of best-fit decreasing, which an island starts from."""
+    counts = [0] * 1025
+    for x in sizes:
+        counts[int(x)] += 1
+    return packing.best_fit([], packing.Pool(counts))
+
+
+def whole(bins, sizes):
+    return sorted(x for b in bins for x in b) == sorted(map(int, sizes)) and max(map(sum, bins)) <= 1024
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_operators_of_the_search_keep_every_document(seed):
     rng = np.random.default_rng(seed)
+    own = random.Random(seed)
     sizes = rng.integers(1, 1024, 400)
-    population = packing.evolve(sizes, [], seed, generations=3)
-    a, b = population[:2]
-    for child in (packing.crossover(sizes, a, b, 1024, rng), packing.mutate(sizes, a, 1024, rng)):
-        loads = np.bincount(child, weights=sizes)
-        assert len(child) == 400 and loads.max() <= 1024 and loads.sum() == sizes.sum()
-    first = packing.fitness(sizes, packing.evolve(sizes, [], seed, generations=0)[0], 1024)
-    assert packing.fitness(sizes, packing.evolve(sizes, [], seed, generations=20)[0], 1024)[1] <= first[1]
+    counts = packing.counts_of([sizes.tolist()], 1024)
+    a, b = starts(sizes), packing.best_fit([], packing.Pool(list(counts)), 2)
+    assert whole(a, sizes) and whole(b, sizes)
+    for _ in range(30):
+        a, b = packing.crossover(a, b, counts, own), packing.mutate(a, 1024, own)
+        assert whole(a, sizes) and whole(b, sizes)
+    assert whole(packing.evolve(sizes, [a, b], seed), sizes) and whole(packing.evolve(sizes, [], seed), sizes)
+
+
+@pytest.mark.parametrize("lo, hi, saved", [(200, 512, 0.03), (100, 400, 0.005), (256, 600, 0.03), (300, 700, 0)])
+def test_the_search_beats_its_start(lo, hi, saved):
+    """Two islands of two epochs against best-fit decreasing; lengths of 300 to 700 leave it almost nothing to save."""
+    sizes = np.random.default_rng(1).integers(lo, hi + 1, 4_000)
+    first = len(starts(sizes))
+    islands = [packing.evolve(sizes, [], seed) for seed in range(2)]
+    best = [packing.evolve(sizes, [islands[k], islands[1 - k]], 10 + k) for k in range(2)]
+    assert all(whole(b, sizes) for b in best)
+    assert min(map(len, best)) <= first * (1 - saved) and min(map(len, best)) >= packing.bound(sizes, 1024)
+    assert min(map(len, best)) <= min(map(len, islands))
+
+
+def test_generations_beat_the_islands_own_start():
+    sizes = np.random.default_rng(2).integers(200, 513, 4_000)
+    assert len(packing.evolve(sizes, [], 1, generations=24)) < len(packing.evolve(sizes, [], 1, generations=0))
+
+
+def test_bound_is_below_the_optimum():
+    """By all partitions of a few documents."""
+    rng = random.Random(3)
+
+    def least(left, bins):
+        if not left:
+            return len(bins)
+        x, out = left[0], len(left) + len(bins)
+        for i, b in enumerate(bins):
+            if b + x <= 20 and b not in bins[:i]:
+                out = min(out, least(left[1:], bins[:i] + [b + x] + bins[i + 1 :]))
+        return min(out, least(left[1:], bins + [x]))
+
+    for _ in range(60):
+        sizes = [rng.randrange(1, 20) for _ in range(7)]
+        assert packing.bound(sizes, 20) <= least(sizes, [])
+
+
+def test_seats_and_bytes():
+    bins = [[3, 5], [5], [1, 1, 1]]
+    assert packing.from_bytes(packing.to_bytes(bins)) == bins and packing.from_bytes(packing.to_bytes([])) == []
+    at = packing.seats(np.array([1, 5, 3, 1, 5, 1]), bins).tolist()
+    assert at == [2, 0, 0, 2, 1, 2]
