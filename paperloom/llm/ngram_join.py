@@ -18,7 +18,8 @@ just these documents.
 
 Defined results: null or empty texts and texts without words have an empty set and link with nothing; a text of fewer
 than n words is one n-gram; each row counts on its own, also with an equal id; rows without id have a null component and
-link nothing; an empty table gives an empty result; other columns are ignored (``one_of_each`` passes them through).
+link nothing; very long texts are sets like others; an empty table gives an empty result; other columns are ignored
+(``one_of_each`` passes them through, and judges each row by its own text, whatever ids repeat or are null).
 64-bit hashes of n-grams may collide: within a pair of texts of 100,000 words that has a chance of one in a billion.
 """
 
@@ -393,10 +394,25 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 3, percent: int = 90) ->
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the row of the smallest id stays; rows without id do."""
-    found = join(spark, docs, n, percent).filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    kept = docs.join(found, docs["doc_id"].cast("long") == found["_copy"], "left_anti")
-    return kept.select(*docs.columns)
+    """The rows of ``docs`` without near copies: one row of each component stays, that of the smallest id (null last).
+
+    Rows are numbered in a written copy and joined by these numbers, so repeated rows, rows without id and rows that share
+    an id are each judged by their own text. Rows without words stay.
+    """
+    work = common.work_dir(spark, "one-of-each")
+    own = common.cut(spark, docs.withColumn("_copy_row", F.monotonically_increasing_id()), f"{work}/rows")
+    found = join(spark, own.select(F.col("_copy_row").alias("doc_id"), "text"), n, percent)
+    found = found.select(F.col("doc_id").alias("_copy_row"), F.col("component_id").alias("component"))
+    # A component of one row has no other to give way to: only components that another row names are looked at.
+    groups = found.filter("_copy_row <> component").select("component").distinct()
+    named = found.join(groups, "component", "left_semi")
+    ids = own.select("_copy_row", own["doc_id"].cast("long").alias("id"))
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "_copy_row")
+    ranked = named.join(ids, "_copy_row").select("component", rank.alias("rank"))
+    first = ranked.groupBy("component").agg(F.min("rank").alias("first"))
+    gone = named.join(first, "component").filter(F.col("_copy_row") != F.col("first._copy_row")).select("_copy_row")
+    gone = common.cut(spark, gone, f"{work}/gone")
+    return own.join(gone, "_copy_row", "left_anti").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,7 +80,7 @@ def test_rough_rows(spark, rough):
     assert got(J.join(spark, rough)) == brute(rows, 3, 90)
     kept = J.one_of_each(spark, rough)
     assert kept.columns == rough.columns
-    # 7 and 8 are near copies of 6; rows without id and with empty texts stay.
+    # 7 and 8 are near copies of 6; rows with empty texts stay.
     assert sorted(r["doc_id"] or 0 for r in kept.select("doc_id").collect()) == [0, 0, 1, 2, 3, 4, 5, 6, 9, 10, 12, 13]
 
 
@@ -128,3 +128,32 @@ def test_frequent_ngrams_change_nothing(spark, monkeypatch):
     a = got(J.join(spark, df))
     monkeypatch.setattr(J, "COMMON", 1)
     assert got(J.join(spark, df)) == a and F is not None
+
+
+def test_sliding_windows_by_all_pairs(spark):
+    """Each text is the one before, moved by some words: linked to its neighbours only, one component of 300."""
+    rng = random.Random(6)
+    stream = [f"w{rng.randrange(10**6)}" for _ in range(1_500)]
+    rows = [(i, " ".join(stream[3 * i : 3 * i + 120])) for i in range(300)]
+    rng.shuffle(rows)
+    assert got(J.join(spark, spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)) == brute(rows, 3, 90)
+
+
+@pytest.mark.parametrize("order", ["ascending", "descending", "shuffled"])
+def test_long_chains_take_few_rounds(spark, work, monkeypatch, order):
+    monkeypatch.setattr(graph, "ROUNDS", 24)
+    ids = list(range(1_000))
+    if order == "descending":
+        ids.reverse()
+    if order == "shuffled":
+        random.Random(2).shuffle(ids)
+    edges = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")
+    rows = components(spark, edges, work).collect()
+    assert {r["node"] for r in rows} == set(range(1_000)) and {r["component"] for r in rows} == {0}
+
+
+def test_repeated_rows_and_shared_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, a), (2, b), (2, a), (None, c), (None, c), (3, b + " end"), (4, ""), (4, ""), (None, None)]
+    kept = J.one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, a), (2, b), (None, c), (4, ""), (4, ""), (None, None)], key=str)
