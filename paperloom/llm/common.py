@@ -2,35 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom import shared
+
 #: ASCII white space of the contracts; words are runs of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; set here only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="paperloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 #: Rows in an Arrow batch: whole texts go to Python, and a batch of them is held on both sides.
 BATCH_ROWS = 1_000
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of at most BATCH_ROWS from here on: plans are run later, so the setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS or int(spark.conf.get(name)) <= 0:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared root; from here on the session sends texts to Python in batches of BATCH_ROWS."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder below the shared root."""
+    small_batches(spark)
+    return shared.folder(spark, name)
 
 
 def cut(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -54,10 +50,6 @@ def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def open_fs(uri: str):
     """(pyarrow file system, path) of a shared folder, for files that are not tables."""
     from pyarrow import fs
