@@ -3,18 +3,23 @@
 Ten rules each vote good, bad or abstain on a document. Expectation-maximisation over the votes of *all* documents
 estimates each rule's accuracy on good and on bad documents and the share of good ones, without labels; a document is
 kept by its posterior probability of being good instead of by passing every rule. Votes have at most 3**10 = 59,049
-patterns, so a count for each pattern is all that EM needs on the driver, whatever the size of the corpus.
+patterns, so a count for each pattern is all that EM needs on the driver, whatever the size of the corpus. The rates have
+priors of a fixed weight (``PRIOR`` documents), so what the corpus says outweighs them as it grows. What makes the one
+class the good one is that rules seldom raise false alarms on it: their rates there are estimated up to ``MOST_ALARMS``.
 
-Defined results: null text has no words; it fails the base rules (fewer than 50 words), as does any short text. Rows
-with equal or null ids are judged each on their own; an empty table gives an empty result; other columns pass through
-``keep_good`` untouched.
+The rule on stop words goes by a document's ``lang`` where the table has one: in a language without a list of words, or
+without a language, it may vote good by the words of any list but never bad.
+
+Defined results: null text has no words; it fails the base rules (fewer than 50 words), as does any short text. Very long
+texts are measured whole. Rows with equal or null ids and repeated rows are judged each on their own; an empty table gives
+an empty result; other columns pass through ``keep_good`` untouched.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import common
@@ -22,8 +27,11 @@ from paperloom.llm import common
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 KEEP_FROM = 0.5
-#: Prior rate at which a rule votes bad on a good document.
-ALARMS = 0.002
+#: Prior rates at which a rule votes bad on a good and on a bad document, and the weight of each in documents.
+ALARMS, HITS = 0.002, 0.3
+PRIOR = 200, 10
+#: A rule that is fit for its purpose raises no more false alarms than this; estimates keep to it.
+MOST_ALARMS = 0.002
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 
@@ -36,7 +44,7 @@ STOP_WORDS = {
 }
 
 #: Name of each rule; votes are g (good), b (bad) and - (abstain), in this order.
-RULES = ("symbols", "symbol_share", "repeats", "lines", "capitals", "letters", "sentences", "stop_words", "exclamations", "word_length")
+RULES = ("symbols", "digits", "repeats", "lines", "capitals", "letters", "sentences", "stop_words", "exclamations", "word_length")
 
 FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, votes string"
 
@@ -52,6 +60,7 @@ def _classes():
     table[ord(".")] = 4
     table[ord("?")] = 4
     table[ord("!")] = 5
+    table[ord("0") : ord("9") + 1] = 6
     return table
 
 
@@ -74,8 +83,8 @@ def repeated(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def measure(text: str | None, classes, stop) -> tuple:
-    """The row of FEATURES of one whole text."""
+def measure(text: str | None, lang: str | None, classes, stop: dict) -> tuple:
+    """The row of FEATURES of one whole text. ``stop``: stop words of each language, those of all under None."""
     import numpy as np
 
     text = text or ""
@@ -90,9 +99,10 @@ def measure(text: str | None, classes, stop) -> tuple:
     failed = n < MIN_WORDS or 100 * n_repeat > MAX_REPEAT_PERCENT * n
     if not n:
         return n, word_chars, n_symbols, n_dup, n_repeat, failed, "-" * len(RULES)
-    lower, upper, _, other, stops, bangs = np.bincount(classes[np.frombuffer(raw, np.uint8)], minlength=6).tolist()
-    letters, shown = lower + upper, lower + upper + other + stops + bangs
-    known = sum(map(stop.__contains__, raw.lower().split()))
+    lower, upper, _, other, stops, bangs, digits = np.bincount(classes[np.frombuffer(raw, np.uint8)], minlength=7).tolist()
+    letters, shown = lower + upper, lower + upper + other + stops + bangs + digits
+    listed = None if lang is None else stop.get(lang)
+    known = sum(map((listed or stop[None]).__contains__, raw.lower().split()))
     ends = stops + bangs
 
     def vote(x: float, good: float, bad: float) -> str:
@@ -102,13 +112,13 @@ def measure(text: str | None, classes, stop) -> tuple:
     mean = word_chars / n
     votes = (
         vote(n_symbols / n, 0.02, 0.1),
-        vote(n_symbols / shown, 0.005, 0.03),
+        vote(digits / shown, 0.1, 0.3),
         vote(n_repeat / n, 0.1, 0.3),
         vote(n_dup / len(lines), 0.05, 0.3) if len(lines) > 1 else "-",
         vote(upper / letters, 0.2, 0.5) if letters else "b",
-        vote(1 - letters / shown, 0.1, 0.15),
+        vote((shown - letters - digits) / shown, 0.1, 0.15),  # digits have a rule of their own
         vote(n / ends, 40, 200) if ends else "b" if n >= 100 else "-",
-        "g" if known >= 0.05 * n else "b" if known < 0.005 * n and n >= 100 else "-",
+        "g" if known >= 0.05 * n else "b" if listed and known < 0.005 * n and n >= 100 else "-",
         vote(bangs / n, 0.02, 0.2),
         "g" if 3 <= mean <= 10 else "b" if mean < 2 or mean > 15 else "-",
     )
@@ -116,64 +126,79 @@ def measure(text: str | None, classes, stop) -> tuple:
 
 
 def _measurer():
-    classes, stop = _classes(), {w.encode() for words in STOP_WORDS.values() for w in words.split()}
-    return lambda text: measure(text, classes, stop)
+    stop: dict = {lang: {w.encode() for w in words.split()} for lang, words in STOP_WORDS.items()}
+    stop[None] = set().union(*stop.values())
+    classes = _classes()
+    return lambda text, lang=None: measure(text, lang, classes, stop)
+
+
+def _lang(docs: DataFrame) -> Column:
+    return docs["lang"].cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
 
 
 def features(docs: DataFrame) -> DataFrame:
     """(doc_id, FEATURES) of every row of ``docs``."""
     import pyarrow as pa
 
-    schema = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("base_failed", pa.bool_()), ("votes", pa.string())])
+    numbers = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    kinds = [*((n, pa.int64()) for n in ("doc_id", *numbers)), ("base_failed", pa.bool_()), ("votes", pa.string())]
+    schema = pa.schema(kinds)
 
     def run(batches):
         one = _measurer()
         for b in batches:
-            rows = [one(t.as_py()) for t in b.column("text")]
+            rows = [one(t.as_py(), lang) for t, lang in zip(b.column("text"), b.column("lang").to_pylist())]
             cols = list(zip(*rows)) if rows else [[] for _ in range(7)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(cols, list(schema)[1:]))], schema=schema)
+            arrays = [pa.array(c, f.type) for c, f in zip(cols, list(schema)[1:])]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *arrays], schema=schema)
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(common.task(run), f"doc_id long, {FEATURES}")
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), _lang(docs).alias("lang"))
+    return own.mapInArrow(common.task(run), f"doc_id long, {FEATURES}")
 
 
 def estimate(counts: dict[str, int], rounds: int = 500) -> dict:
     """EM over vote patterns: {"good": share of good documents, "rules": [(P(bad vote | good), P(bad vote | bad)), ...]}.
 
-    Abstentions carry no weight. The rates have Beta priors. That of false alarms (``ALARMS`` at the weight of all
-    documents) says what a quality rule is for, and fixes which of the two classes is the good one; that of detections
-    is worth a few documents only, as a rule may detect one kind of bad document and pass the others.
+    Abstentions carry no weight. The rates have Beta priors; that of detections is worth a few documents only, as a rule
+    may detect one kind of bad document and pass the others. The sum over patterns is one product of matrices a round.
     """
-    total = sum(counts.values())
-    model = {"good": 0.9, "rules": [(ALARMS, 0.3)] * len(RULES)}
+    import numpy as np
+
+    patterns = sorted(counts)
+    n = np.array([counts[p] for p in patterns], dtype=float)
+    votes = np.array([list(p) for p in patterns]).reshape(len(patterns), len(RULES))
+    bad, said = votes == "b", votes != "-"
+    total = n.sum()
+    good, rates = 0.9, np.array([[ALARMS] * len(RULES), [HITS] * len(RULES)])
+    prior = np.array([[ALARMS], [HITS]]) * np.array(PRIOR)[:, None]
     for _ in range(rounds if total else 0):
-        share, votes = 0.0, [[0.0] * 4 for _ in RULES]
-        for pattern, n in counts.items():
-            p = posterior(model, pattern)
-            share += n * p
-            for j, v in enumerate(pattern):
-                if v == "b":
-                    votes[j][0] += n * p
-                    votes[j][1] += n * (1 - p)
-                if v != "-":
-                    votes[j][2] += n * p
-                    votes[j][3] += n * (1 - p)
-        rules = [((b_good + total * ALARMS) / (of_good + total), (b_bad + 3) / (of_bad + 10)) for b_good, b_bad, of_good, of_bad in votes]
-        moved = max(abs(x - y) for a, b in zip(rules, model["rules"]) for x, y in zip(a, b))
-        model = {"good": (share + 9) / (total + 10), "rules": rules}
+        p = _posteriors(good, rates, bad, said)
+        weight = np.stack([n * p, n * (1 - p)])
+        new = (weight @ bad + prior) / (weight @ said + np.array(PRIOR)[:, None])
+        new[0] = np.minimum(new[0], MOST_ALARMS)
+        moved = np.abs(new - rates).max()
+        good, rates = float((weight[0].sum() + 9) / (total + 10)), new
         if moved < 1e-9:
             break
-    return model
+    return {"good": good, "rules": [tuple(r) for r in rates.T.tolist()]}
+
+
+def _posteriors(good: float, rates, bad, said):
+    """P(good | votes) of each row of votes."""
+    import numpy as np
+
+    alarm, hit = rates
+    each = np.where(bad, np.log(alarm / hit), np.log((1 - alarm) / (1 - hit)))
+    x = math.log(good / (1 - good)) + (each * said).sum(axis=1)
+    return 1 / (1 + np.exp(-np.clip(x, -700, 700)))
 
 
 def posterior(model: dict, pattern: str) -> float:
     """P(good | votes)."""
-    x = math.log(model["good"] / (1 - model["good"]))
-    for v, (alarm, hit) in zip(pattern, model["rules"]):
-        if v == "g":
-            x += math.log((1 - alarm) / (1 - hit))
-        elif v == "b":
-            x += math.log(alarm / hit)
-    return 1 / (1 + math.exp(-max(-700.0, min(700.0, x))))
+    import numpy as np
+
+    votes = np.array([list(pattern)])
+    return float(_posteriors(model["good"], np.array(model["rules"]).T, votes == "b", votes != "-")[0])
 
 
 def counted(rows: DataFrame) -> dict[str, int]:
@@ -192,6 +217,7 @@ def judge(spark: SparkSession, docs: DataFrame, work: str) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns; texts are measured again, not shuffled or stored."""
+    common.small_batches(spark)
     counts = counted(features(docs))
     model = estimate(counts)
     good = {v for v in counts if posterior(model, v) >= KEEP_FROM}
@@ -201,7 +227,8 @@ def keep_good(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
         one = _measurer()
         for b in batches:
-            rows = [one(t.as_py()) for t in b.column("text")]
+            langs = b.column("lang").to_pylist() if "lang" in b.schema.names else [None] * b.num_rows
+            rows = [one(t.as_py(), lang) for t, lang in zip(b.column("text"), langs)]
             yield b.filter(pa.array([not r[5] and r[6] in good for r in rows], pa.bool_()))
 
     return docs.mapInArrow(common.task(run), docs.schema)

@@ -50,3 +50,58 @@ def test_posterior_is_a_probability_and_em_ends():
     m = Q.estimate({"gggggggggg": 900, "bbgggbgbgg": 60, "----------": 5})
     assert Q.posterior(m, "gggggggggg") > 0.9 > 0.1 > Q.posterior(m, "bbgggbgbgg") and 0 < m["good"] < 1
     assert Q.estimate({})["good"] == 0.9
+
+
+def plain_em(docs, rounds=500):
+    """EM over one document at a time, in plain Python."""
+    good, rates = 0.9, [(Q.ALARMS, Q.HITS)] * len(Q.RULES)
+
+    def chance(votes):
+        odds = good / (1 - good)
+        for v, (a, h) in zip(votes, rates):
+            odds *= {"g": (1 - a) / (1 - h), "b": a / h, "-": 1}[v]
+        return odds / (1 + odds)
+
+    for _ in range(rounds):
+        p = [chance(d) for d in docs]
+        new = []
+        for j in range(len(Q.RULES)):
+            said = [(x, d[j]) for x, d in zip(p, docs) if d[j] != "-"]
+            a = (sum(x for x, v in said if v == "b") + Q.ALARMS * Q.PRIOR[0]) / (sum(x for x, _ in said) + Q.PRIOR[0])
+            h = (sum(1 - x for x, v in said if v == "b") + Q.HITS * Q.PRIOR[1]) / (sum(1 - x for x, _ in said) + Q.PRIOR[1])
+            new.append((min(a, Q.MOST_ALARMS), h))
+        moved = max(abs(x - y) for a, b in zip(new, rates) for x, y in zip(a, b))
+        good, rates = (sum(p) + 9) / (len(docs) + 10), new
+        if moved < 1e-9:
+            break
+    return good, rates, {d: chance(d) for d in docs}
+
+
+def test_em_equals_plain_em():
+    rng = random.Random(4)
+    docs = ["".join(rng.choices("gb-", (96, 1, 3) if rng.random() < 0.85 else (50, 40, 10))[0] for _ in Q.RULES) for _ in range(600)]
+    good, rates, chances = plain_em(docs)
+    m = Q.estimate(collections.Counter(docs))
+    assert abs(m["good"] - good) < 1e-7 and all(abs(x - y) < 1e-7 for a, b in zip(m["rules"], rates) for x, y in zip(a, b))
+    assert all(abs(Q.posterior(m, d) - p) < 1e-7 for d, p in chances.items())
+
+
+def test_verdicts_by_plain_em(spark, work):
+    """kept of the query's plan is base rules and the plain posterior of the votes of all documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = Q.judge(spark, docs, work).collect()
+    one = Q._measurer()
+    own = {r["doc_id"]: one(r["text"], r["lang"]) for r in docs.collect()}
+    _, _, chances = plain_em([own[i][6] for i in sorted(own)])
+    assert len(rows) == len(own)
+    for r in rows:
+        m = own[r["doc_id"]]
+        assert r["votes"] == m[6] and abs(r["p_good"] - chances[m[6]]) < 1e-6 and r["kept"] == (not m[5] and chances[m[6]] >= Q.KEEP_FROM)
+
+
+def test_a_language_without_a_list_is_no_bad_sign():
+    rng = random.Random(5)
+    one = Q._measurer()
+    text = ". ".join(" ".join(rng.choice(["mono", "vesi", "talo", "kuin", "meri"]) + str(rng.randrange(9)) for _ in range(9)) for _ in range(20)) + "."
+    at = Q.RULES.index("stop_words")
+    assert one(text, "en")[6][at] == "b" and one(text, "fi")[6][at] == "-" and one(text)[6][at] == "-" and one("of the " + text, "fi")[6][at] == "-"
