@@ -6,6 +6,7 @@ can be decided before parsing (which rows, which columns) is, so only needed pag
 
 from __future__ import annotations
 
+import bisect
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -20,6 +21,8 @@ from paperloom.functions.validity import has_meaningful_content
 
 #: Least lengths of paragraphs, of a body, of front or back matter, of a whole article and of a page.
 PARAGRAPH, BODY, MATTER, ARTICLE, PAGE, HEADING = 30, 100, 100, 200, 500, 200
+#: Sections nested deeper than this are headed and named like one at this depth.
+DEPTH = 100
 JATS = f"full_text string, sections {SECTIONS}, has_body boolean, abstract string"
 
 
@@ -27,20 +30,95 @@ def _said(node) -> str:
     return " ".join(x for t in node.itertext() if (x := t.strip()))
 
 
-def _section(node, level: int, path: str, out: dict[str, str]) -> str:
-    """Flat text of a sec; its sub-sections enter ``out`` before it does."""
-    title = node.find("title")
-    name = (_said(title) if title is not None else "") or f"Section {level}"
-    path = f"{path}/{name}" if path else name
-    own = [x for p in node.findall("p") if (x := _said(p))]
-    inner = [_section(s, level + 1, path, out) for s in node.findall("sec")]
-    if own:
-        out[path] = "\n\n".join(own)
-    return "\n\n".join([f"{'#' * level} {name}", *own, *(x for x in inner if x)])
-
-
-def parse_jats(xml: str | None) -> tuple:
-    """(full_text, sections, has_body, abstract) of an article; nulls if there is none to parse."""
+def _sections(tops, out: dict[str, str]) -> list[str]:
+    """Flat texts of top-level sections; sub-sections enter ``out`` before the section that holds them. No recursion."""
+    texts = []
+    for top in tops:
+        parts: list[str] = []
+        work = [(top, 1, "", None)]
+        while work:
+            node, level, path, own = work.pop()
+            if own is not None:  # behind its sub-sections
+                out[path] = own
+                continue
+            title = node.find("title")
+            name = (_said(title) if title is not None else "") or f"Section {level}"
+            path = f"{path}/{name}" if path and level < DEPTH else path or name
+            said = [x for p in node.findall("p") if (x := _said(p))]
+            parts += [f"{'#' * level} {name}", *said]
+            if said:
+                work.append((node, level, path, "\n\n".join(said)))
+            work += [(s, min(level + 1, DEPTH), path, None) for s in reversed(node.findall("sec"))]
+        texts.append("\n\n".join(parts))
+    return texts
+
+
+def _bodyless(article, abstract) -> tuple[list, list]:
+    """(outermost sections, paragraphs outside of any section) of an article without body, its abstract left out."""
+    tops, loose = [], []
+    work = [(article, False)]
+    while work:
+        node, inside = work.pop()
+        if node is abstract:
+            continue
+        if node.tag == "sec" and not inside:
+            tops.append(node)
+            inside = True
+        elif node.tag == "p" and not inside:
+            loose.append(node)
+        work += [(c, inside) for c in reversed(node)]
+    return tops, loose
+
+
+def _strings(node, skipped, tails: bool) -> list[str]:
+    """Texts of ``node`` and all elements below it but ``skipped``, each with its tail if asked for."""
+    out, work = [], [node]
+    while work:
+        e = work.pop()
+        if e is not skipped:
+            out += [s for t in (e.text, e.tail if tails else None) if t and (s := t.strip())]
+            work += reversed(e)
+    return out
+
+
+def extras(article) -> dict[str, list[dict[str, str]]]:
+    """Tables and figures (label, caption, and a table's cells as lines of a | b), references as text, of an article."""
+    out: dict[str, list[dict[str, str]]] = {"tables": [], "figures": [], "references": []}
+    text = lambda e, tag: _said(x) if (x := e.find(tag)) is not None else ""
+    for e in article.iter():
+        if e.tag == "table-wrap":
+            rows = [" | ".join(_said(c) for c in r if c.tag in ("td", "th")) for r in e.iter("tr")]
+            out["tables"].append({"label": text(e, "label"), "caption": text(e, "caption"), "content": "\n".join(r for r in rows if r)})
+        elif e.tag == "fig":
+            out["figures"].append({"label": text(e, "label"), "caption": text(e, "caption"), "content": ""})
+        elif e.tag == "ref":
+            label = text(e, "label")
+            cited = next((c for c in e if c.tag in ("mixed-citation", "element-citation", "citation", "nlm-citation")), e)
+            out["references"].append({"label": label, "caption": "", "content": _said(cited)})
+    return out
+
+
+def _extra_text(found: dict, include: tuple[str, ...]) -> list[tuple[str, str]]:
+    """(section name, text) of the extras asked for."""
+    out = []
+    for kind, name, one in (("tables", "TABLES", "Table"), ("figures", "FIGURES", "Figure"), ("references", "REFERENCES", "")):
+        if kind in include and found[kind]:
+            lines = []
+            for k, x in enumerate(found[kind], 1):
+                if one:
+                    head = f"**{one} {k}:** {x['caption']}".rstrip()
+                    lines.append(head + (f"\n{x['content']}" if x["content"] else ""))
+                else:
+                    lines.append(f"[{k}] {x['content']}")
+            out.append((name, "\n\n".join(lines)))
+    return out
+
+
+def parse_jats(xml: str | None, include: tuple[str, ...] = ()) -> tuple:
+    """(full_text, sections, has_body, abstract) of an article; nulls if there is none to parse.
+
+    ``include`` adds sections of its "tables", "figures" and "references" behind the text.
+    """
     try:
         root = ElementTree.fromstring(xml or "")
     except ElementTree.ParseError:
@@ -50,7 +128,6 @@ def parse_jats(xml: str | None) -> tuple:
         return None, [], False, None
     found = article.find(".//abstract")
     abstract = _said(found) if found is not None else None
-    own = set(found.iter()) if found is not None else set()
     sections: dict[str, str] = {}
     body = article.find("body")
     parts = []
@@ -59,12 +136,11 @@ def parse_jats(xml: str | None) -> tuple:
         if loose:
             sections["Main"] = "\n\n".join(loose)
             parts.append(sections["Main"])
-        parts += [_section(s, 1, "", sections) for s in body.findall("sec")]
+        parts += _sections(body.findall("sec"), sections)
     else:
-        nested = {s for t in article.iter("sec") for s in t.iter("sec") if s is not t}
-        parts += [_section(s, 1, "", sections) for s in article.iter("sec") if s not in nested and s not in own]
-        inside = {p for s in article.iter("sec") for p in s.iter("p")}
-        loose = [x for p in article.iter("p") if p not in own and p not in inside and len(x := _said(p)) > PARAGRAPH]
+        tops, paragraphs = _bodyless(article, found)
+        parts += _sections(tops, sections)
+        loose = [x for p in paragraphs if len(x := _said(p)) > PARAGRAPH]
         if loose:
             sections["Main"] = "\n\n".join(loose)
             parts.append(sections["Main"])
@@ -76,110 +152,166 @@ def parse_jats(xml: str | None) -> tuple:
     if not text:
         for tag, name in (("front", "Front"), ("back", "Back")):
             node = article.find(tag)
-            if node is not None and len(x := " ".join(s for e in node.iter() if e not in own for t in (e.text,) if t and (s := t.strip()))) > MATTER:
+            if node is not None and len(x := " ".join(_strings(node, found, False))) > MATTER:
                 sections[name] = x
         text = "\n\n".join(sections.values())
     if not text:
-        rest = " ".join(s for e in article.iter() if e not in own for t in (e.text, e.tail) if t and (s := t.strip()))
+        rest = " ".join(_strings(article, found, True))
         if len(rest) > ARTICLE:
             text = sections["Content"] = rest
+    if include:
+        for name, more in _extra_text(extras(article), include):
+            sections[name] = more
+            text = f"{text}\n\n## {name}\n\n{more}" if text else f"## {name}\n\n{more}"
     return text or None, [(k, n, c) for k, (n, c) in enumerate(sections.items())], has_body, abstract
 
 
-class _Tree(HTMLParser):
-    """A plain tree of a page: [tag, attributes, children], strings as leaves."""
+class _Page(HTMLParser):
+    """A page as flat arrays in document order: tag, classes and id of each node, the node behind its last descendant, its
+    parent, and the range of shown text that it holds. Scripts and styles show nothing."""
 
     VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+    HIDDEN = frozenset(("script", "style"))
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = ["", {}, []]
-        self.open = [self.root]
+        self.tags, self.classes, self.ids, self.parents = [], [], [], []
+        self.behind, self.first, self.last = [], [], []
+        self.open, self.count, self.hidden = [], {}, 0
+        self.parts, self.size = [], 0
+
+    def _new(self, tag, attrs) -> int:
+        given = dict(attrs)
+        self.tags.append(tag)
+        self.classes.append((given.get("class") or "").split())
+        self.ids.append(given.get("id"))
+        self.parents.append(self.open[-1] if self.open else -1)
+        self.behind.append(len(self.tags))
+        self.first.append(self.size)
+        self.last.append(self.size)
+        return len(self.tags) - 1
+
+    def _shut(self) -> None:
+        k = self.open.pop()
+        tag = self.tags[k]
+        self.count[tag] -= 1
+        self.hidden -= tag in self.HIDDEN
+        self.behind[k], self.last[k] = len(self.tags), self.size
 
     def handle_starttag(self, tag, attrs):
-        if tag == "p" and self.open[-1][0] == "p":
-            self.open.pop()
-        node = [tag, dict(attrs), []]
-        self.open[-1][2].append(node)
+        if tag == "p" and self.open and self.tags[self.open[-1]] == "p":
+            self._shut()
+        k = self._new(tag, attrs)
         if tag not in self.VOID:
-            self.open.append(node)
+            self.open.append(k)
+            self.count[tag] = self.count.get(tag, 0) + 1
+            self.hidden += tag in self.HIDDEN
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1][2].append([tag, dict(attrs), []])
+        self._new(tag, attrs)
 
     def handle_endtag(self, tag):
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                return
+        if self.count.get(tag):
+            while self.tags[self.open[-1]] != tag:
+                self._shut()
+            self._shut()
 
     def handle_data(self, data):
-        self.open[-1][2].append(data)
-
+        if not self.hidden:
+            self.parts.append(data)
+            self.size += len(data)
 
-def _walk(node):
-    for child in node[2]:
-        if not isinstance(child, str):
-            yield child
-            yield from _walk(child)
+    def close(self):
+        super().close()
+        while self.open:
+            self._shut()
+        self.text = "".join(self.parts)
 
+    def shown(self, k: int) -> str:
+        return self.text[self.first[k] : self.last[k]].strip()
 
-def _shown(node) -> str:
-    if node[0] in ("script", "style"):
-        return ""
-    return "".join(c if isinstance(c, str) else _shown(c) for c in node[2])
 
-
-def _trimmed(node) -> str:
-    return _shown(node).strip()
-
-
-def _body(root):
-    classes = lambda n: (n[1].get("class") or "").split()
+def _article(page: _Page) -> int | None:
+    """The node that holds the article: the first that passes the first test that any node passes."""
     tests = (
-        lambda n: n[0] == "div" and "jig-ncbiinpagenav" in classes(n),
-        lambda n: n[0] == "article",
-        lambda n: n[0] == "div" and "article" in classes(n),
-        lambda n: n[1].get("id") == "article",
+        lambda k: page.tags[k] == "div" and "jig-ncbiinpagenav" in page.classes[k],
+        lambda k: page.tags[k] == "article",
+        lambda k: page.tags[k] == "div" and "article" in page.classes[k],
+        lambda k: page.ids[k] == "article",
     )
-    nodes = list(_walk(root))
-    return next((n for test in tests for n in nodes if test(n)), None)
+    return next((k for test in tests for k in range(len(page.tags)) if test(k)), None)
 
 
-def parse_html(page: str | None) -> str | None:
+def parse_html(source: str | None) -> str | None:
     """Text of an article page by headed sections, else by paragraphs; null if too short. Not cleaned."""
-    tree = _Tree()
-    tree.feed(page or "")
-    tree.close()
-    body = _body(tree.root)
-    if body is None:
+    page = _Page()
+    page.feed(source or "")
+    page.close()
+    top = _article(page)
+    if top is None:
         return None
+    inside = range(top + 1, page.behind[top])
+    headings = [k for k in inside if page.tags[k] in ("h2", "h3", "h4", "title") and page.shown(k)]
+    long = lambda k: page.last[k] - page.first[k] > PARAGRAPH and len(page.shown(k)) > PARAGRAPH
+    paragraphs = [k for k in inside if page.tags[k] == "p" and long(k)]
+    children: dict[int, list[int]] = {}
+    for k in paragraphs:
+        children.setdefault(page.parents[k], []).append(k)
     parts = []
-    for node in _walk(body):
-        if node[0] not in ("div", "section"):
+    for k in inside:
+        if page.tags[k] not in ("div", "section") or k not in children:
             continue
-        title = next((t for n in _walk(node) if n[0] in ("h2", "h3", "h4", "title") and (t := _trimmed(n))), None)
-        text = [x for c in node[2] if not isinstance(c, str) and c[0] == "p" and len(x := _trimmed(c)) > PARAGRAPH]
-        if text:
-            parts.append((f"## {title}\n\n" if title and len(title) < HEADING else "") + "\n\n".join(text))
-    if not parts:
-        parts = [x for n in _walk(body) if n[0] == "p" and len(x := _trimmed(n)) > PARAGRAPH]
-    whole = "\n\n".join(parts)
+        at = bisect.bisect_right(headings, k)
+        title = page.shown(headings[at]) if at < len(headings) and headings[at] < page.behind[k] else None
+        text = "\n\n".join(page.shown(p) for p in children[k])
+        parts.append((f"## {title}\n\n" if title and len(title) < HEADING else "") + text)
+    whole = "\n\n".join(parts or [page.shown(k) for k in paragraphs])
     return whole if len(whole) > PAGE else None
 
 
-def jats(articles: DataFrame, column: str = "xml") -> DataFrame:
-    """``articles`` with JATS columns of each XML text."""
+def jats(articles: DataFrame, column: str = "xml", include: tuple[str, ...] = ()) -> DataFrame:
+    """``articles`` with JATS columns of each XML text; ``include`` as in ``parse_jats``."""
+
     @F.pandas_udf(f"struct<full_text:string,sections:{SECTIONS},has_body:boolean,abstract:string>")
     def parsed(xml: pd.Series) -> pd.DataFrame:
-        rows = [parse_jats(x) for x in xml]
-        return pd.DataFrame({"full_text": [r[0] for r in rows], "sections": [[{"pos": k, "name": n, "content": c} for k, n, c in r[1]] for r in rows], "has_body": [r[2] for r in rows], "abstract": [r[3] for r in rows]})
+        rows = [parse_jats(x, include) for x in xml]
+        sections = [[{"pos": k, "name": n, "content": c} for k, n, c in r[1]] for r in rows]
+        return pd.DataFrame(
+            {"full_text": [r[0] for r in rows], "sections": sections, "has_body": [r[2] for r in rows], "abstract": [r[3] for r in rows]}
+        )
 
     return articles.withColumn("_jats", parsed(F.col(column))).select(*articles.columns, "_jats.*")
 
 
+EXTRA = "array<struct<label:string,caption:string,content:string>>"
+
+
+def article_extras(articles: DataFrame, column: str = "xml") -> DataFrame:
+    """``articles`` with tables, figures and references of each XML text, and the article's type and outside links."""
+
+    @F.pandas_udf(f"struct<tables:{EXTRA},figures:{EXTRA},references:{EXTRA},article_type:string,links:array<string>>")
+    def parsed(xml: pd.Series) -> pd.DataFrame:
+        out = []
+        for x in xml:
+            try:
+                root = ElementTree.fromstring(x or "")
+            except ElementTree.ParseError:
+                root = None
+            article = None if root is None else root if root.tag == "article" else root.find(".//article")
+            if article is None:
+                out.append({"tables": [], "figures": [], "references": [], "article_type": None, "links": []})
+                continue
+            href = "{http://www.w3.org/1999/xlink}href"
+            links = [u for e in article.iter("ext-link") if (u := e.get(href))]
+            out.append({**extras(article), "article_type": article.get("article-type"), "links": links})
+        return pd.DataFrame(out)
+
+    return articles.withColumn("_extra", parsed(F.col(column))).select(*articles.columns, "_extra.*")
+
+
 def pages(df: DataFrame, column: str = "html", out: str = "page_text") -> DataFrame:
     """``df`` with the cleaned text of each HTML page."""
+
     @F.pandas_udf("string")
     def parsed(page: pd.Series) -> pd.Series:
         return page.map(parse_html).astype(object).where(lambda s: s.notna(), None)
