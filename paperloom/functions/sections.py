@@ -40,24 +40,22 @@ def to_flat(c: Column) -> Column:
 def from_flat(c: Column) -> Column:
     """Sections of a text with ## headings: the text before the first is Main; a heading without lines is dropped; a name
     that comes again replaces the content at its first place."""
-    kind = "struct<name:string,lines:array<string>,out:array<struct<pos:int,name:string,content:string>>>"
-    init = F.struct(F.lit("Main").alias("name"), F.array().cast("array<string>").alias("lines"), F.array().cast(SECTIONS).alias("out")).cast(kind)
-
-    def put(acc):
-        body = wstrip(F.array_join(acc["lines"], "\n"))
-        known = F.exists(acc["out"], lambda s: s["name"] == acc["name"])
-        replaced = F.transform(acc["out"], lambda s: F.struct(s["pos"].alias("pos"), s["name"].alias("name"), F.when(s["name"] == acc["name"], body).otherwise(s["content"]).alias("content")))
-        added = F.concat(acc["out"], F.array(F.struct(F.size(acc["out"]).alias("pos"), acc["name"].alias("name"), body.alias("content"))))
-        return F.when(F.size(acc["lines"]) == 0, acc["out"]).when(known, replaced).otherwise(added)
-
-    def step(acc, line):
-        head = line.startswith("## ")
-        name = wstrip(F.regexp_replace(line, "^#+", ""))
-        return F.when(head, F.struct(name.alias("name"), F.array().cast("array<string>").alias("lines"), put(acc).alias("out"))).otherwise(
-            F.struct(acc["name"].alias("name"), F.concat(acc["lines"], F.array(line)).alias("lines"), acc["out"].alias("out"))
-        ).cast(kind)
-
-    return F.aggregate(F.split(c, "\n", -1), init, step, put)
+    parts = F.split(c, r"(?<=\n)(?=## )", -1)
+    last = F.size(parts) - 1
+
+    def section(part, i):
+        # What ends at the next heading ends with a line feed that belongs to neither.
+        own = F.when(i < last, F.substring(part, F.lit(1), F.length(part) - 1)).otherwise(part)
+        headed = part.startswith("## ")
+        lines = F.contains(own, F.lit("\n"))
+        name = F.when(headed, wstrip(F.regexp_replace(F.substring_index(own, "\n", 1), "^#+", ""))).otherwise("Main")
+        body = F.when(headed, F.regexp_replace(own, r"^[^\n]*\n?", "")).otherwise(own)
+        return F.when(~headed | lines, F.struct(name.alias("name"), wstrip(body).alias("content")))
+
+    found = F.filter(F.transform(parts, section), lambda s: s.isNotNull())
+    names = F.array_distinct(F.transform(found, lambda s: s["name"]))
+    of = lambda n: F.element_at(F.filter(found, lambda s: s["name"] == n), -1)["content"]
+    return F.transform(names, lambda n, i: F.struct(i.alias("pos"), n.alias("name"), of(n).alias("content")))
 
 
 def lookup(c: Column, name: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from paperloom import shared
 from paperloom.functions import merge
 from paperloom.functions.falsy import filled, wstrip
 from paperloom.functions.text import clean_abstract, clean_comprehensive, doi_key, ellipsis
@@ -65,8 +66,10 @@ def merge_stores(source: DataFrame, target: DataFrame) -> DataFrame:
     """target with source merged in, by DOI first and pmid second; ``action`` says what happened to each row.
 
     Rows of source that share a target (or a DOI) are first folded into one in order of pmid, as a sequential merge
-    would leave the first non-falsy value of each.
+    would leave the first non-falsy value of each. Source rows without pmid have their DOI for one, as hits have; rows
+    without either are no papers and aren't merged.
     """
+    source = source.withColumn("pmid", F.coalesce(F.nullif("pmid", F.lit("")), "doi")).filter(filled(F.col("pmid")))
     columns = {f.name: f.dataType for f in target.schema}
     doi = lambda c: F.when(filled(F.col(c)), F.col(c))
     keys = target.select(F.col("pmid").alias("t_pmid"), doi("doi").alias("t_doi"))
@@ -125,19 +128,55 @@ def reclean(papers: DataFrame) -> DataFrame:
     return rows.filter(~F.col("abstract").eqNullSafe(F.col("new_abstract")) | ~F.col("full_text").eqNullSafe(F.col("new_text"))).select("pmid", F.col("new_abstract").alias("abstract"), F.col("new_text").alias("full_text"))
 
 
+def reclean_counts(papers: DataFrame) -> DataFrame:
+    """One row: how many papers cleaning would change and how many it would leave."""
+    a, t = clean_abstract(F.col("abstract")), clean_comprehensive(F.col("full_text"))
+    same = F.col("abstract").eqNullSafe(a) & F.col("full_text").eqNullSafe(t)
+    return papers.agg(F.count_if(~same).alias("modified"), F.count_if(same).alias("unchanged"))
+
+
+def relevance(papers: DataFrame, words: list[str]) -> DataFrame:
+    """``papers`` with ``score``: how often the words (letters and numbers, in any case) stand in title, twice, and abstract."""
+    terms = F.array(*(F.lit(w.lower()) for w in words))
+    parts = lambda c: F.split(F.lower(F.coalesce(F.col(c), F.lit(""))), r"[^\p{L}\p{N}]+")
+    count = lambda c: F.size(F.filter(parts(c), lambda w: F.array_contains(terms, w)))
+    return papers.withColumn("score", (2 * count("title") + count("abstract")).cast("long"))
+
+
+def append_report(before: DataFrame, after: DataFrame, new: DataFrame, samples: int = 5) -> DataFrame:
+    """One row on an append: rows before and after, ids that were new and that were there, and the first keys before."""
+    keys = before.select("pmid").orderBy("pmid").limit(samples)
+    told = new.select("pmid").distinct().join(before.select("pmid", F.lit(True).alias("there")), "pmid", "left")
+    counts = told.agg(F.count_if(F.col("there").isNull()).alias("added"), F.count_if(F.col("there").isNotNull()).alias("known"))
+    size = lambda df, name: df.agg(F.count("*").alias(name))
+    sample = keys.agg(F.array_sort(F.collect_list("pmid")).alias("sample"))
+    return size(before, "before").join(size(after, "after"), F.lit(True)).join(counts, F.lit(True)).join(sample, F.lit(True))
+
+
 def failed_export(papers: DataFrame) -> DataFrame:
     """What papers without full text are exported with."""
     rows = papers.filter(F.coalesce(~F.col("is_full_text_pmc"), F.lit(False)))
     return rows.select("pmid", "doi", "title", F.array_join(F.slice("authors", 1, 3), "; ").alias("authors"), ellipsis(F.col("abstract"), 200).alias("abstract"), F.concat_ws(" | ", F.coalesce(F.nullif("doi", F.lit("")), F.lit("NO_DOI")), "pmid", F.coalesce(F.substring(F.nullif("title", F.lit("")), 1, 80), F.lit("NO_TITLE"))).alias("line"))
 
 
+def numbered(rows: DataFrame, by: str) -> DataFrame:
+    """``rows`` with ``number``, from 0 in the order of ``by``, without a window over all rows: ranges of ``by`` are written
+    with their part's number, numbered apart and offset by the counts of the parts before."""
+    spark = rows.sparkSession
+    parted = rows.repartitionByRange(by).sortWithinPartitions(by).withColumn("_part", F.spark_partition_id())
+    parted = shared.written(spark, parted, shared.folder(spark, "numbered"))
+    counts = parted.groupBy("_part").agg(F.count("*").alias("n"))
+    # One row for each task of the write above.
+    upto = F.sum("n").over(W.Window.orderBy("_part").rowsBetween(W.Window.unboundedPreceding, -1))
+    before = counts.select(F.col("_part").alias("_p"), F.coalesce(upto, F.lit(0)).alias("_base"))
+    within = parted.withColumn("_rn", F.row_number().over(W.Window.partitionBy("_part").orderBy(by)))
+    out = within.join(before, F.col("_part") == F.col("_p"))
+    return out.select(*rows.columns, (F.col("_base") + F.col("_rn") - 1).cast("long").alias("number"))
+
+
 def batches(ids: DataFrame, size: int, key: str = "pmid") -> DataFrame:
-    """(key, batch): ids in order, ``size`` to a batch. Ranges of ids are numbered apart, then offset by their counts."""
-    sample = ids.select(key).repartitionByRange(key).withColumn("part", F.spark_partition_id())
-    counts = sample.groupBy("part").agg(F.count("*").alias("n"))
-    before = counts.select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(W.Window.orderBy("part").rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    within = sample.withColumn("rn", F.row_number().over(W.Window.partitionBy("part").orderBy(key)))
-    return within.join(F.broadcast(before), F.col("part") == F.col("p")).select(key, F.floor((F.col("base") + F.col("rn") - 1) / size).cast("long").alias("batch"))
+    """(key, batch): ids in order, ``size`` to a batch."""
+    return numbered(ids.select(key), key).select(key, F.floor(F.col("number") / size).cast("long").alias("batch"))
 
 
 def guard(ids: DataFrame, check_num: int) -> DataFrame:

@@ -17,12 +17,15 @@ _AUTHORS = "STRUCT<Author: ARRAY<STRUCT<LastName: STRING, Initials: STRING, Coll
 _ABSTRACT = "STRUCT<AbstractText: ARRAY<STRUCT<_Label: STRING, _VALUE: STRING>>>"
 _DATE = "STRUCT<Year: STRING, Month: STRING, Day: STRING>"
 
+_DESCRIPTOR = "STRUCT<_VALUE: STRING, _UI: STRING, _MajorTopicYN: STRING>"
+
 ARTICLE = f"""MedlineCitation STRUCT<
   PMID: STRUCT<_VALUE: STRING, _Version: STRING>,
   Article: STRUCT<
     Journal: STRUCT<Title: STRING, JournalIssue: STRUCT<PubDate: {_DATE}>>,
-    ArticleTitle: STRING, Abstract: {_ABSTRACT}, AuthorList: {_AUTHORS}>,
-  MeshHeadingList: STRUCT<MeshHeading: ARRAY<STRUCT<DescriptorName: STRUCT<_VALUE: STRING, _UI: STRING>>>>,
+    ArticleTitle: STRING, Abstract: {_ABSTRACT}, AuthorList: {_AUTHORS},
+    PublicationTypeList: STRUCT<PublicationType: ARRAY<STRUCT<_VALUE: STRING, _UI: STRING>>>>,
+  MeshHeadingList: STRUCT<MeshHeading: ARRAY<STRUCT<DescriptorName: {_DESCRIPTOR}>>>,
   KeywordList: ARRAY<STRUCT<Keyword: ARRAY<STRUCT<_VALUE: STRING, _MajorTopicYN: STRING>>>>>,
 PubmedData STRUCT<ArticleIdList: STRUCT<ArticleId: {_ID}>>"""
 
@@ -67,14 +70,20 @@ def articles(xml: DataFrame, column: str = "xml") -> DataFrame:
     rows = xml.filter(F.contains(F.col(column), F.lit("<PubmedArticle"))).select(F.from_xml(F.col(column), ARTICLE).alias("r"))
     m, ids = "r.MedlineCitation", _ids(F.col("r.PubmedData.ArticleIdList.ArticleId"))
     pmcid = F.get(F.filter(ids, lambda x: x["id"].startswith("PMC")), 0)["id"]
-    mesh = F.filter(F.transform(_list(F.col(f"{m}.MeshHeadingList.MeshHeading"), "array<struct<DescriptorName:struct<_VALUE:string,_UI:string>>>"), lambda h: h["DescriptorName"]["_VALUE"]), filled)
-    keywords = F.filter(F.transform(F.coalesce(F.get(F.col(f"{m}.KeywordList"), 0)["Keyword"], F.array().cast("array<struct<_VALUE:string,_MajorTopicYN:string>>")), lambda k: k["_VALUE"]), filled)
+    headings = _list(F.col(f"{m}.MeshHeadingList.MeshHeading"), f"array<struct<DescriptorName:{_DESCRIPTOR}>>")
+    values = lambda c: F.filter(F.transform(c, lambda h: h["DescriptorName"]["_VALUE"]), filled)
+    mesh, major = values(headings), values(F.filter(headings, lambda h: h["DescriptorName"]["_MajorTopicYN"] == "Y"))
+    first = F.get(F.col(f"{m}.KeywordList"), 0)["Keyword"]
+    keywords = F.filter(F.transform(_list(first, "array<struct<_VALUE:string,_MajorTopicYN:string>>"), lambda k: k["_VALUE"]), filled)
+    kinds = _list(F.col(f"{m}.Article.PublicationTypeList.PublicationType"), "array<struct<_VALUE:string,_UI:string>>")
+    kind = F.array_join(F.filter(F.transform(kinds, lambda k: k["_VALUE"]), filled), "; ")
     date = F.col(f"{m}.Article.Journal.JournalIssue.PubDate")
     return rows.select(
         F.col(f"{m}.PMID._VALUE").alias("pmid"), pmcid.alias("pmcid"), _last(ids, lambda x: x["kind"] == "doi").alias("doi"), F.col(f"{m}.Article.ArticleTitle").alias("title"),
         _abstract(F.col(f"{m}.Article.Abstract.AbstractText")).alias("abstract"), mesh.alias("mesh_terms"), keywords.alias("keywords"),
         F.coalesce(_authors(F.col(f"{m}.Article.AuthorList.Author")), F.array().cast("array<string>")).alias("authors"), F.when(filled(date["Year"]), date["Year"]).alias("year"),
         published(date).alias("date_published"), F.col(f"{m}.Article.Journal.Title").alias("journal"), pmcid.isNotNull().alias("is_full_text_pmc"),
+        F.nullif(kind, F.lit("")).alias("publication_type"), major.alias("mesh_major"),
     )
 
 

@@ -1,13 +1,17 @@
 """The corpus store: snapshot-versioned Parquet tables under one base path.
 
-A write makes a new folder ``<table>/v=<n>`` and then puts its number into ``<table>/current.txt``, written last: readers see
-the old snapshot or the new one, older snapshots are backups, and no write reads the folder it replaces. All file access
-goes through Spark's file system layer, so any store that Spark can reach will do.
+A keyed table is split into ``BUCKETS`` by a hash of its key, others are one bucket. A write puts the buckets that it
+changes into a new folder and then commits a manifest, which names the folder of every bucket: readers see the old snapshot
+or the new one, older snapshots are backups that share unchanged buckets, and no write reads a folder it replaces. A
+manifest is written aside and moved to ``commits/<n>``; if another writer has taken that number, the write raises and
+nothing has changed. All file access goes through Spark's file system layer, so any store that Spark can reach will do.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
@@ -16,13 +20,19 @@ from paperloom.functions.falsy import filled
 from paperloom.functions.text import query_hash
 from paperloom.operators import corpus
 
-TABLES = {"papers": schema.PAPER_DDL, "queries": schema.QUERIES_DDL, "collection_runs": schema.RUNS_DDL, "failed_dois": schema.FAILED_DDL, "query_cache": schema.CACHE_DDL}
+TABLES = {
+    "papers": schema.PAPER_DDL, "queries": schema.QUERIES_DDL, "collection_runs": schema.RUNS_DDL, "failed_dois": schema.FAILED_DDL,
+    "query_cache": schema.CACHE_DDL,
+}
 KEYS = {"papers": "pmid", "failed_dois": "doi", "query_cache": "query_hash"}
+#: Of rows with one key in one batch the last by this column stays.
+ORDER = {"papers": "collection_date", "failed_dois": "timestamp", "query_cache": "cached_date"}
+BUCKETS = 32
 
 
 class CorpusStore:
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base.rstrip("/")
+    def __init__(self, spark: SparkSession, base: str, buckets: int = BUCKETS):
+        self.spark, self.base, self.buckets = spark, base.rstrip("/"), buckets
 
     def __enter__(self):
         return self
@@ -32,56 +42,107 @@ class CorpusStore:
 
     # Snapshots
 
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
     def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p = self._path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def versions(self, table: str) -> list[int]:
+        p, fs = self._fs(f"{self.base}/{table}/commits")
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n) for n in names if n.isdigit())
+
     def version(self, table: str) -> int:
         """The current snapshot's number; 0 if there is none."""
-        p, fs = self._fs(f"{self.base}/{table}/current.txt")
-        return int(self.spark.read.text(p.toString()).first()[0]) if fs.exists(p) else 0
+        return max(self.versions(table), default=0)
+
+    def manifest(self, table: str, version: int) -> dict[int, str]:
+        """The folder of each bucket of a snapshot; buckets without rows have none."""
+        if not version:
+            return {}
+        rows = self.spark.read.text(f"{self.base}/{table}/commits/{version}").collect()
+        return {int(k): path for k, _, path in (r[0].partition(" ") for r in rows if r[0])}
+
+    def _commit(self, table: str, version: int, manifest: dict[int, str]) -> None:
+        p, fs = self._fs(f"{self.base}/{table}/commits/.{version}-{uuid.uuid4().hex}")
+        out = fs.create(p, False)
+        out.write(bytearray("\n".join(f"{k} {v}" for k, v in sorted(manifest.items())).encode()))
+        out.close()
+        to = self._path(f"{self.base}/{table}/commits/{version}")
+        if fs.exists(to) or not fs.rename(p, to):
+            fs.delete(p, False)
+            raise RuntimeError(f"{table}: another writer has committed snapshot {version}")
 
-    def read(self, table: str, version: int | None = None) -> DataFrame:
-        v = self.version(table) if version is None else version
-        if not v:
+    def _rows(self, table: str, paths: list[str]) -> DataFrame:
+        if not paths:
             return self.spark.createDataFrame([], TABLES[table])
-        df = self.spark.read.option("mergeSchema", True).parquet(f"{self.base}/{table}/v={v}")
+        df = self.spark.read.option("mergeSchema", True).parquet(*(f"{self.base}/{table}/{p}" for p in paths))
         for f in schema.T.StructType.fromDDL(TABLES[table]):
             if f.name not in df.columns:
                 df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
         return df.withColumn("source", F.coalesce("source", F.lit("PubMed"))) if table == "papers" else df
 
+    def read(self, table: str, version: int | None = None) -> DataFrame:
+        manifest = self.manifest(table, self.version(table) if version is None else version)
+        return self._rows(table, sorted(manifest.values()))
+
+    def _bucket(self, table: str) -> Column:
+        return F.pmod(F.xxhash64(KEYS[table]), F.lit(self.buckets)).cast("int") if table in KEYS else F.lit(0)
+
+    def _put(self, table: str, df: DataFrame) -> dict[int, str]:
+        """Write rows as buckets into a new folder: {bucket: folder}. Large buckets are spread over tasks, small ones not."""
+        folder = f"data-{uuid.uuid4().hex[:12]}"
+        rows = df.withColumn("_bucket", self._bucket(table))
+        rows.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.base}/{table}/{folder}")
+        p, fs = self._fs(f"{self.base}/{table}/{folder}")
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        return {int(n.partition("=")[2]): f"{folder}/{n}" for n in names if n.startswith("_bucket=")}
+
     def write(self, table: str, df: DataFrame) -> int:
+        """A whole new snapshot."""
         v = self.version(table) + 1
-        df.write.mode("overwrite").parquet(f"{self.base}/{table}/v={v}")
-        p, fs = self._fs(f"{self.base}/{table}/current.txt")
-        out = fs.create(p, True)
-        out.write(bytearray(str(v).encode()))
-        out.close()
+        self._commit(table, v, self._put(table, df))
         return v
 
-    def versions(self, table: str) -> list[int]:
-        p, fs = self._fs(f"{self.base}/{table}")
-        return sorted(int(s.getPath().getName()[2:]) for s in fs.listStatus(p) if s.getPath().getName().startswith("v=")) if fs.exists(p) else []
-
     def restore(self, table: str, version: int) -> int:
-        """Make an older snapshot current again, as a new one."""
-        return self.write(table, self.read(table, version))
+        """Make an older snapshot current again, as a new one. No row is moved."""
+        v = self.version(table) + 1
+        self._commit(table, v, self.manifest(table, version))
+        return v
 
     # Mutations
 
     def upsert(self, table: str, rows: DataFrame) -> int:
-        """Whole rows by the table's key; what comes now replaces what is there; rows without key are refused."""
-        old, key = self.read(table), KEYS[table]
-        for f in old.schema:
-            if f.name not in rows.columns:
-                rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
-        new = rows.select(*(F.col(f.name).cast(f.dataType) for f in old.schema)).filter(F.col(key).isNotNull()).dropDuplicates([key])
-        return self.write(table, old.join(new.select(key), key, "left_anti").unionByName(new))
+        """Whole rows by the table's key; what comes now replaces what is there; rows without key are refused.
+
+        Only buckets that the new keys fall into are read and written again.
+        """
+        key, kinds = KEYS[table], schema.T.StructType.fromDDL(TABLES[table])
+        known = {c.lower() for c in rows.columns}
+        cast = lambda f: (F.col(f.name) if f.name.lower() in known else F.lit(None)).cast(f.dataType)
+        new = rows.select(*(cast(f).alias(f.name) for f in kinds))
+        others = [f.name for f in kinds if f.name != key]
+        rank = F.struct(F.col(ORDER[table]), F.xxhash64(*others))
+        new = corpus.upsert(new.limit(0).withColumn("_rank", rank), new.withColumn("_rank", rank), key, "_rank").drop("_rank")
+        v = self.version(table) + 1
+        manifest = self.manifest(table, v - 1)
+        touched = {r[0] for r in new.select(self._bucket(table)).distinct().collect()}
+        old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
+        return self._replace(table, v, manifest, touched, old.join(new.select(key), key, "left_anti").select(*new.columns).unionByName(new))
+
+    def _replace(self, table: str, v: int, manifest: dict[int, str], touched: set[int], rows: DataFrame) -> int:
+        kept = {k: p for k, p in manifest.items() if k not in touched}
+        self._commit(table, v, kept | self._put(table, rows) if touched else kept)
+        return v
 
     def delete(self, table: str, keys: DataFrame) -> int:
-        key = KEYS[table]
-        return self.write(table, self.read(table).join(keys.select(key), key, "left_anti"))
+        key, v = KEYS[table], self.version(table) + 1
+        manifest = self.manifest(table, v - 1)
+        touched = {r[0] for r in keys.select(key).filter(F.col(key).isNotNull()).select(self._bucket(table)).distinct().collect()}
+        old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
+        return self._replace(table, v, manifest, touched, old.join(keys.select(key), key, "left_anti"))
 
     def append(self, table: str, rows: DataFrame) -> int:
         """Rows with the next ids, in the order of their columns; for tables with an id."""
@@ -122,15 +183,24 @@ class CorpusStore:
     def cached(self, query: str, max_results: int) -> DataFrame | None:
         """Ids of a cached query, unless the entry was made with a smaller limit that it filled."""
         h = self.spark.range(1).select(query_hash(F.lit(query)).alias("query_hash"))
-        hit = self.read("query_cache").join(h, "query_hash").filter((F.col("count") < F.col("max_results")) | (F.col("max_results") >= max_results))
+        enough = (F.col("count") < F.col("max_results")) | (F.col("max_results") >= max_results)
+        hit = self.read("query_cache").join(h, "query_hash").filter(enough)
         return None if hit.isEmpty() else hit.select(F.explode(F.slice("pmids", 1, max_results)).alias("pmid"))
 
     def put_cache(self, query: str, pmids: list[str], max_results: int, date: str) -> int:
-        row = self.spark.createDataFrame([(query, pmids, len(pmids), max_results, date)], "query string, pmids array<string>, count int, max_results int, cached_date string")
-        return self.upsert("query_cache", row.withColumn("query_hash", query_hash(F.col("query"))).withColumn("query", F.when(F.length("query") > 200, F.concat(F.substring("query", 1, 200), F.lit("..."))).otherwise(F.col("query"))))
+        kind = "query string, pmids array<string>, count int, max_results int, cached_date string"
+        row = self.spark.createDataFrame([(query, pmids, len(pmids), max_results, date)], kind)
+        shown = F.when(F.length("query") > 200, F.concat(F.substring("query", 1, 200), F.lit("..."))).otherwise(F.col("query"))
+        return self.upsert("query_cache", row.withColumn("query_hash", query_hash(F.col("query"))).withColumn("query", shown))
 
     def cache_info(self) -> DataFrame:
-        return self.read("query_cache").agg(F.count("*").alias("entries"), F.coalesce(F.sum("count"), F.lit(0)).alias("ids"))
+        """One row: entries, ids in them, and the bytes of the cache's files."""
+        size = 0
+        for path in self.manifest("query_cache", self.version("query_cache")).values():
+            p, fs = self._fs(f"{self.base}/query_cache/{path}")
+            size += fs.getContentSummary(p).getLength()
+        told = self.read("query_cache").agg(F.count("*").alias("entries"), F.coalesce(F.sum("count"), F.lit(0)).alias("ids"))
+        return told.select("*", F.lit(size).cast("long").alias("bytes"), F.round(F.lit(size / 1024), 2).alias("kb"))
 
     def clear_cache(self) -> int:
         return self.write("query_cache", self.spark.createDataFrame([], TABLES["query_cache"]))
