@@ -13,11 +13,17 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r'\s*(?:(\()|(\))|(PUB_YEAR:\[\s*\d{4}\s+TO\s+\d{4}\s*\])|([A-Za-z_]+:"[^"]*"|[A-Za-z_]+:[^\s()\[\]]+)|("[^"]*"\*?|[^\s()\[\]"]+)(?:\s*\[([^\]]+)\])?)', re.I)
+TOKEN = re.compile(
+    r'\s*(?:(\()|(\))|(PUB_YEAR:\[\s*\d{4}\s+TO\s+\d{4}\s*\])|([A-Za-z_]+:"[^"]*"|[A-Za-z_]+:[^\s()\[\]]+)'
+    r'|("[^"]*"\*?|[^\s()\[\]"]+)(?:\s*\[([^\]]+)\])?)',
+    re.I,
+)
 #: Names of fields.
 FIELDS = {
-    "title/abstract": "tiab", "tiab": "tiab", "title": "title", "ti": "title", "dp": "date", "pdat": "date", "mesh": "mesh", "mh": "mesh", "mesh terms": "mesh",
-    "majr": "mesh", "au": "author", "author": "author", "publication type": "type", "pt": "type", "sb": "subset", "doi": "doi", "pmid": "pmid", "all fields": "all",
+    "title/abstract": "tiab", "tiab": "tiab", "title": "title", "ti": "title", "dp": "date", "pdat": "date", "mesh": "mesh", "mh": "mesh",
+    "mesh terms": "mesh",
+    "majr": "major", "au": "author", "author": "author", "publication type": "type", "pt": "type", "sb": "subset", "doi": "doi",
+    "pmid": "pmid", "all fields": "all",
     "src": "source", "pub_year": "date", "auth": "author", "abstract": "abstract", "journal": "journal",
 }
 
@@ -86,7 +92,7 @@ def _pattern(text: str) -> str:
     return r"(?iu)(^|[^\p{L}\p{N}])" + body + ("" if wild else r"($|[^\p{L}\p{N}])")
 
 
-def _term(text: str, field: str) -> Column:
+def _term(text: str, field: str, columns: frozenset[str] | None) -> Column:
     plain = text.strip('"').rstrip("*").strip('"').lower()
     has = lambda c: F.coalesce(F.rlike(c, F.lit(_pattern(text))), F.lit(False))
     match field:
@@ -96,12 +102,18 @@ def _term(text: str, field: str) -> Column:
             return has(F.concat_ws(" ", "title", "abstract"))
         case "mesh":
             return F.exists("mesh_terms", lambda x: F.lower(x) == plain.split("/")[0])
+        case "major":
+            # Without a column of major topics a topic counts as one.
+            own = "mesh_major" if columns is not None and "mesh_major" in columns else "mesh_terms"
+            return F.coalesce(F.exists(own, lambda x: F.lower(x) == plain.split("/")[0]), F.lit(False))
         case "author":
             return F.exists("authors", lambda x: F.lower(x).startswith(plain))
         case "type":
-            return has(F.col("publication_type"))
+            return has(F.col("publication_type")) if columns is None or "publication_type" in columns else F.lit(False)
         case "subset":
             return F.col("is_full_text_pmc") if plain == "full text" else F.lit(False)
+        case "doi" if "|" in plain:
+            return F.coalesce(F.lower("doi").isin(*(x for x in plain.split("|") if x)), F.lit(False))
         case "doi" | "pmid" | "source":
             return F.coalesce(F.lower(F.col(field)) == plain, F.lit(False))
         case "date":
@@ -116,20 +128,47 @@ def _term(text: str, field: str) -> Column:
     return has(F.concat_ws(" ", "title", "abstract", F.array_join("mesh_terms", " "), F.array_join("authors", " ")))
 
 
-def compiled(node) -> Column:
+def compiled(node, columns: frozenset[str] | None = None) -> Column:
     if node is None:
         return F.lit(True)
     op, a, b = node
     if op == "term":
-        return _term(a, b)
-    left = F.lit(True) if a is None else compiled(a)
-    right = compiled(b)
-    return {"AND": lambda: left & right, "OR": lambda: left | right, "NOT": lambda: left & ~right, "AND NOT": lambda: left & ~right, "OR NOT": lambda: left | ~right}[op]()
+        return _term(a, b, columns)
+    left = F.lit(True) if a is None else compiled(a, columns)
+    right = compiled(b, columns)
+    match op:
+        case "AND":
+            return left & right
+        case "OR":
+            return left | right
+        case "OR NOT":
+            return left | ~right
+    return left & ~right
 
 
-def predicate(query: str) -> Column:
-    """The query as a boolean Column over papers (title, abstract, mesh_terms, authors, year, date_published, doi, ...)."""
-    return compiled(parse(query))
+def predicate(query: str, columns=None) -> Column:
+    """The query as a boolean Column over papers (title, abstract, mesh_terms, authors, year, date_published, doi, ...).
+
+    With ``columns``, the names that the papers have, major topics and publication types are looked up where they exist.
+    """
+    return compiled(parse(query), None if columns is None else frozenset(columns))
+
+
+#: What a search of a preprint server adds to a query.
+PREPRINTS = {"biorxiv": "(SRC:PPR)", "medrxiv": "(SRC:MED)"}
+
+
+def preprint_query(query: str, server: str = "biorxiv") -> str:
+    """A query restricted to the records of a preprint server."""
+    return f"({query}) AND {PREPRINTS['medrxiv' if server.lower() == 'medrxiv' else 'biorxiv']}"
+
+
+def doi_filter(text: str) -> list[str]:
+    """The DOIs of a batch filter ``doi:a|b|c``, without resolver addresses, in lower case."""
+    head, _, rest = text.partition(":")
+    if head.strip().lower() != "doi":
+        raise ValueError(f"not a filter by DOI: {text[:20]!r}")
+    return [x.strip().lower().rpartition("doi.org/")[2] for x in rest.split("|") if x.strip()]
 
 
 def any_of(queries: list[str]) -> Column:

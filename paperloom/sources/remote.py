@@ -3,7 +3,11 @@
 A reader plans one partition for each page of ids, or for each year or month of a query that is over the service's cap,
 so pages load in parallel and a failed page is retried alone. The transport is a class named by the option ``client``
 ("module:Class") with ``count(query)`` and ``page(query, start, size)``; each task paces its own requests. Credentials
-come from the environment of the client only.
+come from the environment of the client only: a client with ``rotate()`` takes its next ones after a refusal.
+
+``corpus_cursor`` reads services that page by cursor (``cursor(query, mark, size)`` gives ids and the next mark), and
+``corpus_works`` reads records in batches of DOIs (``works(dois)``, then ``work(doi)`` for each if a batch is refused). A
+daily budget is shared out among partitions before they run, so no two tasks have to agree on a counter.
 """
 
 from __future__ import annotations
@@ -50,25 +54,108 @@ def split(client, query: str, want: int, last_year: int, first_year: int = 1950)
     return out
 
 
+class BudgetSpent(RuntimeError):
+    """A partition's share of the daily budget is used up."""
+
+
+class Pacer:
+    """Requests of one task: at most ``rate`` a second, at most ``budget`` in all, with retries after growing pauses."""
+
+    def __init__(self, client, rate: float, budget: int | None = None, attempts: int = 5, sleep=time.sleep):
+        self.client, self.pause, self.budget, self.attempts, self.sleep = client, 1 / rate, budget, attempts, sleep
+        self.spent = 0
+
+    def call(self, name: str, *args):
+        for attempt in range(self.attempts):
+            if self.budget is not None and self.spent >= self.budget:
+                raise BudgetSpent(f"{self.spent} requests")
+            self.spent += 1
+            self.sleep(self.pause)
+            try:
+                return getattr(self.client, name)(*args)
+            except OSError:
+                if attempt == self.attempts - 1:
+                    raise
+                if hasattr(self.client, "rotate"):
+                    self.client.rotate()
+                self.sleep(2**attempt * self.pause)
+
+
+def pacer(options, partitions: int = 1) -> Pacer:
+    budget = options.get("daily_budget")
+    share = None if budget is None else max(1, int(budget) // max(1, partitions))
+    return Pacer(client_of(options["client"]), float(options.get("requests_per_second", 8)), share)
+
+
 class Reader(DataSourceReader):
     def __init__(self, options):
         self.options = options
 
     def partitions(self):
         o = self.options
-        return split(client_of(o["client"]), o["query"], int(o.get("max_results", 50_000)), int(o.get("last_year", time.gmtime().tm_year)))
+        year = int(o.get("last_year", time.gmtime().tm_year))
+        return split(client_of(o["client"]), o["query"], int(o.get("max_results", 50_000)), year)
+
+    def read(self, partition: Page):
+        ids = pacer(self.options).call("page", partition.query, partition.start, partition.size)
+        yield from ((str(x),) for x in ids)
+
+
+class CursorReader(DataSourceReader):
+    """Pages follow one another by their marks, so one query is one partition. Ends at an empty page, a repeated mark, a
+    missing page or ``max_results``."""
+
+    def __init__(self, options):
+        self.options = options
+
+    def partitions(self):
+        return [Page(q, 0, 0) for q in self.options["query"].split("\n") if q.strip()]
 
     def read(self, partition: Page):
-        client, pause = client_of(self.options["client"]), 1 / float(self.options.get("requests_per_second", 8))
-        for attempt in range(5):
+        o = self.options
+        calls, want, mark, got = pacer(o), int(o.get("max_results", 5_000)), "*", 0
+        while got < want:
             try:
-                time.sleep(pause)
-                yield from ((str(x),) for x in client.page(partition.query, partition.start, partition.size))
+                ids, after = calls.call("cursor", partition.query, mark, int(o.get("page_size", 100)))
+            except FileNotFoundError:
                 return
-            except OSError:
-                if attempt == 4:
-                    raise
-                time.sleep(2**attempt)
+            for x in ids[: want - got]:
+                yield (str(x),)
+            got += len(ids)
+            if not ids or not after or after == mark:
+                return
+            mark = after
+
+
+@dataclass
+class Batch(InputPartition):
+    dois: list[str]
+    share: int
+
+
+class WorksReader(DataSourceReader):
+    """Batches of DOIs (option ``dois``, a|b|c). A refused batch is asked for one by one; what is refused then is left out."""
+
+    def __init__(self, options):
+        self.options = options
+
+    def partitions(self):
+        dois, size = [d for d in self.options["dois"].split("|") if d], int(self.options.get("batch", 50))
+        groups = [dois[i : i + size] for i in range(0, len(dois), size)]
+        return [Batch(g, len(groups)) for g in groups]
+
+    def read(self, partition: Batch):
+        calls = pacer(self.options, partition.share)
+        try:
+            yield from calls.call("works", partition.dois)
+        except OSError:
+            for d in partition.dois:
+                try:
+                    row = calls.call("work", d)
+                except OSError:
+                    continue
+                if row is not None:
+                    yield row
 
 
 class CorpusSearch(DataSource):
@@ -83,5 +170,30 @@ class CorpusSearch(DataSource):
         return Reader(self.options)
 
 
+class CorpusCursor(DataSource):
+    @classmethod
+    def name(cls):
+        return "corpus_cursor"
+
+    def schema(self):
+        return "id string"
+
+    def reader(self, schema):
+        return CursorReader(self.options)
+
+
+class CorpusWorks(DataSource):
+    @classmethod
+    def name(cls):
+        return "corpus_works"
+
+    def schema(self):
+        return "doi string, cited_by_count bigint, percentile double, fwci double, oa_url string"
+
+    def reader(self, schema):
+        return WorksReader(self.options)
+
+
 def register(spark: SparkSession) -> None:
-    spark.dataSource.register(CorpusSearch)
+    for source in (CorpusSearch, CorpusCursor, CorpusWorks):
+        spark.dataSource.register(source)
