@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paperloom.functions import merge, sections, text, validity
+from paperloom import schema
+from paperloom.functions import merge, records, sections, text, validity
 from paperloom.functions.falsy import NONWORD, WS, filled
 from paperloom.operators import corpus, dedup, fulltext, hits
 from paperloom.plans import views
@@ -91,7 +92,16 @@ SECOND = "second AS (SELECT pmid, 'new ' || title AS title, CAST(2 AS BIGINT) AS
 paper_query("upsert_latest", f", {SECOND} SELECT p.pmid, coalesce(s.title, p.title) AS title FROM papers p LEFT JOIN second s ON p.pmid = s.pmid")(
     lambda p: corpus.upsert(p.select("pmid", "title", F.lit(1).cast("long").alias("ingest_seq")), p.filter(F.col("pmid").cast("long") % 4 == 0).select("pmid", F.concat(F.lit("new "), "title").alias("title"), F.lit(2).cast("long").alias("ingest_seq"))).select("pmid", "title")
 )
-paper_query("failed_doi_upsert", "SELECT doi, max(pmid) AS pmid FROM papers WHERE doi IS NOT NULL AND NOT is_full_text_pmc GROUP BY doi")(lambda p: (lambda f: corpus.upsert(f.limit(0), f, "doi", "pmid").select("doi", "pmid"))(p.filter("doi is not null and not is_full_text_pmc").select("doi", "pmid")))
+paper_query("failed_doi_upsert", "SELECT doi, max(pmid) AS pmid FROM papers WHERE doi IS NOT NULL AND NOT is_full_text_pmc GROUP BY doi")(lambda p: _failed_upsert(p))
+
+
+def _failed_upsert(p):
+    """Failed DOIs into a table that has an earlier row for each of them."""
+    rows = p.filter("doi is not null and not is_full_text_pmc").groupBy("doi").agg(F.min("pmid").alias("first"), F.max("pmid").alias("last"))
+    old = rows.select("doi", F.concat(F.lit("old "), "first").alias("pmid"), F.lit("2024-01-01").alias("timestamp"))
+    return corpus.upsert(old, rows.select("doi", F.col("last").alias("pmid"), F.lit("2024-02-01").alias("timestamp")), "doi", "timestamp").select("doi", "pmid")
+
+
 OTHER = "src AS (SELECT CASE WHEN i % 2 = 0 THEN 'x' || pmid ELSE pmid END AS pmid, doi, CASE WHEN i % 3 = 0 THEN title || ' extended' ELSE '' END AS title, list_slice(authors, 2, 3) || ['Extra'] AS authors, CASE WHEN i % 2 = 0 THEN cited_by_count + 1 ELSE 0 END AS cited_by_count FROM (SELECT *, CAST(pmid AS BIGINT) AS i FROM papers) WHERE i % 5 = 1), tgt AS (SELECT pmid, doi, title, authors, cited_by_count FROM papers WHERE CAST(pmid AS BIGINT) % 5 <> 1 OR CAST(pmid AS BIGINT) % 2 = 1)"
 
 
@@ -102,7 +112,20 @@ def two_stores(p):
     return src, p.filter((i % 5 != 1) | (i % 2 == 1)).select("pmid", "doi", "title", "authors", "cited_by_count")
 
 
-@query("merge_stores")
+MERGED = f""", {OTHER}, hit AS (SELECT s.*, coalesce((SELECT min(t.pmid) FROM tgt t WHERE t.doi = s.doi), (SELECT min(t.pmid) FROM tgt t WHERE t.pmid = s.pmid)) AS hit FROM src s),
+  placed AS (SELECT *, coalesce(hit, min(pmid) OVER (PARTITION BY coalesce(doi, pmid))) AS cluster FROM hit),
+  ordered AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY pmid) AS rn FROM placed),
+  one AS (SELECT cluster, max(hit) AS hit, arg_min(pmid, rn) AS pmid, coalesce(arg_min(doi, rn) FILTER (WHERE doi <> ''), arg_min(doi, rn)) AS doi, arg_min(title, (-length(title)) * 100000 + rn) AS title,
+    flatten(list(authors ORDER BY rn)) AS every, coalesce(arg_min(cited_by_count, rn) FILTER (WHERE cited_by_count <> 0), arg_min(cited_by_count, rn)) AS cited_by_count FROM ordered GROUP BY cluster),
+  folded AS (SELECT *, list_filter(every, lambda x, i: list_position(every, x) = i) AS authors FROM one)
+  SELECT t.pmid, coalesce(nullif(t.doi, ''), nullif(o.doi, '')) AS doi, CASE WHEN o.hit IS NULL THEN t.title WHEN length(o.title) > length(t.title) THEN o.title ELSE nullif(t.title, '') END AS title,
+    array_to_string(CASE WHEN o.hit IS NULL THEN t.authors ELSE t.authors || list_filter(o.authors, lambda x: NOT list_contains(t.authors, x)) END, '|') AS authors,
+    CASE WHEN o.hit IS NULL OR t.cited_by_count <> 0 THEN t.cited_by_count ELSE nullif(o.cited_by_count, 0) END AS cited_by_count, CASE WHEN o.hit IS NULL THEN 'kept' ELSE 'merged' END AS action
+  FROM tgt t LEFT JOIN folded o ON t.pmid = o.hit
+  UNION ALL SELECT pmid, doi, title, array_to_string(authors, '|'), cited_by_count, 'added' FROM folded WHERE hit IS NULL"""
+
+
+@query("merge_stores", MERGED)
 def _merge_stores(s, d):
     return corpus.merge_stores(*two_stores(views.papers(s, d))).withColumn("authors", F.array_join("authors", "|"))
 
@@ -133,23 +156,25 @@ paper_query("clean_abstract", f"SELECT pmid, {STRIP % f'''regexp_replace(abstrac
 
 
 def clean_sql(c: str) -> str:
-    x = f"regexp_replace({c}, '\\\\documentclass\\[.*?\\]\\{{.*?\\}}.*?\\\\begin\\{{document\\}}(.*?)\\\\end\\{{document\\}}', '\\1', 'gs')"
-    for p in text.PREAMBLE:
+    """Cleaning as SQL, in literals of its own."""
+    x = rf"regexp_replace({c}, '\\documentclass\[.*?\]\{{.*?\}}.*?\\begin\{{document\}}(.*?)\\end\{{document\}}', '\1', 'gs')"
+    for p in (r"\\documentclass\[.*?\]\{.*?\}", r"\\usepackage\{.*?\}", r"\\setlength\{.*?\}\{.*?\}", r"\\begin\{document\}", r"\\end\{document\}"):
         x = f"regexp_replace({x}, '{p}', '', 'g')"
-    for k, v in text.GREEK_MATH.items():
-        x = f"replace({x}, '$$\\{k}$$', '{v}')"
-    for k, v in text.GREEK.items():
-        x = f"replace({x}, '\\{k}', '{v}')"
-    for p, r in text.SPACING:
-        x = f"regexp_replace({x}, '{p}', '{r.replace('$1', chr(92) + '1')}', 'g')"
-    lines = f"list_filter(list_transform(string_split({x}, chr(10)), lambda s: {STRIP % 's'}), lambda s: length(s) > 1 AND NOT regexp_matches(s, '^{NONWORD}+$'))"
-    return STRIP % f"array_to_string({lines}, chr(10))"
+    for name, sign in zip(("alpha", "beta", "gamma", "delta"), "αβγδ"):
+        x = f"replace({x}, '$$\\{name}$$', '{sign}')"
+    for name, sign in zip(("alpha", "beta", "gamma", "delta", "mu", "sigma", "lambda", "theta", "pi", "omega"), "αβγδμσλθπω"):
+        x = f"replace({x}, '\\{name}', '{sign}')"
+    x = rf"regexp_replace(regexp_replace({x}, '\\[a-zA-Z]+\{{([^}}]*)\}}', '\1', 'g'), '\\[a-zA-Z]+', '', 'g')"
+    x = rf"regexp_replace(regexp_replace({x}, '\$+', '', 'g'), '\t+', ' ', 'g')"
+    x = rf"regexp_replace(regexp_replace({x}, ' {{3,}}', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')"
+    lines = f"list_transform(string_split({x}, chr(10)), lambda s: {STRIP % 's'})"
+    kept = f"list_filter({lines}, lambda s: length(s) > 1 AND regexp_matches(s, '[\\p{{L}}\\p{{N}}]'))"
+    return STRIP % f"array_to_string({kept}, chr(10))"
 
 
 def strip_sql(c: str) -> str:
-    for p in text.REFERENCE_TAILS:
-        c = f"regexp_replace({c}, '{p}', '', 'g')"
-    return c
+    headed = rf"regexp_replace({c}, '(?is)\n##\s*references\s*\n.*$', '')"
+    return rf"regexp_replace({headed}, '(?is)\nreferences\s*\n.*$', '')"
 
 
 query("clean_full_text", f"SELECT pmid, {clean_sql('text')} AS text FROM latex")(lambda s, d: views.latex(s, d).select("pmid", text.clean_full_text(F.col("text")).alias("text")))
@@ -158,11 +183,6 @@ query("clean_comprehensive", f"SELECT pmid, {strip_sql(clean_sql('text'))} AS te
 query("reclean_changed", f"SELECT pmid, text AS full_text FROM (SELECT pmid, text AS old, {strip_sql(clean_sql('text'))} AS text FROM latex) WHERE old <> text")(
     lambda s, d: corpus.reclean(views.latex(s, d).select("pmid", F.lit("a").alias("abstract"), F.col("text").alias("full_text"))).select("pmid", "full_text")
 )
-# The same over whole texts, without SQL
-query("clean_full_text_whole")(lambda s, d: views.latex_whole(s, d).select("pmid", text.clean_full_text(F.col("text")).alias("text")))
-query("strip_references_whole")(lambda s, d: views.latex_whole(s, d).select("pmid", text.strip_references(F.col("text")).alias("text")))
-query("clean_comprehensive_whole")(lambda s, d: views.latex_whole(s, d).select("pmid", text.clean_comprehensive(F.col("text")).alias("text")))
-query("reclean_changed_whole")(lambda s, d: corpus.reclean(views.latex_whole(s, d).select("pmid", F.lit("a").alias("abstract"), F.col("text").alias("full_text"))).select("pmid", "full_text"))
 paper_query("query_hash", f"SELECT pmid, md5({STRIP % f'''regexp_replace(title, '{WS}+', ' ', 'g')'''}) AS hash FROM papers")(lambda p: p.select("pmid", text.query_hash(F.col("title")).alias("hash")))
 paper_query("summary_line", "SELECT 'PMID: ' || pmid || ' | DOI: ' || coalesce(doi, 'None') || ' | Title: ' || substring(title, 1, 50) || '...' AS line FROM papers")(lambda p: p.select(text.summary_line(F.col("pmid"), F.col("doi"), F.col("title")).alias("line")))
 paper_query("author_split", f"SELECT pmid, array_to_string(list_filter(list_transform(string_split(array_to_string(authors, '; ') || ';;', ';'), lambda s: {STRIP % 's'}), lambda s: s <> ''), '|') AS authors FROM papers")(lambda p: p.select("pmid", F.array_join(text.authors_of(F.concat(F.array_join("authors", "; "), F.lit(";;"))), "|").alias("authors")))
@@ -170,21 +190,59 @@ paper_query("preprint_journal", "SELECT pmid, CASE WHEN source IN ('PPR', 'MED')
     lambda p: hits.from_europepmc(p.select("pmid", F.lit(None).cast("string").alias("pmcid"), "doi", "title", "abstract", F.array_join("authors", "; ").alias("authors"), "journal", "year", F.col("collection_date").alias("date"), "source", "cited_by_count")).select("pmid", "journal", "is_preprint", "year")
 )
 paper_query("failed_export_rows", "SELECT pmid, doi, title, array_to_string(list_slice(authors, 1, 3), '; ') AS authors, CASE WHEN length(abstract) > 200 THEN substring(abstract, 1, 200) || '...' ELSE abstract END AS abstract, concat(coalesce(doi, 'NO_DOI'), ' | ', pmid, ' | ', substring(title, 1, 80)) AS line FROM papers WHERE NOT is_full_text_pmc")(corpus.failed_export)
-paper_query("json_roundtrip", "SELECT pmid, array_to_string(mesh_terms, '|') AS mesh_terms, cited_by_count FROM papers")(lambda p: (lambda kind: p.select(F.to_json(F.struct("pmid", "mesh_terms", "cited_by_count")).alias("j")).select(F.from_json("j", kind).alias("r")).select("r.pmid", F.array_join("r.mesh_terms", "|").alias("mesh_terms"), "r.cited_by_count"))(p.select("pmid", "mesh_terms", "cited_by_count").schema))
-paper_query("topic_project", "SELECT pmid, journal AS topic_name, CASE WHEN CAST(pmid AS BIGINT) % 2 = 0 THEN source END AS topic_field FROM papers")(
-    lambda p: p.select("pmid", F.struct(F.col("journal").alias("display_name"), F.when(F.col("pmid").cast("long") % 2 == 0, F.struct(F.col("source").alias("display_name"))).alias("field")).alias("t")).select("pmid", F.col("t.display_name").alias("topic_name"), F.col("t.field.display_name").alias("topic_field"))
-)
+paper_query("json_roundtrip", "SELECT pmid, doi, title, full_text, array_to_string(mesh_terms, '|') AS mesh_terms, cited_by_count, is_full_text_pmc, year, 32 AS fields FROM papers")(lambda p: _round_trip(p))
+
+
+def _round_trip(p):
+    """Whole records: all fields of the paper type go to JSON and come back."""
+    kind = schema.paper()
+    record = p.select(*((F.col(f.name) if f.name in p.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in kind))
+    back = records.from_json(records.to_json(record), kind)
+    return back.select("pmid", "doi", "title", "full_text", F.array_join("mesh_terms", "|").alias("mesh_terms"), "cited_by_count", "is_full_text_pmc", "year", F.lit(len(back.columns)).alias("fields"))
+
+
+paper_query("topic_project", """SELECT pmid, journal AS topic_name, CASE WHEN CAST(pmid AS BIGINT) % 2 = 0 THEN source END AS topic_field, CASE WHEN CAST(pmid AS BIGINT) % 3 = 0 THEN year END AS topic_domain,
+  CAST(NULL AS VARCHAR) AS topic_subfield FROM papers""")(lambda p: _topics(p))
+
+
+def _topics(p):
+    i, kind = F.col("pmid").cast("long"), schema.paper()["primary_topic"].dataType
+    named = lambda c: F.struct(F.lit(None).cast("string").alias("id"), c.alias("display_name"))
+    none = F.lit(None).cast("struct<id:string,display_name:string>")
+    topic = F.struct(
+        F.lit("t").alias("id"), F.col("journal").alias("display_name"), F.lit(0.5).alias("score"), none.alias("subfield"),
+        F.when(i % 2 == 0, named(F.col("source"))).alias("field"), F.when(i % 3 == 0, named(F.col("year"))).alias("domain"),
+    ).cast(kind)
+    return p.select("pmid", topic.alias("t")).select("pmid", *records.topic_fields(F.col("t")))
+
+
 query("batch_ids", "SELECT pmid, CAST(floor((row_number() OVER (ORDER BY pmid) - 1) / 30.0) AS BIGINT) AS batch FROM papers")(lambda s, d: corpus.batches(views.papers(s, d), 30))
 
 # Sections
 SECT = "FROM sections GROUP BY pmid"
-BAD = " OR ".join(f"contains(lower(name), '{w}')" for w in validity.BOILERPLATE)
-GOOD = " OR ".join(f"contains(lower(name), '{w}')" for w in validity.MEANINGFUL)
+BAD = "regexp_matches(lower(name), 'conflicts? of interest|competing interests|acknowledge?ments?|funding|financial disclosure|author contributions|data availability|supplementary material|supporting information|abbreviations|keywords|copyright|license|author information|correspondence|ethics|consent')"
+GOOD = "regexp_matches(lower(name), 'introduction|background|method|materials|results|discussion|conclusion|analysis|findings|literature review|theory|hypothesis|experiment|case study|data|implementation|evaluation')"
+paper_query("content_validity_lengths", f"""SELECT pmid, CASE CAST(pmid AS BIGINT) % 4 WHEN 0 THEN length(t) > 2000 WHEN 1 THEN length(t) > 3000 WHEN 2 THEN true ELSE false END AS valid
+  FROM (SELECT pmid, {STRIP % "coalesce(full_text, '')"} AS t FROM papers)""")(lambda p: _lengths(p))
+
+
+def _lengths(p):
+    """No sections; two long notes; a long introduction; one long note: the rules on the text's own length."""
+    i = F.col("pmid").cast("long") % 4
+    note = lambda n, name, size: F.struct(F.lit(n).alias("pos"), F.lit(name).alias("name"), F.lit("x" * size).alias("content"))
+    none = F.array().cast(sections.SECTIONS)
+    found = F.when(i == 0, none).when(i == 1, F.array(note(0, "Note", 600), note(1, "Remark", 501))).when(i == 2, F.array(note(0, "Introduction", 501)))
+    return p.select("pmid", validity.has_meaningful_content(found.otherwise(F.array(note(0, "Note", 600), note(1, "Remark", 500))), F.col("full_text")).alias("valid"))
+
+
 query("content_validity", f"""SELECT pmid, CASE WHEN m >= 1 AND l >= 1 THEN true WHEN l >= 3 AND b < l THEN true WHEN b > 0 AND m = 0 AND l < 3 THEN false WHEN l < 2 THEN false ELSE false END AS valid FROM (
   SELECT pmid, count(*) FILTER (WHERE bad AND NOT a) AS b, count(*) FILTER (WHERE good AND NOT bad AND NOT a) AS m, count(*) FILTER (WHERE NOT a AND NOT bad AND length({STRIP % 'content'}) > 500) AS l
   FROM (SELECT pmid, content, contains(lower(name), 'abstract') AS a, ({BAD}) AS bad, ({GOOD}) AS good FROM sections) GROUP BY pmid)""")(lambda s, d: views.sections(s, d).select("pmid", validity.has_meaningful_content(F.col("sections"), F.lit("")).alias("valid")))
-query("sections_flatten", f"SELECT pmid, {STRIP % '''string_agg('## ' || name || chr(10) || chr(10) || trim_content || chr(10) || chr(10), '' ORDER BY CASE WHEN name = 'Abstract' THEN 1 ELSE 100 END, name)'''} AS text FROM (SELECT *, {STRIP % 'content'} AS trim_content FROM sections WHERE content <> '') GROUP BY pmid")(lambda s, d: views.sections(s, d).select("pmid", sections.to_flat(F.col("sections")).alias("text")))
-query("sections_parse")(lambda s, d: views.sections(s, d).select("pmid", F.explode(sections.from_flat(sections.to_flat(F.col("sections")))).alias("s")).select("pmid", "s.pos", "s.name", "s.content"))
+FLAT = f"SELECT pmid, {STRIP % '''string_agg('## ' || name || chr(10) || chr(10) || trim_content || chr(10) || chr(10), '' ORDER BY CASE WHEN name = 'Abstract' THEN 1 ELSE 100 END, name)'''} AS text FROM (SELECT *, {STRIP % 'content'} AS trim_content FROM sections WHERE content <> '') GROUP BY pmid"
+query("sections_flatten", FLAT)(lambda s, d: views.sections(s, d).select("pmid", sections.to_flat(F.col("sections")).alias("text")))
+query("sections_parse", f"""SELECT pmid, CAST(row_number() OVER (PARTITION BY pmid ORDER BY k) - 1 AS INTEGER) AS pos, {STRIP % "regexp_replace(split_part(part, chr(10), 1), '^#+', '')"} AS name,
+  {STRIP % "substring(part, strpos(part, chr(10)) + 1)"} AS content FROM (SELECT pmid, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM (SELECT pmid, string_split(text, chr(10) || '## ') AS parts FROM ({FLAT})))
+  WHERE contains(part, chr(10))""")(lambda s, d: views.sections(s, d).select("pmid", F.explode(sections.from_flat(sections.to_flat(F.col("sections")))).alias("s")).select("pmid", "s.pos", "s.name", "s.content"))
 query("section_lookup", "SELECT s.pmid, coalesce((SELECT arg_min(content, pos) FROM sections t WHERE t.pmid = s.pmid AND name = 'funding 2'), (SELECT arg_min(content, pos) FROM sections t WHERE t.pmid = s.pmid AND lower(name) = 'funding 2'), (SELECT arg_min(content, pos) FROM sections t WHERE t.pmid = s.pmid AND contains(lower(name), 'funding 2'))) AS content FROM (SELECT DISTINCT pmid FROM sections) s")(lambda s, d: views.sections(s, d).select("pmid", sections.lookup(F.col("sections"), F.lit("funding 2")).alias("content")))
 query("section_keyword", "SELECT s.pmid, f.name FROM (SELECT DISTINCT pmid FROM sections) s LEFT JOIN (SELECT pmid, arg_min(name, pos) AS name FROM sections WHERE contains(lower(name), 'funding') OR contains(lower(name), 'note') GROUP BY pmid) f ON s.pmid = f.pmid")(lambda s, d: views.sections(s, d).select("pmid", sections.find_by_keywords(F.col("sections"), ["Funding", "note"])["name"].alias("name")))
 query("section_names", f"SELECT pmid, string_agg(name, '|' ORDER BY pos) AS names {SECT}")(lambda s, d: views.sections(s, d).select("pmid", F.array_join(sections.names(F.col("sections")), "|").alias("names")))

@@ -12,7 +12,7 @@ papers AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS pmid,
     CASE WHEN d.doc_id % 7 = 0 THEN NULL ELSE concat('10.5555/', md5(d.text)) END AS doi,
     substring(d.text, 1, 80) AS title,
-    CASE WHEN d.doc_id % 11 = 0 THEN '' ELSE split_part(d.text, chr(10), 1) END AS abstract,
+    CASE WHEN d.doc_id % 11 = 0 THEN '' ELSE d.text END AS abstract,
     CASE WHEN d.n_chars >= 1000 THEN d.text END AS full_text,
     coalesce(l.quality = 1, false) AS is_full_text_pmc,
     l.toxic IS NOT NULL AS openalex_retrieved,
@@ -31,8 +31,10 @@ works AS (
     CASE WHEN CAST(pmid AS BIGINT) % 5 = 0 THEN NULL ELSE 'https://oa.example/' || pmid END AS oa_url
   FROM (SELECT min(CAST(pmid AS BIGINT)) AS n, CAST(min(CAST(pmid AS BIGINT)) AS VARCHAR) AS pmid, doi FROM papers WHERE doi IS NOT NULL AND openalex_retrieved GROUP BY doi)),
 latex AS (
-  SELECT pmid, '\documentclass[12pt]{minimal}' || chr(10) || '\usepackage{amsmath} \begin{document}$$\alpha$$ \multirow $5   and ' || title || chr(10) || '-' || chr(10) || ' * ' || chr(10) || chr(9) || abstract || chr(10) || '\foo{bar} \baz qux' || chr(10) || 'References' || chr(10) || '[1] ' || title AS text
-  FROM papers),
+  SELECT CAST(doc_id AS VARCHAR) AS pmid, '\documentclass[12pt]{minimal}' || chr(10) || '\usepackage{amsmath} \begin{document}$$\alpha$$ \multirow $5   and '
+    || substring(text, 1, 80) || chr(10) || '-' || chr(10) || ' * ' || chr(10) || chr(9) || text || chr(10) || '\foo{bar} \baz qux' || chr(10)
+    || CASE WHEN doc_id % 2 = 0 THEN '## ' ELSE '' END || 'References' || chr(10) || '[1] ' || substring(text, 1, 80) AS text
+  FROM documents),
 sections AS (
   SELECT CAST(conv_id AS VARCHAR) AS pmid, CAST(turn AS INTEGER) AS pos,
     CASE WHEN turn = 0 THEN 'Abstract' WHEN turn % 4 = 1 THEN 'Introduction ' || CAST(turn AS VARCHAR) WHEN turn % 4 = 2 THEN 'Funding ' || CAST(turn AS VARCHAR) ELSE 'Note ' || CAST(turn AS VARCHAR) END AS name,
@@ -50,7 +52,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     some = lambda a, n: F.filter(F.slice(words, a, n), lambda x: x != "")
     return d.join(lab, "doc_id", "left").select(
         i.cast("string").alias("pmid"), F.when(i % 7 != 0, F.concat(F.lit("10.5555/"), F.md5("text"))).alias("doi"), F.substring("text", 1, 80).alias("title"),
-        F.when(i % 11 == 0, "").otherwise(F.split_part(F.col("text"), F.lit("\n"), F.lit(1))).alias("abstract"), F.when(F.col("n_chars") >= 1000, F.col("text")).alias("full_text"),
+        F.when(i % 11 == 0, "").otherwise(F.col("text")).alias("abstract"), F.when(F.col("n_chars") >= 1000, F.col("text")).alias("full_text"),
         F.coalesce(F.col("quality") == 1, F.lit(False)).alias("is_full_text_pmc"), F.col("toxic").isNotNull().alias("openalex_retrieved"), (F.col("n_chars") % 100).cast("long").alias("cited_by_count"),
         (i % 8 + 1).cast("long").alias("query_id"), F.concat(F.lit("2024-01-"), (i % 5 + 10).cast("string"), F.lit("T00:00:00")).alias("collection_date"),
         F.when(i % 13 != 0, (1990 + i % 35).cast("string")).alias("year"), F.when(i % 3 == 0, "PPR").when(i % 3 == 1, "MED").otherwise("PMC").alias("source"),
@@ -68,15 +70,11 @@ def works(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return papers(spark, sf_dir).select("pmid", F.concat(F.lit(HEAD), "title", F.lit("\n-\n * \n\t"), "abstract", F.lit("\n\\foo{bar} \\baz qux\nReferences\n[1] "), "title").alias("text"))
-
-
-def latex_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole text of every document between the head and the tail of ``latex``."""
+    """(pmid, text): every document's whole text behind a LaTeX head and before a list of references."""
     title = F.substring("text", 1, 80)
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("string").alias("pmid"), F.concat(F.lit(HEAD), title, F.lit("\n-\n * \n\t"), "text", F.lit("\n\\foo{bar} \\baz qux\nReferences\n[1] "), title).alias("text")
-    )
+    heading = F.when(F.col("doc_id") % 2 == 0, "## ").otherwise("")
+    whole = F.concat(F.lit(HEAD), title, F.lit("\n-\n * \n\t"), "text", F.lit("\n\\foo{bar} \\baz qux\n"), heading, F.lit("References\n[1] "), title)
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("pmid"), whole.alias("text"))
 
 
 def section_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

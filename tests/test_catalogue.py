@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from paperloom.plans import catalogue
+from paperloom.plans import inventory as catalogue
 
 SF = "/root/testdata/sf0.001"
 ROOT = Path(__file__).resolve().parents[1]
@@ -41,7 +41,7 @@ def test_query(spark, duck, name):
 def test_cleaners_run_over_whole_texts(spark):
     """The last word of every line of every document is in the cleaned text."""
     docs = {str(r["doc_id"]): r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    for name in ("clean_full_text_whole", "strip_references_whole", "clean_comprehensive_whole", "reclean_changed_whole"):
+    for name in ("clean_full_text", "strip_references", "clean_comprehensive", "reclean_changed"):
         got = {r[0]: r[1] for r in catalogue.QUERIES[name](spark, SF).collect()}
         assert set(got) == set(docs), name
         for k, t in docs.items():
