@@ -5,17 +5,23 @@ is trained on trusted texts (``labels`` with quality 1 and not toxic), whole; on
 their ids, is held out, so that thresholds come from texts that the model hasn't seen. Counts are summed within each task,
 then by n-gram over all shards. Lower orders use continuation counts; each order has its three discounts from its counts
 of counts. Every n-gram that any document holds gets its interpolated probability from joins of the count tables, order
-by order. The probabilities are written sorted, in shards of key ranges. A task that scores documents holds a run of them
-at a time, sorts its n-grams once and joins them with one shard after another, so its memory is a run and a shard,
-however large the model is. Texts are never shuffled, but for the trusted ones that training needs.
+by order.
+
+Texts are never shuffled, but for the trusted ones that training needs, and no task reads the whole model. Each task that
+reads documents tells its distinct n-grams with its number (split); these rows join the probabilities once, and are
+written by split, so the task that scores the same documents reads a table of just its own n-grams. Were the documents
+dealt differently the second time, n-grams that a task's table lacks would come from the sorted shards of all
+probabilities: that is slower, with the same result.
 
 A document's score is its perplexity for each character, less an allowance for short texts, whose mean surprisal strays
 by some nats over the root of their length: perplexity * exp(-``SHORT`` / sqrt(n_chars)). It is kept if its score is at most
-the ``QUANTILE`` of held-out documents' scores in its language; languages without held-out documents use the quantile over all of them.
+the ``QUANTILE`` of held-out documents' scores in its language; languages with fewer than ``LEAST_HELD`` held-out documents
+use the quantile over all of them.
 
 Defined results: null and empty texts have null perplexity and aren't kept; without any trusted text all perplexities
 are those of the empty model (null) and nothing is kept; null is a language of its own; rows of equal ids are scored each
-on their own, and trusted if their id is; an empty table gives an empty result; other columns are ignored.
+on their own, and trusted if their id is; a very long text is scored in runs that are summed; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,8 +37,12 @@ ORDER = 5
 QUANTILE = 0.99
 SHORT = 1.5
 HELD_OUT = 4
+LEAST_HELD = 20
 RUN_CHARS = 1_000_000
-MOST_TYPES = 2_000_000
+#: Distinct n-grams that a task counts before it passes the counts on.
+TOGETHER = 2_000_000
+#: Splits whose tables share a folder.
+PER_FOLDER = 64
 #: Stands before a text; a control character that ends a heading in no format.
 PAD = "\x02"
 
@@ -91,17 +101,26 @@ def _runs(batches):
 
 
 def grams(docs: DataFrame) -> DataFrame:
-    """(key, gram, n): n-grams of ``docs`` (text), counted within each task."""
+    """(split, key, gram, n): n-grams of ``docs`` (text), counted within each task, whose number is ``split``."""
     import pyarrow as pa
 
-    schema = pa.schema([("key", pa.int64()), ("gram", pa.string()), ("n", pa.int64())])
-
-    def batch(keys, points, counts):
-        text = points.tobytes().decode("utf-32-le", "surrogatepass")
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array([text[i : i + ORDER] for i in range(0, len(text), ORDER)], pa.string()), pa.array(counts)], schema=schema)
+    schema = pa.schema([("split", pa.int32()), ("key", pa.int64()), ("gram", pa.string()), ("n", pa.int64())])
 
     def run(batches):
         import numpy as np
+        from pyspark import TaskContext
+
+        split = TaskContext.get().partitionId()
+
+        def batch(keys, points, counts):
+            text = points.tobytes().decode("utf-32-le", "surrogatepass")
+            words = [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
+            splits = np.full(len(keys), split, dtype=np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(splits), pa.array(keys), pa.array(words, pa.string()), pa.array(counts)], schema=schema)
+
+        def some(keys, points, counts):
+            for i in range(0, len(keys), 100_000):
+                yield batch(keys[i : i + 100_000], points[i : i + 100_000], counts[i : i + 100_000])
 
         keys, points, counts = np.empty(0, np.int64), np.empty((0, ORDER), np.uint32), np.empty(0, np.int64)
         for _, p, of in _runs(batches):
@@ -124,13 +143,12 @@ def grams(docs: DataFrame) -> DataFrame:
                 keys = np.insert(keys, place[new], own[new])
                 counts = np.insert(counts, place[new], n[new])
                 points = np.insert(points, place[new], p[start[:, None] + np.arange(ORDER)], axis=0)
-            if len(keys) > MOST_TYPES:
-                yield batch(keys, points, counts)
+            if len(keys) > TOGETHER:
+                yield from some(keys, points, counts)
                 keys, points, counts = keys[:0], points[:0], counts[:0]
-        for i in range(0, len(keys), 100_000):
-            yield batch(keys[i : i + 100_000], points[i : i + 100_000], counts[i : i + 100_000])
+        yield from some(keys, points, counts)
 
-    return docs.select(docs["text"].cast("string").alias("text")).mapInArrow(common.task(run), "key long, gram string, n long")
+    return docs.select(docs["text"].cast("string").alias("text")).mapInArrow(common.task(run), "split int, key long, gram string, n long")
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -171,8 +189,43 @@ def probabilities(spark: SparkSession, counts: DataFrame, wanted: DataFrame, wor
     return wanted.join(p, "gram").select("key", F.log("p").alias("logp"))
 
 
-def scores(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, lang, n_chars, perplexity) of ``docs`` by the shards of (key, logp) at ``path``."""
+def by_split(spark: SparkSession, asked: DataFrame, table: DataFrame, path: str) -> None:
+    """Write (split, key, logp) of each split's own n-grams, sorted, in folders of PER_FOLDER splits."""
+    rows = asked.select("split", "key").join(table, "key").withColumn("folder", F.floor(F.col("split") / PER_FOLDER).cast("int"))
+    rows = rows.repartitionByRange(common.partitions(spark), "split").sortWithinPartitions("folder", "split", "key")
+    rows.write.mode("overwrite").partitionBy("folder").parquet(path)
+
+
+def _own_table(path: str, split: int):
+    """(keys, logp), sorted, of one split; empty if there is none."""
+    import numpy as np
+    import pyarrow.parquet as pq
+    from pyarrow import fs as pafs
+
+    fs, base = common.open_fs(f"{path}/folder={split // PER_FOLDER}")
+    if fs.get_file_info(base).type == pafs.FileType.NotFound:
+        return np.empty(0, np.int64), np.empty(0, np.float64)
+    t = pq.read_table(base, filesystem=fs, columns=["key", "logp"], filters=[("split", "=", split)], partitioning=None)
+    keys, logp = t.column("key").to_numpy(), t.column("logp").to_numpy()
+    order = np.argsort(keys, kind="stable")
+    return keys[order], logp[order]
+
+
+def _look_up(s, keys, logp, found) -> None:
+    """Put into ``found`` the values of those of the sorted keys ``s`` that a sorted table has."""
+    import numpy as np
+
+    if len(keys) and len(s):
+        a, b = np.searchsorted(s, keys[0]), np.searchsorted(s, keys[-1], side="right")
+        if a < b:
+            place = np.searchsorted(keys, s[a:b])
+            hit = keys[place] == s[a:b]
+            found[a:b][hit] = logp[place[hit]]
+
+
+def scores(spark: SparkSession, docs: DataFrame, path: str, own_path: str) -> DataFrame:
+    """(doc_id, lang, n_chars, perplexity) of ``docs`` by the splits' tables at ``own_path``, else by the shards of
+    (key, logp) at ``path``."""
     import pyarrow as pa
 
     schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("row", pa.int64()), ("n", pa.int64()), ("sum", pa.float64())])
@@ -183,36 +236,24 @@ def scores(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
         from pyarrow import fs as pafs
         from pyspark import TaskContext
 
-        fs, base = common.open_fs(path)
-        shards = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(base)) if f.path.endswith(".parquet") and f.size)
-        kept: list = []
-
-        def shard(f):
-            """Small models stay in memory; a larger one is read shard by shard for each run."""
-            for name, k, v in kept:
-                if name == f:
-                    return k, v
-            t = pq.read_table(f, filesystem=fs)
-            k, v = t.column("key").to_numpy(), t.column("logp").to_numpy()
-            if sum(len(x) for _, x, _ in kept) + len(k) <= MOST_TYPES:
-                kept.append((f, k, v))
-            return k, v
-
-        row, last = (TaskContext.get().partitionId() << 40) - 1, object()
+        split = TaskContext.get().partitionId()
+        keys, logp = _own_table(own_path, split)
+        row, last = (split << 40) - 1, object()
         for rows, p, of in _runs(batches):
             k = _keys(p)
             at = np.flatnonzero(of >= 0)
             order = at[np.argsort(k[at])]
             s, found = k[order], np.full(len(order), np.inf)
-            for f in shards:
-                keys, logp = shard(f)
-                if not len(keys):
-                    continue
-                a, b = np.searchsorted(s, keys[0]), np.searchsorted(s, keys[-1], side="right")
-                if a < b:
-                    place = np.searchsorted(keys, s[a:b])
-                    hit = keys[place] == s[a:b]
-                    found[a:b][hit] = logp[place[hit]]
+            _look_up(s, keys, logp, found)
+            missing = np.flatnonzero(np.isinf(found))
+            if len(missing):
+                fs, base = common.open_fs(path)
+                left, more = s[missing], np.full(len(missing), np.inf)
+                for f in fs.get_file_info(pafs.FileSelector(base)):
+                    if f.path.endswith(".parquet") and f.size:
+                        t = pq.read_table(f.path, filesystem=fs)
+                        _look_up(left, t.column("key").to_numpy(), t.column("logp").to_numpy(), more)
+                found[missing] = more
             assert not np.isinf(found).any(), "an n-gram that the tables lack"
             total = np.bincount(of[order], weights=found, minlength=len(rows))
             count = np.bincount(of[order], minlength=len(rows))
@@ -222,7 +263,8 @@ def scores(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
                     row += 1
                 last = r
                 ids.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array(ids, pa.int64()), pa.array(count, pa.int64()), pa.array(total, pa.float64())], schema=schema)
+            columns = (pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array(ids, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(count, pa.int64()), pa.array(total, pa.float64())], schema=schema)
 
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["lang"].cast("string").alias("lang"), docs["text"].cast("string").alias("text"))
     parts = own.mapInArrow(common.task(run), "doc_id long, lang string, row long, n long, sum double")
@@ -244,20 +286,31 @@ def trusted_texts(spark: SparkSession, docs: DataFrame, trusted: DataFrame) -> D
     return own.filter(perhaps(cell("doc_id"))).join(trusted, "doc_id", "left_semi")
 
 
+def trusted_ids(trusted: DataFrame) -> DataFrame:
+    return trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+
+
 def classify(spark: SparkSession, docs: DataFrame, trusted: DataFrame, work: str, quantile: float = QUANTILE) -> DataFrame:
     """(doc_id, lang, n_chars, perplexity, score, threshold, kept) of every row of ``docs``."""
-    trusted = common.cut(spark, trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct(), f"{work}/trusted")
+    trusted_rows, trusted = trusted, common.cut(spark, trusted_ids(trusted), f"{work}/trusted")
     held = F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(HELD_OUT)) == 0
     counts = grams(trusted_texts(spark, docs, trusted.filter(~held))).groupBy("gram").agg(F.sum("n").alias("c"))
     counts = common.cut(spark, counts, f"{work}/counts")
-    wanted = common.cut(spark, grams(docs).select("key", "gram").distinct(), f"{work}/wanted")
+    # The same columns as in scores(), so that the documents are dealt to tasks in the same way.
+    texts = docs.select("doc_id", "lang", "text")
+    asked = common.cut(spark, grams(texts).select("split", "key", "gram"), f"{work}/asked")
+    wanted = common.cut(spark, asked.select("key", "gram").distinct(), f"{work}/wanted")
     table = probabilities(spark, counts, wanted, work)
-    common.cut(spark, table.repartitionByRange(max(1, common.partitions(spark) // 8), "key").sortWithinPartitions("key"), f"{work}/logp")
-    rows = common.cut(spark, scores(spark, docs, f"{work}/logp"), f"{work}/scores")
+    table = table.repartitionByRange(max(1, common.partitions(spark) // 8), "key").sortWithinPartitions("key")
+    table = common.cut(spark, table, f"{work}/logp")
+    by_split(spark, asked, table, f"{work}/own")
+    rows = common.cut(spark, scores(spark, texts, f"{work}/logp", f"{work}/own"), common.work_dir(spark, "perplexity-scores"))
+    common.drop(spark, work)
+    trusted = trusted_ids(trusted_rows)
     rows = rows.withColumn("score", F.col("perplexity") * F.exp(-SHORT / F.sqrt("n_chars")))
     known = rows.join(trusted.filter(held), "doc_id", "left_semi").filter("score is not null")
     most = lambda: F.percentile_approx("score", F.lit(quantile), F.lit(100_000))
-    by_lang = known.groupBy(F.col("lang").alias("of")).agg(most().alias("own"))
+    by_lang = known.groupBy(F.col("lang").alias("of")).agg(F.when(F.count("*") >= LEAST_HELD, most()).alias("own"))
     overall = known.agg(most().alias("t")).first()["t"]
     out = rows.join(by_lang, F.col("lang").eqNullSafe(F.col("of")), "left")
     threshold = F.coalesce("own", F.lit(overall).cast("double"))

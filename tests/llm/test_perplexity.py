@@ -93,3 +93,24 @@ def test_rough_and_empty(spark, rough, empty, work):
     none = P.classify(spark, rough, rough.select("doc_id").limit(0), f"{work}/b").collect()
     assert len(none) == rough.count() and not any(r["kept"] for r in none)
     assert P.classify(spark, empty, empty.select("doc_id"), f"{work}/c").count() == 0
+
+
+def test_other_splits_give_the_same_scores(spark, work, monkeypatch):
+    """Tables of splits only save reading: with none of them, or with another split's, scores come from all shards."""
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts(6, 80))], "doc_id long, text string, lang string").repartition(4)
+    docs = P.common.cut(spark, docs, f"{work}/docs")
+    trusted = docs.filter("doc_id < 50").select("doc_id")
+    told = lambda k: {r["doc_id"]: (r["n_chars"], round(r["perplexity"], 9), r["kept"]) for r in P.classify(spark, docs, trusted, f"{work}/{k}").collect()}
+    want = told("a")
+    write = P.by_split
+    monkeypatch.setattr(P, "by_split", lambda s, asked, table, path: write(s, asked.withColumn("split", asked["split"] + 1), table, path))
+    assert told("b") == want
+    monkeypatch.setattr(P, "by_split", lambda *_: None)
+    assert told("c") == want
+
+
+def test_few_held_out_texts_give_no_quantile_of_their_own(spark, work):
+    rows = [(i, t, "en") for i, t in enumerate(texts(7, 300))] + [(1_000 + i, "ein fluss und ein stein", "de") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = P.classify(spark, docs, docs.select("doc_id"), work).groupBy("lang").agg({"threshold": "min"}).collect()
+    assert len({r[1] for r in out}) == 1 and len(out) == 2
