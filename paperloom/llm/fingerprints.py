@@ -4,16 +4,17 @@ A text is a sequence of units: words, with words of more than ``UNIT`` character
 that text without spaces works too. A run of ``K`` units is an anchor if the smallest hash among its inner runs of
 ``S`` units lies at either edge. Whether a run is an anchor depends on nothing outside it, so an edit moves only the
 anchors it touches, and anchors of two texts can be matched by value and place. About 2 / (K - S + 1) of all runs are
-anchors, and no K - S + 1 runs in a row lack one. The fingerprint lists the anchors' hashes in order of place, 8 hex
-digits each. Likeness is the Jaccard index of two fingerprints' anchors.
+anchors, and no K - S + 1 runs in a row lack one. The fingerprint lists the anchors' hashes (32 bits) in order of place, 8
+hex digits each. Likeness is the Jaccard index of two fingerprints' anchors.
 
 Neighbours in ascending id are found in ranges of ids: a range's rows meet in one task, together with the first rows of
-the next range (guests). No row's text moves more than once, but for one row in each range.
+the next range (guests). No row's text moves more than once, but for one row in each range. An id that many rows share, or
+null, is cut into ranges by the hash of the text, so these rows are spread like others.
 
 Defined results: null text is empty and has an empty fingerprint; a text of fewer than K units has one anchor, the hash
 of all of them; two empty fingerprints have likeness 1, one against another 0; rows of equal ids follow one another by
 the hash of their texts; null ids come first; a single row is its own neighbour; an empty table gives an empty result;
-other columns are ignored.
+very long texts are fingerprinted whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +31,9 @@ S = 2
 RANGES = 2  # for each shuffle partition
 
 
-def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds ``out``: the hashes of the anchors of column ``text``, in order (array<bigint>)."""
+def with_anchors(df: DataFrame, text: str, out: str, places: bool = False) -> DataFrame:
+    """Adds ``out``: the hashes of the anchors of column ``text``, in order (array<bigint>); with ``places``
+    as array<struct<unit, hash>>, with the units at which anchors begin."""
     u, h, m, n = f"{out}_u", f"{out}_h", f"{out}_m", f"{out}_n"
     size = F.size(u)
     df = df.withColumn(u, F.regexp_extract_all(F.col(text), F.lit(rf"[^\x20\x09-\x0D]{{1,{UNIT}}}"), F.lit(0)))
@@ -45,25 +47,19 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(f"{n}4", pair(F.col(f"{n}2"), 2, least))
     df = df.withColumn(n, pair(F.col(f"{n}4"), 2, least))
     at = lambda c, i: F.get(F.col(c), i)
-    run = lambda x, i: F.when((x == at(m, i)) | (x == at(m, i + K - S)), F.xxhash64(at(m, i), at(m, i + 2), at(m, i + 4), at(h, i + 6)))
-    anchors = F.filter(F.transform(n, run), lambda x: x.isNotNull())
-    short = F.when(size > 0, F.array(F.xxhash64(F.array_join(u, " ")))).otherwise(F.array().cast("array<bigint>"))
+    closed = lambda x, i: (x == at(m, i)) | (x == at(m, i + K - S))
+    whole = lambda i: F.xxhash64(at(m, i), at(m, i + 2), at(m, i + 4), at(h, i + 6))
+    told = lambda i, x: F.struct(i.cast("int").alias("unit"), x.alias("hash")) if places else x
+    anchors = F.filter(F.transform(n, lambda x, i: F.when(closed(x, i), told(i, whole(i)))), lambda x: x.isNotNull())
+    alone = F.array(told(F.lit(0), F.xxhash64(F.array_join(u, " "))))
+    none = F.array().cast("array<struct<unit:int,hash:bigint>>" if places else "array<bigint>")
+    short = F.when(size > 0, alone).otherwise(none)
     return df.withColumn(out, F.when(size >= K, anchors).otherwise(short)).drop(u, h, m, n, f"{n}2", f"{n}4")
 
 
 def anchor_places(df: DataFrame, text: str = "text") -> DataFrame:
     """(all columns, places): the anchors with the unit at which each begins, array<struct<unit, hash>>, for matching."""
-    u = F.regexp_extract_all(F.col(text), F.lit(rf"[^\x20\x09-\x0D]{{1,{UNIT}}}"), F.lit(0))
-    df = df.withColumn("_h", F.transform(u, lambda x: F.xxhash64(x)))
-    df = df.withColumn("_m", F.zip_with(F.slice("_h", 1, F.greatest(F.size("_h") - 1, F.lit(0))), F.slice("_h", 2, F.greatest(F.size("_h") - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b)))
-    at = lambda c, i: F.get(F.col(c), i)
-    inner = lambda i: F.least(*(at("_m", i + j) for j in range(K - S + 1)))
-    chosen = F.filter(
-        F.transform(F.sequence(F.lit(0), F.greatest(F.size("_h") - K, F.lit(0))), lambda i: F.struct(i.alias("unit"), F.when((inner(i) == at("_m", i)) | (inner(i) == at("_m", i + K - S)), F.xxhash64(at("_m", i), at("_m", i + 2), at("_m", i + 4), at("_h", i + 6))).alias("hash"))),
-        lambda x: x["hash"].isNotNull(),
-    )
-    whole = F.when(F.size("_h") > 0, F.array(F.struct(F.lit(0).alias("unit"), F.xxhash64(F.array_join(u, " ")).alias("hash")))).otherwise(F.array().cast("array<struct<unit:int,hash:bigint>>"))
-    return df.withColumn("places", F.when(F.size("_h") >= K, chosen).otherwise(whole)).drop("_h", "_m")
+    return with_anchors(df, text, "places", places=True)
 
 
 def likeness(a: str, b: str) -> Column:
@@ -72,27 +68,56 @@ def likeness(a: str, b: str) -> Column:
 
 
 def written(anchors: str) -> Column:
-    return F.array_join(F.transform(anchors, lambda x: F.lower(F.lpad(F.hex(x.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))), "")
+    return F.array_join(F.transform(anchors, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
+
+
+LEAST = -(2**63)
+
+
+def cuts(at: list[int]) -> list[tuple[int, int]]:
+    """Bounds (key, tie) of ranges from keys at equal ranks. A key that comes c times is cut into c ranges by its ties."""
+    out = []
+    for k in sorted(set(at)):
+        c = at.count(k)
+        out += [(k, LEAST + j * (2**64 // c)) for j in range(c)]
+    return out
+
+
+def range_of(bounds: list[tuple[int, int]]) -> Column:
+    """How many of the sorted bounds are at most a row's (key, tie), from 0. Few keys have more than one bound."""
+    keys = F.array(*(F.lit(k) for k, _ in bounds)).cast("array<bigint>")
+    place = F.size(F.filter(keys, lambda b: b <= F.col("key")))
+    for k in sorted({k for k, t in bounds if t != LEAST}):
+        ties = F.array(*(F.lit(t) for b, t in bounds if b == k)).cast("array<bigint>")
+        place -= F.when(F.col("key") == k, F.size(F.filter(ties, lambda t: t > F.col("tie")))).otherwise(0)
+    return place - 1
 
 
 def in_ranges(docs: DataFrame, ranges: int) -> DataFrame:
     """(doc_id, text, tie, range, guest): every row in the range of its id, and each range's first rows, once more, as
     guests of the range before (the first range's: of the last), to be ordered after that range's own."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), common.text_of(docs).alias("text"))
-    key = F.coalesce("doc_id", F.lit(-(2**63)))
+    key = F.coalesce("doc_id", F.lit(LEAST))
     steps = [i / ranges for i in range(ranges)]
     found = rows.agg(F.percentile_approx(key, steps, 20 * ranges).alias("at"), F.min(key).alias("least")).first()
-    bounds = sorted({found["least"], *(found["at"] or [])} - {None})
-    if not bounds:
-        bounds = [0]
+    bounds = cuts([found["least"], *found["at"][1:]]) if found["at"] else [(0, LEAST)]
     rows = rows.withColumn("key", key).withColumn("tie", F.xxhash64("text"))
-    table = F.array(*map(F.lit, bounds)).cast("array<bigint>")
-    rows = rows.withColumn("range", F.size(F.filter(table, lambda b: b <= F.col("key"))) - 1)
-    before = F.pmod(F.col("range") - 1, F.lit(len(bounds)))
+    shared = sorted({k for k, t in bounds if t != LEAST})
+    if shared:
+        # Of the ranges that ties cut, those with rows count, each from its first row on: one row for each range.
+        some = rows.filter(F.col("key").isin(*shared)).groupBy(range_of(bounds).alias("r")).agg(F.min(F.struct("key", "tie")).alias("f"))
+        firsts = {(r["f"]["key"], r["f"]["tie"]) for r in some.collect()}
+        bounds = sorted({(k, t) for k, t in bounds if k not in shared} | firsts)
+    rows = rows.withColumn("range", range_of(bounds))
+    opens = F.array_contains(F.array(*(F.lit(k) for k, _ in bounds if k not in shared)).cast("array<bigint>"), F.col("key"))
+    for k in shared:
+        opens |= (F.col("key") == k) & F.col("tie").isin(*(t for b, t in bounds if b == k))
+    used = len(bounds)
     own = F.struct(F.col("range").alias("range"), F.lit(False).alias("guest"))
-    guest = F.struct(before.alias("range"), F.lit(True).alias("guest"))
-    places = F.when(F.array_contains(table, F.col("key")), F.array(own, guest)).otherwise(F.array(own))
-    return rows.select("doc_id", "text", "tie", "key", F.explode(places).alias("p")).select("doc_id", "text", "tie", "key", "p.range", "p.guest")
+    guest = F.struct(F.pmod(F.col("range") - 1, F.lit(used)).alias("range"), F.lit(True).alias("guest"))
+    places = F.when(opens, F.array(own, guest)).otherwise(F.array(own))
+    rows = rows.select("doc_id", "text", "tie", "key", F.explode(places).alias("p"))
+    return rows.select("doc_id", "text", "tie", "key", "p.range", "p.guest")
 
 
 def with_neighbours(docs: DataFrame, ranges: int) -> DataFrame:
@@ -104,6 +129,9 @@ def with_neighbours(docs: DataFrame, ranges: int) -> DataFrame:
     edited = F.when(F.col("guest"), F.lit("")).otherwise(F.concat(F.substring("text", F.lit(1), n - q), F.substring(F.coalesce("following_text", F.lit("")), F.lit(1), q)))
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited_text", edited).drop("following_text")
     rows = with_anchors(with_anchors(rows, "text", "fp"), "edited_text", "edited")
+    # What is written is what is compared.
+    low = lambda c: F.transform(c, lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)))
+    rows = rows.withColumn("fp", low("fp")).withColumn("edited", low("edited"))
     rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited_text").cast("binary"), 256)).drop("text", "edited_text")
     return rows.withColumn("following", F.lead("fp").over(order)).filter(~F.col("guest"))
 

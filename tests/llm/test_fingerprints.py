@@ -84,3 +84,14 @@ def test_no_python_and_empty(spark, rough, empty):
     assert "Python" not in P.with_neighbours(rough, 4)._jdf.queryExecution().toString()
     assert P.with_neighbours(empty, 4).count() == 0
     assert F is not None
+
+
+def test_an_id_that_many_rows_share_is_spread(spark):
+    """A third of the rows without id, some of them equal, and a third of one id."""
+    rows = [(None, f"null {i % 40} " + "a b c d e f g h " * (i % 5)) for i in range(60)] + [(7, f"seven {i} words of it " * (1 + i % 4)) for i in range(60)] + [(i, f"own {i} text") for i in range(60)]
+    rows += [(None, "the same text in many rows")] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for ranges in (1, 4, 16):
+        assert result(df, ranges) == brute(rows), ranges
+    ranged = P.in_ranges(df, 16).filter("not guest")
+    assert ranged.filter("doc_id is null").select("range").distinct().count() > 2 and ranged.filter("doc_id = 7").select("range").distinct().count() > 2
