@@ -418,3 +418,17 @@ def one_of_each(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int =
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10: components of all ``documents`` by 3-word shingles at a Jaccard index of 0.9."""
     return join(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), 3, 90)
+
+
+#: All pairs that share a shingle, and components by walking links.
+SQL = """WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM w),
+sizes AS (SELECT doc_id, len(g) AS n FROM sets),
+grams AS (SELECT doc_id, unnest(g) AS gram FROM sets),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM met JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * shared >= 90 * (x.n + y.n - shared)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM sizes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, r.c AS component_id FROM sizes s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON s.doc_id = r.a"""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from paperloom.llm import fingerprints, mixing, ngram_join, packing, perplexity, preferences, quality_rules, secret_scan, substring_dedup, token_store
+from paperloom.llm import (
+    fingerprints, mixing, ngram_join, packing, perplexity, preferences, quality_rules, secret_scan, substring_dedup, token_store,
+)
 
 QUERIES = {
     "op1_token_store": token_store.query,
@@ -17,4 +19,4 @@ QUERIES = {
     "op10_ngram_join": ngram_join.query,
 }
 
-ORACLES: dict[str, str] = {"op7_preferences": preferences.SQL}
+ORACLES: dict[str, str] = {"op2_secret_scan": secret_scan.SQL, "op7_preferences": preferences.SQL, "op10_ngram_join": ngram_join.SQL}

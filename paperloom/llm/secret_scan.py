@@ -255,3 +255,26 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda k: F.size(F.filter("_spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     base = joined(F.filter("_spans", lambda s: s["kind"].isin(*BASE)))
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), *map(count, BASE), F.sha2(base.cast("binary"), 256).alias("base_sha256"), joined(F.col("_spans")).alias("spans"), F.col("_blob").alias("blob"))
+
+
+def _rule_sql(rank: int, kind: str, pattern: str, group: int = 0, least: int = 0) -> str:
+    """Matches of one rule as (doc_id, rank, kind, start, end): sums of the gaps and matches before each."""
+    sums = "CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS BIGINT)"
+    return f"""SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {sums} AS start, {sums} + length(found[i]) AS stop FROM (
+    SELECT doc_id, found, checked, gaps, unnest(range(1, len(found) + 1)) AS i FROM (
+      SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS found, regexp_extract_all(t, '{pattern}', {group}) AS checked, string_split_regex(t, '{pattern}') AS gaps FROM d))
+  WHERE length(checked[i]) >= {least}"""
+
+
+_SQL_RULES = [
+    ("assign", "(?i)(password|passwd|secret|token|api_?key)[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", "[0-9a-f]+", 0, 32), ("pem", "-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"), ("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
+    ("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]+"), ("bearer", "(?i)bearer\\x20+[A-Za-z0-9+/_.=-]{16,}"),
+]
+_TOLD = "kind || ':' || start || ':' || stop, ',' ORDER BY start, rank"
+SQL = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({" UNION ALL ".join(_rule_sql(k, *r) for k, r in enumerate(_SQL_RULES))}),
+told AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+  string_agg({_TOLD}) FILTER (WHERE rank < 3) AS base, string_agg({_TOLD}) AS spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(t) AS blob
+FROM d LEFT JOIN told ON d.doc_id = told.doc_id"""
