@@ -193,6 +193,10 @@ class CorpusStore:
         shown = F.when(F.length("query") > 200, F.concat(F.substring("query", 1, 200), F.lit("..."))).otherwise(F.col("query"))
         return self.upsert("query_cache", row.withColumn("query_hash", query_hash(F.col("query"))).withColumn("query", shown))
 
+    def cache_entries(self) -> DataFrame:
+        """The cached queries, newest first, without their ids."""
+        return self.read("query_cache").drop("pmids").orderBy(F.desc("cached_date"), "query_hash")
+
     def cache_info(self) -> DataFrame:
         """One row: entries, ids in them, and the bytes of the cache's files."""
         size = 0

@@ -12,7 +12,7 @@ from paperloom.functions.falsy import WS
 from paperloom.operators import corpus, dedup, fulltext, hits, pubmed
 from paperloom.operators.store import CorpusStore
 from paperloom.plans import collect, views
-from paperloom.plans.catalogue import ORACLES, QUERIES, paper_query, query
+from paperloom.plans.catalogue import ORACLES, QUERIES, clean_sql, paper_query, query, strip_sql
 from paperloom.sources import files, remote
 from paperloom.sources.querylang import doi_filter, predicate, preprint_query, with_suffix
 
@@ -160,6 +160,18 @@ query("fulltext_by_doi", "SELECT p.pmid, s.pmid IS NOT NULL AS found, CASE WHEN
 )
 
 
+def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pmid, html): every conversation as a page with a headed part for each turn."""
+    part = tag("div", tag("h2", F.col("name")), tag("p", escaped(F.col("content")), tag("script", "var t = '</p>';")))
+    rows = views.section_rows(spark, sf_dir).select("pmid", F.struct("pos", part.alias("x")).alias("p"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["x"]), "")
+    return rows.groupBy("pmid").agg(tag("html", tag("nav", tag("p", "A line of the menu that is long enough")), tag("article", body)).alias("html"))
+
+
+RAW = "SELECT pmid, coalesce(string_agg('## ' || name || chr(10) || chr(10) || said, chr(10) || chr(10) ORDER BY pos) FILTER (WHERE length(said) > 30), '') AS raw FROM turns GROUP BY pmid"
+query("html_sections", f", {TURNS} SELECT pmid, CASE WHEN length(raw) > 500 THEN {strip_sql(clean_sql('raw'))} END AS page_text FROM ({RAW})")(lambda s, d: fulltext.pages(html_pages(s, d)).select("pmid", "page_text"))
+
+
 # Preprints
 
 PRE = "pre AS (SELECT *, CASE WHEN year IS NULL THEN NULL ELSE year || '-0' || (CAST(pmid AS BIGINT) % 9 + 1) || '-15' END AS date_published FROM papers)"

@@ -35,22 +35,33 @@ def client_of(name: str):
 
 
 def split(client, query: str, want: int, last_year: int, first_year: int = 1950) -> list[Page]:
-    """Pages of a query: as it is below the cap, else by year, newest first, and by month where a year is over it."""
+    """Pages of a query: as it is below the cap, else by year, newest first; a year that is over it goes by month, and such
+    a month by day, so nothing is asked for past the cap."""
     total = client.count(query)
     if total <= CAP:
         n = min(total, want)
         return [Page(query, s, min(PAGE, n - s)) for s in range(0, n, PAGE)]
-    out, got = [], 0
-    for year in range(last_year, first_year - 1, -1):
+    out: list[Page] = []
+    got = 0
+
+    def dated(stamp: str, finer):
+        nonlocal got
         if got >= want:
-            break
-        own = f"({query}) AND {year}[pdat]"
+            return
+        own = f"({query}) AND {stamp}[pdat]"
         n = client.count(own)
-        parts = [(own, n)] if n <= CAP else [(q := f"({query}) AND {year}/{m:02d}[pdat]", client.count(q)) for m in range(1, 13)]
-        for q, n in parts:
-            n = min(n, want - got)
-            out += [Page(q, s, min(PAGE, n - s)) for s in range(0, n, PAGE)]
-            got += n
+        if n > CAP and finer is not None:
+            for inner, next_finer in finer:
+                dated(inner, next_finer)
+            return
+        n = min(n, CAP, want - got)
+        out.extend(Page(own, s, min(PAGE, n - s)) for s in range(0, n, PAGE))
+        got += n
+
+    for year in range(last_year, first_year - 1, -1):
+        days = lambda m: [(f"{m}/{d:02d}", None) for d in range(1, 32)]
+        months = [(m := f"{year}/{k:02d}", days(m)) for k in range(1, 13)]
+        dated(str(year), months)
     return out
 
 

@@ -39,3 +39,16 @@ def test_changes_and_summary(spark):
     run = spark.createDataFrame([("q", 3, 0, 0, 0, 0, 0, 0, "2024-01-01T00:00:00", "2024-01-01T00:02:00")], "query string, total_found long, total_processed long, with_full_text long, without_full_text long, with_openalex long, failed_pubmed long, failed_openalex long, start_time string, end_time string")
     text = corpus.run_summary(run)
     assert "full text: -" in text and "seconds: 120" in text
+
+
+def test_run_of_a_configuration(spark, tmp_path, capsys):
+    rows = papers(spark, {"pmid": "1", "doi": "10.1/a", "title": "alpha"}, {"pmid": "2", "title": "beta"}, {"pmid": "3", "title": "alpha too", "is_full_text_pmc": True})
+    rows.write.parquet(f"file://{tmp_path}/papers")
+    spark.createDataFrame([("10.1/A", 7, 0.5, 1.0, "u")], "doi string, cited_by_count bigint, percentile double, fwci double, oa_url string").write.parquet(f"file://{tmp_path}/works")
+    (tmp_path / "c.json").write_text(json.dumps({"queries": ["alpha[ti]", "beta[ti]"], "output_dir": f"file://{tmp_path}/out", "test_db": True, "queries_suffix": "NOT too", "use_suffix": True}))
+    cli.main(["run", "--base", "unused", "--config", f"file://{tmp_path}/c.json", "--papers", f"file://{tmp_path}/papers", "--works", f"file://{tmp_path}/works", "--log", f"{tmp_path}/log"], spark)
+    store = CorpusStore(spark, f"file://{tmp_path}/out/test_store")
+    assert {r["pmid"]: r["cited_by_count"] for r in store.read("papers").collect()} == {"1": 7, "2": None}
+    assert store.read("collection_runs").count() == 2 and "total processed: 1" in (tmp_path / "log").read_text()
+    store.put_cache("q", ["1"], 5, "now")
+    assert [r["query"] for r in store.cache_entries().collect()] == ["q"]

@@ -199,3 +199,21 @@ def test_tee_log_and_folders(tmp_path):
     assert files.tee_log("paperloom-test", "elsewhere") is log
     log.info("a line")
     assert (tmp_path / "run.log").read_text().endswith("a line\n") and files.output_folders("/b")["store"] == "/b/store"
+
+
+class Crowded:
+    """30,000 ids in one month, 1,500 of them on most of its days."""
+
+    def count(self, query):
+        depth = query.count("/")
+        if "[pdat]" not in query:
+            return 30_000
+        if "2024" not in query or ("/" in query and "2024/03" not in query):
+            return 0
+        return 30_000 if depth < 2 else 1_500 if int(query.rpartition("/")[2][:2]) <= 20 else 0
+
+
+def test_crowded_months_go_by_day():
+    pages = remote.split(Crowded(), "q", 50_000, 2024)
+    assert sum(p.size for p in pages) == 30_000 and all(p.start + p.size <= remote.CAP for p in pages) and pages[0].query.endswith("2024/03/01[pdat]")
+    assert sum(p.size for p in remote.split(Crowded(), "q", 4_000, 2024)) == 4_000
