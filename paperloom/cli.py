@@ -29,7 +29,9 @@ def dedup_command(store: CorpusStore, args) -> None:
     elif args.apply:
         print("snapshot", store.write("papers", resolved(papers, args.strategy)))
     else:
-        dedup.plan(papers, args.strategy == "keep-fulltext").orderBy("doi", "action", "pmid").show(args.rows, truncate=False)
+        dedup.plan(
+            papers, args.strategy == "keep-fulltext"
+        ).orderBy("doi", "action", "pmid").show(args.rows, truncate=False)
 
 
 def merge_command(store: CorpusStore, args) -> None:
@@ -70,7 +72,11 @@ def run_command(spark: SparkSession, args) -> None:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="paperloom", description=__doc__)
     sub = parser.add_subparsers(dest="command", required=True)
-    commands = {n: sub.add_parser(n) for n in ("stats", "duplicates", "dedup", "merge", "reclean", "search", "export", "failed", "cache", "restore", "run")}
+    commands = {
+        n: sub.add_parser(n) for n in (
+            "stats", "duplicates", "dedup", "merge", "reclean", "search", "export", "failed", "cache", "restore", "run"
+        )
+    }
     for p in commands.values():
         p.add_argument("--base", required=True, help="folder of the store")
         p.add_argument("--rows", type=int, default=20)

@@ -27,7 +27,9 @@ def lists(a: Column, b: Column) -> Column:
     return F.concat(a, F.filter(b, lambda x: ~F.array_contains(a, x)))
 
 
-def records(pairs: DataFrame, columns: dict[str, T.DataType], old: str = "a", new: str = "b", key: str = "pmid") -> list[Column]:
+def records(
+    pairs: DataFrame, columns: dict[str, T.DataType], old: str = "a", new: str = "b", key: str = "pmid"
+) -> list[Column]:
     """Columns of the merge of struct ``new`` into struct ``old``."""
     out = []
     for name, kind in columns.items():

@@ -24,16 +24,30 @@ def _headed(s: Column, body: Column) -> Column:
 def clean_sections(c: Column) -> Column:
     """Blank sections go; references are cut only within sections that hold them."""
     name = lambda s: F.lower(s["name"]).isin(*REFERENCE_SECTIONS)
-    text = lambda s: F.when(name(s), strip_references(clean_full_text(s["content"]))).otherwise(clean_full_text(s["content"]))
-    cleaned = F.transform(F.filter(c, lambda s: ~_blank(s["content"])), lambda s: F.struct(s["pos"].alias("pos"), s["name"].alias("name"), text(s).alias("content")))
+    text = lambda s: F.when(
+        name(s), strip_references(clean_full_text(s["content"]))
+    ).otherwise(clean_full_text(s["content"]))
+    cleaned = F.transform(
+        F.filter(c, lambda s: ~_blank(s["content"])),
+        lambda s: F.struct(s["pos"].alias("pos"), s["name"].alias("name"), text(s).alias("content")),
+    )
     return F.filter(cleaned, lambda s: filled(s["content"]))
 
 
 def to_flat(c: Column) -> Column:
     """Text with ## headings, in order of (priority, name)."""
-    rank = lambda s: F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, PRIORITY)), s["name"]), F.lit(0)), F.lit(100))
-    order = F.array_sort(F.transform(c, lambda s: F.struct(rank(s).alias("rank"), s["name"].alias("name"), s["content"].alias("content"))))
-    parts = F.transform(F.filter(order, lambda s: filled(s["content"])), lambda s: _headed(s, F.concat(wstrip(s["content"]), F.lit("\n\n"))))
+    rank = lambda s: F.coalesce(
+        F.nullif(F.array_position(F.array(*map(F.lit, PRIORITY)), s["name"]), F.lit(0)), F.lit(100)
+    )
+    order = F.array_sort(
+        F.transform(
+            c, lambda s: F.struct(rank(s).alias("rank"), s["name"].alias("name"), s["content"].alias("content"))
+        )
+    )
+    parts = F.transform(
+        F.filter(order, lambda s: filled(s["content"])),
+        lambda s: _headed(s, F.concat(wstrip(s["content"]), F.lit("\n\n"))),
+    )
     return wstrip(F.array_join(parts, ""))
 
 
@@ -62,7 +76,11 @@ def lookup(c: Column, name: Column) -> Column:
     """Content of a section: exact name, then in any case, then as a part of a name; the first in order."""
     first = lambda test: F.get(F.filter(c, test), 0)["content"]
     low = F.lower(name)
-    return F.coalesce(first(lambda s: s["name"] == name), first(lambda s: F.lower(s["name"]) == low), first(lambda s: F.contains(F.lower(s["name"]), low)))
+    return F.coalesce(
+        first(lambda s: s["name"] == name),
+        first(lambda s: F.lower(s["name"]) == low),
+        first(lambda s: F.contains(F.lower(s["name"]), low)),
+    )
 
 
 def names(c: Column) -> Column:
@@ -72,16 +90,28 @@ def names(c: Column) -> Column:
 def merge(a: Column, b: Column) -> Column:
     """Shared names: both contents, a blank line between; new names follow."""
     other = lambda s: F.get(F.filter(b, lambda t: t["name"] == s["name"]), 0)["content"]
-    both = F.transform(a, lambda s: F.struct(s["pos"].alias("pos"), s["name"].alias("name"), F.concat_ws("\n\n", s["content"], other(s)).alias("content")))
+    both = F.transform(
+        a,
+        lambda s: F.struct(
+            s["pos"].alias("pos"), s["name"].alias("name"), F.concat_ws("\n\n", s["content"], other(s)).alias("content")
+        ),
+    )
     new = F.filter(b, lambda t: ~F.exists(a, lambda s: s["name"] == t["name"]))
-    shifted = F.transform(new, lambda t, i: F.struct((F.size(a) + i).cast("int").alias("pos"), t["name"].alias("name"), t["content"].alias("content")))
+    shifted = F.transform(
+        new,
+        lambda t, i: F.struct(
+            (F.size(a) + i).cast("int").alias("pos"), t["name"].alias("name"), t["content"].alias("content")
+        ),
+    )
     return F.concat(both, shifted)
 
 
 def find_by_keywords(c: Column, words: list[str]) -> Column:
     """The first section whose name has any of the words, in any case."""
     low = [w.lower() for w in words]
-    return F.get(F.filter(c, lambda s: F.exists(F.array(*map(F.lit, low)), lambda w: F.contains(F.lower(s["name"]), w))), 0)
+    return F.get(
+        F.filter(c, lambda s: F.exists(F.array(*map(F.lit, low)), lambda w: F.contains(F.lower(s["name"]), w))), 0
+    )
 
 
 def full_text(c: Column, flat: Column, form: str = "auto") -> Column:

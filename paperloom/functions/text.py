@@ -11,16 +11,40 @@ from paperloom.functions.falsy import NONWORD, WS, wstrip
 
 #: Greek commands of LaTeX, as found between dollar signs and bare.
 GREEK_MATH = {"alpha": "α", "beta": "β", "gamma": "γ", "delta": "δ"}
-GREEK = {"alpha": "α", "beta": "β", "gamma": "γ", "delta": "δ", "mu": "μ", "sigma": "σ", "lambda": "λ", "theta": "θ", "pi": "π", "omega": "ω"}
+GREEK = {
+    "alpha": "α",
+    "beta": "β",
+    "gamma": "γ",
+    "delta": "δ",
+    "mu": "μ",
+    "sigma": "σ",
+    "lambda": "λ",
+    "theta": "θ",
+    "pi": "π",
+    "omega": "ω",
+}
 #: Parts of a LaTeX preamble that are dropped.
-PREAMBLE = (r"\\documentclass\[[^\n]*?\]\{[^\n]*?\}", r"\\usepackage\{[^\n]*?\}", r"\\setlength\{[^\n]*?\}\{[^\n]*?\}", r"\\begin\{document\}", r"\\end\{document\}")
+PREAMBLE = (
+    r"\\documentclass\[[^\n]*?\]\{[^\n]*?\}",
+    r"\\usepackage\{[^\n]*?\}",
+    r"\\setlength\{[^\n]*?\}\{[^\n]*?\}",
+    r"\\begin\{document\}",
+    r"\\end\{document\}",
+)
 #: Three-letter months.
 MONTHS = {m: f"{k:02d}" for k, m in enumerate("Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split(), 1)}
 #: Names of sections that hold references.
 REFERENCE_SECTIONS = ("references", "bibliography", "literature cited")
 
 WHOLE_DOCUMENT = r"(?s)\\documentclass\[.*?\]\{.*?\}.*?\\begin\{document\}(.*?)\\end\{document\}"
-SPACING = ((r"\\[a-zA-Z]+\{([^}]*)\}", "$1"), (r"\\[a-zA-Z]+", ""), (r"\$+", ""), (r"\t+", " "), (r" {3,}", " "), (r"\n{3,}", "\n\n"))
+SPACING = (
+    (r"\\[a-zA-Z]+\{([^}]*)\}", "$1"),
+    (r"\\[a-zA-Z]+", ""),
+    (r"\$+", ""),
+    (r"\t+", " "),
+    (r" {3,}", " "),
+    (r"\n{3,}", "\n\n"),
+)
 REFERENCE_TAILS = (r"(?is)\n##\s*references\s*\n.*$", r"(?is)\nreferences\s*\n.*$")
 
 
@@ -89,4 +113,12 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 
 def summary_line(pmid: Column, doi: Column, title: Column) -> Column:
-    return F.concat(F.lit("PMID: "), pmid, F.lit(" | DOI: "), F.coalesce(doi, F.lit("None")), F.lit(" | Title: "), F.substring(F.coalesce(title, F.lit("")), 1, 50), F.lit("..."))
+    return F.concat(
+        F.lit("PMID: "),
+        pmid,
+        F.lit(" | DOI: "),
+        F.coalesce(doi, F.lit("None")),
+        F.lit(" | Title: "),
+        F.substring(F.coalesce(title, F.lit("")), 1, 50),
+        F.lit("..."),
+    )

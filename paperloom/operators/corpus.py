@@ -17,7 +17,9 @@ def upsert(existing: DataFrame, new: DataFrame, key: str = "pmid", seq: str = "i
     rows = existing.unionByName(new).filter(F.col(key).isNotNull())
     # max_by keeps one row for each key and task before the shuffle; a window would move them all.
     columns = [c for c in rows.columns if c != key]
-    return rows.groupBy(key).agg(F.max_by(F.struct(*columns), seq).alias("r")).select(key, "r.*").select(*existing.columns)
+    return rows.groupBy(key).agg(
+        F.max_by(F.struct(*columns), seq).alias("r")
+    ).select(key, "r.*").select(*existing.columns)
 
 
 def needs_enrichment(abstract: Column, full_text: Column) -> Column:
@@ -29,21 +31,33 @@ def classify(candidates: DataFrame, store: DataFrame, skip_existing: bool = Fals
     state = needs_enrichment(F.col("abstract"), F.col("full_text"))
     known = store.select("pmid", F.when(filled(F.col("doi")), F.col("doi")).alias("doi"), state.alias("needs"))
     by_pmid = known.select(F.col("pmid").alias("id"), F.col("needs").alias("by_pmid"))
-    by_doi = known.filter("doi is not null").groupBy(F.col("doi").alias("id")).agg(F.min_by("needs", "pmid").alias("by_doi"))
-    found = candidates.select("id").join(by_pmid, "id", "left").join(by_doi, "id", "left").withColumn("needs", F.coalesce("by_pmid", "by_doi"))
+    by_doi = known.filter("doi is not null").groupBy(F.col("doi").alias("id")).agg(
+        F.min_by("needs", "pmid").alias("by_doi")
+    )
+    found = candidates.select("id").join(by_pmid, "id", "left").join(by_doi, "id", "left").withColumn(
+        "needs", F.coalesce("by_pmid", "by_doi")
+    )
     enrich = F.lit("skip") if skip_existing else F.lit("enrich")
-    return found.select("id", F.when(F.col("needs").isNull(), "new").when(F.col("needs"), enrich).otherwise("skip").alias("action"))
+    return found.select(
+        "id", F.when(F.col("needs").isNull(), "new").when(F.col("needs"), enrich).otherwise("skip").alias("action")
+    )
 
 
 def enrich(papers: DataFrame, works: DataFrame) -> DataFrame:
     """Citation data by DOI in any case. Matched metrics overwrite, also with null; an address only if there is one."""
-    side = works.select(doi_key(F.col("doi")).alias("_key"), *(F.col(c).alias(f"_{c}") for c in ("cited_by_count", "percentile", "fwci", "oa_url")), F.lit(True).alias("_hit"))
+    side = works.select(
+        doi_key(F.col("doi")).alias("_key"),
+        *(F.col(c).alias(f"_{c}") for c in ("cited_by_count", "percentile", "fwci", "oa_url")),
+        F.lit(True).alias("_hit"),
+    )
     side = side.filter("_key is not null").dropDuplicates(["_key"])
     rows = papers.withColumn("_key", F.when(filled(F.col("doi")), doi_key(F.col("doi")))).join(side, "_key", "left")
     hit = F.col("_hit").isNotNull()
     out = {
         "cited_by_count": F.when(hit, F.col("_cited_by_count")).otherwise(F.col("cited_by_count")),
-        "citation_normalized_percentile": F.when(hit, F.col("_percentile")).otherwise(F.col("citation_normalized_percentile")),
+        "citation_normalized_percentile": F.when(hit, F.col("_percentile")).otherwise(
+            F.col("citation_normalized_percentile")
+        ),
         "fwci": F.when(hit, F.col("_fwci")).otherwise(F.col("fwci")),
         "oa_url": F.when(hit & filled(F.col("_oa_url")), F.col("_oa_url")).otherwise(F.col("oa_url")),
         "openalex_retrieved": hit | F.coalesce("openalex_retrieved", F.lit(False)),
@@ -53,7 +67,9 @@ def enrich(papers: DataFrame, works: DataFrame) -> DataFrame:
 
 def doi_lookup(dois: DataFrame, papers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(found: doi, pmid — the first by pmid; not found: doi)."""
-    side = papers.filter(filled(F.col("doi"))).groupBy(doi_key(F.col("doi")).alias("_key")).agg(F.min("pmid").alias("pmid"))
+    side = papers.filter(filled(F.col("doi"))).groupBy(
+        doi_key(F.col("doi")).alias("_key")
+    ).agg(F.min("pmid").alias("pmid"))
     asked = dois.select("doi", doi_key(F.col("doi")).alias("_key")).distinct()
     return asked.join(side, "_key").select("doi", "pmid"), asked.join(side, "_key", "left_anti").select("doi")
 
@@ -75,9 +91,13 @@ def merge_stores(source: DataFrame, target: DataFrame) -> DataFrame:
     keys = target.select(F.col("pmid").alias("t_pmid"), doi("doi").alias("t_doi"))
     first_doi = keys.filter("t_doi is not null").groupBy("t_doi").agg(F.min("t_pmid").alias("by_doi"))
     place = source.select("pmid", doi("doi").alias("s_doi"))
-    place = place.join(first_doi, F.col("s_doi") == F.col("t_doi"), "left").join(keys.select(F.col("t_pmid").alias("by_pmid")), F.col("pmid") == F.col("by_pmid"), "left")
+    place = place.join(first_doi, F.col("s_doi") == F.col("t_doi"), "left").join(
+        keys.select(F.col("t_pmid").alias("by_pmid")), F.col("pmid") == F.col("by_pmid"), "left"
+    )
     place = place.select("pmid", F.coalesce("by_doi", "by_pmid").alias("hit"), "s_doi")
-    place = place.withColumn("cluster", F.coalesce("hit", F.min("pmid").over(W.Window.partitionBy(F.coalesce("s_doi", "pmid")))))
+    place = place.withColumn(
+        "cluster", F.coalesce("hit", F.min("pmid").over(W.Window.partitionBy(F.coalesce("s_doi", "pmid"))))
+    )
     place = place.withColumn("rn", F.row_number().over(W.Window.partitionBy("cluster").orderBy("pmid")))
     rows = source.join(place.select("pmid", "hit", "cluster", "rn"), "pmid")
     longest = lambda n: F.max_by(n, F.struct(F.coalesce(F.length(n), F.lit(0)), -F.col("rn")))
@@ -85,7 +105,14 @@ def merge_stores(source: DataFrame, target: DataFrame) -> DataFrame:
     for name, kind in columns.items():
         c = F.col(name)
         if name in merge.LISTS:
-            flat = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("rn", F.coalesce(c, F.array().cast("array<string>")).alias("v")))), lambda s: s["v"]))
+            flat = F.flatten(
+                F.transform(
+                    F.array_sort(
+                        F.collect_list(F.struct("rn", F.coalesce(c, F.array().cast("array<string>")).alias("v")))
+                    ),
+                    lambda s: s["v"],
+                )
+            )
             folded.append(F.array_distinct(flat).alias(name))
         elif name in merge.LONGEST:
             folded.append(longest(name).alias(name))
@@ -94,9 +121,15 @@ def merge_stores(source: DataFrame, target: DataFrame) -> DataFrame:
         elif name in ("pmid", *merge.EXISTING_ONLY):
             folded.append(F.min_by(c, "rn").alias(name))
         else:
-            folded.append(F.coalesce(F.min_by(c, F.when(merge.truthy(c, kind), F.col("rn"))), F.min_by(c, "rn")).alias(name))
+            folded.append(
+                F.coalesce(F.min_by(c, F.when(merge.truthy(c, kind), F.col("rn"))), F.min_by(c, "rn")).alias(name)
+            )
     one = rows.groupBy("cluster").agg(F.max("hit").alias("hit"), *folded)
-    pairs = target.select(F.struct(*columns).alias("a")).join(one.filter("hit is not null").select("hit", F.struct(*columns).alias("b")), F.col("a.pmid") == F.col("hit"), "left")
+    pairs = target.select(F.struct(*columns).alias("a")).join(
+        one.filter("hit is not null").select("hit", F.struct(*columns).alias("b")),
+        F.col("a.pmid") == F.col("hit"),
+        "left",
+    )
     merged = pairs.select(*[F.when(F.col("hit").isNull(), F.col(f"a.{n}")).otherwise(c).alias(n) for n, c in zip(columns, merge.records(pairs, columns))], F.when(F.col("hit").isNull(), "kept").otherwise("merged").alias("action"))
     added = one.filter("hit is null").select(*columns, F.lit("added").alias("action"))
     return merged.unionByName(added)
@@ -104,13 +137,26 @@ def merge_stores(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def store_statistics(papers: DataFrame, failed: DataFrame) -> DataFrame:
     flag = lambda c, v, name: F.count_if(F.col(c) == v).alias(name)
-    one = papers.agg(F.count("*").alias("total_papers"), flag("is_full_text_pmc", True, "with_full_text"), flag("is_full_text_pmc", False, "without_full_text"), flag("openalex_retrieved", True, "with_openalex"))
+    one = papers.agg(
+        F.count("*").alias("total_papers"),
+        flag("is_full_text_pmc", True, "with_full_text"),
+        flag("is_full_text_pmc", False, "without_full_text"),
+        flag("openalex_retrieved", True, "with_openalex"),
+    )
     return one.join(failed.agg(F.count("*").alias("failed_dois")), F.lit(True))
 
 
 def hit_statistics(hits: DataFrame) -> DataFrame:
     has = lambda c: F.count_if(filled(F.col(c))).alias(f"with_{c}")
-    return hits.agg(F.count("*").alias("total"), has("doi"), has("pmid"), has("abstract"), F.count_if("is_preprint").alias("preprints"), F.count_if(~F.col("is_preprint")).alias("published"), F.sum(F.coalesce("cited_by_count", F.lit(0))).alias("total_citations"))
+    return hits.agg(
+        F.count("*").alias("total"),
+        has("doi"),
+        has("pmid"),
+        has("abstract"),
+        F.count_if("is_preprint").alias("preprints"),
+        F.count_if(~F.col("is_preprint")).alias("published"),
+        F.sum(F.coalesce("cited_by_count", F.lit(0))).alias("total_citations"),
+    )
 
 
 def year_histogram(hits: DataFrame) -> DataFrame:
@@ -118,14 +164,22 @@ def year_histogram(hits: DataFrame) -> DataFrame:
 
 
 def coverage(papers: DataFrame, columns: list[str]) -> DataFrame:
-    return papers.agg(*(F.round(F.avg(F.coalesce(F.col(c) != "", F.lit(False)).cast("int")), 6).alias(f"{c}_coverage") for c in columns))
+    return papers.agg(
+        *(
+            F.round(
+                F.avg(F.coalesce(F.col(c) != "", F.lit(False)).cast("int")), 6
+            ).alias(f"{c}_coverage") for c in columns
+        )
+    )
 
 
 def reclean(papers: DataFrame) -> DataFrame:
     """(pmid, abstract, full_text) of the rows that cleaning changes."""
     a, t = clean_abstract(F.col("abstract")), clean_comprehensive(F.col("full_text"))
     rows = papers.select("pmid", "abstract", "full_text", a.alias("new_abstract"), t.alias("new_text"))
-    return rows.filter(~F.col("abstract").eqNullSafe(F.col("new_abstract")) | ~F.col("full_text").eqNullSafe(F.col("new_text"))).select("pmid", F.col("new_abstract").alias("abstract"), F.col("new_text").alias("full_text"))
+    return rows.filter(
+        ~F.col("abstract").eqNullSafe(F.col("new_abstract")) | ~F.col("full_text").eqNullSafe(F.col("new_text"))
+    ).select("pmid", F.col("new_abstract").alias("abstract"), F.col("new_text").alias("full_text"))
 
 
 def reclean_counts(papers: DataFrame) -> DataFrame:
@@ -147,16 +201,32 @@ def append_report(before: DataFrame, after: DataFrame, new: DataFrame, samples:
     """One row on an append: rows before and after, ids that were new and that were there, and the first keys before."""
     keys = before.select("pmid").orderBy("pmid").limit(samples)
     told = new.select("pmid").distinct().join(before.select("pmid", F.lit(True).alias("there")), "pmid", "left")
-    counts = told.agg(F.count_if(F.col("there").isNull()).alias("added"), F.count_if(F.col("there").isNotNull()).alias("known"))
+    counts = told.agg(
+        F.count_if(F.col("there").isNull()).alias("added"), F.count_if(F.col("there").isNotNull()).alias("known")
+    )
     size = lambda df, name: df.agg(F.count("*").alias(name))
     sample = keys.agg(F.array_sort(F.collect_list("pmid")).alias("sample"))
-    return size(before, "before").join(size(after, "after"), F.lit(True)).join(counts, F.lit(True)).join(sample, F.lit(True))
+    return size(before, "before").join(
+        size(after, "after"), F.lit(True)
+    ).join(counts, F.lit(True)).join(sample, F.lit(True))
 
 
 def failed_export(papers: DataFrame) -> DataFrame:
     """What papers without full text are exported with."""
     rows = papers.filter(F.coalesce(~F.col("is_full_text_pmc"), F.lit(False)))
-    return rows.select("pmid", "doi", "title", F.array_join(F.slice("authors", 1, 3), "; ").alias("authors"), ellipsis(F.col("abstract"), 200).alias("abstract"), F.concat_ws(" | ", F.coalesce(F.nullif("doi", F.lit("")), F.lit("NO_DOI")), "pmid", F.coalesce(F.substring(F.nullif("title", F.lit("")), 1, 80), F.lit("NO_TITLE"))).alias("line"))
+    return rows.select(
+        "pmid",
+        "doi",
+        "title",
+        F.array_join(F.slice("authors", 1, 3), "; ").alias("authors"),
+        ellipsis(F.col("abstract"), 200).alias("abstract"),
+        F.concat_ws(
+            " | ",
+            F.coalesce(F.nullif("doi", F.lit("")), F.lit("NO_DOI")),
+            "pmid",
+            F.coalesce(F.substring(F.nullif("title", F.lit("")), 1, 80), F.lit("NO_TITLE")),
+        ).alias("line"),
+    )
 
 
 def numbered(rows: DataFrame, by: str) -> DataFrame:
@@ -193,12 +263,18 @@ def changes(existing: DataFrame, merged: DataFrame) -> DataFrame:
     notes = []
     for name in ("abstract", "full_text"):
         x, y = F.col(f"a.{name}"), F.col(f"b.{name}")
-        notes.append(F.when(~filled(x) & filled(y), F.lit(f"{name} added")).when(length(y) > length(x), F.concat(F.lit(f"{name} longer by "), (length(y) - length(x)).cast("string"))))
+        notes.append(
+            F.when(~filled(x) & filled(y), F.lit(f"{name} added")).when(
+                length(y) > length(x), F.concat(F.lit(f"{name} longer by "), (length(y) - length(x)).cast("string"))
+            )
+        )
     for name in ("authors", "keywords", "mesh_terms"):
         if name in existing.columns:
             more = F.coalesce(F.size(f"b.{name}"), F.lit(0)) - F.coalesce(F.size(f"a.{name}"), F.lit(0))
             notes.append(F.when(more > 0, F.concat(F.lit(f"{name} grew by "), more.cast("string"))))
-    rows = a.join(b, F.col("a.pmid") == F.col("b.pmid")).select(F.col("a.pmid").alias("pmid"), F.filter(F.array(*notes), lambda x: x.isNotNull()).alias("changes"))
+    rows = a.join(b, F.col("a.pmid") == F.col("b.pmid")).select(
+        F.col("a.pmid").alias("pmid"), F.filter(F.array(*notes), lambda x: x.isNotNull()).alias("changes")
+    )
     return rows.filter(F.size("changes") > 0)
 
 
@@ -206,7 +282,13 @@ def reclean_preview(papers: DataFrame, samples: int = 3, chars: int = 500) -> Da
     """The first characters of some texts before and after cleaning."""
     text = F.col("full_text")
     rows = papers.filter(filled(text)).orderBy("pmid").limit(samples)
-    return rows.select("pmid", F.substring(text, 1, chars).alias("before"), F.substring(clean_comprehensive(text), 1, chars).alias("after"), F.length(text).alias("chars_before"), F.length(clean_comprehensive(text)).alias("chars_after"))
+    return rows.select(
+        "pmid",
+        F.substring(text, 1, chars).alias("before"),
+        F.substring(clean_comprehensive(text), 1, chars).alias("after"),
+        F.length(text).alias("chars_before"),
+        F.length(clean_comprehensive(text)).alias("chars_after"),
+    )
 
 
 def run_summary(run: DataFrame) -> str:
@@ -214,6 +296,23 @@ def run_summary(run: DataFrame) -> str:
     r = run.first()
     done = r["total_processed"] or 0
     percent = f"{100 * r['with_full_text'] / done:.1f} %" if done else "-"
-    seconds = run.sparkSession.range(1).select(F.expr(f"timestampdiff(SECOND, timestamp'{r['start_time']}', timestamp'{r['end_time']}')")).first()[0] if r["start_time"] and r["end_time"] else None
-    names = ("query", "total_found", "total_processed", "with_full_text", "without_full_text", "with_openalex", "failed_pubmed", "failed_openalex")
-    return "\n".join([*(f"{n.replace('_', ' ')}: {r[n]}" for n in names), f"full text: {percent}", f"seconds: {'-' if seconds is None else seconds}"])
+    seconds = run.sparkSession.range(1).select(
+        F.expr(f"timestampdiff(SECOND, timestamp'{r['start_time']}', timestamp'{r['end_time']}')")
+    ).first()[0] if r["start_time"] and r["end_time"] else None
+    names = (
+        "query",
+        "total_found",
+        "total_processed",
+        "with_full_text",
+        "without_full_text",
+        "with_openalex",
+        "failed_pubmed",
+        "failed_openalex",
+    )
+    return "\n".join(
+        [
+            *(f"{n.replace('_', ' ')}: {r[n]}" for n in names),
+            f"full text: {percent}",
+            f"seconds: {'-' if seconds is None else seconds}",
+        ]
+    )

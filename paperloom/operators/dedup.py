@@ -25,12 +25,16 @@ def ranked(papers: DataFrame, fulltext_first: bool = False) -> DataFrame:
     first = [F.coalesce("is_full_text_pmc", F.lit(False)).desc()] if fulltext_first else []
     order = W.Window.partitionBy("doi").orderBy(*first, F.desc("collection_date"), F.asc("pmid"))
     rows = with_doi(papers).select("pmid", "doi", "collection_date", "is_full_text_pmc")
-    return rows.select("pmid", "doi", F.row_number().over(order).alias("rn"), F.count("*").over(W.Window.partitionBy("doi")).alias("n"))
+    return rows.select(
+        "pmid", "doi", F.row_number().over(order).alias("rn"), F.count("*").over(W.Window.partitionBy("doi")).alias("n")
+    )
 
 
 def plan(papers: DataFrame, fulltext_first: bool = False) -> DataFrame:
     """(doi, pmid, action) of every row of a duplicate group: what applying the strategy would do."""
-    return ranked(papers, fulltext_first).filter("n > 1").select("doi", "pmid", F.when(F.col("rn") == 1, "keep").otherwise("delete").alias("action"))
+    return ranked(papers, fulltext_first).filter("n > 1").select(
+        "doi", "pmid", F.when(F.col("rn") == 1, "keep").otherwise("delete").alias("action")
+    )
 
 
 def keep_one(papers: DataFrame, fulltext_first: bool = False) -> DataFrame:
@@ -61,12 +65,19 @@ def report(papers: DataFrame) -> DataFrame:
     per = known.groupBy("has", "doi").agg(F.count("*").alias("n"))
     dup = F.col("has") & (F.col("n") > 1)
     return per.agg(
-        F.sum("n").alias("total_papers"), F.sum(F.when(F.col("has"), F.col("n")).otherwise(0)).alias("with_doi"), F.sum(F.when(~F.col("has"), F.col("n")).otherwise(0)).alias("without_doi"),
-        F.sum(dup.cast("long")).alias("duplicate_groups"), F.sum(F.when(dup, F.col("n")).otherwise(0)).alias("duplicate_rows"),
+        F.sum("n").alias("total_papers"), F.sum(F.when(F.col("has"), F.col("n")).otherwise(0)).alias("with_doi"), F.sum(
+            F.when(~F.col("has"), F.col("n")).otherwise(0)
+        ).alias("without_doi"),
+        F.sum(dup.cast("long")).alias("duplicate_groups"), F.sum(
+            F.when(dup, F.col("n")).otherwise(0)
+        ).alias("duplicate_rows"),
     )
 
 
 def export_groups(papers: DataFrame) -> DataFrame:
     """(doi, count, papers): a row for each group, for JSON."""
     rows = with_doi(papers).join(groups(papers), "doi")
-    return rows.groupBy("doi").agg(F.count("*").alias("count"), F.sort_array(F.collect_list(F.struct("pmid", "title", "collection_date", "is_full_text_pmc"))).alias("papers"))
+    return rows.groupBy("doi").agg(
+        F.count("*").alias("count"),
+        F.sort_array(F.collect_list(F.struct("pmid", "title", "collection_date", "is_full_text_pmc"))).alias("papers"),
+    )

@@ -88,12 +88,16 @@ def extras(article) -> dict[str, list[dict[str, str]]]:
     for e in article.iter():
         if e.tag == "table-wrap":
             rows = [" | ".join(_said(c) for c in r if c.tag in ("td", "th")) for r in e.iter("tr")]
-            out["tables"].append({"label": text(e, "label"), "caption": text(e, "caption"), "content": "\n".join(r for r in rows if r)})
+            out["tables"].append(
+                {"label": text(e, "label"), "caption": text(e, "caption"), "content": "\n".join(r for r in rows if r)}
+            )
         elif e.tag == "fig":
             out["figures"].append({"label": text(e, "label"), "caption": text(e, "caption"), "content": ""})
         elif e.tag == "ref":
             label = text(e, "label")
-            cited = next((c for c in e if c.tag in ("mixed-citation", "element-citation", "citation", "nlm-citation")), e)
+            cited = next(
+                (c for c in e if c.tag in ("mixed-citation", "element-citation", "citation", "nlm-citation")), e
+            )
             out["references"].append({"label": label, "caption": "", "content": _said(cited)})
     return out
 
@@ -101,7 +105,9 @@ def extras(article) -> dict[str, list[dict[str, str]]]:
 def _extra_text(found: dict, include: tuple[str, ...]) -> list[tuple[str, str]]:
     """(section name, text) of the extras asked for."""
     out = []
-    for kind, name, one in (("tables", "TABLES", "Table"), ("figures", "FIGURES", "Figure"), ("references", "REFERENCES", "")):
+    for kind, name, one in (
+        ("tables", "TABLES", "Table"), ("figures", "FIGURES", "Figure"), ("references", "REFERENCES", "")
+    ):
         if kind in include and found[kind]:
             lines = []
             for k, x in enumerate(found[kind], 1):
@@ -277,7 +283,12 @@ def jats(articles: DataFrame, column: str = "xml", include: tuple[str, ...] = ()
         rows = [parse_jats(x, include) for x in xml]
         sections = [[{"pos": k, "name": n, "content": c} for k, n, c in r[1]] for r in rows]
         return pd.DataFrame(
-            {"full_text": [r[0] for r in rows], "sections": sections, "has_body": [r[2] for r in rows], "abstract": [r[3] for r in rows]}
+            {
+                "full_text": [r[0] for r in rows],
+                "sections": sections,
+                "has_body": [r[2] for r in rows],
+                "abstract": [r[3] for r in rows],
+            }
         )
 
     return articles.withColumn("_jats", parsed(F.col(column))).select(*articles.columns, "_jats.*")
@@ -324,9 +335,14 @@ def assemble(text: Column, sections: Column, has_body: Column, abstract: Column,
     article that has an abstract, else null."""
     a = clean_abstract(abstract)
     lead = F.when(filled(a), F.concat(F.lit("ABSTRACT:\n"), a, F.lit("\n\n"))).otherwise("")
-    first = F.when(filled(a), F.array(F.struct(F.lit(-1).alias("pos"), F.lit("Abstract").alias("name"), a.alias("content")))).otherwise(F.array().cast(SECTIONS))
+    first = F.when(
+        filled(a), F.array(F.struct(F.lit(-1).alias("pos"), F.lit("Abstract").alias("name"), a.alias("content")))
+    ).otherwise(F.array().cast(SECTIONS))
     good = F.coalesce(has_body & has_meaningful_content(sections, text), F.lit(False))
-    numbered = F.transform(F.concat(first, sections), lambda s, i: F.struct(i.cast("int").alias("pos"), s["name"].alias("name"), s["content"].alias("content")))
+    numbered = F.transform(
+        F.concat(first, sections),
+        lambda s, i: F.struct(i.cast("int").alias("pos"), s["name"].alias("name"), s["content"].alias("content")),
+    )
     body = F.struct(F.concat(lead, clean_comprehensive(text)).alias("full_text"), numbered.alias("sections"))
     page = F.struct(page_text.alias("full_text"), F.array().cast(SECTIONS).alias("sections"))
     return F.when(good, body).when(filled(a) & filled(page_text), page)
@@ -336,8 +352,12 @@ def waterfall(papers: DataFrame, by_pmcid: DataFrame, by_doi: DataFrame) -> Data
     """papers (pmid, pmcid, doi) with the first text found: by PMC id, then by DOI. Sources are (pmcid | doi, text)."""
     a = by_pmcid.select(F.col("pmcid").alias("_pmcid"), F.col("text").alias("_a"))
     b = by_doi.select(F.col("doi").alias("_doi"), F.col("text").alias("_b"))
-    rows = papers.join(a, filled(F.col("pmcid")) & (F.col("pmcid") == F.col("_pmcid")), "left").join(b, filled(F.col("doi")) & (F.col("doi") == F.col("_doi")), "left")
+    rows = papers.join(
+        a, filled(F.col("pmcid")) & (F.col("pmcid") == F.col("_pmcid")), "left"
+    ).join(b, filled(F.col("doi")) & (F.col("doi") == F.col("_doi")), "left")
     text = F.coalesce(F.when(filled(F.col("_a")), F.col("_a")), F.when(filled(F.col("_b")), F.col("_b")))
-    return rows.withColumn("full_text", text).withColumn("origin", F.when(filled(F.col("_a")), "pmcid").when(filled(F.col("_b")), "doi")).drop("_pmcid", "_a", "_doi", "_b")
+    return rows.withColumn("full_text", text).withColumn(
+        "origin", F.when(filled(F.col("_a")), "pmcid").when(filled(F.col("_b")), "doi")
+    ).drop("_pmcid", "_a", "_doi", "_b")
 
 

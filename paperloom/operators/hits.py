@@ -32,9 +32,15 @@ def from_europepmc(hits: DataFrame) -> DataFrame:
     rows = hits.filter(filled(F.col("doi")) | filled(F.col("pmid")))
     year = F.when(filled(F.col("year")), F.col("year")).when(F.length("date") >= 4, F.substring("date", 1, 4))
     return rows.select(
-        _or("pmid", "doi").alias("pmid"), "pmcid", "doi", "title", "abstract", authors_of(F.coalesce("authors", F.lit(""))).alias("authors"),
-        year.alias("year"), F.col("date").alias("date_published"), preprint_journal(F.col("source"), F.col("journal"), preprint).alias("journal"),
-        preprint.alias("is_preprint"), F.coalesce("cited_by_count", F.lit(0)).cast("long").alias("cited_by_count"), F.lit("EuropePMC").alias("source"),
+        _or("pmid", "doi").alias("pmid"), "pmcid", "doi", "title", "abstract", authors_of(
+            F.coalesce("authors", F.lit(""))
+        ).alias("authors"),
+        year.alias("year"), F.col("date").alias("date_published"), preprint_journal(
+            F.col("source"), F.col("journal"), preprint
+        ).alias("journal"),
+        preprint.alias("is_preprint"), F.coalesce(
+            "cited_by_count", F.lit(0)
+        ).cast("long").alias("cited_by_count"), F.lit("EuropePMC").alias("source"),
     )
 
 
@@ -44,8 +50,12 @@ def from_preprints(hits: DataFrame) -> DataFrame:
     table = F.create_map(*(F.lit(x) for pair in SERVERS.items() for x in pair))
     journal = F.coalesce(F.try_element_at(table, F.lower("server")), F.concat("server", F.lit(" (preprint)")))
     return hits.filter(filled(F.col("doi"))).select(
-        _or("pmid", "doi").alias("pmid"), "doi", "title", "abstract", authors_of(F.coalesce("authors", F.lit(""))).alias("authors"),
-        F.when(F.length(date) >= 4, F.substring(date, 1, 4)).alias("year"), date.alias("date_published"), journal.alias("journal"), F.lit("PubMed").alias("source"),
+        _or("pmid", "doi").alias("pmid"), "doi", "title", "abstract", authors_of(
+            F.coalesce("authors", F.lit(""))
+        ).alias("authors"),
+        F.when(
+            F.length(date) >= 4, F.substring(date, 1, 4)
+        ).alias("year"), date.alias("date_published"), journal.alias("journal"), F.lit("PubMed").alias("source"),
     )
 
 
@@ -121,7 +131,9 @@ def dois_of_titles(titles: DataFrame, works: DataFrame, least: float = 0.8, freq
     a title has rarer ones. Ties go to the smaller DOI.
     """
     words = lambda c: F.array_distinct(F.split(title_key(c), " "))
-    asked = titles.select("title").distinct().withColumn("a", words(F.col("title"))).withColumn("key", title_key(F.col("title")))
+    asked = titles.select("title").distinct().withColumn("a", words(F.col("title"))).withColumn(
+        "key", title_key(F.col("title"))
+    )
     known = works.filter(filled(F.col("doi")) & filled(F.col("title")))
     known = known.select("doi", words(F.col("title")).alias("b"), title_key(F.col("title")).alias("key"))
     exact = asked.filter("key <> ''").join(known.groupBy("key").agg(F.min("doi").alias("doi")), "key")
@@ -136,12 +148,16 @@ def dois_of_titles(titles: DataFrame, works: DataFrame, least: float = 0.8, freq
         rank = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "w")
         ranked = each.groupBy(*keep, c).agg(F.array_sort(F.collect_list(rank)).alias("r"))
         size = F.size("r")
-        return ranked.select(*keep, c, F.explode(F.slice("r", F.lit(1), size - F.ceil(size * least).cast("int") + 1)).alias("h")).select(*keep, c, "h.w")
+        return ranked.select(
+            *keep, c, F.explode(F.slice("r", F.lit(1), size - F.ceil(size * least).cast("int") + 1)).alias("h")
+        ).select(*keep, c, "h.w")
 
     pairs = heads(left, "a", "title").join(heads(known, "b", "doi"), "w").dropDuplicates(["title", "doi", "b"])
     score = F.size(F.array_intersect("a", "b")) / F.size(F.array_union("a", "b"))
     near = pairs.select("title", "doi", score.alias("score")).filter(F.col("score") >= least)
-    best = near.groupBy("title").agg(F.max("score").alias("score"), F.min_by("doi", F.struct(-F.col("score"), "doi")).alias("doi"))
+    best = near.groupBy("title").agg(
+        F.max("score").alias("score"), F.min_by("doi", F.struct(-F.col("score"), "doi")).alias("doi")
+    )
     found = exact.unionByName(best.select("title", "doi", "score"))
     return titles.select("title").distinct().join(found, "title", "left")
 

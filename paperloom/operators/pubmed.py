@@ -42,7 +42,10 @@ def _list(c: Column, kind: str) -> Column:
 
 
 def _ids(c: Column) -> Column:
-    return F.transform(_list(c, "array<struct<_IdType:string,_VALUE:string>>"), lambda x: F.struct(x["_IdType"].alias("kind"), wstrip(x["_VALUE"]).alias("id")))
+    return F.transform(
+        _list(c, "array<struct<_IdType:string,_VALUE:string>>"),
+        lambda x: F.struct(x["_IdType"].alias("kind"), wstrip(x["_VALUE"]).alias("id")),
+    )
 
 
 def _last(ids: Column, test) -> Column:
@@ -50,12 +53,19 @@ def _last(ids: Column, test) -> Column:
 
 
 def _abstract(c: Column) -> Column:
-    parts = F.transform(c, lambda p: F.when(filled(p["_Label"]), F.concat(p["_Label"], F.lit(": "), F.coalesce(p["_VALUE"], F.lit("")))).otherwise(F.coalesce(p["_VALUE"], F.lit(""))))
+    parts = F.transform(
+        c,
+        lambda p: F.when(
+            filled(p["_Label"]), F.concat(p["_Label"], F.lit(": "), F.coalesce(p["_VALUE"], F.lit("")))
+        ).otherwise(F.coalesce(p["_VALUE"], F.lit(""))),
+    )
     return clean_abstract(F.array_join(parts, " "))
 
 
 def _authors(c: Column) -> Column:
-    name = lambda a: F.when(filled(a["LastName"]), F.rtrim(F.concat(a["LastName"], F.lit(" "), F.coalesce(a["Initials"], F.lit(""))))).otherwise(a["CollectiveName"])
+    name = lambda a: F.when(
+        filled(a["LastName"]), F.rtrim(F.concat(a["LastName"], F.lit(" "), F.coalesce(a["Initials"], F.lit(""))))
+    ).otherwise(a["CollectiveName"])
     return F.filter(F.transform(c, name), filled)
 
 
@@ -67,36 +77,56 @@ def published(date: Column) -> Column:
 
 def articles(xml: DataFrame, column: str = "xml") -> DataFrame:
     """Papers of rows that hold a PubmedArticle; others are dropped."""
-    rows = xml.filter(F.contains(F.col(column), F.lit("<PubmedArticle"))).select(F.from_xml(F.col(column), ARTICLE).alias("r"))
+    rows = xml.filter(
+        F.contains(F.col(column), F.lit("<PubmedArticle"))
+    ).select(F.from_xml(F.col(column), ARTICLE).alias("r"))
     m, ids = "r.MedlineCitation", _ids(F.col("r.PubmedData.ArticleIdList.ArticleId"))
     pmcid = F.get(F.filter(ids, lambda x: x["id"].startswith("PMC")), 0)["id"]
     headings = _list(F.col(f"{m}.MeshHeadingList.MeshHeading"), f"array<struct<DescriptorName:{_DESCRIPTOR}>>")
     values = lambda c: F.filter(F.transform(c, lambda h: h["DescriptorName"]["_VALUE"]), filled)
     mesh, major = values(headings), values(F.filter(headings, lambda h: h["DescriptorName"]["_MajorTopicYN"] == "Y"))
     first = F.get(F.col(f"{m}.KeywordList"), 0)["Keyword"]
-    keywords = F.filter(F.transform(_list(first, "array<struct<_VALUE:string,_MajorTopicYN:string>>"), lambda k: k["_VALUE"]), filled)
+    keywords = F.filter(
+        F.transform(_list(first, "array<struct<_VALUE:string,_MajorTopicYN:string>>"), lambda k: k["_VALUE"]), filled
+    )
     kinds = _list(F.col(f"{m}.Article.PublicationTypeList.PublicationType"), "array<struct<_VALUE:string,_UI:string>>")
     kind = F.array_join(F.filter(F.transform(kinds, lambda k: k["_VALUE"]), filled), "; ")
     date = F.col(f"{m}.Article.Journal.JournalIssue.PubDate")
     return rows.select(
-        F.col(f"{m}.PMID._VALUE").alias("pmid"), pmcid.alias("pmcid"), _last(ids, lambda x: x["kind"] == "doi").alias("doi"), F.col(f"{m}.Article.ArticleTitle").alias("title"),
-        _abstract(F.col(f"{m}.Article.Abstract.AbstractText")).alias("abstract"), mesh.alias("mesh_terms"), keywords.alias("keywords"),
-        F.coalesce(_authors(F.col(f"{m}.Article.AuthorList.Author")), F.array().cast("array<string>")).alias("authors"), F.when(filled(date["Year"]), date["Year"]).alias("year"),
-        published(date).alias("date_published"), F.col(f"{m}.Article.Journal.Title").alias("journal"), pmcid.isNotNull().alias("is_full_text_pmc"),
+        F.col(f"{m}.PMID._VALUE").alias("pmid"), pmcid.alias("pmcid"), _last(
+            ids, lambda x: x["kind"] == "doi"
+        ).alias("doi"), F.col(f"{m}.Article.ArticleTitle").alias("title"),
+        _abstract(
+            F.col(f"{m}.Article.Abstract.AbstractText")
+        ).alias("abstract"), mesh.alias("mesh_terms"), keywords.alias("keywords"),
+        F.coalesce(
+            _authors(F.col(f"{m}.Article.AuthorList.Author")), F.array().cast("array<string>")
+        ).alias("authors"), F.when(filled(date["Year"]), date["Year"]).alias("year"),
+        published(date).alias("date_published"), F.col(
+            f"{m}.Article.Journal.Title"
+        ).alias("journal"), pmcid.isNotNull().alias("is_full_text_pmc"),
         F.nullif(kind, F.lit("")).alias("publication_type"), major.alias("mesh_major"),
     )
 
 
 def books(xml: DataFrame, column: str = "xml") -> DataFrame:
     """Papers of rows that hold a PubmedBookArticle."""
-    rows = xml.filter(F.contains(F.col(column), F.lit("<PubmedBookArticle"))).select(F.from_xml(F.col(column), BOOK).alias("r"))
+    rows = xml.filter(
+        F.contains(F.col(column), F.lit("<PubmedBookArticle"))
+    ).select(F.from_xml(F.col(column), BOOK).alias("r"))
     b = "r.BookDocument"
     ids = F.concat(_ids(F.col("r.PubmedBookData.ArticleIdList.ArticleId")), _ids(F.col(f"{b}.ArticleIdList.ArticleId")))
     year = F.get(F.filter(F.col("r.PubmedBookData.History.PubMedPubDate"), lambda d: filled(d["Year"])), 0)["Year"]
     people = F.flatten(F.transform(F.col(f"{b}.AuthorList"), lambda a: a["Author"]))
     return rows.select(
-        F.coalesce(F.get(F.filter(ids, lambda x: x["kind"] == "pubmed"), 0)["id"], F.get(ids, 0)["id"], F.col(f"{b}.PMID._VALUE")).alias("pmid"), F.col(f"{b}.ArticleTitle._VALUE").alias("title"),
-        _abstract(F.col(f"{b}.Abstract.AbstractText")).alias("abstract"), F.coalesce(_authors(people), F.array().cast("array<string>")).alias("authors"), year.alias("year"), F.col(f"{b}.Book.BookTitle._VALUE").alias("journal"),
+        F.coalesce(
+            F.get(F.filter(ids, lambda x: x["kind"] == "pubmed"), 0)["id"],
+            F.get(ids, 0)["id"],
+            F.col(f"{b}.PMID._VALUE"),
+        ).alias("pmid"), F.col(f"{b}.ArticleTitle._VALUE").alias("title"),
+        _abstract(F.col(f"{b}.Abstract.AbstractText")).alias("abstract"), F.coalesce(
+            _authors(people), F.array().cast("array<string>")
+        ).alias("authors"), year.alias("year"), F.col(f"{b}.Book.BookTitle._VALUE").alias("journal"),
     )
 
 

@@ -95,7 +95,9 @@ class CorpusStore:
         """Write rows as buckets into a new folder: {bucket: folder}. Large buckets are spread over tasks, small ones not."""
         folder = f"data-{uuid.uuid4().hex[:12]}"
         rows = df.withColumn("_bucket", self._bucket(table))
-        rows.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.base}/{table}/{folder}")
+        rows.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(
+            f"{self.base}/{table}/{folder}"
+        )
         p, fs = self._fs(f"{self.base}/{table}/{folder}")
         names = [s.getPath().getName() for s in fs.listStatus(p)]
         return {int(n.partition("=")[2]): f"{folder}/{n}" for n in names if n.startswith("_bucket=")}
@@ -125,12 +127,20 @@ class CorpusStore:
         new = rows.select(*(cast(f).alias(f.name) for f in kinds))
         others = [f.name for f in kinds if f.name != key]
         rank = F.struct(F.col(ORDER[table]), F.xxhash64(*others))
-        new = corpus.upsert(new.limit(0).withColumn("_rank", rank), new.withColumn("_rank", rank), key, "_rank").drop("_rank")
+        new = corpus.upsert(
+            new.limit(0).withColumn("_rank", rank), new.withColumn("_rank", rank), key, "_rank"
+        ).drop("_rank")
         v = self.version(table) + 1
         manifest = self.manifest(table, v - 1)
         touched = {r[0] for r in new.select(self._bucket(table)).distinct().collect()}
         old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
-        return self._replace(table, v, manifest, touched, old.join(new.select(key), key, "left_anti").select(*new.columns).unionByName(new))
+        return self._replace(
+            table,
+            v,
+            manifest,
+            touched,
+            old.join(new.select(key), key, "left_anti").select(*new.columns).unionByName(new),
+        )
 
     def _replace(self, table: str, v: int, manifest: dict[int, str], touched: set[int], rows: DataFrame) -> int:
         kept = {k: p for k, p in manifest.items() if k not in touched}
@@ -140,7 +150,11 @@ class CorpusStore:
     def delete(self, table: str, keys: DataFrame) -> int:
         key, v = KEYS[table], self.version(table) + 1
         manifest = self.manifest(table, v - 1)
-        touched = {r[0] for r in keys.select(key).filter(F.col(key).isNotNull()).select(self._bucket(table)).distinct().collect()}
+        touched = {
+            r[0] for r in keys.select(key).filter(
+                F.col(key).isNotNull()
+            ).select(self._bucket(table)).distinct().collect()
+        }
         old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
         return self._replace(table, v, manifest, touched, old.join(keys.select(key), key, "left_anti"))
 
@@ -190,8 +204,12 @@ class CorpusStore:
     def put_cache(self, query: str, pmids: list[str], max_results: int, date: str) -> int:
         kind = "query string, pmids array<string>, count int, max_results int, cached_date string"
         row = self.spark.createDataFrame([(query, pmids, len(pmids), max_results, date)], kind)
-        shown = F.when(F.length("query") > 200, F.concat(F.substring("query", 1, 200), F.lit("..."))).otherwise(F.col("query"))
-        return self.upsert("query_cache", row.withColumn("query_hash", query_hash(F.col("query"))).withColumn("query", shown))
+        shown = F.when(
+            F.length("query") > 200, F.concat(F.substring("query", 1, 200), F.lit("..."))
+        ).otherwise(F.col("query"))
+        return self.upsert(
+            "query_cache", row.withColumn("query_hash", query_hash(F.col("query"))).withColumn("query", shown)
+        )
 
     def cache_entries(self) -> DataFrame:
         """The cached queries, newest first, without their ids."""
@@ -203,7 +221,9 @@ class CorpusStore:
         for path in self.manifest("query_cache", self.version("query_cache")).values():
             p, fs = self._fs(f"{self.base}/query_cache/{path}")
             size += fs.getContentSummary(p).getLength()
-        told = self.read("query_cache").agg(F.count("*").alias("entries"), F.coalesce(F.sum("count"), F.lit(0)).alias("ids"))
+        told = self.read("query_cache").agg(
+            F.count("*").alias("entries"), F.coalesce(F.sum("count"), F.lit(0)).alias("ids")
+        )
         return told.select("*", F.lit(size).cast("long").alias("bytes"), F.round(F.lit(size / 1024), 2).alias("kb"))
 
     def clear_cache(self) -> int:

@@ -32,31 +32,44 @@ def collect(
 ) -> DataFrame:
     """Put the ``found`` papers into the store: new ones and those that need enrichment; gives the run's row."""
     spark = store.spark
-    asked = spark.createDataFrame([(query, description, start)], "query_text string, description string, created_date string")
+    asked = spark.createDataFrame(
+        [(query, description, start)], "query_text string, description string, created_date string"
+    )
     query_id = store.append("queries", asked)
     state = corpus.classify(found.select(F.col("pmid").alias("id")), store.read("papers"), skip_existing)
     chosen = state.filter("action <> 'skip'").select(F.col("id").alias("pmid"))
     todo = found.join(chosen, "pmid", "left_semi")
-    rows = corpus.enrich(todo.withColumn("query_id", F.lit(query_id).cast("long")).withColumn("collection_date", F.lit(start)), works)
+    rows = corpus.enrich(
+        todo.withColumn("query_id", F.lit(query_id).cast("long")).withColumn("collection_date", F.lit(start)), works
+    )
     before = store.version("papers")
     store.upsert("papers", rows)
     written = store.read("papers").join(todo.select("pmid") if before == 0 else chosen, "pmid", "left_semi")
     lacking = written.filter("not coalesce(is_full_text_pmc, false) and coalesce(doi, '') <> ''")
-    store.upsert("failed_dois", lacking.select("doi", "pmid", F.lit("no full text").alias("reason"), F.lit(end).alias("timestamp")))
+    store.upsert(
+        "failed_dois",
+        lacking.select("doi", "pmid", F.lit("no full text").alias("reason"), F.lit(end).alias("timestamp")),
+    )
     run = written.agg(
         F.count("*").alias("total_processed"), F.count_if("is_full_text_pmc").alias("with_full_text"),
         F.count_if("openalex_retrieved").alias("with_openalex"),
-        F.count_if(F.expr("coalesce(doi, '') <> '' and not coalesce(openalex_retrieved, false)")).alias("failed_openalex"),
+        F.count_if(
+            F.expr("coalesce(doi, '') <> '' and not coalesce(openalex_retrieved, false)")
+        ).alias("failed_openalex"),
     )
     told = {
         "query": F.lit(query), "total_found": F.lit(found.count()).cast("long"), "failed_pubmed": F.lit(0).cast("long"),
-        "without_full_text": F.col("total_processed") - F.col("with_full_text"), "start_time": F.lit(start), "end_time": F.lit(end),
+        "without_full_text": F.col(
+            "total_processed"
+        ) - F.col("with_full_text"), "start_time": F.lit(start), "end_time": F.lit(end),
     }
     store.append("collection_runs", run.withColumns(told))
     return store.read("collection_runs").filter(F.col("query") == query).orderBy(F.desc("id")).limit(1)
 
 
-def batch_papers(hits_: DataFrame, articles: DataFrame, works: DataFrame, page_texts: DataFrame | None = None) -> DataFrame:
+def batch_papers(
+    hits_: DataFrame, articles: DataFrame, works: DataFrame, page_texts: DataFrame | None = None
+) -> DataFrame:
     """Papers of Europe PMC hits: hits without id are dropped, full text comes from article XML (pmcid, xml) or, where that
     holds no more than boilerplate, from pages (pmcid, page_text), only for hits with a pmcid; then citation data."""
     rows = hits.from_europepmc(hits_)
@@ -65,34 +78,57 @@ def batch_papers(hits_: DataFrame, articles: DataFrame, works: DataFrame, page_t
         parsed = parsed.withColumn("page_text", F.lit(None).cast("string"))
     else:
         parsed = parsed.join(page_texts.select("pmcid", "page_text"), "pmcid", "left")
-    best = fulltext.assemble(F.col("full_text"), F.col("sections"), F.col("has_body"), F.col("abstract"), F.col("page_text"))
-    texts = parsed.select("pmcid", best.alias("t")).select("pmcid", F.col("t.full_text").alias("full_text"), F.col("t.sections").alias("full_text_sections"))
+    best = fulltext.assemble(
+        F.col("full_text"), F.col("sections"), F.col("has_body"), F.col("abstract"), F.col("page_text")
+    )
+    texts = parsed.select("pmcid", best.alias("t")).select(
+        "pmcid", F.col("t.full_text").alias("full_text"), F.col("t.sections").alias("full_text_sections")
+    )
     rows = rows.join(texts, "pmcid", "left").withColumn("is_full_text_pmc", filled(F.col("full_text")))
-    none = {"citation_normalized_percentile": "double", "fwci": "double", "oa_url": "string", "openalex_retrieved": "boolean"}
+    none = {
+        "citation_normalized_percentile": "double",
+        "fwci": "double",
+        "oa_url": "string",
+        "openalex_retrieved": "boolean",
+    }
     return corpus.enrich(rows.withColumns({c: F.lit(None).cast(k) for c, k in none.items()}), works)
 
 
-def collect_to_files(found: DataFrame, works: DataFrame, path: str, query: str, description: str = "", seen: DataFrame | None = None) -> DataFrame:
+def collect_to_files(
+    found: DataFrame, works: DataFrame, path: str, query: str, description: str = "", seen: DataFrame | None = None
+) -> DataFrame:
     """A run without a store: what has not been ``seen`` (pmid) is enriched and written as JSON artefacts; gives its papers."""
-    todo = found.dropDuplicates(["pmid"]) if seen is None else found.dropDuplicates(["pmid"]).join(seen.select("pmid"), "pmid", "left_anti")
+    todo = found.dropDuplicates(["pmid"]) if seen is None else found.dropDuplicates(["pmid"]).join(
+        seen.select("pmid"), "pmid", "left_anti"
+    )
     rows = corpus.enrich(todo, works)
     files.write_runs(rows, path, query, description)
     return rows
 
 
-def one_paper(pmid: str, xml: DataFrame, articles: DataFrame, works: DataFrame, page_texts: DataFrame | None = None) -> DataFrame:
+def one_paper(
+    pmid: str, xml: DataFrame, articles: DataFrame, works: DataFrame, page_texts: DataFrame | None = None
+) -> DataFrame:
     """The whole path for one id: metadata from XML, text by PMC id, then by DOI (which then names the PMC id), citations."""
     paper = pubmed.papers(xml).filter(F.col("pmid") == pmid).limit(1)
     by_doi = articles.filter(filled(F.col("doi"))).select(F.lower("doi").alias("_doi"), F.col("pmcid").alias("_late"))
-    paper = paper.join(by_doi, F.lower("doi") == F.col("_doi"), "left").withColumn("pmcid", F.coalesce("pmcid", "_late")).drop("_doi", "_late")
+    paper = paper.join(
+        by_doi, F.lower("doi") == F.col("_doi"), "left"
+    ).withColumn("pmcid", F.coalesce("pmcid", "_late")).drop("_doi", "_late")
     hit = paper.select(
         "pmid", "pmcid", "doi", "title", "abstract", F.array_join("authors", ";").alias("authors"), "journal", "year",
-        F.col("date_published").alias("date"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("long").alias("cited_by_count"),
+        F.col(
+            "date_published"
+        ).alias("date"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("long").alias("cited_by_count"),
     )
     return batch_papers(hit, articles, works, page_texts).withColumn("source", F.lit("PubMed"))
 
 
-def collect_from_dois(store: CorpusStore, dois: DataFrame, papers: DataFrame, works: DataFrame, start: str, end: str) -> tuple[DataFrame, DataFrame]:
+def collect_from_dois(
+    store: CorpusStore, dois: DataFrame, papers: DataFrame, works: DataFrame, start: str, end: str
+) -> tuple[DataFrame, DataFrame]:
     """(run, DOIs not found) of a list of DOIs looked up in ``papers``."""
     found, missed = corpus.doi_lookup(dois, papers)
-    return collect(store, papers.join(found.select("pmid").distinct(), "pmid", "left_semi"), works, "DOI list", start, end), missed
+    return collect(
+        store, papers.join(found.select("pmid").distinct(), "pmid", "left_semi"), works, "DOI list", start, end
+    ), missed

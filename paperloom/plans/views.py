@@ -51,21 +51,39 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     i, words = F.col("doc_id"), F.split(F.substring("text", 1, 80), " ")
     some = lambda a, n: F.filter(F.slice(words, a, n), lambda x: x != "")
     return d.join(lab, "doc_id", "left").select(
-        i.cast("string").alias("pmid"), F.when(i % 7 != 0, F.concat(F.lit("10.5555/"), F.md5("text"))).alias("doi"), F.substring("text", 1, 80).alias("title"),
-        F.when(i % 11 == 0, "").otherwise(F.col("text")).alias("abstract"), F.when(F.col("n_chars") >= 1000, F.col("text")).alias("full_text"),
-        F.coalesce(F.col("quality") == 1, F.lit(False)).alias("is_full_text_pmc"), F.col("toxic").isNotNull().alias("openalex_retrieved"), (F.col("n_chars") % 100).cast("long").alias("cited_by_count"),
-        (i % 8 + 1).cast("long").alias("query_id"), F.concat(F.lit("2024-01-"), (i % 5 + 10).cast("string"), F.lit("T00:00:00")).alias("collection_date"),
-        F.when(i % 13 != 0, (1990 + i % 35).cast("string")).alias("year"), F.when(i % 3 == 0, "PPR").when(i % 3 == 1, "MED").otherwise("PMC").alias("source"),
-        F.concat(F.lit("Journal of "), "lang").alias("journal"), some(1, 3).alias("mesh_terms"), some(2, 4).alias("authors"),
+        i.cast("string").alias("pmid"), F.when(
+            i % 7 != 0, F.concat(F.lit("10.5555/"), F.md5("text"))
+        ).alias("doi"), F.substring("text", 1, 80).alias("title"),
+        F.when(i % 11 == 0, "").otherwise(F.col("text")).alias("abstract"), F.when(
+            F.col("n_chars") >= 1000, F.col("text")
+        ).alias("full_text"),
+        F.coalesce(
+            F.col("quality") == 1, F.lit(False)
+        ).alias("is_full_text_pmc"), F.col("toxic").isNotNull().alias("openalex_retrieved"), (F.col("n_chars") % 100).cast("long").alias("cited_by_count"),
+        (i % 8 + 1).cast("long").alias("query_id"), F.concat(
+            F.lit("2024-01-"), (i % 5 + 10).cast("string"), F.lit("T00:00:00")
+        ).alias("collection_date"),
+        F.when(
+            i % 13 != 0, (1990 + i % 35).cast("string")
+        ).alias("year"), F.when(i % 3 == 0, "PPR").when(i % 3 == 1, "MED").otherwise("PMC").alias("source"),
+        F.concat(
+            F.lit("Journal of "), "lang"
+        ).alias("journal"), some(1, 3).alias("mesh_terms"), some(2, 4).alias("authors"),
     )
 
 
 def works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = papers(spark, sf_dir).filter("doi is not null and openalex_retrieved").groupBy("doi").agg(F.min(F.col("pmid").cast("long")).alias("n"))
+    p = papers(spark, sf_dir).filter("doi is not null and openalex_retrieved").groupBy("doi").agg(
+        F.min(F.col("pmid").cast("long")).alias("n")
+    )
     n = F.col("n")
     return p.select(
-        F.concat(F.lit("https://doi.org/"), F.upper("doi")).alias("doi"), (n % 50).alias("cited_by_count"), F.when(n % 4 != 0, (n % 10) / 2.0).alias("fwci"),
-        F.lit(None).cast("double").alias("percentile"), F.when(n % 5 != 0, F.concat(F.lit("https://oa.example/"), n.cast("string"))).alias("oa_url"),
+        F.concat(
+            F.lit("https://doi.org/"), F.upper("doi")
+        ).alias("doi"), (n % 50).alias("cited_by_count"), F.when(n % 4 != 0, (n % 10) / 2.0).alias("fwci"),
+        F.lit(None).cast("double").alias("percentile"), F.when(
+            n % 5 != 0, F.concat(F.lit("https://oa.example/"), n.cast("string"))
+        ).alias("oa_url"),
     )
 
 
@@ -73,16 +91,34 @@ def latex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pmid, text): every document's whole text behind a LaTeX head and before a list of references."""
     title = F.substring("text", 1, 80)
     heading = F.when(F.col("doc_id") % 2 == 0, "## ").otherwise("")
-    whole = F.concat(F.lit(HEAD), title, F.lit("\n-\n * \n\t"), "text", F.lit("\n\\foo{bar} \\baz qux\n"), heading, F.lit("References\n[1] "), title)
+    whole = F.concat(
+        F.lit(HEAD),
+        title,
+        F.lit("\n-\n * \n\t"),
+        "text",
+        F.lit("\n\\foo{bar} \\baz qux\n"),
+        heading,
+        F.lit("References\n[1] "),
+        title,
+    )
     return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("pmid"), whole.alias("text"))
 
 
 def section_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, n = F.col("turn"), F.col("turn").cast("string")
-    name = F.when(t == 0, "Abstract").when(t % 4 == 1, F.concat(F.lit("Introduction "), n)).when(t % 4 == 2, F.concat(F.lit("Funding "), n)).otherwise(F.concat(F.lit("Note "), n))
-    return table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("pmid"), t.cast("int").alias("pos"), name.alias("name"), F.col("text").alias("content"))
+    name = F.when(t == 0, "Abstract").when(
+        t % 4 == 1, F.concat(F.lit("Introduction "), n)
+    ).when(t % 4 == 2, F.concat(F.lit("Funding "), n)).otherwise(F.concat(F.lit("Note "), n))
+    return table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("string").alias("pmid"),
+        t.cast("int").alias("pos"),
+        name.alias("name"),
+        F.col("text").alias("content"),
+    )
 
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(pmid, sections): each conversation as an article's ordered sections."""
-    return section_rows(spark, sf_dir).groupBy("pmid").agg(F.array_sort(F.collect_list(F.struct("pos", "name", "content"))).alias("sections"))
+    return section_rows(spark, sf_dir).groupBy("pmid").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "name", "content"))).alias("sections")
+    )

@@ -56,23 +56,42 @@ def write_array(df: DataFrame, path: str, indent: bool = False) -> None:
     opening = F.when(F.col("k") == F.lit(first), F.lit("[")).otherwise(",")
     lines = rows.select("k", F.concat(opening, "j").alias("value"))
     end = spark.createDataFrame([(2**62, "[]" if first is None else "]")], "k long, value string")
-    lines.unionByName(end).repartitionByRange(max(1, tasks), "k").sortWithinPartitions("k").select("value").write.mode("overwrite").text(path)
-
-
-def write_runs(papers: DataFrame, path: str, query: str | None = None, description: str = "", dois: DataFrame | None = None, size: int = 1_000) -> None:
+    lines.unionByName(end).repartitionByRange(
+        max(1, tasks), "k"
+    ).sortWithinPartitions("k").select("value").write.mode("overwrite").text(path)
+
+
+def write_runs(
+    papers: DataFrame,
+    path: str,
+    query: str | None = None,
+    description: str = "",
+    dois: DataFrame | None = None,
+    size: int = 1_000,
+) -> None:
     """A run's artefacts: what was asked for, ids, checkpoints of ``size`` papers, all papers, with and without full text,
     statistics; a run from DOIs adds their list and the ids found for them."""
     spark = papers.sparkSession
-    info = spark.range(1).select(F.lit(query).alias("query"), F.lit(description).alias("description"), F.current_timestamp().cast("string").alias("date"))
+    info = spark.range(1).select(
+        F.lit(query).alias("query"),
+        F.lit(description).alias("description"),
+        F.current_timestamp().cast("string").alias("date"),
+    )
     info.write.mode("overwrite").json(f"{path}/query_info")
     papers.select("pmid").write.mode("overwrite").text(f"{path}/pmid_list")
     number = corpus.batches(papers.select("pmid").distinct(), size)
     papers.join(number, "pmid").write.mode("overwrite").partitionBy("batch").json(f"{path}/papers_checkpoint")
     papers.write.mode("overwrite").json(f"{path}/papers_all")
     papers.filter("is_full_text_pmc").write.mode("overwrite").json(f"{path}/papers_with_fulltext")
-    papers.filter("not coalesce(is_full_text_pmc, false)").write.mode("overwrite").json(f"{path}/papers_without_fulltext")
+    papers.filter(
+        "not coalesce(is_full_text_pmc, false)"
+    ).write.mode("overwrite").json(f"{path}/papers_without_fulltext")
     flag = F.coalesce("is_full_text_pmc", F.lit(False))
-    told = papers.agg(F.count("*").alias("total"), F.count_if(flag).alias("with_full_text"), F.count_if(~flag).alias("without_full_text"))
+    told = papers.agg(
+        F.count("*").alias("total"),
+        F.count_if(flag).alias("with_full_text"),
+        F.count_if(~flag).alias("without_full_text"),
+    )
     told.write.mode("overwrite").json(f"{path}/statistics")
     if dois is not None:
         dois.select("doi").write.mode("overwrite").text(f"{path}/doi_list")
@@ -89,7 +108,13 @@ def write_titles(found: DataFrame, path: str) -> None:
 def output_folders(base: str, test: bool = False) -> dict[str, str]:
     """Where a run's data, checkpoints, logs and store go below ``base``; a test has a store of its own."""
     base = base.rstrip("/")
-    return {"base": base, "data": f"{base}/data", "checkpoints": f"{base}/checkpoints", "logs": f"{base}/logs", "store": f"{base}/{'test_store' if test else 'store'}"}
+    return {
+        "base": base,
+        "data": f"{base}/data",
+        "checkpoints": f"{base}/checkpoints",
+        "logs": f"{base}/logs",
+        "store": f"{base}/{'test_store' if test else 'store'}",
+    }
 
 
 def tee_log(name: str, path: str):
@@ -118,7 +143,9 @@ def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
             raise RuntimeError("pdf_pages needs the library pypdf on the workers") from missing
         return content.map(lambda raw: [p.extract_text() or "" for p in PdfReader(io.BytesIO(raw)).pages])
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path).select("path", pages("content").alias("pages"))
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path).select(
+        "path", pages("content").alias("pages")
+    )
 
 
 def write_lines(df: DataFrame, column: str, path: str) -> None:

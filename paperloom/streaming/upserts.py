@@ -10,7 +10,9 @@ from paperloom.operators.store import CorpusStore
 
 def upsert_stream(rows: DataFrame, store: CorpusStore, table: str, checkpoint: str, available_now: bool = True):
     """Start the query that upserts a stream of rows into a table of the store. A repeated batch gives the same table."""
-    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, _: store.upsert(table, batch) if not batch.isEmpty() else None)
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda batch, _: store.upsert(table, batch) if not batch.isEmpty() else None
+    )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
@@ -19,10 +21,14 @@ def first_seen(events: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def counts_by_window(events: DataFrame, time: str = "ts", width: str = "1 hour", delay: str = "1 hour", by: str = "event_type") -> DataFrame:
+def counts_by_window(
+    events: DataFrame, time: str = "ts", width: str = "1 hour", delay: str = "1 hour", by: str = "event_type"
+) -> DataFrame:
     """Progress counts by window; the same plan runs on a table or on a stream."""
     rows = events.withWatermark(time, delay) if events.isStreaming else events
-    return rows.groupBy(F.window(time, width).alias("w"), by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), by, "n")
+    return rows.groupBy(F.window(time, width).alias("w"), by).agg(F.count("*").alias("n")).select(
+        F.col("w.start").alias("window_start"), by, "n"
+    )
 
 
 def read_stream(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
