@@ -40,7 +40,13 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
 
 
-STAGES = [("quality rules", quality), ("near copies", near_copies), ("secret scan", secrets), ("mixing", mix), ("packing", sequences)]
+STAGES = [
+    ("quality rules", quality),
+    ("near copies", near_copies),
+    ("secret scan", secrets),
+    ("mixing", mix),
+    ("packing", sequences),
+]
 
 #: Expectation-maximisation, redaction by a ledger and the packing have no SQL form; tests hold the stages against
 #: brute force.
