@@ -33,7 +33,9 @@ def paper_query(name: str, sql: str):
     return lambda f: query(name, sql)(lambda s, d: f(views.papers(s, d)))
 
 
-RANKED = "ranked AS (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY {first}collection_date DESC NULLS LAST, pmid ASC NULLS FIRST) AS rn, count(*) OVER (PARTITION BY doi) AS n FROM papers WHERE coalesce(doi, '') <> '')"
+RANKED = """ranked AS (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY {first}collection_date DESC NULLS
+  LAST, pmid ASC NULLS FIRST) AS rn, count(*) OVER (PARTITION BY doi) AS n FROM papers WHERE coalesce(doi, '') <>
+  '')"""
 RECENT, FULL = RANKED.format(first=""), RANKED.format(first="is_full_text_pmc DESC, ")
 
 # Duplicate DOIs
@@ -41,9 +43,12 @@ paper_query(
     "dup_doi_groups",
     "SELECT doi, count(*) AS n FROM papers WHERE coalesce(doi, '') <> '' GROUP BY doi HAVING count(*) > 1",
 )(dedup.groups)
-paper_query("dup_doi_report", """SELECT count(*) AS total_papers, count(doi) AS with_doi, count(*) - count(doi) AS without_doi,
-  (SELECT count(*) FROM (SELECT doi FROM papers WHERE doi IS NOT NULL GROUP BY doi HAVING count(*) > 1)) AS duplicate_groups,
-  (SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM papers WHERE doi IS NOT NULL GROUP BY doi HAVING count(*) > 1)) AS duplicate_rows FROM papers""")(dedup.report)
+paper_query("dup_doi_report", """SELECT count(*) AS total_papers, count(doi) AS with_doi, count(*) - count(doi) AS
+  without_doi,
+  (SELECT count(*) FROM (SELECT doi FROM papers WHERE doi IS NOT NULL GROUP BY doi HAVING count(*) > 1)) AS
+  duplicate_groups,
+  (SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM papers WHERE doi IS NOT NULL GROUP BY doi HAVING
+  count(*) > 1)) AS duplicate_rows FROM papers""")(dedup.report)
 paper_query(
     "dedup_keep_recent",
     f", {
@@ -60,17 +65,25 @@ paper_query(
     "dedup_plan",
     f", {RECENT} SELECT doi, pmid, CASE WHEN rn = 1 THEN 'keep' ELSE 'delete' END AS action FROM ranked WHERE n > 1",
 )(dedup.plan)
-paper_query("dedup_merge", f""", {RECENT} SELECT max(CASE WHEN rn = 1 THEN pmid END) AS pmid, doi, arg_min(title, rn) AS title,
-    coalesce(arg_min(abstract, rn) FILTER (WHERE abstract <> ''), arg_min(abstract, rn)) AS abstract, coalesce(arg_min(year, rn) FILTER (WHERE year <> ''), arg_min(year, rn)) AS year,
-    coalesce(arg_min(cited_by_count, rn) FILTER (WHERE cited_by_count <> 0), arg_min(cited_by_count, rn)) AS cited_by_count, bool_or(is_full_text_pmc) AS is_full_text_pmc FROM ranked GROUP BY doi
-  UNION ALL SELECT pmid, doi, title, abstract, year, cited_by_count, is_full_text_pmc FROM papers WHERE coalesce(doi, '') = ''""")(lambda p: dedup.merge_groups(p).select("pmid", "doi", "title", "abstract", "year", "cited_by_count", "is_full_text_pmc"))
+paper_query("dedup_merge", f""", {RECENT} SELECT max(CASE WHEN rn = 1 THEN pmid END) AS pmid, doi, arg_min(title,
+  rn) AS title,
+    coalesce(arg_min(abstract, rn) FILTER (WHERE abstract <> ''), arg_min(abstract, rn)) AS abstract,
+  coalesce(arg_min(year, rn) FILTER (WHERE year <> ''), arg_min(year, rn)) AS year,
+    coalesce(arg_min(cited_by_count, rn) FILTER (WHERE cited_by_count <> 0), arg_min(cited_by_count, rn)) AS
+  cited_by_count, bool_or(is_full_text_pmc) AS is_full_text_pmc FROM ranked GROUP BY doi
+  UNION ALL SELECT pmid, doi, title, abstract, year, cited_by_count, is_full_text_pmc FROM papers WHERE
+  coalesce(doi, '') = ''""")(lambda p: dedup.merge_groups(p).select("pmid", "doi", "title", "abstract", "year", "cited_by_count", "is_full_text_pmc"))
 paper_query(
     "dedup_export",
-    "SELECT doi, count(*) AS n, string_agg(pmid, ',' ORDER BY pmid) AS pmids FROM papers WHERE doi IS NOT NULL GROUP BY doi HAVING count(*) > 1",
+    """SELECT doi, count(*) AS n, string_agg(pmid, ',' ORDER BY pmid) AS pmids FROM papers WHERE doi IS NOT NULL
+  GROUP BY doi HAVING count(*) > 1""",
 )(lambda p: dedup.export_groups(p).select("doi", F.col("count").alias("n"), F.array_join(F.transform("papers", lambda x: x["pmid"]), ",").alias("pmids")))
 
 # Statistics
-query("store_statistics", "SELECT count(*) AS total_papers, count(*) FILTER (WHERE is_full_text_pmc) AS with_full_text, count(*) FILTER (WHERE NOT is_full_text_pmc) AS without_full_text, count(*) FILTER (WHERE openalex_retrieved) AS with_openalex, (SELECT count(*) FROM papers WHERE doi IS NOT NULL AND NOT is_full_text_pmc) AS failed_dois FROM papers")(
+query("store_statistics", """SELECT count(*) AS total_papers, count(*) FILTER (WHERE is_full_text_pmc) AS
+  with_full_text, count(*) FILTER (WHERE NOT is_full_text_pmc) AS without_full_text, count(*) FILTER (WHERE
+  openalex_retrieved) AS with_openalex, (SELECT count(*) FROM papers WHERE doi IS NOT NULL AND NOT is_full_text_pmc)
+  AS failed_dois FROM papers""")(
     lambda s, d: corpus.store_statistics(
         views.papers(s, d), views.papers(s, d).filter("doi is not null and not is_full_text_pmc")
     )
@@ -78,7 +91,10 @@ query("store_statistics", "SELECT count(*) AS total_papers, count(*) FILTER (WHE
 paper_query(
     "count_by_query", "SELECT query_id, count(*) AS n FROM papers GROUP BY query_id"
 )(lambda p: p.groupBy("query_id").agg(F.count("*").alias("n")))
-paper_query("hit_statistics", "SELECT count(*) AS total, count(doi) AS with_doi, count(pmid) AS with_pmid, count(*) FILTER (WHERE abstract <> '') AS with_abstract, count(*) FILTER (WHERE source IN ('PPR', 'MED')) AS preprints, count(*) FILTER (WHERE source NOT IN ('PPR', 'MED')) AS published, CAST(sum(cited_by_count) AS BIGINT) AS total_citations FROM papers")(
+paper_query("hit_statistics", """SELECT count(*) AS total, count(doi) AS with_doi, count(pmid) AS with_pmid,
+  count(*) FILTER (WHERE abstract <> '') AS with_abstract, count(*) FILTER (WHERE source IN ('PPR', 'MED')) AS
+  preprints, count(*) FILTER (WHERE source NOT IN ('PPR', 'MED')) AS published, CAST(sum(cited_by_count) AS BIGINT)
+  AS total_citations FROM papers""")(
     lambda p: corpus.hit_statistics(p.withColumn("is_preprint", F.col("source").isin("PPR", "MED")))
 )
 paper_query(
@@ -86,9 +102,13 @@ paper_query(
 )(corpus.year_histogram)
 paper_query(
     "coverage_ratios",
-    "SELECT round(avg(CASE WHEN doi <> '' THEN 1 ELSE 0 END), 6) AS doi_coverage, round(avg(CASE WHEN abstract <> '' THEN 1 ELSE 0 END), 6) AS abstract_coverage, round(avg(CASE WHEN full_text <> '' THEN 1 ELSE 0 END), 6) AS full_text_coverage FROM papers",
+    """SELECT round(avg(CASE WHEN doi <> '' THEN 1 ELSE 0 END), 6) AS doi_coverage, round(avg(CASE WHEN abstract <>
+  '' THEN 1 ELSE 0 END), 6) AS abstract_coverage, round(avg(CASE WHEN full_text <> '' THEN 1 ELSE 0 END), 6) AS
+  full_text_coverage FROM papers""",
 )(lambda p: corpus.coverage(p, ["doi", "abstract", "full_text"]))
-paper_query("run_counters", "SELECT query_id, count(*) AS processed, count(*) FILTER (WHERE is_full_text_pmc) AS with_full_text, count(*) - count(*) FILTER (WHERE is_full_text_pmc) AS without_full_text, round(100.0 * count(*) FILTER (WHERE is_full_text_pmc) / count(*), 1) AS percent FROM papers GROUP BY query_id")(
+paper_query("run_counters", """SELECT query_id, count(*) AS processed, count(*) FILTER (WHERE is_full_text_pmc) AS
+  with_full_text, count(*) - count(*) FILTER (WHERE is_full_text_pmc) AS without_full_text, round(100.0 * count(*)
+  FILTER (WHERE is_full_text_pmc) / count(*), 1) AS percent FROM papers GROUP BY query_id""")(
     lambda p: p.groupBy("query_id").agg(
         F.count("*").alias("processed"), F.count_if("is_full_text_pmc").alias("with_full_text")
     ).select("query_id", "processed", "with_full_text", (F.col("processed") - F.col("with_full_text")).alias("without_full_text"), F.round(F.lit(100.0) * F.col("with_full_text") / F.col("processed"), 1).alias("percent"))
@@ -109,7 +129,8 @@ paper_query(
 )(lambda p: dedup.with_doi(p).groupBy("doi").agg(F.min("pmid").alias("pmid")))
 paper_query(
     "mesh_membership",
-    "SELECT pmid, doi FROM papers WHERE list_contains(mesh_terms, 'The') AND query_id <= 4 AND cited_by_count > 50 AND doi IS NOT NULL",
+    """SELECT pmid, doi FROM papers WHERE list_contains(mesh_terms, 'The') AND query_id <= 4 AND cited_by_count > 50
+  AND doi IS NOT NULL""",
 )(lambda p: p.filter(F.array_contains("mesh_terms", "The") & (F.col("query_id") <= 4) & (F.col("cited_by_count") > 50) & F.col("doi").isNotNull()).select("pmid", "doi"))
 paper_query(
     "needs_enrichment",
@@ -117,8 +138,10 @@ paper_query(
         WS
     }+$', '', 'g') = '' AS needs FROM papers",
 )(lambda p: p.select("pmid", corpus.needs_enrichment(F.col("abstract"), F.col("full_text")).alias("needs")))
-CANDIDATES = "(SELECT CASE WHEN i % 3 = 0 THEN coalesce(doi, 'none-' || pmid) WHEN i % 3 = 1 THEN pmid ELSE 'new-' || pmid END AS id FROM (SELECT *, CAST(pmid AS BIGINT) AS i FROM papers))"
-STORE = "store AS (SELECT *, coalesce(abstract, '') = '' OR coalesce(full_text, '') = '' AS needs FROM papers WHERE CAST(pmid AS BIGINT) % 2 = 0)"
+CANDIDATES = """(SELECT CASE WHEN i % 3 = 0 THEN coalesce(doi, 'none-' || pmid) WHEN i % 3 = 1 THEN pmid ELSE 'new-'
+  || pmid END AS id FROM (SELECT *, CAST(pmid AS BIGINT) AS i FROM papers))"""
+STORE = """store AS (SELECT *, coalesce(abstract, '') = '' OR coalesce(full_text, '') = '' AS needs FROM papers
+  WHERE CAST(pmid AS BIGINT) % 2 = 0)"""
 
 
 def candidates(p):
@@ -130,8 +153,10 @@ def candidates(p):
     )
 
 
-paper_query("classify_candidates", f""", {STORE}, by_doi AS (SELECT doi, arg_min(needs, pmid) AS needs FROM store WHERE doi IS NOT NULL GROUP BY doi)
-  SELECT c.id, CASE WHEN coalesce(a.needs, b.needs) IS NULL THEN 'new' WHEN coalesce(a.needs, b.needs) THEN 'enrich' ELSE 'skip' END AS action
+paper_query("classify_candidates", f""", {STORE}, by_doi AS (SELECT doi, arg_min(needs, pmid) AS needs FROM store
+  WHERE doi IS NOT NULL GROUP BY doi)
+  SELECT c.id, CASE WHEN coalesce(a.needs, b.needs) IS NULL THEN 'new' WHEN coalesce(a.needs, b.needs) THEN 'enrich'
+  ELSE 'skip' END AS action
   FROM {CANDIDATES} c LEFT JOIN store a ON c.id = a.pmid LEFT JOIN by_doi b ON c.id = b.doi""")(lambda p: corpus.classify(candidates(p), p.filter(F.col("pmid").cast("long") % 2 == 0)))
 paper_query(
     "missing_ids", f"SELECT id FROM {CANDIDATES} c WHERE NOT EXISTS (SELECT 1 FROM papers p WHERE p.pmid = c.id)"
@@ -150,8 +175,10 @@ paper_query(
 )(lambda p: corpus.doi_lookup(candidates(p).select(F.col("id").alias("doi")), p)[1])
 
 # Upserts and merges
-SECOND = "second AS (SELECT pmid, 'new ' || title AS title, CAST(2 AS BIGINT) AS ingest_seq FROM papers WHERE CAST(pmid AS BIGINT) % 4 = 0)"
-paper_query("upsert_latest", f", {SECOND} SELECT p.pmid, coalesce(s.title, p.title) AS title FROM papers p LEFT JOIN second s ON p.pmid = s.pmid")(
+SECOND = """second AS (SELECT pmid, 'new ' || title AS title, CAST(2 AS BIGINT) AS ingest_seq FROM papers WHERE
+  CAST(pmid AS BIGINT) % 4 = 0)"""
+paper_query("upsert_latest", f""", {SECOND} SELECT p.pmid, coalesce(s.title, p.title) AS title FROM papers p LEFT
+  JOIN second s ON p.pmid = s.pmid""")(
     lambda p: corpus.upsert(
         p.select("pmid", "title", F.lit(1).cast("long").alias("ingest_seq")),
         p.filter(F.col("pmid").cast("long") % 4 == 0).select(
@@ -176,7 +203,11 @@ def _failed_upsert(p):
     ).select("doi", "pmid")
 
 
-OTHER = "src AS (SELECT CASE WHEN i % 2 = 0 THEN 'x' || pmid ELSE pmid END AS pmid, doi, CASE WHEN i % 3 = 0 THEN title || ' extended' ELSE '' END AS title, list_slice(authors, 2, 3) || ['Extra'] AS authors, CASE WHEN i % 2 = 0 THEN cited_by_count + 1 ELSE 0 END AS cited_by_count FROM (SELECT *, CAST(pmid AS BIGINT) AS i FROM papers) WHERE i % 5 = 1), tgt AS (SELECT pmid, doi, title, authors, cited_by_count FROM papers WHERE CAST(pmid AS BIGINT) % 5 <> 1 OR CAST(pmid AS BIGINT) % 2 = 1)"
+OTHER = """src AS (SELECT CASE WHEN i % 2 = 0 THEN 'x' || pmid ELSE pmid END AS pmid, doi, CASE WHEN i % 3 = 0 THEN
+  title || ' extended' ELSE '' END AS title, list_slice(authors, 2, 3) || ['Extra'] AS authors, CASE WHEN i % 2 = 0
+  THEN cited_by_count + 1 ELSE 0 END AS cited_by_count FROM (SELECT *, CAST(pmid AS BIGINT) AS i FROM papers) WHERE
+  i % 5 = 1), tgt AS (SELECT pmid, doi, title, authors, cited_by_count FROM papers WHERE CAST(pmid AS BIGINT) % 5 <>
+  1 OR CAST(pmid AS BIGINT) % 2 = 1)"""
 
 
 def two_stores(p):
@@ -192,17 +223,24 @@ def two_stores(p):
     return src, p.filter((i % 5 != 1) | (i % 2 == 1)).select("pmid", "doi", "title", "authors", "cited_by_count")
 
 
-MERGED = f""", {OTHER}, hit AS (SELECT s.*, coalesce((SELECT min(t.pmid) FROM tgt t WHERE t.doi = s.doi), (SELECT min(t.pmid) FROM tgt t WHERE t.pmid = s.pmid)) AS hit FROM src s),
+MERGED = f""", {OTHER}, hit AS (SELECT s.*, coalesce((SELECT min(t.pmid) FROM tgt t WHERE t.doi = s.doi), (SELECT
+  min(t.pmid) FROM tgt t WHERE t.pmid = s.pmid)) AS hit FROM src s),
   placed AS (SELECT *, coalesce(hit, min(pmid) OVER (PARTITION BY coalesce(doi, pmid))) AS cluster FROM hit),
   ordered AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY pmid) AS rn FROM placed),
-  one AS (SELECT cluster, max(hit) AS hit, arg_min(pmid, rn) AS pmid, coalesce(arg_min(doi, rn) FILTER (WHERE doi <> ''), arg_min(doi, rn)) AS doi, arg_min(title, (-length(title)) * 100000 + rn) AS title,
-    flatten(list(authors ORDER BY rn)) AS every, coalesce(arg_min(cited_by_count, rn) FILTER (WHERE cited_by_count <> 0), arg_min(cited_by_count, rn)) AS cited_by_count FROM ordered GROUP BY cluster),
+  one AS (SELECT cluster, max(hit) AS hit, arg_min(pmid, rn) AS pmid, coalesce(arg_min(doi, rn) FILTER (WHERE doi <>
+  ''), arg_min(doi, rn)) AS doi, arg_min(title, (-length(title)) * 100000 + rn) AS title,
+    flatten(list(authors ORDER BY rn)) AS every, coalesce(arg_min(cited_by_count, rn) FILTER (WHERE cited_by_count
+  <> 0), arg_min(cited_by_count, rn)) AS cited_by_count FROM ordered GROUP BY cluster),
   folded AS (SELECT *, list_filter(every, lambda x, i: list_position(every, x) = i) AS authors FROM one)
-  SELECT t.pmid, coalesce(nullif(t.doi, ''), nullif(o.doi, '')) AS doi, CASE WHEN o.hit IS NULL THEN t.title WHEN length(o.title) > length(t.title) THEN o.title ELSE nullif(t.title, '') END AS title,
-    array_to_string(CASE WHEN o.hit IS NULL THEN t.authors ELSE t.authors || list_filter(o.authors, lambda x: NOT list_contains(t.authors, x)) END, '|') AS authors,
-    CASE WHEN o.hit IS NULL OR t.cited_by_count <> 0 THEN t.cited_by_count ELSE nullif(o.cited_by_count, 0) END AS cited_by_count, CASE WHEN o.hit IS NULL THEN 'kept' ELSE 'merged' END AS action
+  SELECT t.pmid, coalesce(nullif(t.doi, ''), nullif(o.doi, '')) AS doi, CASE WHEN o.hit IS NULL THEN t.title WHEN
+  length(o.title) > length(t.title) THEN o.title ELSE nullif(t.title, '') END AS title,
+    array_to_string(CASE WHEN o.hit IS NULL THEN t.authors ELSE t.authors || list_filter(o.authors, lambda x: NOT
+  list_contains(t.authors, x)) END, '|') AS authors,
+    CASE WHEN o.hit IS NULL OR t.cited_by_count <> 0 THEN t.cited_by_count ELSE nullif(o.cited_by_count, 0) END AS
+  cited_by_count, CASE WHEN o.hit IS NULL THEN 'kept' ELSE 'merged' END AS action
   FROM tgt t LEFT JOIN folded o ON t.pmid = o.hit
-  UNION ALL SELECT pmid, doi, title, array_to_string(authors, '|'), cited_by_count, 'added' FROM folded WHERE hit IS NULL"""
+  UNION ALL SELECT pmid, doi, title, array_to_string(authors, '|'), cited_by_count, 'added' FROM folded WHERE hit IS
+  NULL"""
 
 
 @query("merge_stores", MERGED)
@@ -210,17 +248,24 @@ def _merge_stores(s, d):
     return corpus.merge_stores(*two_stores(views.papers(s, d))).withColumn("authors", F.array_join("authors", "|"))
 
 
-query("merge_actions", f""", {OTHER}, hit AS (SELECT s.pmid, coalesce((SELECT min(t.pmid) FROM tgt t WHERE t.doi = s.doi), (SELECT min(t.pmid) FROM tgt t WHERE t.pmid = s.pmid)) AS hit, s.doi FROM src s),
+query("merge_actions", f""", {OTHER}, hit AS (SELECT s.pmid, coalesce((SELECT min(t.pmid) FROM tgt t WHERE t.doi =
+  s.doi), (SELECT min(t.pmid) FROM tgt t WHERE t.pmid = s.pmid)) AS hit, s.doi FROM src s),
   placed AS (SELECT pmid, hit, coalesce(hit, min(pmid) OVER (PARTITION BY coalesce(doi, pmid))) AS cluster FROM hit)
-  SELECT 'merged' AS action, count(DISTINCT hit) AS n FROM placed WHERE hit IS NOT NULL UNION ALL SELECT 'added', count(DISTINCT cluster) FROM placed WHERE hit IS NULL
-  UNION ALL SELECT 'kept', (SELECT count(*) FROM tgt) - (SELECT count(DISTINCT hit) FROM placed WHERE hit IS NOT NULL)""")(
+  SELECT 'merged' AS action, count(DISTINCT hit) AS n FROM placed WHERE hit IS NOT NULL UNION ALL SELECT 'added',
+  count(DISTINCT cluster) FROM placed WHERE hit IS NULL
+  UNION ALL SELECT 'kept', (SELECT count(*) FROM tgt) - (SELECT count(DISTINCT hit) FROM placed WHERE hit IS NOT
+  NULL)""")(
     lambda s, d: corpus.merge_stores(*two_stores(views.papers(s, d))).groupBy("action").agg(F.count("*").alias("n"))
 )
 paper_query(
     "merge_lists",
-    "SELECT pmid, array_to_string(mesh_terms || list_filter(authors, lambda x: NOT list_contains(mesh_terms, x)), '|') AS merged FROM papers",
+    """SELECT pmid, array_to_string(mesh_terms || list_filter(authors, lambda x: NOT list_contains(mesh_terms, x)),
+  '|') AS merged FROM papers""",
 )(lambda p: p.select("pmid", F.array_join(merge.lists(F.col("mesh_terms"), F.col("authors")), "|").alias("merged")))
-paper_query("merge_scalar", "SELECT pmid, CASE WHEN coalesce(abstract, '') <> '' AND length(title) > length(abstract) THEN title WHEN coalesce(abstract, '') <> '' THEN abstract WHEN title <> '' THEN title END AS longest, CASE WHEN cited_by_count <> 0 THEN cited_by_count WHEN query_id <> 0 THEN query_id END AS first FROM papers")(
+paper_query("merge_scalar", """SELECT pmid, CASE WHEN coalesce(abstract, '') <> '' AND length(title) >
+  length(abstract) THEN title WHEN coalesce(abstract, '') <> '' THEN abstract WHEN title <> '' THEN title END AS
+  longest, CASE WHEN cited_by_count <> 0 THEN cited_by_count WHEN query_id <> 0 THEN query_id END AS first FROM
+  papers""")(
     lambda p: p.select(
         "pmid",
         merge.scalar(F.col("abstract"), F.col("title"), p.schema["title"].dataType, True).alias("longest"),
@@ -229,7 +274,9 @@ paper_query("merge_scalar", "SELECT pmid, CASE WHEN coalesce(abstract, '') <> ''
 )
 
 # Enrichment
-query("enrich_left_join", "SELECT p.pmid, CASE WHEN w.doi IS NULL THEN p.cited_by_count ELSE w.cited_by_count END AS cited_by_count, w.fwci, w.oa_url, w.doi IS NOT NULL OR p.openalex_retrieved AS openalex_retrieved FROM papers p LEFT JOIN works w ON lower(p.doi) = lower(replace(w.doi, 'https://doi.org/', ''))")(
+query("enrich_left_join", """SELECT p.pmid, CASE WHEN w.doi IS NULL THEN p.cited_by_count ELSE w.cited_by_count END
+  AS cited_by_count, w.fwci, w.oa_url, w.doi IS NOT NULL OR p.openalex_retrieved AS openalex_retrieved FROM papers p
+  LEFT JOIN works w ON lower(p.doi) = lower(replace(w.doi, 'https://doi.org/', ''))""")(
     lambda s, d: corpus.enrich(
         views.papers(s, d).withColumns(
             {
@@ -241,7 +288,8 @@ query("enrich_left_join", "SELECT p.pmid, CASE WHEN w.doi IS NULL THEN p.cited_b
         views.works(s, d),
     ).select("pmid", "cited_by_count", "fwci", "oa_url", "openalex_retrieved")
 )
-query("enrich_unmatched", "SELECT pmid FROM papers p WHERE doi IS NOT NULL AND NOT EXISTS (SELECT 1 FROM works w WHERE lower(replace(w.doi, 'https://doi.org/', '')) = lower(p.doi))")(
+query("enrich_unmatched", """SELECT pmid FROM papers p WHERE doi IS NOT NULL AND NOT EXISTS (SELECT 1 FROM works w
+  WHERE lower(replace(w.doi, 'https://doi.org/', '')) = lower(p.doi))""")(
     lambda s, d: views.papers(s, d).filter("doi is not null").select(
         "pmid", text.doi_key(F.col("doi")).alias("k")
     ).join(views.works(s, d).select(text.doi_key(F.col("doi")).alias("k")), "k", "left_anti").select("pmid")
@@ -299,7 +347,8 @@ query("strip_references", f"SELECT pmid, {strip_sql('text')} AS text FROM latex"
 query("clean_comprehensive", f"SELECT pmid, {strip_sql(clean_sql('text'))} AS text FROM latex")(
     lambda s, d: views.latex(s, d).select("pmid", text.clean_comprehensive(F.col("text")).alias("text"))
 )
-query("reclean_changed", f"SELECT pmid, text AS full_text FROM (SELECT pmid, text AS old, {strip_sql(clean_sql('text'))} AS text FROM latex) WHERE old <> text")(
+query("reclean_changed", f"""SELECT pmid, text AS full_text FROM (SELECT pmid, text AS old,
+  {strip_sql(clean_sql('text'))} AS text FROM latex) WHERE old <> text""")(
     lambda s, d: corpus.reclean(
         views.latex(s, d).select("pmid", F.lit("a").alias("abstract"), F.col("text").alias("full_text"))
     ).select("pmid", "full_text")
@@ -309,7 +358,8 @@ paper_query(
 )(lambda p: p.select("pmid", text.query_hash(F.col("title")).alias("hash")))
 paper_query(
     "summary_line",
-    "SELECT 'PMID: ' || pmid || ' | DOI: ' || coalesce(doi, 'None') || ' | Title: ' || substring(title, 1, 50) || '...' AS line FROM papers",
+    """SELECT 'PMID: ' || pmid || ' | DOI: ' || coalesce(doi, 'None') || ' | Title: ' || substring(title, 1, 50) ||
+  '...' AS line FROM papers""",
 )(lambda p: p.select(text.summary_line(F.col("pmid"), F.col("doi"), F.col("title")).alias("line")))
 paper_query(
     "author_split",
@@ -317,7 +367,8 @@ paper_query(
         STRIP % 's'
     }), lambda s: s <> ''), '|') AS authors FROM papers",
 )(lambda p: p.select("pmid", F.array_join(text.authors_of(F.concat(F.array_join("authors", "; "), F.lit(";;"))), "|").alias("authors")))
-paper_query("preprint_journal", "SELECT pmid, CASE WHEN source IN ('PPR', 'MED') THEN journal || ' (preprint)' ELSE journal END AS journal, source IN ('PPR', 'MED') AS is_preprint, coalesce(year, '2024') AS year FROM papers")(
+paper_query("preprint_journal", """SELECT pmid, CASE WHEN source IN ('PPR', 'MED') THEN journal || ' (preprint)'
+  ELSE journal END AS journal, source IN ('PPR', 'MED') AS is_preprint, coalesce(year, '2024') AS year FROM papers""")(
     lambda p: hits.from_europepmc(
         p.select(
             "pmid",
@@ -336,11 +387,15 @@ paper_query("preprint_journal", "SELECT pmid, CASE WHEN source IN ('PPR', 'MED')
 )
 paper_query(
     "failed_export_rows",
-    "SELECT pmid, doi, title, array_to_string(list_slice(authors, 1, 3), '; ') AS authors, CASE WHEN length(abstract) > 200 THEN substring(abstract, 1, 200) || '...' ELSE abstract END AS abstract, concat(coalesce(doi, 'NO_DOI'), ' | ', pmid, ' | ', substring(title, 1, 80)) AS line FROM papers WHERE NOT is_full_text_pmc",
+    """SELECT pmid, doi, title, array_to_string(list_slice(authors, 1, 3), '; ') AS authors, CASE WHEN
+  length(abstract) > 200 THEN substring(abstract, 1, 200) || '...' ELSE abstract END AS abstract,
+  concat(coalesce(doi, 'NO_DOI'), ' | ', pmid, ' | ', substring(title, 1, 80)) AS line FROM papers WHERE NOT
+  is_full_text_pmc""",
 )(corpus.failed_export)
 paper_query(
     "json_roundtrip",
-    "SELECT pmid, doi, title, full_text, array_to_string(mesh_terms, '|') AS mesh_terms, cited_by_count, is_full_text_pmc, year, 32 AS fields FROM papers",
+    """SELECT pmid, doi, title, full_text, array_to_string(mesh_terms, '|') AS mesh_terms, cited_by_count,
+  is_full_text_pmc, year, 32 AS fields FROM papers""",
 )(lambda p: _round_trip(p))
 
 
@@ -364,7 +419,8 @@ def _round_trip(p):
     )
 
 
-paper_query("topic_project", """SELECT pmid, journal AS topic_name, CASE WHEN CAST(pmid AS BIGINT) % 2 = 0 THEN source END AS topic_field, CASE WHEN CAST(pmid AS BIGINT) % 3 = 0 THEN year END AS topic_domain,
+paper_query("topic_project", """SELECT pmid, journal AS topic_name, CASE WHEN CAST(pmid AS BIGINT) % 2 = 0 THEN
+  source END AS topic_field, CASE WHEN CAST(pmid AS BIGINT) % 3 = 0 THEN year END AS topic_domain,
   CAST(NULL AS VARCHAR) AS topic_subfield FROM papers""")(lambda p: _topics(p))
 
 
@@ -392,7 +448,8 @@ query(
 SECT = "FROM sections GROUP BY pmid"
 BAD = "regexp_matches(lower(name), 'conflicts? of interest|competing interests|acknowledge?ments?|funding|financial disclosure|author contributions|data availability|supplementary material|supporting information|abbreviations|keywords|copyright|license|author information|correspondence|ethics|consent')"
 GOOD = "regexp_matches(lower(name), 'introduction|background|method|materials|results|discussion|conclusion|analysis|findings|literature review|theory|hypothesis|experiment|case study|data|implementation|evaluation')"
-paper_query("content_validity_lengths", f"""SELECT pmid, CASE CAST(pmid AS BIGINT) % 4 WHEN 0 THEN length(t) > 2000 WHEN 1 THEN length(t) > 3000 WHEN 2 THEN true ELSE false END AS valid
+paper_query("content_validity_lengths", f"""SELECT pmid, CASE CAST(pmid AS BIGINT) % 4 WHEN 0 THEN length(t) > 2000
+  WHEN 1 THEN length(t) > 3000 WHEN 2 THEN true ELSE false END AS valid
   FROM (SELECT pmid, {STRIP % "coalesce(full_text, '')"} AS t FROM papers)""")(lambda p: _lengths(p))
 
 
@@ -414,32 +471,45 @@ def _lengths(p):
     )
 
 
-query("content_validity", f"""SELECT pmid, CASE WHEN m >= 1 AND l >= 1 THEN true WHEN l >= 3 AND b < l THEN true WHEN b > 0 AND m = 0 AND l < 3 THEN false WHEN l < 2 THEN false ELSE false END AS valid FROM (
-  SELECT pmid, count(*) FILTER (WHERE bad AND NOT a) AS b, count(*) FILTER (WHERE good AND NOT bad AND NOT a) AS m, count(*) FILTER (WHERE NOT a AND NOT bad AND length({STRIP % 'content'}) > 500) AS l
-  FROM (SELECT pmid, content, contains(lower(name), 'abstract') AS a, ({BAD}) AS bad, ({GOOD}) AS good FROM sections) GROUP BY pmid)""")(lambda s, d: views.sections(s, d).select("pmid", validity.has_meaningful_content(F.col("sections"), F.lit("")).alias("valid")))
+query("content_validity", f"""SELECT pmid, CASE WHEN m >= 1 AND l >= 1 THEN true WHEN l >= 3 AND b < l THEN true
+  WHEN b > 0 AND m = 0 AND l < 3 THEN false WHEN l < 2 THEN false ELSE false END AS valid FROM (
+  SELECT pmid, count(*) FILTER (WHERE bad AND NOT a) AS b, count(*) FILTER (WHERE good AND NOT bad AND NOT a) AS m,
+  count(*) FILTER (WHERE NOT a AND NOT bad AND length({STRIP % 'content'}) > 500) AS l
+  FROM (SELECT pmid, content, contains(lower(name), 'abstract') AS a, ({BAD}) AS bad, ({GOOD}) AS good FROM
+  sections) GROUP BY pmid)""")(lambda s, d: views.sections(s, d).select("pmid", validity.has_meaningful_content(F.col("sections"), F.lit("")).alias("valid")))
 FLAT = f"SELECT pmid, {
     STRIP % '''string_agg('## ' || name || chr(10) || chr(10) || trim_content || chr(10) || chr(10), '' ORDER BY CASE WHEN name = 'Abstract' THEN 1 ELSE 100 END, name)'''
 } AS text FROM (SELECT *, {STRIP % 'content'} AS trim_content FROM sections WHERE content <> '') GROUP BY pmid"
 query("sections_flatten", FLAT)(
     lambda s, d: views.sections(s, d).select("pmid", sections.to_flat(F.col("sections")).alias("text"))
 )
-query("sections_parse", f"""SELECT pmid, CAST(row_number() OVER (PARTITION BY pmid ORDER BY k) - 1 AS INTEGER) AS pos, {STRIP % "regexp_replace(split_part(part, chr(10), 1), '^#+', '')"} AS name,
-  {STRIP % "substring(part, strpos(part, chr(10)) + 1)"} AS content FROM (SELECT pmid, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM (SELECT pmid, string_split(text, chr(10) || '## ') AS parts FROM ({FLAT})))
+query("sections_parse", f"""SELECT pmid, CAST(row_number() OVER (PARTITION BY pmid ORDER BY k) - 1 AS INTEGER) AS
+  pos, {STRIP % "regexp_replace(split_part(part, chr(10), 1), '^#+', '')"} AS name,
+  {STRIP % "substring(part, strpos(part, chr(10)) + 1)"} AS content FROM (SELECT pmid, unnest(parts) AS part,
+  generate_subscripts(parts, 1) AS k FROM (SELECT pmid, string_split(text, chr(10) || '## ') AS parts FROM
+  ({FLAT})))
   WHERE contains(part, chr(10))""")(lambda s, d: views.sections(s, d).select("pmid", F.explode(sections.from_flat(sections.to_flat(F.col("sections")))).alias("s")).select("pmid", "s.pos", "s.name", "s.content"))
 query(
     "section_lookup",
-    "SELECT s.pmid, coalesce((SELECT arg_min(content, pos) FROM sections t WHERE t.pmid = s.pmid AND name = 'funding 2'), (SELECT arg_min(content, pos) FROM sections t WHERE t.pmid = s.pmid AND lower(name) = 'funding 2'), (SELECT arg_min(content, pos) FROM sections t WHERE t.pmid = s.pmid AND contains(lower(name), 'funding 2'))) AS content FROM (SELECT DISTINCT pmid FROM sections) s",
+    """SELECT s.pmid, coalesce((SELECT arg_min(content, pos) FROM sections t WHERE t.pmid = s.pmid AND name =
+  'funding 2'), (SELECT arg_min(content, pos) FROM sections t WHERE t.pmid = s.pmid AND lower(name) = 'funding 2'),
+  (SELECT arg_min(content, pos) FROM sections t WHERE t.pmid = s.pmid AND contains(lower(name), 'funding 2'))) AS
+  content FROM (SELECT DISTINCT pmid FROM sections) s""",
 )(lambda s, d: views.sections(s, d).select("pmid", sections.lookup(F.col("sections"), F.lit("funding 2")).alias("content")))
 query(
     "section_keyword",
-    "SELECT s.pmid, f.name FROM (SELECT DISTINCT pmid FROM sections) s LEFT JOIN (SELECT pmid, arg_min(name, pos) AS name FROM sections WHERE contains(lower(name), 'funding') OR contains(lower(name), 'note') GROUP BY pmid) f ON s.pmid = f.pmid",
+    """SELECT s.pmid, f.name FROM (SELECT DISTINCT pmid FROM sections) s LEFT JOIN (SELECT pmid, arg_min(name, pos)
+  AS name FROM sections WHERE contains(lower(name), 'funding') OR contains(lower(name), 'note') GROUP BY pmid) f ON
+  s.pmid = f.pmid""",
 )(lambda s, d: views.sections(s, d).select("pmid", sections.find_by_keywords(F.col("sections"), ["Funding", "note"])["name"].alias("name")))
 query("section_names", f"SELECT pmid, string_agg(name, '|' ORDER BY pos) AS names {SECT}")(
     lambda s, d: views.sections(s, d).select(
         "pmid", F.array_join(sections.names(F.col("sections")), "|").alias("names")
     )
 )
-query("sections_merge", "SELECT pmid, pos, name, CASE WHEN pos < 3 THEN content || chr(10) || chr(10) || 'new ' || content ELSE content END AS content FROM (SELECT pmid, CAST(row_number() OVER (PARTITION BY pmid ORDER BY pos) - 1 AS INTEGER) AS pos, name, content FROM sections)")(
+query("sections_merge", """SELECT pmid, pos, name, CASE WHEN pos < 3 THEN content || chr(10) || chr(10) || 'new ' ||
+  content ELSE content END AS content FROM (SELECT pmid, CAST(row_number() OVER (PARTITION BY pmid ORDER BY pos) - 1
+  AS INTEGER) AS pos, name, content FROM sections)""")(
     lambda s, d: views.sections(s, d).select(
         "pmid",
         F.explode(
@@ -480,7 +550,8 @@ paper_query(
 )(lambda p: p.filter(predicate("tion*[ti]")).select("pmid"))
 paper_query(
     "search_mesh_author",
-    "SELECT pmid FROM papers WHERE len(list_filter(mesh_terms, lambda x: lower(x) = 'the')) > 0 OR len(list_filter(authors, lambda x: starts_with(lower(x), 'er'))) > 0",
+    """SELECT pmid FROM papers WHERE len(list_filter(mesh_terms, lambda x: lower(x) = 'the')) > 0 OR
+  len(list_filter(authors, lambda x: starts_with(lower(x), 'er'))) > 0""",
 )(lambda p: p.filter(predicate('"the"[mesh] OR er[au]')).select("pmid"))
 paper_query("search_europepmc", "SELECT pmid FROM papers WHERE year BETWEEN '1995' AND '2010' AND source <> 'PPR'")(
     lambda p: p.withColumn("date_published", F.col("year")).filter(
@@ -492,7 +563,9 @@ paper_query("search_europepmc", "SELECT pmid FROM papers WHERE year BETWEEN '199
 query("html_paragraphs")(
     lambda s, d: fulltext.pages(views.table(s, d, "pages").select("page_id", "html")).select("page_id", "page_text")
 )
-query("fulltext_waterfall", "SELECT pmid, CASE WHEN i % 2 = 0 THEN 'pmcid' WHEN EXISTS (SELECT 1 FROM papers o WHERE CAST(o.pmid AS BIGINT) % 3 = 0 AND o.doi = b.doi) THEN 'doi' END AS origin FROM (SELECT *, CAST(pmid AS BIGINT) AS i FROM papers) b")(
+query("fulltext_waterfall", """SELECT pmid, CASE WHEN i % 2 = 0 THEN 'pmcid' WHEN EXISTS (SELECT 1 FROM papers o
+  WHERE CAST(o.pmid AS BIGINT) % 3 = 0 AND o.doi = b.doi) THEN 'doi' END AS origin FROM (SELECT *, CAST(pmid AS
+  BIGINT) AS i FROM papers) b""")(
     lambda s, d: (
         lambda p: fulltext.waterfall(
             p,
@@ -505,7 +578,8 @@ query(
     "event_windows",
     "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 )(lambda s, d: counts_by_window(views.table(s, d, "events")))
-query("fulltext_flag", f"SELECT p.pmid, {STRIP % '''coalesce(full_text, '')'''} <> '' OR s.pmid IS NOT NULL AS has FROM papers p LEFT JOIN (SELECT DISTINCT pmid FROM sections) s ON p.pmid = s.pmid")(
+query("fulltext_flag", f"""SELECT p.pmid, {STRIP % '''coalesce(full_text, '')'''} <> '' OR s.pmid IS NOT NULL AS has
+  FROM papers p LEFT JOIN (SELECT DISTINCT pmid FROM sections) s ON p.pmid = s.pmid""")(
     lambda s, d: views.papers(s, d).join(views.sections(s, d), "pmid", "left").select(
         "pmid", sections.has_full_text(F.col("sections"), F.col("full_text")).alias("has")
     )

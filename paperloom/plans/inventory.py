@@ -138,11 +138,15 @@ def told_articles(a: DataFrame) -> DataFrame:
 
 
 ARTICLES = f"""SELECT CAST(doc_id AS VARCHAR) AS pmid, CASE WHEN doc_id % 3 = 0 THEN 'PMC' || doc_id END AS pmcid,
-  CASE WHEN doc_id % 7 <> 0 THEN '10.5555/' || doc_id ELSE '10.1/old' END AS doi, {STRIP % "substring(text, 1, 80)"} AS title,
-  {SQUASH % "'AIM: ' || substring(text, 1, 80) || ' ' || text"} AS abstract, 'Aging|' || lang AS mesh_terms, 'first' AS keywords,
+  CASE WHEN doc_id % 7 <> 0 THEN '10.5555/' || doc_id ELSE '10.1/old' END AS doi, {STRIP % "substring(text, 1, 80)"}
+  AS title,
+  {SQUASH % "'AIM: ' || substring(text, 1, 80) || ' ' || text"} AS abstract, 'Aging|' || lang AS mesh_terms, 'first'
+  AS keywords,
   'Doe ' || lang || '|Group of ' || doc_id AS authors, CAST(1990 + doc_id % 35 AS VARCHAR) AS year,
-  (1990 + doc_id % 35) || '-' || CASE WHEN doc_id % 5 = 0 THEN '01' ELSE ['01', '04', '07', '12'][CAST(doc_id % 4 + 1 AS INTEGER)] END || '-01' AS date_published,
-  'Journal of ' || lang AS journal, doc_id % 3 = 0 AS is_full_text_pmc, 'Review' || CASE WHEN doc_id % 2 = 0 THEN '; Trial' ELSE '' END AS publication_type,
+  (1990 + doc_id % 35) || '-' || CASE WHEN doc_id % 5 = 0 THEN '01' ELSE ['01', '04', '07', '12'][CAST(doc_id % 4 +
+  1 AS INTEGER)] END || '-01' AS date_published,
+  'Journal of ' || lang AS journal, doc_id % 3 = 0 AS is_full_text_pmc, 'Review' || CASE WHEN doc_id % 2 = 0 THEN
+  '; Trial' ELSE '' END AS publication_type,
   'Aging' AS mesh_major FROM documents"""
 query("pubmed_articles", f", a AS ({ARTICLES}) SELECT * FROM a")(
     lambda s, d: told_articles(pubmed.articles(article_xml(s, d)))
@@ -152,7 +156,8 @@ query("pubmed_by_ids", f", a AS ({ARTICLES}) SELECT pmid, doi, year FROM a WHERE
         article_xml(s, d).join(views.papers(s, d).filter(number() % 10 == 4).select("pmid"), "pmid", "left_semi")
     ).select("pmid", "doi", "year")
 )
-BOOKS = f"""SELECT CASE WHEN doc_id % 2 = 0 THEN 'b' || doc_id ELSE 'NBK1' END AS pmid, {STRIP % "substring(text, 1, 60)"} AS title, {SQUASH % "text"} AS abstract,
+BOOKS = f"""SELECT CASE WHEN doc_id % 2 = 0 THEN 'b' || doc_id ELSE 'NBK1' END AS pmid,
+  {STRIP % "substring(text, 1, 60)"} AS title, {SQUASH % "text"} AS abstract,
   'Roe' AS authors, CAST(1990 + doc_id % 35 AS VARCHAR) AS year, 'Book of ' || lang AS journal FROM documents"""
 query("pubmed_books", f", b AS ({BOOKS}) SELECT * FROM b")(
     lambda s, d: pubmed.books(book_xml(s, d)).select(
@@ -164,7 +169,8 @@ query("pubmed_single", f", a AS ({ARTICLES}) SELECT pmid, title FROM a")(
         article_xml(s, d).select("xml").unionByName(book_xml(s, d).select("xml"))
     ).select("pmid", "title")
 )
-query("pubmed_union", f", a AS ({ARTICLES}), b AS ({BOOKS}) SELECT pmid, journal, doi FROM a UNION ALL SELECT pmid, journal, NULL FROM b")(
+query("pubmed_union", f""", a AS ({ARTICLES}), b AS ({BOOKS}) SELECT pmid, journal, doi FROM a UNION ALL SELECT
+  pmid, journal, NULL FROM b""")(
     lambda s, d: pubmed.papers(
         article_xml(s, d).select("xml").unionByName(book_xml(s, d).select("xml"))
     ).select("pmid", "journal", "doi")
@@ -219,16 +225,21 @@ def jats_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TURNS = f"""turns AS (SELECT pmid, pos, pos // 2 AS o, name, {STRIP % "content"} AS said FROM sections),
 outers AS (SELECT pmid, o, arg_min(name, pos) AS head, min(pos) AS opens FROM turns GROUP BY pmid, o),
-keyed AS (SELECT t.pmid, t.o, t.pos, t.said, CASE WHEN t.pos = u.opens THEN t.name ELSE u.head || '/' || t.name END AS name, t.pos <> u.opens AS inner_one
+keyed AS (SELECT t.pmid, t.o, t.pos, t.said, CASE WHEN t.pos = u.opens THEN t.name ELSE u.head || '/' || t.name END
+  AS name, t.pos <> u.opens AS inner_one
   FROM turns t JOIN outers u ON t.pmid = u.pmid AND t.o = u.o WHERE t.said <> '')"""
-query("jats_sections", f""", {TURNS} SELECT pmid, CAST(row_number() OVER (PARTITION BY pmid ORDER BY o, inner_one DESC) - 1 AS INTEGER) AS pos, name, said AS content FROM keyed""")(
+query("jats_sections", f""", {TURNS} SELECT pmid, CAST(row_number() OVER (PARTITION BY pmid ORDER BY o, inner_one
+  DESC) - 1 AS INTEGER) AS pos, name, said AS content FROM keyed""")(
     lambda s, d: fulltext.jats(jats_xml(s, d)).select(
         "pmid", F.explode("sections").alias("s")
     ).select("pmid", "s.pos", "s.name", "s.content")
 )
-query("jats_flat", f""", {TURNS} SELECT pmid, string_agg(CASE WHEN t.pos = u.opens THEN '# ' ELSE '## ' END || t.name || CASE WHEN said <> '' THEN chr(10) || chr(10) || said ELSE '' END, chr(10) || chr(10) ORDER BY t.pos) || chr(10) || chr(10) || '# Data' AS full_text,
+query("jats_flat", f""", {TURNS} SELECT pmid, string_agg(CASE WHEN t.pos = u.opens THEN '# ' ELSE '## ' END ||
+  t.name || CASE WHEN said <> '' THEN chr(10) || chr(10) || said ELSE '' END, chr(10) || chr(10) ORDER BY t.pos) ||
+  chr(10) || chr(10) || '# Data' AS full_text,
   'Abstract of ' || pmid AS abstract, true AS has_body FROM turns t JOIN outers u USING (pmid, o) GROUP BY pmid""")(lambda s, d: fulltext.jats(jats_xml(s, d)).select("pmid", "full_text", "abstract", "has_body"))
-query("jats_extras", "SELECT DISTINCT pmid, 'Numbers: ' || pmid || ' | b' AS tables, 'F1 Figure of ' || pmid AS figures, 'Cited by ' || pmid AS refs, 'research-article' AS article_type FROM sections")(
+query("jats_extras", """SELECT DISTINCT pmid, 'Numbers: ' || pmid || ' | b' AS tables, 'F1 Figure of ' || pmid AS
+  figures, 'Cited by ' || pmid AS refs, 'research-article' AS article_type FROM sections""")(
     lambda s, d: fulltext.article_extras(jats_xml(s, d)).select(
         "pmid", F.array_join(
             F.transform("tables", lambda t: F.concat(t["caption"], F.lit(": "), t["content"])), "|"
@@ -238,7 +249,8 @@ query("jats_extras", "SELECT DISTINCT pmid, 'Numbers: ' || pmid || ' | b' AS tab
         ).alias("figures"), F.array_join(F.transform("references", lambda t: t["content"]), "|").alias("refs"), "article_type",
     )
 )
-query("jats_with_extras", "SELECT DISTINCT pmid, '**Table 1:** Numbers' || chr(10) || pmid || ' | b' AS tables, '**Figure 1:** Figure of ' || pmid AS figures, '[1] Cited by ' || pmid AS refs FROM sections")(
+query("jats_with_extras", """SELECT DISTINCT pmid, '**Table 1:** Numbers' || chr(10) || pmid || ' | b' AS tables,
+  '**Figure 1:** Figure of ' || pmid AS figures, '[1] Cited by ' || pmid AS refs FROM sections""")(
     lambda s, d: _with_extras(s, d)
 )
 
@@ -251,11 +263,17 @@ def _with_extras(s: SparkSession, d: str) -> DataFrame:
     )
 
 
-MEANT = f"""meant AS (SELECT pmid, count(*) FILTER (WHERE NOT contains(lower(name), 'funding') AND contains(lower(name), 'introduction') AND NOT contains(lower(name), 'abstract')) AS m,
-  count(*) FILTER (WHERE NOT contains(lower(name), 'funding') AND NOT contains(lower(name), 'abstract') AND length(said) > 500) AS l,
-  count(*) FILTER (WHERE contains(lower(name), 'funding') AND NOT contains(lower(name), 'abstract')) AS b FROM keyed GROUP BY pmid),
-flats AS (SELECT pmid, sum(length(t.name) + CASE WHEN t.pos = u.opens THEN 2 ELSE 3 END + CASE WHEN said <> '' THEN 2 + length(said) ELSE 0 END + 2) + 6 AS n FROM turns t JOIN outers u USING (pmid, o) GROUP BY pmid)"""
-query("jats_assembled", f""", {TURNS}, {MEANT} SELECT f.pmid, CASE WHEN (m >= 1 AND l >= 1) OR (l >= 3 AND b < l) THEN 'body' WHEN b > 0 AND m = 0 AND l < 3 THEN 'page' WHEN l < 2 THEN 'page' WHEN n > 3000 THEN 'body' ELSE 'page' END AS origin
+MEANT = f"""meant AS (SELECT pmid, count(*) FILTER (WHERE NOT contains(lower(name), 'funding') AND
+  contains(lower(name), 'introduction') AND NOT contains(lower(name), 'abstract')) AS m,
+  count(*) FILTER (WHERE NOT contains(lower(name), 'funding') AND NOT contains(lower(name), 'abstract') AND
+  length(said) > 500) AS l,
+  count(*) FILTER (WHERE contains(lower(name), 'funding') AND NOT contains(lower(name), 'abstract')) AS b FROM keyed
+  GROUP BY pmid),
+flats AS (SELECT pmid, sum(length(t.name) + CASE WHEN t.pos = u.opens THEN 2 ELSE 3 END + CASE WHEN said <> '' THEN
+  2 + length(said) ELSE 0 END + 2) + 6 AS n FROM turns t JOIN outers u USING (pmid, o) GROUP BY pmid)"""
+query("jats_assembled", f""", {TURNS}, {MEANT} SELECT f.pmid, CASE WHEN (m >= 1 AND l >= 1) OR (l >= 3 AND b < l)
+  THEN 'body' WHEN b > 0 AND m = 0 AND l < 3 THEN 'page' WHEN l < 2 THEN 'page' WHEN n > 3000 THEN 'body' ELSE
+  'page' END AS origin
   FROM flats f JOIN meant USING (pmid)""")(
     lambda s, d: (
         lambda j: j.select(
@@ -266,7 +284,8 @@ query("jats_assembled", f""", {TURNS}, {MEANT} SELECT f.pmid, CASE WHEN (m >= 1
         ).select("pmid", F.when(F.col("t.full_text").startswith("ABSTRACT:\nAbstract of"), "body").when(F.col("t.full_text") == "the page", "page").alias("origin"))
     )(fulltext.jats(jats_xml(s, d)))
 )
-query("fulltext_by_doi", "SELECT p.pmid, s.pmid IS NOT NULL AS found, CASE WHEN s.pmid IS NOT NULL THEN 'PMC' || s.pmid END AS late_pmcid FROM papers p LEFT JOIN (SELECT DISTINCT pmid FROM sections) s ON p.pmid = s.pmid")(
+query("fulltext_by_doi", """SELECT p.pmid, s.pmid IS NOT NULL AS found, CASE WHEN s.pmid IS NOT NULL THEN 'PMC' ||
+  s.pmid END AS late_pmcid FROM papers p LEFT JOIN (SELECT DISTINCT pmid FROM sections) s ON p.pmid = s.pmid""")(
     lambda s, d: (lambda texts: fulltext.waterfall(
         views.papers(s, d).select(
             "pmid", F.lit(None).cast("string").alias("pmcid"), F.concat(F.lit("10.5555/"), "pmid").alias("doi")
@@ -286,7 +305,8 @@ def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-RAW = "SELECT pmid, coalesce(string_agg('## ' || name || chr(10) || chr(10) || said, chr(10) || chr(10) ORDER BY pos) FILTER (WHERE length(said) > 30), '') AS raw FROM turns GROUP BY pmid"
+RAW = """SELECT pmid, coalesce(string_agg('## ' || name || chr(10) || chr(10) || said, chr(10) || chr(10) ORDER BY
+  pos) FILTER (WHERE length(said) > 30), '') AS raw FROM turns GROUP BY pmid"""
 query(
     "html_sections",
     f", {TURNS} SELECT pmid, CASE WHEN length(raw) > 500 THEN {
@@ -297,7 +317,8 @@ query(
 
 # Preprints
 
-PRE = "pre AS (SELECT *, CASE WHEN year IS NULL THEN NULL ELSE year || '-0' || (CAST(pmid AS BIGINT) % 9 + 1) || '-15' END AS date_published FROM papers)"
+PRE = """pre AS (SELECT *, CASE WHEN year IS NULL THEN NULL ELSE year || '-0' || (CAST(pmid AS BIGINT) % 9 + 1) ||
+  '-15' END AS date_published FROM papers)"""
 
 
 def preprints(s: SparkSession, d: str) -> DataFrame:
@@ -319,7 +340,8 @@ query(
         PRE
     } SELECT DISTINCT doi FROM pre WHERE source = 'PPR' AND doi IS NOT NULL AND date_published >= '2000-03' AND substring(date_published, 1, 4) <= '2009'",
 )(lambda s, d: hits.preprint_dois(preprints(s, d), "", None, "2000-03", "2009"))
-query("preprint_details", "SELECT pmid AS doi, CASE WHEN pmid IN (SELECT pmid FROM sections) THEN (SELECT arg_min(content, pos) FROM sections s WHERE s.pmid = p.pmid) END AS detail FROM papers p")(
+query("preprint_details", """SELECT pmid AS doi, CASE WHEN pmid IN (SELECT pmid FROM sections) THEN (SELECT
+  arg_min(content, pos) FROM sections s WHERE s.pmid = p.pmid) END AS detail FROM papers p""")(
     lambda s, d: hits.preprint_details(
         views.papers(s, d).select(F.col("pmid").alias("doi")),
         views.sections(s, d).select(
@@ -327,22 +349,28 @@ query("preprint_details", "SELECT pmid AS doi, CASE WHEN pmid IN (SELECT pmid FR
         ),
     )
 )
-query("preprint_papers", """SELECT coalesce(nullif(CASE WHEN i % 2 = 0 THEN '' ELSE pmid END, ''), doi) AS pmid, doi, CASE WHEN i % 4 = 0 THEN '2021' ELSE year END AS year,
-  CASE i % 3 WHEN 0 THEN 'bioRxiv (preprint)' WHEN 1 THEN 'medRxiv (preprint)' ELSE 'other (preprint)' END AS journal, 'PubMed' AS source FROM (SELECT *, CAST(pmid AS BIGINT) AS i FROM papers) WHERE doi IS NOT NULL""")(
+query("preprint_papers", """SELECT coalesce(nullif(CASE WHEN i % 2 = 0 THEN '' ELSE pmid END, ''), doi) AS pmid,
+  doi, CASE WHEN i % 4 = 0 THEN '2021' ELSE year END AS year,
+  CASE i % 3 WHEN 0 THEN 'bioRxiv (preprint)' WHEN 1 THEN 'medRxiv (preprint)' ELSE 'other (preprint)' END AS
+  journal, 'PubMed' AS source FROM (SELECT *, CAST(pmid AS BIGINT) AS i FROM papers) WHERE doi IS NOT NULL""")(
     lambda s, d: (lambda i: hits.from_preprints(views.papers(s, d).select(
         F.when(i % 2 == 0, "").otherwise(F.col("pmid")).alias("pmid"), "doi", "title", "abstract", F.array_join(
             "authors", ";"
         ).alias("authors"), F.when(i % 4 == 0, "2021-03-04").otherwise(F.concat("year", F.lit("-01-01"))).alias("date"),
         F.lit(None).cast("string").alias("first_date"), F.element_at(F.array(F.lit("bioRxiv"), F.lit("medrxiv"), F.lit("other")), (i % 3 + 1).cast("int")).alias("server"))).select("pmid", "doi", "year", "journal", "source"))(number())
 )
-query("pdf_urls", "SELECT pmid, 'https://www.biorxiv.org/content/' || doi || 'v2.full.pdf' AS url, 'https://www.biorxiv.org/content/' || doi || '.full.pdf' AS plain FROM papers WHERE doi IS NOT NULL AND NOT contains(doi, 'v')")(
+query("pdf_urls", """SELECT pmid, 'https://www.biorxiv.org/content/' || doi || 'v2.full.pdf' AS url,
+  'https://www.biorxiv.org/content/' || doi || '.full.pdf' AS plain FROM papers WHERE doi IS NOT NULL AND NOT
+  contains(doi, 'v')""")(
     lambda s, d: views.papers(s, d).filter("doi is not null and not contains(doi, 'v')").select(
         "pmid",
         hits.pdf_url(F.concat("doi", F.lit("v2")), F.lit("biorxiv")).alias("url"),
         hits.pdf_url(F.concat("doi", F.lit("v2")), F.lit("biorxiv"), True).alias("plain"),
     )
 )
-query("preprint_fulltext", """SELECT pmid, CASE WHEN i % 4 = 0 THEN 'explicit' WHEN i % 4 = 1 THEN 'versioned' WHEN i % 4 = 2 THEN 'plain' END AS origin, CASE WHEN i % 4 < 3 THEN 'main' END AS section FROM (SELECT pmid, CAST(pmid AS BIGINT) AS i FROM papers)""")(
+query("preprint_fulltext", """SELECT pmid, CASE WHEN i % 4 = 0 THEN 'explicit' WHEN i % 4 = 1 THEN 'versioned' WHEN
+  i % 4 = 2 THEN 'plain' END AS origin, CASE WHEN i % 4 < 3 THEN 'main' END AS section FROM (SELECT pmid, CAST(pmid
+  AS BIGINT) AS i FROM papers)""")(
     lambda s, d: _preprint_fulltext(s, d)
 )
 
@@ -375,9 +403,12 @@ def _preprint_fulltext(s: SparkSession, d: str) -> DataFrame:
 
 
 TITLES = "works2 AS (SELECT 'doi-' || pmid AS doi, title FROM papers WHERE CAST(pmid AS BIGINT) % 2 = 0)"
-query("title_to_doi_exact", f""", {TITLES}, keys AS (SELECT doi, trim(regexp_replace(lower(title), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') AS k FROM works2),
-  asked AS (SELECT DISTINCT upper(title) AS title FROM papers WHERE CAST(pmid AS BIGINT) % 2 = 0 AND NOT contains(title, 'ß')) SELECT a.title, min(k.doi) AS doi FROM asked a JOIN keys k
-  ON k.k = trim(regexp_replace(lower(a.title), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') WHERE k.k <> '' GROUP BY a.title""")(
+query("title_to_doi_exact", f""", {TITLES}, keys AS (SELECT doi, trim(regexp_replace(lower(title),
+  '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') AS k FROM works2),
+  asked AS (SELECT DISTINCT upper(title) AS title FROM papers WHERE CAST(pmid AS BIGINT) % 2 = 0 AND NOT
+  contains(title, 'ß')) SELECT a.title, min(k.doi) AS doi FROM asked a JOIN keys k
+  ON k.k = trim(regexp_replace(lower(a.title), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') WHERE k.k <> '' GROUP BY
+  a.title""")(
     lambda s, d: (
         lambda p: hits.dois_of_titles(
             p.filter(~F.contains("title", F.lit("ß"))).select(F.upper("title").alias("title")),
@@ -462,7 +493,9 @@ query("store_exists", "SELECT pmid FROM papers WHERE CAST(pmid AS BIGINT) % 5 =
 query("store_exists_by_doi", "SELECT DISTINCT doi FROM papers WHERE doi IS NOT NULL")(
     lambda s, d: filled_store(s, d).exists(views.papers(s, d).select("doi"), "doi").distinct()
 )
-query("store_by_query_and_mesh", "SELECT doi FROM papers WHERE query_id = 2 AND list_contains(mesh_terms, mesh_terms[1]) AND doi IS NOT NULL AND list_contains(mesh_terms, (SELECT mesh_terms[1] FROM papers WHERE query_id = 2 AND doi IS NOT NULL ORDER BY pmid LIMIT 1))")(
+query("store_by_query_and_mesh", """SELECT doi FROM papers WHERE query_id = 2 AND list_contains(mesh_terms,
+  mesh_terms[1]) AND doi IS NOT NULL AND list_contains(mesh_terms, (SELECT mesh_terms[1] FROM papers WHERE query_id
+  = 2 AND doi IS NOT NULL ORDER BY pmid LIMIT 1))""")(
     lambda s, d: (
         lambda store: store.by_mesh(
             store.by_query(2).filter("doi is not null").orderBy("pmid").first()["mesh_terms"][0], 2
@@ -471,7 +504,8 @@ query("store_by_query_and_mesh", "SELECT doi FROM papers WHERE query_id = 2 AND
 )
 query(
     "store_query_registry",
-    "SELECT q.id, q.query_text, (SELECT count(*) FROM papers p WHERE p.query_id = q.id) AS papers FROM (VALUES (1, 'aging'), (2, 'theory'), (3, 'cells')) q(id, query_text)",
+    """SELECT q.id, q.query_text, (SELECT count(*) FROM papers p WHERE p.query_id = q.id) AS papers FROM (VALUES (1,
+  'aging'), (2, 'theory'), (3, 'cells')) q(id, query_text)""",
 )(lambda s, d: _registry(s, d))
 
 
@@ -489,7 +523,8 @@ def _registry(s: SparkSession, d: str) -> DataFrame:
 
 query(
     "store_failed_dois",
-    "SELECT doi, max(pmid) AS pmid, 'second' AS reason FROM papers WHERE doi IS NOT NULL AND NOT is_full_text_pmc GROUP BY doi",
+    """SELECT doi, max(pmid) AS pmid, 'second' AS reason FROM papers WHERE doi IS NOT NULL AND NOT is_full_text_pmc
+  GROUP BY doi""",
 )(lambda s, d: _failed(s, d))
 
 
@@ -559,10 +594,14 @@ query(
     "export_json_array", "SELECT pmid, doi, title, array_to_string(mesh_terms, '|') AS mesh_terms FROM papers"
 )(_array(False))
 query("export_json_indented", "SELECT pmid, (SELECT count(*) FROM papers) AS objects FROM papers")(_array(True))
-query("export_run_files", """SELECT * FROM (SELECT 'papers_all' AS artefact, count(*) AS n FROM papers UNION ALL SELECT 'papers_with_fulltext', count(*) FROM papers WHERE is_full_text_pmc
-  UNION ALL SELECT 'papers_without_fulltext', count(*) FROM papers WHERE NOT is_full_text_pmc UNION ALL SELECT 'pmid_list', count(*) FROM papers UNION ALL SELECT 'query_info', 1 UNION ALL SELECT 'statistics', 1
-  UNION ALL SELECT 'checkpoints', CAST(ceil(count(*) / 100.0) AS BIGINT) FROM papers UNION ALL SELECT 'papers_checkpoint', count(*) FROM papers
-  UNION ALL SELECT 'doi_list', count(doi) FROM papers UNION ALL SELECT 'doi_to_pmid_mapping', count(DISTINCT doi) FROM papers)""")(lambda s, d: _run_files(s, d))
+query("export_run_files", """SELECT * FROM (SELECT 'papers_all' AS artefact, count(*) AS n FROM papers UNION ALL
+  SELECT 'papers_with_fulltext', count(*) FROM papers WHERE is_full_text_pmc
+  UNION ALL SELECT 'papers_without_fulltext', count(*) FROM papers WHERE NOT is_full_text_pmc UNION ALL SELECT
+  'pmid_list', count(*) FROM papers UNION ALL SELECT 'query_info', 1 UNION ALL SELECT 'statistics', 1
+  UNION ALL SELECT 'checkpoints', CAST(ceil(count(*) / 100.0) AS BIGINT) FROM papers UNION ALL SELECT
+  'papers_checkpoint', count(*) FROM papers
+  UNION ALL SELECT 'doi_list', count(doi) FROM papers UNION ALL SELECT 'doi_to_pmid_mapping', count(DISTINCT doi)
+  FROM papers)""")(lambda s, d: _run_files(s, d))
 
 
 def _run_files(s: SparkSession, d: str) -> DataFrame:
@@ -620,7 +659,8 @@ query(
 query(
     "export_title_dois", "SELECT 'title of it:' || doi AS line FROM papers WHERE doi IS NOT NULL"
 )(_text_lines(_titles))
-query("export_failed_json", "SELECT pmid, doi, title, authors FROM (SELECT pmid, doi, title, array_to_string(list_slice(authors, 1, 3), '; ') AS authors FROM papers WHERE NOT is_full_text_pmc)")(
+query("export_failed_json", """SELECT pmid, doi, title, authors FROM (SELECT pmid, doi, title,
+  array_to_string(list_slice(authors, 1, 3), '; ') AS authors FROM papers WHERE NOT is_full_text_pmc)""")(
     _text_lines(
         lambda s, p, path: (
             corpus.failed_export(p).drop("line", "abstract").write.json(path),
@@ -630,7 +670,8 @@ query("export_failed_json", "SELECT pmid, doi, title, authors FROM (SELECT pmid,
 )
 query(
     "query_catalogue",
-    "SELECT * FROM (VALUES ('1', 'one', 'aging'), ('2', 'two', 'theory'), ('2', 'two', 'cells'), ('3', 'three', NULL)) t(id, name, query)",
+    """SELECT * FROM (VALUES ('1', 'one', 'aging'), ('2', 'two', 'theory'), ('2', 'two', 'cells'), ('3', 'three',
+  NULL)) t(id, name, query)""",
 )(lambda s, d: _catalogue(s))
 query(
     "collection_config", "SELECT 'aging' AS query, 5 AS max_results, 60000 AS check_num, false AS use_suffix"
@@ -663,7 +704,8 @@ def _config(s: SparkSession) -> DataFrame:
 
 query(
     "output_folders",
-    "SELECT * FROM (VALUES ('base', '/x'), ('data', '/x/data'), ('checkpoints', '/x/checkpoints'), ('logs', '/x/logs'), ('store', '/x/test_store')) t(name, path)",
+    """SELECT * FROM (VALUES ('base', '/x'), ('data', '/x/data'), ('checkpoints', '/x/checkpoints'), ('logs',
+  '/x/logs'), ('store', '/x/test_store')) t(name, path)""",
 )(lambda s, d: s.createDataFrame(list(files.output_folders("/x/", True).items()), "name string, path string"))
 
 
@@ -673,7 +715,8 @@ paper_query(
     "pmcid_digits",
     "SELECT pmid, CASE WHEN CAST(pmid AS BIGINT) % 2 = 0 THEN pmid ELSE 'x' || pmid END AS digits FROM papers",
 )(lambda p: p.select("pmid", text.pmcid_digits(F.when(number() % 2 == 0, F.concat(F.lit("PMC"), "pmid")).otherwise(F.concat(F.lit("x"), "pmid"))).alias("digits")))
-paper_query("month_numbers", "SELECT pmid, ['01', '02', '03', '04', '05', '06', '07', '08', '09', '10', '11', '12', '13', 'Spring'][CAST(CAST(pmid AS BIGINT) % 14 + 1 AS INTEGER)] AS month FROM papers")(
+paper_query("month_numbers", """SELECT pmid, ['01', '02', '03', '04', '05', '06', '07', '08', '09', '10', '11',
+  '12', '13', 'Spring'][CAST(CAST(pmid AS BIGINT) % 14 + 1 AS INTEGER)] AS month FROM papers""")(
     lambda p: p.select(
         "pmid",
         text.month_number(
@@ -703,7 +746,8 @@ paper_query("month_numbers", "SELECT pmid, ['01', '02', '03', '04', '05', '06',
         ).alias("month"),
     )
 )
-paper_query("doi_unversioned", "SELECT pmid, CASE WHEN CAST(pmid AS BIGINT) % 2 = 0 THEN '10.1101/a.' || pmid ELSE '10.1101/a.' || pmid || 'v1' END AS doi FROM papers")(
+paper_query("doi_unversioned", """SELECT pmid, CASE WHEN CAST(pmid AS BIGINT) % 2 = 0 THEN '10.1101/a.' || pmid ELSE
+  '10.1101/a.' || pmid || 'v1' END AS doi FROM papers""")(
     lambda p: p.select(
         "pmid",
         text.doi_unversioned(
@@ -711,7 +755,8 @@ paper_query("doi_unversioned", "SELECT pmid, CASE WHEN CAST(pmid AS BIGINT) % 2
         ).alias("doi"),
     )
 )
-paper_query("duration_seconds", "SELECT pmid, CASE WHEN CAST(pmid AS BIGINT) % 3 = 0 THEN NULL ELSE CAST(CAST(pmid AS BIGINT) % 50 * 60 + 1.5 AS DOUBLE) END AS seconds FROM papers")(
+paper_query("duration_seconds", """SELECT pmid, CASE WHEN CAST(pmid AS BIGINT) % 3 = 0 THEN NULL ELSE CAST(CAST(pmid
+  AS BIGINT) % 50 * 60 + 1.5 AS DOUBLE) END AS seconds FROM papers""")(
     lambda p: p.select(
         "pmid",
         text.seconds_between(
@@ -722,7 +767,9 @@ paper_query("duration_seconds", "SELECT pmid, CASE WHEN CAST(pmid AS BIGINT) % 3
         ).alias("seconds"),
     )
 )
-paper_query("display_cuts", "SELECT pmid, CASE WHEN length(title) > 70 THEN substring(title, 1, 70) || '...' ELSE title END AS title, CASE WHEN length(journal) > 10 THEN substring(journal, 1, 10) || '...' ELSE journal END AS journal FROM papers")(
+paper_query("display_cuts", """SELECT pmid, CASE WHEN length(title) > 70 THEN substring(title, 1, 70) || '...' ELSE
+  title END AS title, CASE WHEN length(journal) > 10 THEN substring(journal, 1, 10) || '...' ELSE journal END AS
+  journal FROM papers""")(
     lambda p: p.select(
         "pmid", text.ellipsis(F.col("title"), 70).alias("title"), text.ellipsis(F.col("journal"), 10).alias("journal")
     )
@@ -732,8 +779,13 @@ query("query_suffix", "SELECT * FROM (VALUES ('aging AND (full text[sb])'), ('ag
         [(with_suffix("aging", " AND (full text[sb])"),), (with_suffix("aging", " "),)], "query string"
     )
 )
-query("clean_sections", f"""SELECT pmid, pos, name, cleaned AS content FROM (SELECT pmid, pos, name, array_to_string(list_filter(list_transform(string_split(regexp_replace(regexp_replace(content, chr(9) || '+', ' ', 'g'), ' {{3,}}', ' ', 'g'), chr(10)), lambda s: {STRIP % "s"}), lambda s: length(s) > 1 AND regexp_matches(s, '[\\p{{L}}\\p{{N}}]')), chr(10)) AS cleaned
-  FROM (SELECT pmid, pos, CASE WHEN pos % 3 = 1 THEN '' ELSE name END AS name, CASE WHEN pos % 3 = 1 THEN ' ' || chr(10) || ' ' ELSE content || chr(10) || '--' || chr(9) || chr(9) || chr(10) || 'end   of it' END AS content FROM sections WHERE NOT contains(content, '$') AND NOT contains(content, '\\'))) WHERE cleaned <> ''""")(
+query("clean_sections", f"""SELECT pmid, pos, name, cleaned AS content FROM (SELECT pmid, pos, name,
+  array_to_string(list_filter(list_transform(string_split(regexp_replace(regexp_replace(content, chr(9) || '+', ' ',
+  'g'), ' {{3,}}', ' ', 'g'), chr(10)), lambda s: {STRIP % "s"}), lambda s: length(s) > 1 AND regexp_matches(s,
+  '[\\p{{L}}\\p{{N}}]')), chr(10)) AS cleaned
+  FROM (SELECT pmid, pos, CASE WHEN pos % 3 = 1 THEN '' ELSE name END AS name, CASE WHEN pos % 3 = 1 THEN ' ' ||
+  chr(10) || ' ' ELSE content || chr(10) || '--' || chr(9) || chr(9) || chr(10) || 'end   of it' END AS content FROM
+  sections WHERE NOT contains(content, '$') AND NOT contains(content, '\\'))) WHERE cleaned <> ''""")(
     lambda s, d: _clean_sections(s, d)
 )
 
@@ -782,14 +834,16 @@ query(
 query(
     "search_one_month", f", {PRE} SELECT pmid FROM pre WHERE substring(date_published, 1, 7) = '2003-05'"
 )(lambda s, d: preprints(s, d).filter(predicate("2003/05[pdat]")).select("pmid"))
-paper_query("search_doi_and_subset", "SELECT pmid FROM papers WHERE doi = (SELECT doi FROM papers WHERE doi IS NOT NULL ORDER BY pmid LIMIT 1) OR is_full_text_pmc")(
+paper_query("search_doi_and_subset", """SELECT pmid FROM papers WHERE doi = (SELECT doi FROM papers WHERE doi IS NOT
+  NULL ORDER BY pmid LIMIT 1) OR is_full_text_pmc""")(
     lambda p: p.filter(
         predicate(f'{p.filter("doi is not null").orderBy("pmid").first()["doi"].upper()}[DOI] OR "full text"[sb]')
     ).select("pmid")
 )
 query(
     "works_by_doi_filter",
-    "SELECT doi, cited_by_count FROM works WHERE doi IN (SELECT 'https://doi.org/' || upper(doi) FROM papers WHERE CAST(pmid AS BIGINT) % 9 = 1)",
+    """SELECT doi, cited_by_count FROM works WHERE doi IN (SELECT 'https://doi.org/' || upper(doi) FROM papers WHERE
+  CAST(pmid AS BIGINT) % 9 = 1)""",
 )(lambda s, d: _doi_filter(s, d))
 
 
@@ -803,7 +857,8 @@ def _doi_filter(s: SparkSession, d: str) -> DataFrame:
     return w.withColumn("k", text.doi_key(F.col("doi"))).join(wanted, "k", "left_semi").select("doi", "cited_by_count")
 
 
-paper_query("sorted_by_count", "SELECT doi, n, row_number() OVER (ORDER BY n DESC, doi) AS place FROM (SELECT doi, count(*) AS n FROM papers WHERE coalesce(doi, '') <> '' GROUP BY doi HAVING count(*) > 1)")(
+paper_query("sorted_by_count", """SELECT doi, n, row_number() OVER (ORDER BY n DESC, doi) AS place FROM (SELECT doi,
+  count(*) AS n FROM papers WHERE coalesce(doi, '') <> '' GROUP BY doi HAVING count(*) > 1)""")(
     lambda p: corpus.numbered(
         dedup.groups(p).select(
             "doi", "n", F.concat(F.lpad((10**12 - F.col("n")).cast("string"), 12, "0"), "doi").alias("k")
@@ -826,15 +881,21 @@ paper_query(
 
 # Statistics and reports
 
-query("reclean_counts", f"SELECT count(*) FILTER (WHERE a <> abstract) AS modified, count(*) FILTER (WHERE a = abstract) AS unchanged FROM (SELECT abstract, {SQUASH % 'abstract'} AS a FROM papers)")(
+query("reclean_counts", f"""SELECT count(*) FILTER (WHERE a <> abstract) AS modified, count(*) FILTER (WHERE a =
+  abstract) AS unchanged FROM (SELECT abstract, {SQUASH % 'abstract'} AS a FROM papers)""")(
     lambda s, d: corpus.reclean_counts(views.papers(s, d).select("abstract", F.lit("clean text").alias("full_text")))
 )
-paper_query("append_report", "SELECT count(*) FILTER (WHERE i % 2 = 0) AS before, count(*) AS after, count(*) FILTER (WHERE i % 2 = 1) AS added, count(*) FILTER (WHERE i % 2 = 0 AND i % 3 = 0) AS known, (SELECT string_agg(pmid, ',' ORDER BY pmid) FROM (SELECT pmid FROM papers WHERE CAST(pmid AS BIGINT) % 2 = 0 ORDER BY pmid LIMIT 5)) AS sample FROM (SELECT CAST(pmid AS BIGINT) AS i FROM papers)")(
+paper_query("append_report", """SELECT count(*) FILTER (WHERE i % 2 = 0) AS before, count(*) AS after, count(*)
+  FILTER (WHERE i % 2 = 1) AS added, count(*) FILTER (WHERE i % 2 = 0 AND i % 3 = 0) AS known, (SELECT
+  string_agg(pmid, ',' ORDER BY pmid) FROM (SELECT pmid FROM papers WHERE CAST(pmid AS BIGINT) % 2 = 0 ORDER BY pmid
+  LIMIT 5)) AS sample FROM (SELECT CAST(pmid AS BIGINT) AS i FROM papers)""")(
     lambda p: corpus.append_report(
         p.filter(number() % 2 == 0), p, p.filter((number() % 2 == 1) | (number() % 3 == 0))
     ).withColumn("sample", F.array_join("sample", ","))
 )
-paper_query("change_notes", "SELECT pmid, concat_ws('; ', CASE WHEN coalesce(abstract, '') = '' THEN 'abstract added' ELSE 'abstract longer by 5' END, CASE WHEN coalesce(full_text, '') = '' THEN 'full_text added' END, 'authors grew by 1') AS changes FROM papers WHERE CAST(pmid AS BIGINT) % 2 = 0")(
+paper_query("change_notes", """SELECT pmid, concat_ws('; ', CASE WHEN coalesce(abstract, '') = '' THEN
+  'abstract added' ELSE 'abstract longer by 5' END, CASE WHEN coalesce(full_text, '') = '' THEN 'full_text added'
+  END, 'authors grew by 1') AS changes FROM papers WHERE CAST(pmid AS BIGINT) % 2 = 0""")(
     lambda p: corpus.changes(
         p,
         p.filter(number() % 2 == 0).withColumns(
@@ -848,11 +909,13 @@ paper_query("change_notes", "SELECT pmid, concat_ws('; ', CASE WHEN coalesce(abs
 )
 paper_query(
     "reclean_preview",
-    "SELECT pmid, 'a   b' AS before, 'a b' AS after, 5 AS chars_before, 3 AS chars_after FROM papers ORDER BY pmid LIMIT 3",
+    """SELECT pmid, 'a   b' AS before, 'a b' AS after, 5 AS chars_before, 3 AS chars_after FROM papers ORDER BY pmid
+  LIMIT 3""",
 )(lambda p: corpus.reclean_preview(p.select("pmid", F.lit("a   b").alias("full_text"))))
 query(
     "run_summary",
-    "SELECT * FROM (VALUES ('total processed: ' || (SELECT count(*) FROM papers)), ('with full text: ' || (SELECT count(*) FROM papers WHERE is_full_text_pmc)), ('seconds: 90'), ('query: aging')) t(line)",
+    """SELECT * FROM (VALUES ('total processed: ' || (SELECT count(*) FROM papers)), ('with full text: ' || (SELECT
+  count(*) FROM papers WHERE is_full_text_pmc)), ('seconds: 90'), ('query: aging')) t(line)""",
 )(lambda s, d: _summary(s, d))
 
 
@@ -879,7 +942,9 @@ def _summary(s: SparkSession, d: str) -> DataFrame:
 
 query(
     "enrich_one",
-    "SELECT p.pmid, w.cited_by_count FROM papers p JOIN works w ON lower(replace(w.doi, 'https://doi.org/', '')) = p.doi WHERE p.pmid = (SELECT min(q.pmid) FROM papers q JOIN works v ON lower(replace(v.doi, 'https://doi.org/', '')) = q.doi)",
+    """SELECT p.pmid, w.cited_by_count FROM papers p JOIN works w ON lower(replace(w.doi, 'https://doi.org/', '')) =
+  p.doi WHERE p.pmid = (SELECT min(q.pmid) FROM papers q JOIN works v ON lower(replace(v.doi, 'https://doi.org/',
+  '')) = q.doi)""",
 )(lambda s, d: _enrich_one(s, d))
 
 
@@ -895,7 +960,8 @@ def _enrich_one(s: SparkSession, d: str) -> DataFrame:
 # Runs
 
 COUNTS = "count(*) AS total_processed, count(*) FILTER (WHERE is_full_text_pmc) AS with_full_text"
-query("collection_run", f"SELECT 'aging' AS query, {COUNTS}, count(*) FILTER (WHERE NOT is_full_text_pmc) AS without_full_text FROM papers")(
+query("collection_run", f"""SELECT 'aging' AS query, {COUNTS}, count(*) FILTER (WHERE NOT is_full_text_pmc) AS
+  without_full_text FROM papers""")(
     lambda s, d: collect.collect(
         new_store(s), _bare(s, d), views.works(s, d), "aging", "2024-01-01T00:00:00", "2024-01-01T00:01:00"
     ).select("query", "total_processed", "with_full_text", "without_full_text")
@@ -907,7 +973,8 @@ def _bare(s: SparkSession, d: str) -> DataFrame:
     return views.papers(s, d).withColumns(none)
 
 
-query("dois_run_missing", "SELECT 'no-' || pmid AS doi FROM papers WHERE CAST(pmid AS BIGINT) % 2 = 1 AND doi IS NOT NULL")(
+query("dois_run_missing", """SELECT 'no-' || pmid AS doi FROM papers WHERE CAST(pmid AS BIGINT) % 2 = 1 AND doi IS
+  NOT NULL""")(
     lambda s, d: (
         lambda p: collect.collect_from_dois(
             new_store(s),
@@ -921,7 +988,8 @@ query("dois_run_missing", "SELECT 'no-' || pmid AS doi FROM papers WHERE CAST(pm
         )[1]
     )(_bare(s, d))
 )
-query("files_run", "SELECT pmid, coalesce(w.cited_by_count, p.cited_by_count) AS cited_by_count FROM papers p LEFT JOIN works w ON lower(replace(w.doi, 'https://doi.org/', '')) = p.doi WHERE CAST(pmid AS BIGINT) % 3 <> 0")(
+query("files_run", """SELECT pmid, coalesce(w.cited_by_count, p.cited_by_count) AS cited_by_count FROM papers p LEFT
+  JOIN works w ON lower(replace(w.doi, 'https://doi.org/', '')) = p.doi WHERE CAST(pmid AS BIGINT) % 3 <> 0""")(
     lambda s, d: (
         lambda p, path: (
             collect.collect_to_files(p, views.works(s, d), path, "aging", seen=p.filter(number() % 3 == 0)),
@@ -930,8 +998,10 @@ query("files_run", "SELECT pmid, coalesce(w.cited_by_count, p.cited_by_count) AS
     )(_bare(s, d), shared.folder(s, "files-run"))
 )
 HITS = "CASE WHEN i % 5 = 0 THEN NULL ELSE pmid END"
-query("europepmc_batch", f""", {TURNS}, {MEANT}, flag AS (SELECT f.pmid, (m >= 1 AND l >= 1) OR (l >= 3 AND b < l) OR (NOT (b > 0 AND m = 0 AND l < 3) AND l >= 2 AND n > 3000) AS full_body FROM flats f JOIN meant USING (pmid))
-  SELECT coalesce({HITS}, doi) AS pmid, coalesce(f.full_body, false) AS is_full_text_pmc FROM (SELECT *, CAST(pmid AS BIGINT) AS i FROM papers) p LEFT JOIN flag f USING (pmid) WHERE NOT (i % 5 = 0 AND doi IS NULL)""")(lambda s, d: _batch(s, d).select("pmid", "is_full_text_pmc"))
+query("europepmc_batch", f""", {TURNS}, {MEANT}, flag AS (SELECT f.pmid, (m >= 1 AND l >= 1) OR (l >= 3 AND b < l)
+  OR (NOT (b > 0 AND m = 0 AND l < 3) AND l >= 2 AND n > 3000) AS full_body FROM flats f JOIN meant USING (pmid))
+  SELECT coalesce({HITS}, doi) AS pmid, coalesce(f.full_body, false) AS is_full_text_pmc FROM (SELECT *, CAST(pmid
+  AS BIGINT) AS i FROM papers) p LEFT JOIN flag f USING (pmid) WHERE NOT (i % 5 = 0 AND doi IS NULL)""")(lambda s, d: _batch(s, d).select("pmid", "is_full_text_pmc"))
 
 
 def _batch(s: SparkSession, d: str) -> DataFrame:
@@ -966,8 +1036,10 @@ def _remote(name: str, **options):
 query(
     "remote_pages", "SELECT 'small-' || i AS pmid FROM range(7000) t(i)"
 )(_remote("corpus_search", query="small", max_results="7000"))
-query("remote_date_split", """SELECT y || '/' || lpad(CAST(m AS VARCHAR), 2, '0') || '-' || i AS pmid FROM (SELECT 2024 AS y, m FROM range(1, 13) a(m)) CROSS JOIN range(900) b(i)
-  UNION ALL SELECT '2023/' || lpad(CAST(m AS VARCHAR), 2, '0') || '-' || i FROM range(1, 5) a(m) CROSS JOIN range(900) b(i) WHERE m < 5 AND (m - 1) * 900 + i < 3200""")(_remote("corpus_search", query="large", max_results="14000", last_year="2024"))
+query("remote_date_split", """SELECT y || '/' || lpad(CAST(m AS VARCHAR), 2, '0') || '-' || i AS pmid FROM (SELECT
+  2024 AS y, m FROM range(1, 13) a(m)) CROSS JOIN range(900) b(i)
+  UNION ALL SELECT '2023/' || lpad(CAST(m AS VARCHAR), 2, '0') || '-' || i FROM range(1, 5) a(m) CROSS JOIN
+  range(900) b(i) WHERE m < 5 AND (m - 1) * 900 + i < 3200""")(_remote("corpus_search", query="large", max_results="14000", last_year="2024"))
 query(
     "remote_cursor", "SELECT 'small-' || i AS id FROM range(2345) t(i)"
 )(_remote("corpus_cursor", query="small", max_results="2345"))
