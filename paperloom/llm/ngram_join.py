@@ -356,8 +356,8 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 3, percent: int = 90) ->
     # Which n-grams are frequent among the first ones of sets. This sets the order only, not the result.
     counts = features(docs, n, percent).select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > COMMON)
     counts = common.cut(spark, counts, f"{work}/frequent")
-    often = [r[0] for r in counts.orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").collect()] if not counts.isEmpty() else []
-    frequent = spark.sparkContext.broadcast(np.sort(np.array(often, dtype=np.int64).view(np.uint64)))
+    often = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").toArrow().column("token")
+    frequent = spark.sparkContext.broadcast(np.sort(often.to_numpy().astype(np.int64).view(np.uint64)))
     rows = common.cut(spark, features(docs, n, percent, frequent), f"{work}/features")
     # Equal sets are one node, named by their smallest id.
     some = rows.filter("size > 0 and doc_id is not null")
@@ -396,20 +396,24 @@ def join(spark: SparkSession, docs: DataFrame, n: int = 3, percent: int = 90) ->
 def one_of_each(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near copies: one row of each component stays, that of the smallest id (null last).
 
-    Rows are numbered in a written copy and joined by these numbers, so repeated rows, rows without id and rows that share
-    an id are each judged by their own text. Rows without words stay.
+    Where ids are unique, as a look at the ids alone tells, they name the rows. Otherwise rows are numbered in a written
+    copy, so repeated rows, rows without id and rows that share an id are each judged by their own text. Rows without words
+    stay.
     """
+    ids = docs.select(docs["doc_id"].cast("long").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    if ids.filter("id is null or n > 1").isEmpty():
+        found = join(spark, docs, n, percent).filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy"))
+        return docs.join(found, docs["doc_id"].cast("long") == found["_copy"], "left_anti").select(*docs.columns)
     work = common.work_dir(spark, "one-of-each")
-    own = common.cut(spark, docs.withColumn("_copy_row", F.monotonically_increasing_id()), f"{work}/rows")
+    own = common.cut(spark, docs.withColumn("_copy_row", F.monotonically_increasing_id()), f"{work}/rows", "zstd")
     found = join(spark, own.select(F.col("_copy_row").alias("doc_id"), "text"), n, percent)
     found = found.select(F.col("doc_id").alias("_copy_row"), F.col("component_id").alias("component"))
     # A component of one row has no other to give way to: only components that another row names are looked at.
     groups = found.filter("_copy_row <> component").select("component").distinct()
     named = found.join(groups, "component", "left_semi")
-    ids = own.select("_copy_row", own["doc_id"].cast("long").alias("id"))
+    known = own.select("_copy_row", own["doc_id"].cast("long").alias("id"))
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "_copy_row")
-    ranked = named.join(ids, "_copy_row").select("component", rank.alias("rank"))
-    first = ranked.groupBy("component").agg(F.min("rank").alias("first"))
+    first = named.join(known, "_copy_row").groupBy("component").agg(F.min(rank).alias("first"))
     gone = named.join(first, "component").filter(F.col("_copy_row") != F.col("first._copy_row")).select("_copy_row")
     gone = common.cut(spark, gone, f"{work}/gone")
     return own.join(gone, "_copy_row", "left_anti").select(*docs.columns)
