@@ -29,9 +29,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return shared.folder(spark, name)
 
 
-def cut(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends at replicated files."""
-    df.write.mode("overwrite").parquet(path)
+def cut(spark: SparkSession, df: DataFrame, path: str, compression: str = "snappy") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends at replicated files. Copies of whole
+    texts are worth ``zstd``."""
+    df.write.mode("overwrite").option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

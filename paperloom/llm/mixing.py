@@ -201,7 +201,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, work: str) -> DataFram
     Columns are those of ``docs``. Texts move once: rows are numbered as they are read, from one written copy.
     """
     shards = common.partitions(spark)
-    own = common.cut(spark, docs.withColumn("_mix_row", F.monotonically_increasing_id()), f"{work}/rows")
+    own = common.cut(spark, docs.withColumn("_mix_row", F.monotonically_increasing_id()), f"{work}/rows", "zstd")
     _, pieces = mix(spark, own.select(F.col("_mix_row").alias("doc_id"), "text", "source"), work, shards, whole=True)
     chosen = pieces.select(F.col("doc_id").alias("_mix_row"), F.col("shard").alias("_mix_shard"), F.col("place").alias("_mix_place"))
     out = own.join(chosen, "_mix_row").repartitionById(shards, F.col("_mix_shard"))
