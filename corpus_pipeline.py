@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written as Parquet and read again as the next
 stage's ``docs``. All but the last give the columns of ``documents``.
+
+Defined results: a null text is empty, so the quality rules reject it; without them (each stage takes any table) it is no
+near copy, holds no secret, is taken by the mix as a document without words, and is packed as its end id. Rows of equal or
+null ids are judged, redacted, mixed and packed each on their own; near copies keep the row of the smallest id. Very long
+texts are handled whole. An empty table gives an empty table of the same columns in every stage, and no sequences. Extra
+columns pass through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
