@@ -1,3 +1,4 @@
+import collections
 import re
 
 import pytest
@@ -63,3 +64,41 @@ def test_sequences_hold_the_mix(stages):
     rows = stages[5].groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("e")).collect()
     assert all(r["n"] == r["e"] <= 1024 for r in rows)
     assert stages[5].filter("piece = 0").count() == stages[4].count()
+
+
+@pytest.mark.parametrize("k", range(len(corpus_pipeline.STAGES)))
+def test_stages_take_rough_and_empty_tables(spark, rough, empty, k):
+    name, f = corpus_pipeline.STAGES[k]
+    docs = rough.drop("_copy_row")
+    rows, none = f(spark, docs, "unused"), f(spark, empty, "unused")
+    assert none.count() == 0
+    if name == "packing":
+        pieces = [r["doc_id"] for r in rows.filter("piece = 0").collect()]
+        assert sorted(i or 0 for i in pieces) == sorted(r["doc_id"] or 0 for r in docs.collect())
+        return
+    assert rows.columns == docs.columns and none.columns == docs.columns
+    texts = collections.Counter((r["doc_id"], r["text"]) for r in docs.collect())
+    out = [(r["doc_id"], r["text"]) for r in rows.collect()]
+    if name == "quality rules":
+        # 5, 6 and its copies: all others have too few words.
+        assert {i for i, _ in out} <= {5, 6, 7, 8} and all(x in texts for x in out)
+    elif name == "near copies":
+        assert sorted(i or 0 for i, _ in out) == [0, 0, 1, 2, 3, 4, 5, 6, 9, 10, 12, 13]
+    elif name == "secret scan":
+        assert sorted((i or 0 for i, _ in out)) == sorted(r[0] or 0 for r in texts.elements()) and all(x in texts or "[SECRET]" in x[1] for x in out)
+    else:
+        assert all(x in texts for x in out)
+
+
+def test_near_copies_with_repeated_and_null_ids_by_all_pairs(spark):
+    rng = __import__("random").Random(3)
+    base = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(12)]
+    rows = [(rng.choice([None, 1, 2, 3, 4, 5]), t if rng.random() < 0.5 else t + f" x{k}") for k, t in enumerate(base * 4)]
+    near = dict(corpus_pipeline.STAGES)["near copies"]
+    out = [(r[0], r[1]) for r in near(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "unused").select("doc_id", "text").collect()]
+    assert len(out) == len(base)
+    for t in base:
+        group = [r for r in rows if r[1].startswith(t)]
+        kept = [r for r in out if r[1].startswith(t)]
+        assert len(kept) == 1 and (kept[0][0] is None) == all(i is None for i, _ in group)
+        assert kept[0][0] is None or kept[0][0] == min(i for i, _ in group if i is not None)
