@@ -9,7 +9,9 @@ other rows; a conversation meets in one row only when its output string is made.
 
 Defined results: null role or text is empty; turns of equal number follow one another by role and text; rows without
 conversation id are ignored; a side that is missing has a null completion, shares no prompt and leaves the other side
-whole; two equal conversations have empty completions; an empty table gives an empty result; other columns are ignored.
+whole; two equal conversations have empty completions; repeated rows of turns are turns of their own, repeated pairs are
+one; very long conversations need no more memory but for their output; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ def numbered(turns: DataFrame) -> DataFrame:
 
 
 def format_pairs(turns: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row for each of ``pairs`` (pair_id, chosen_id, rejected_id)."""
-    rows = numbered(turns)
+    """One row for each of ``pairs`` (pair_id, chosen_id, rejected_id); rows that are there twice count once."""
+    rows, pairs = numbered(turns), pairs.select("pair_id", "chosen_id", "rejected_id").distinct()
     sides = pairs.select("pair_id", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("chosen_id").alias("conv_id")), F.struct(F.lit(1).alias("side"), F.col("rejected_id").alias("conv_id")))).alias("s")).select("pair_id", "s.*")
     told = rows.join(sides, "conv_id")
     # A place differs unless both sides have the same turn there.
