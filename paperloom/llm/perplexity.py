@@ -186,6 +186,9 @@ def probabilities(spark: SparkSession, counts: DataFrame, wanted: DataFrame, wor
             rows = rows.withColumn("suffix", F.substring("gram", 2, k - 1)).join(lower, "suffix")
             p = rows.select("gram", F.when(F.col("total").isNull(), F.col("q")).otherwise(own + F.col("left") / F.col("total") * F.col("q")).alias("p"))
         p = common.cut(spark, p, f"{work}/p{k}")
+        # Tables of lower orders have served.
+        common.drop(spark, f"{work}/count{k}")
+        common.drop(spark, f"{work}/p{k - 1}")
     return wanted.join(p, "gram").select("key", F.log("p").alias("logp"))
 
 
@@ -193,7 +196,7 @@ def by_split(spark: SparkSession, asked: DataFrame, table: DataFrame, path: str)
     """Write (split, key, logp) of each split's own n-grams, sorted, in folders of PER_FOLDER splits."""
     rows = asked.select("split", "key").join(table, "key").withColumn("folder", F.floor(F.col("split") / PER_FOLDER).cast("int"))
     rows = rows.repartitionByRange(common.partitions(spark), "split").sortWithinPartitions("folder", "split", "key")
-    rows.write.mode("overwrite").partitionBy("folder").parquet(path)
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy("folder").parquet(path)
 
 
 def _own_table(path: str, split: int):
@@ -298,11 +301,13 @@ def classify(spark: SparkSession, docs: DataFrame, trusted: DataFrame, work: str
     counts = common.cut(spark, counts, f"{work}/counts")
     # The same columns as in scores(), so that the documents are dealt to tasks in the same way.
     texts = docs.select("doc_id", "lang", "text")
-    asked = common.cut(spark, grams(texts).select("split", "key", "gram"), f"{work}/asked")
+    asked = common.cut(spark, grams(texts).select("split", "key", "gram"), f"{work}/asked", "zstd")
     wanted = common.cut(spark, asked.select("key", "gram").distinct(), f"{work}/wanted")
     table = probabilities(spark, counts, wanted, work)
     table = table.repartitionByRange(max(1, common.partitions(spark) // 8), "key").sortWithinPartitions("key")
     table = common.cut(spark, table, f"{work}/logp")
+    for done in (f"p{ORDER}", "wanted", "counts"):
+        common.drop(spark, f"{work}/{done}")
     by_split(spark, asked, table, f"{work}/own")
     rows = common.cut(spark, scores(spark, texts, f"{work}/logp", f"{work}/own"), common.work_dir(spark, "perplexity-scores"))
     common.drop(spark, work)
