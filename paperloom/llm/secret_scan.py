@@ -111,6 +111,11 @@ def batches(spark: SparkSession, ledger: str) -> list[str]:
     return sorted(str(p) for p in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
 
+def names_of(paths: list[str]) -> set[str]:
+    """Names of batches, without their folders: a path may be spelled in several ways."""
+    return {p.rstrip("/").rsplit("/", 1)[-1] for p in paths}
+
+
 def seen(spark: SparkSession, ledger: str) -> DataFrame | None:
     """(blob, rules, spans) of the ledger, one row a blob, or None if nothing has been written."""
     paths = batches(spark, ledger)
@@ -139,12 +144,14 @@ def update(spark: SparkSession, versions: DataFrame, ledger: str, rules=RULES) -
     # Sums of hashes don't depend on the order of rows; two of them make a name of 128 bits.
     part = lambda seed: F.hex(F.bit_xor(F.xxhash64(F.lit(seed), "blob", F.array_join("todo", ","))))
     told = todo.agg(F.count("*").alias("n"), part(1).alias("x"), part(2).alias("y")).first()
-    path = f"{ledger}/batches/{told['x']}{told['y']}".lower()
-    if told["n"] and path not in {p.lower() for p in batches(spark, ledger)}:
+    name = f"{told['x']}{told['y']}".lower()
+    if told["n"] and name not in names_of(batches(spark, ledger)):
         # Of the texts, those whose blob may be unseen meet by blob, each task's repeats put together first.
         wanted = texts if known is None else texts.filter(may_hold(todo.withColumnRenamed("blob", "_blob")))
         blobs = wanted.groupBy(F.col("_blob").alias("blob")).agg(F.first("text").alias("text"))
-        scan_blobs(blobs.join(todo, "blob"), rules).write.mode("overwrite").parquet(path)
+        scan_blobs(blobs.join(todo, "blob"), rules).write.mode("overwrite").parquet(f"{ledger}/batches/{name}")
+        if name not in names_of(batches(spark, ledger)):
+            raise RuntimeError(f"{ledger}: batch {name} was written and isn't listed")
     common.drop(spark, pending)
     return told["n"]
 

@@ -26,7 +26,7 @@ def rough(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(rough_rows(), SCHEMA)
-    for name in ("uid", "size", "node", "h", "block", "blob", "spans", "range", "tie", "key", "line", "bits", "votes", "row", "start", "shard", "place", "removed_spans", "_spans", "_blob", "no", "pass"):
+    for name in ("uid", "size", "node", "h", "block", "blob", "spans", "range", "tie", "key", "line", "bits", "votes", "row", "start", "shard", "place", "removed_spans", "_spans", "_blob", "no", "pass", "_mix_row", "_dedup_row", "_copy_row"):
         df = df.withColumn(name, F.lit("clash"))
     return df
 

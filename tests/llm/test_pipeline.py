@@ -69,7 +69,7 @@ def test_sequences_hold_the_mix(stages):
 @pytest.mark.parametrize("k", range(len(corpus_pipeline.STAGES)))
 def test_stages_take_rough_and_empty_tables(spark, rough, empty, k):
     name, f = corpus_pipeline.STAGES[k]
-    docs = rough.drop("_copy_row")
+    docs = rough
     rows, none = f(spark, docs, "unused"), f(spark, empty, "unused")
     assert none.count() == 0
     if name == "packing":
