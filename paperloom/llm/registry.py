@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from paperloom.llm import (
-    fingerprints, mixing, ngram_join, packing, perplexity, preferences, quality_rules, secret_scan, substring_dedup, token_store,
+    fingerprints, mixing, ngram_join, packing, perplexity, preferences, quality_rules, resampling, secret_scan, substring_dedup, token_store,
 )
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_fingerprints": fingerprints.query,
     "op9_packing": packing.query,
     "op10_ngram_join": ngram_join.query,
+    "op11_resampling": resampling.query,
 }
 
-ORACLES: dict[str, str] = {"op2_secret_scan": secret_scan.SQL, "op7_preferences": preferences.SQL, "op10_ngram_join": ngram_join.SQL}
+ORACLES: dict[str, str] = {"op2_secret_scan": secret_scan.SQL, "op7_preferences": preferences.SQL, "op10_ngram_join": ngram_join.SQL, "op11_resampling": resampling.SQL}
