@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from paperloom.llm import (
-    fingerprints, mixing, ngram_join, packing, perplexity, preferences, quality_rules, resampling, secret_scan, substring_dedup, token_store,
+    divergence, fingerprints, mixing, ngram_join, packing, perplexity, preferences, quality_rules, resampling, secret_scan, substring_dedup, token_store,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_packing": packing.query,
     "op10_ngram_join": ngram_join.query,
     "op11_resampling": resampling.query,
+    "op13_divergence": divergence.query,
 }
 
-ORACLES: dict[str, str] = {"op2_secret_scan": secret_scan.SQL, "op7_preferences": preferences.SQL, "op10_ngram_join": ngram_join.SQL, "op11_resampling": resampling.SQL}
+ORACLES: dict[str, str] = {"op2_secret_scan": secret_scan.SQL, "op7_preferences": preferences.SQL, "op10_ngram_join": ngram_join.SQL, "op11_resampling": resampling.SQL, "op13_divergence": divergence.SQL}
