@@ -168,10 +168,12 @@ def dense(rows: DataFrame) -> DataFrame:
             out = np.tile(none["p"].to_numpy(np.int64), (len(terms), 1))
             some = own[own["term"].notna()]
             out[some["term"].map(terms).to_numpy(np.int64), some["no"].map(at).to_numpy(np.int64)] = some["p"].to_numpy(np.int64)
-            return none["no"].to_numpy(np.int64), out
+            return none["no"].to_numpy(np.int64), none["p"].to_numpy(np.int64), out
 
-        (a, p), (b, q) = tile(left), tile(right)
-        values = np.stack([_f(p[:, [k]], q).sum(axis=0) for k in range(len(a))]) if len(a) else np.zeros((0, len(b)), np.int64)
+        (a, none_p, p), (b, none_q, q) = tile(left), tile(right)
+        values = np.stack([_f(p[:, [k]], q).sum(axis=0) for k in range(len(a))])
+        # Terms of the block that no group of the two tiles holds.
+        values += (int(frame["terms"].max()) - len(terms)) * _f(none_p[:, None], none_q[None, :])
         x, y = np.repeat(a, len(b)), np.tile(b, len(a))
         other = x != y
         return pd.DataFrame({"lang": lang, "a": x[other], "b": y[other], "value": values.ravel()[other]})
@@ -180,11 +182,12 @@ def dense(rows: DataFrame) -> DataFrame:
 
 
 def tiled(rows: DataFrame, groups: DataFrame, heavy: int) -> DataFrame:
-    """(lang, block, i, j, tile, no, term, p): each heavy row once for each pair of tiles it takes part in, and for each
-    block and pair the shares that the tiles' groups give to absent terms (term is null)."""
+    """(lang, block, i, j, tile, no, term, p, terms): each heavy row once for each pair of tiles it takes part in, and for
+    each block and pair the shares that the tiles' groups give to absent terms (term is null) and the block's terms."""
     own = rows.filter(F.col("spread") > heavy)
     # Blocks of a language hold about CELLS cells of one tile each.
-    n_terms = own.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("n_terms"))
+    distinct = own.select("lang", "term").distinct()
+    n_terms = distinct.groupBy("lang").agg(F.count("*").alias("n_terms"))
     blocks = F.ceil(F.col("n_terms") * F.least("width", F.lit(TILE)) / F.lit(CELLS)).cast("int")
     sized = groups.join(n_terms, "lang").withColumn("blocks", blocks).withColumn("tile", F.floor(F.col("no") / TILE).cast("int"))
     tiles = F.ceil(F.col("width") / TILE).cast("int")
@@ -192,11 +195,13 @@ def tiled(rows: DataFrame, groups: DataFrame, heavy: int) -> DataFrame:
     other = F.sequence(F.lit(0), tiles - 1)
     pairs = F.array_distinct(F.concat(F.transform(other, lambda x: F.struct(F.col("tile").alias("i"), x.alias("j"))), F.transform(other, lambda x: F.struct(x.alias("i"), F.col("tile").alias("j")))))
     some = own.join(sized.select("lang", "source", "no", "total", "v", "blocks", "tile", "width"), ["lang", "source"])
-    some = some.withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
-    some = some.withColumn("p", share(F.col("n"), F.col("total"), F.col("v")))
-    absent = sized.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int")
+    nothing = F.lit(None).cast("long")
+    some = some.withColumn("block", block).withColumn("p", share(F.col("n"), F.col("total"), F.col("v"))).withColumn("terms", nothing)
+    in_block = distinct.join(sized.select("lang", "blocks").distinct(), "lang").groupBy("lang", block.alias("block")).agg(F.count("*").alias("terms"))
+    absent = sized.join(in_block, "lang")
     absent = absent.withColumn("p", share(F.lit(0).cast("long"), F.col("total"), F.col("v"))).withColumn("term", F.lit(None).cast("string"))
-    columns = ("lang", "block", "x.i", "x.j", "tile", "no", "term", "p")
+    columns = ("lang", "block", "x.i", "x.j", "tile", "no", "term", "p", "terms")
     both = [df.withColumn("x", F.explode(pairs)).select(*columns) for df in (some, absent)]
     return both[0].unionByName(both[1])
 
