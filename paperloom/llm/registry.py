@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from paperloom.llm import (
-    divergence, fingerprints, mixing, ngram_join, packing, perplexity, preferences, quality_rules, resampling, secret_scan, substring_dedup, token_store,
+    divergence, fingerprints, mixing, ngram_join, packing, perplexity, preferences, quality_rules, resampling, secret_scan, substring_dedup, suffix_dedup, token_store,
 )
 
 QUERIES = {
@@ -18,7 +18,8 @@ QUERIES = {
     "op9_packing": packing.query,
     "op10_ngram_join": ngram_join.query,
     "op11_resampling": resampling.query,
+    "op12_suffix_dedup": suffix_dedup.query,
     "op13_divergence": divergence.query,
 }
 
-ORACLES: dict[str, str] = {"op2_secret_scan": secret_scan.SQL, "op7_preferences": preferences.SQL, "op10_ngram_join": ngram_join.SQL, "op11_resampling": resampling.SQL, "op13_divergence": divergence.SQL}
+ORACLES: dict[str, str] = {"op2_secret_scan": secret_scan.SQL, "op7_preferences": preferences.SQL, "op10_ngram_join": ngram_join.SQL, "op11_resampling": resampling.SQL, "op12_suffix_dedup": suffix_dedup.SQL, "op13_divergence": divergence.SQL}
