@@ -4,8 +4,10 @@ Ten rules each vote good, bad or abstain on a document. Expectation-maximisation
 estimates each rule's accuracy on good and on bad documents and the share of good ones, without labels; a document is
 kept by its posterior probability of being good instead of by passing every rule. Votes have at most 3**10 = 59,049
 patterns, so a count for each pattern is all that EM needs on the driver, whatever the size of the corpus. The rates have
-priors of a fixed weight (``PRIOR`` documents), so what the corpus says outweighs them as it grows. What makes the one
-class the good one is that rules seldom raise false alarms on it: their rates there are estimated up to ``MOST_ALARMS``.
+priors of a fixed weight (``PRIOR`` documents), so what the corpus says outweighs them as it grows, and are otherwise free.
+An abstention is an outcome of its own with rates of its own: what a rule leaves undecided is seldom so in good documents,
+so it tells a document with one common bad vote from one that other rules doubt, too. The classes are told apart by where
+the estimate starts; the class whose documents get fewer bad votes is the good one.
 
 The rule on stop words goes by a document's ``lang`` where the table has one: in a language without a list of words, or
 without a language, it may vote good by the words of any list but never bad.
@@ -27,11 +29,10 @@ from paperloom.llm import common
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 KEEP_FROM = 0.5
-#: Prior rates at which a rule votes bad on a good and on a bad document, and the weight of each in documents.
-ALARMS, HITS = 0.002, 0.3
+#: Outcomes of a rule, and their prior rates on a good and on a bad document, with the weight of each in documents.
+OUTCOMES = "gb-"
+ON_GOOD, ON_BAD = (0.948, 0.002, 0.05), (0.6, 0.3, 0.1)
 PRIOR = 200, 10
-#: A rule that is fit for its purpose raises no more false alarms than this; estimates keep to it.
-MOST_ALARMS = 0.002
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 
@@ -157,39 +158,48 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def estimate(counts: dict[str, int], rounds: int = 500) -> dict:
-    """EM over vote patterns: {"good": share of good documents, "rules": [(P(bad vote | good), P(bad vote | bad)), ...]}.
+    """EM over vote patterns: {"good": share of good documents, "rules": [(rates on good, rates on bad), ...]}, rates being
+    those of OUTCOMES.
 
-    Abstentions carry no weight. The rates have Beta priors; that of detections is worth a few documents only, as a rule
-    may detect one kind of bad document and pass the others. The sum over patterns is one product of matrices a round.
+    The rates have Dirichlet priors; that of bad documents is worth a few documents only, as a rule may detect one kind of
+    bad document and pass the others. The sum over patterns is one product of matrices a round.
     """
     import numpy as np
 
     patterns = sorted(counts)
     n = np.array([counts[p] for p in patterns], dtype=float)
-    votes = np.array([list(p) for p in patterns]).reshape(len(patterns), len(RULES))
-    bad, said = votes == "b", votes != "-"
+    votes = _outcomes(patterns)
     total = n.sum()
-    good, rates = 0.9, np.array([[ALARMS] * len(RULES), [HITS] * len(RULES)])
-    prior = np.array([[ALARMS], [HITS]]) * np.array(PRIOR)[:, None]
+    start = np.array([ON_GOOD, ON_BAD])[:, :, None]
+    good, rates = 0.9, np.repeat(start, len(RULES), 2)
+    weight = np.array(PRIOR)[:, None, None]
     for _ in range(rounds if total else 0):
-        p = _posteriors(good, rates, bad, said)
-        weight = np.stack([n * p, n * (1 - p)])
-        new = (weight @ bad + prior) / (weight @ said + np.array(PRIOR)[:, None])
-        new[0] = np.minimum(new[0], MOST_ALARMS)
+        p = _posteriors(good, rates, votes)
+        shares = np.stack([n * p, n * (1 - p)])
+        new = (np.einsum("cp,kpr->ckr", shares, votes) + start * weight) / (shares.sum(axis=1)[:, None, None] + weight)
         moved = np.abs(new - rates).max()
-        good, rates = float((weight[0].sum() + 9) / (total + 10)), new
+        good, rates = float((shares[0].sum() + 9) / (total + 10)), new
         if moved < 1e-9:
             break
-    return {"good": good, "rules": [tuple(r) for r in rates.T.tolist()]}
+    if rates[0, 1].sum() > rates[1, 1].sum():
+        good, rates = 1 - good, rates[::-1]
+    return {"good": good, "rules": [(tuple(a), tuple(b)) for a, b in zip(rates[0].T.tolist(), rates[1].T.tolist())]}
+
+
+def _outcomes(patterns: list[str]):
+    """Outcome x pattern x rule, 1 where a pattern's rule has the outcome."""
+    import numpy as np
+
+    votes = np.array([list(p) for p in patterns]).reshape(len(patterns), len(RULES))
+    return np.stack([votes == k for k in OUTCOMES]).astype(float)
 
 
-def _posteriors(good: float, rates, bad, said):
-    """P(good | votes) of each row of votes."""
+def _posteriors(good: float, rates, votes):
+    """P(good | votes) of each pattern."""
     import numpy as np
 
-    alarm, hit = rates
-    each = np.where(bad, np.log(alarm / hit), np.log((1 - alarm) / (1 - hit)))
-    x = math.log(good / (1 - good)) + (each * said).sum(axis=1)
+    alike = np.einsum("kpr,ckr->cp", votes, np.log(rates))
+    x = math.log(good / (1 - good)) + alike[0] - alike[1]
     return 1 / (1 + np.exp(-np.clip(x, -700, 700)))
 
 
@@ -197,8 +207,8 @@ def posterior(model: dict, pattern: str) -> float:
     """P(good | votes)."""
     import numpy as np
 
-    votes = np.array([list(pattern)])
-    return float(_posteriors(model["good"], np.array(model["rules"]).T, votes == "b", votes != "-")[0])
+    rates = np.array(model["rules"]).transpose(1, 2, 0)
+    return float(_posteriors(model["good"], rates, _outcomes([pattern]))[0])
 
 
 def counted(rows: DataFrame) -> dict[str, int]:

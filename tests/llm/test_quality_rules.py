@@ -54,23 +54,22 @@ def test_posterior_is_a_probability_and_em_ends():
 
 def plain_em(docs, rounds=500):
     """EM over one document at a time, in plain Python."""
-    good, rates = 0.9, [(Q.ALARMS, Q.HITS)] * len(Q.RULES)
+    good, rates = 0.9, [(dict(zip(Q.OUTCOMES, Q.ON_GOOD)), dict(zip(Q.OUTCOMES, Q.ON_BAD)))] * len(Q.RULES)
 
     def chance(votes):
         odds = good / (1 - good)
-        for v, (a, h) in zip(votes, rates):
-            odds *= {"g": (1 - a) / (1 - h), "b": a / h, "-": 1}[v]
+        for v, (a, b) in zip(votes, rates):
+            odds *= a[v] / b[v]
         return odds / (1 + odds)
 
     for _ in range(rounds):
         p = [chance(d) for d in docs]
         new = []
         for j in range(len(Q.RULES)):
-            said = [(x, d[j]) for x, d in zip(p, docs) if d[j] != "-"]
-            a = (sum(x for x, v in said if v == "b") + Q.ALARMS * Q.PRIOR[0]) / (sum(x for x, _ in said) + Q.PRIOR[0])
-            h = (sum(1 - x for x, v in said if v == "b") + Q.HITS * Q.PRIOR[1]) / (sum(1 - x for x, _ in said) + Q.PRIOR[1])
-            new.append((min(a, Q.MOST_ALARMS), h))
-        moved = max(abs(x - y) for a, b in zip(new, rates) for x, y in zip(a, b))
+            a = {k: (sum(x for x, d in zip(p, docs) if d[j] == k) + f * Q.PRIOR[0]) / (sum(p) + Q.PRIOR[0]) for k, f in zip(Q.OUTCOMES, Q.ON_GOOD)}
+            b = {k: (sum(1 - x for x, d in zip(p, docs) if d[j] == k) + f * Q.PRIOR[1]) / (len(docs) - sum(p) + Q.PRIOR[1]) for k, f in zip(Q.OUTCOMES, Q.ON_BAD)}
+            new.append((a, b))
+        moved = max(abs(x[k] - y[k]) for m, n in zip(new, rates) for x, y in zip(m, n) for k in x)
         good, rates = (sum(p) + 9) / (len(docs) + 10), new
         if moved < 1e-9:
             break
@@ -82,10 +81,32 @@ def test_em_equals_plain_em():
     docs = ["".join(rng.choices("gb-", (96, 1, 3) if rng.random() < 0.85 else (50, 40, 10))[0] for _ in Q.RULES) for _ in range(600)]
     good, rates, chances = plain_em(docs)
     m = Q.estimate(collections.Counter(docs))
-    assert abs(m["good"] - good) < 1e-7 and all(abs(x - y) < 1e-7 for a, b in zip(m["rules"], rates) for x, y in zip(a, b))
+    assert abs(m["good"] - good) < 1e-7
+    assert all(abs(x - want[k]) < 1e-7 for rule, plain in zip(m["rules"], rates) for own, want in zip(rule, plain) for k, x in zip(Q.OUTCOMES, own))
     assert all(abs(Q.posterior(m, d) - p) < 1e-7 for d, p in chances.items())
 
 
+def test_a_common_bad_vote_alone_is_no_verdict():
+    """A rule that often votes bad on documents that all others find good raises false alarms: its rate is free."""
+    odd = "bbgggbg-gg"
+    m = Q.estimate({"g" * 10: 8_000, "ggbggggggg": 900, "gggbgggggg": 300, odd: 500, "bgggg-g-gg": 200})
+    assert m["rules"][2][0][1] > 0.05 and m["rules"][3][0][1] > 0.02
+    assert Q.posterior(m, "ggbggggggg") > 0.9 and Q.posterior(m, "gggbgggggg") > 0.9 and Q.posterior(m, odd) < 0.1
+
+
+def test_labelled_documents_get_their_verdict():
+    import pyarrow.parquet as pq
+
+    sf, one = "/root/testdata/sf0.01", Q._measurer()
+    labels = {r["doc_id"]: r["quality"] for r in pq.read_table(f"{sf}/labels.parquet").to_pylist()}
+    rows = [(r["doc_id"], one(r["text"], r["lang"])) for r in pq.read_table(f"{sf}/documents.parquet").to_pylist()]
+    m = Q.estimate(collections.Counter(r[6] for _, r in rows))
+    verdicts = collections.Counter((labels[i], Q.posterior(m, r[6]) >= Q.KEEP_FROM) for i, r in rows if i in labels and not r[5])
+    assert verdicts[1, False] == 0 and verdicts[0, True] <= 0.05 * (verdicts[0, True] + verdicts[0, False])
+    alone = [Q.posterior(m, r[6]) >= Q.KEEP_FROM for _, r in rows if r[6].count("b") == 1 and "b" in (r[6][2], r[6][3]) and not r[5]]
+    assert sum(alone) >= 0.9 * len(alone)
+
+
 def test_verdicts_by_plain_em(spark, work):
     """kept of the query's plan is base rules and the plain posterior of the votes of all documents."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
