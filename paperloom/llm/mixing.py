@@ -201,11 +201,14 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, work: str) -> DataFram
     Columns are those of ``docs``. Texts move once: rows are numbered as they are read, from one written copy.
     """
     shards = common.partitions(spark)
-    own = common.cut(spark, docs.withColumn("_mix_row", F.monotonically_increasing_id()), f"{work}/rows", "zstd")
-    _, pieces = mix(spark, own.select(F.col("_mix_row").alias("doc_id"), "text", "source"), work, shards, whole=True)
-    chosen = pieces.select(F.col("doc_id").alias("_mix_row"), F.col("shard").alias("_mix_shard"), F.col("place").alias("_mix_place"))
-    out = own.join(chosen, "_mix_row").repartitionById(shards, F.col("_mix_shard"))
-    return out.sortWithinPartitions("_mix_shard", "_mix_place").select(*docs.columns)
+    # Other columns travel in a struct, so that no name can clash.
+    others = F.struct(F.lit(0).alias("_none"), *(docs[f"`{c}`"] for c in docs.columns if c != "text"))
+    own = docs.select(F.monotonically_increasing_id().alias("row"), "text", docs["source"].cast("string").alias("source"), others.alias("rest"))
+    own = common.cut(spark, own, f"{work}/rows", "zstd")
+    _, pieces = mix(spark, own.select(F.col("row").alias("doc_id"), "text", "source"), work, shards, whole=True)
+    chosen = pieces.select(F.col("doc_id").alias("row"), "shard", "place")
+    out = own.drop("source").join(chosen, "row").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place")
+    return out.select(*(F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -403,20 +403,23 @@ def one_of_each(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int =
     ids = docs.select(docs["doc_id"].cast("long").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
     if ids.filter("id is null or n > 1").isEmpty():
         found = join(spark, docs, n, percent).filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy"))
+        # Columns by their own tables, so a column of the name _copy is another one.
         return docs.join(found, docs["doc_id"].cast("long") == found["_copy"], "left_anti").select(*docs.columns)
     work = common.work_dir(spark, "one-of-each")
-    own = common.cut(spark, docs.withColumn("_copy_row", F.monotonically_increasing_id()), f"{work}/rows", "zstd")
-    found = join(spark, own.select(F.col("_copy_row").alias("doc_id"), "text"), n, percent)
-    found = found.select(F.col("doc_id").alias("_copy_row"), F.col("component_id").alias("component"))
+    # Other columns travel in a struct, so that no name can clash.
+    others = F.struct(F.lit(0).alias("_none"), *(docs[f"`{c}`"] for c in docs.columns if c != "text"))
+    own = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text"), others.alias("rest"))
+    own = common.cut(spark, own, f"{work}/rows", "zstd")
+    found = join(spark, own.select(F.col("row").alias("doc_id"), "text"), n, percent)
+    found = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
     # A component of one row has no other to give way to: only components that another row names are looked at.
-    groups = found.filter("_copy_row <> component").select("component").distinct()
+    groups = found.filter("row <> component").select("component").distinct()
     named = found.join(groups, "component", "left_semi")
-    known = own.select("_copy_row", own["doc_id"].cast("long").alias("id"))
-    rank = F.struct(F.col("id").isNull().alias("none"), "id", "_copy_row")
-    first = named.join(known, "_copy_row").groupBy("component").agg(F.min(rank).alias("first"))
-    gone = named.join(first, "component").filter(F.col("_copy_row") != F.col("first._copy_row")).select("_copy_row")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    first = named.join(own.select("row", "id"), "row").groupBy("component").agg(F.min(rank).alias("first"))
+    gone = named.join(first, "component").filter(F.col("row") != F.col("first.row")).select("row")
     gone = common.cut(spark, gone, f"{work}/gone")
-    return own.join(gone, "_copy_row", "left_anti").select(*docs.columns)
+    return own.join(gone, "row", "left_anti").select(*(F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,16 +4,14 @@ A line is a unit; a line of more than ``PART`` words is cut into parts before wo
 ``REACH`` pairs to either side within the line. Such cuts depend on nearby words only, so a passage that stands in
 other surroundings, or in a line with edits, is cut the same way but for its ends. Units are normalised (A-Z in lower
 case, white space as one separator), and their 128-bit digests are grouped over all documents. The occurrence of lowest rank
-(document id, then row, then place) stays. Of the others go
+(document id, then row, then place) stays and every other goes. What goes is told by its offsets in the original text, in
+code points. A part of a line of less than ``SHORT`` words says too little by itself ("The", before a cut): its digest takes
+in the neighbours within its line, so it goes with the passage it belongs to.
 
-* every whole line of at least ``least`` words (``lines``), whatever stands beside it, and
-* parts of lines, and shorter lines, that lie in a run of repeated units of one document of at least ``run_words`` words.
-
-With ``run_words=1`` and ``least=1`` every repeated unit goes. A unit of less than ``least`` words says too little by
-itself: its digest takes in the neighbours of its line or, if it is a whole line, those before and behind it, so lists and
-verse are found as other passages are. A passage of over 50 words in lines of its own has a run of ``RUN_WORDS``; within
-longer lines its ends share parts with what surrounds it, and about one passage of 51 words in a hundred has no run left.
-What goes is told by its offsets in the original text, in code points.
+Thresholds are options: ``least`` spares whole lines of fewer words (their digests then take in the lines before and
+behind, so lists and verse are still found as other passages are), and ``run_words`` parts of lines that don't lie in a run
+of so many repeated words of one document. With ``least=3, run_words=24`` a passage of over 50 words in lines of its own
+still goes; within longer lines about one passage of 51 words in a hundred has no run left.
 
 Digests are counted before they are shuffled and joined back only where they repeat, so a line that a third of all
 documents share costs one row for each task and an even split of its occurrences.
@@ -35,8 +33,9 @@ from paperloom.llm import common
 
 PART = 16
 REACH = 4
-LEAST = 3
-RUN_WORDS = 24
+LEAST = 1
+SHORT = 3
+RUN_WORDS = 1
 WORDS = 200_000
 LONGEST = 256
 BEHIND = 0x94D049BB133111EB
@@ -121,7 +120,7 @@ class Units:
         opens = new_line[begins]
         closes = np.append(opens[1:], True)
         whole = opens & closes
-        short = size < self.least
+        short = size < np.where(whole, self.least, max(self.least, SHORT))
         if short.any():
             # Of the neighbours within the line, or around a whole short line.
             before, behind = short & (whole | ~opens), short & (whole | ~closes)
@@ -163,6 +162,8 @@ def gone(found: DataFrame, lines: bool, least: int, run_words: int) -> DataFrame
     rank = F.struct("doc_id", "row", "unit")
     first = found.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(rank).alias("kept")).filter("n > 1")
     again = found.join(first.drop("n"), ["d1", "d2"]).filter(rank != F.col("kept"))
+    if run_words <= 1 and least <= 1:
+        return again
     # Runs of repeated units of one row; one other unit between two of them doesn't end a run.
     of = W.Window.partitionBy("row").orderBy("head", "unit")
     apart = F.coalesce(F.col("unit") - F.lag("unit").over(of) > 2, F.lit(True))
@@ -194,19 +195,22 @@ def removed(
 
     Rows are numbered in a written copy, so spans go back to their own row, whatever ids repeat or are null.
     """
-    own = common.cut(spark, docs.withColumn("_dedup_row", F.monotonically_increasing_id()), f"{work}/rows")
-    found = common.cut(spark, units(own, own["_dedup_row"], least), f"{work}/units")
-    spans = gone(found, lines, least, run_words).groupBy(F.col("row").alias("_dedup_row"))
-    spans = spans.agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_dedup_spans"))
+    # Other columns travel in a struct, so that no name can clash.
+    others = F.struct(F.lit(0).alias("_none"), *(docs[f"`{c}`"] for c in docs.columns if c not in ("text", "removed_spans")))
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text", others.alias("rest"), F.monotonically_increasing_id().alias("row"))
+    own = common.cut(spark, own, f"{work}/rows")
+    found = common.cut(spark, units(own, own["row"], least), f"{work}/units")
+    spans = gone(found, lines, least, run_words).groupBy("row")
+    spans = spans.agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     # Between and behind the spans; all pieces' places come from the spans, so no piece waits for another.
     empty = F.array().cast("array<struct<start:int,end:int>>")
-    spans_of, n = F.col("_dedup_spans"), F.size("_dedup_spans")
+    spans_of, n = F.col("spans"), F.size("spans")
     upto = lambda i: F.when(i == 0, 0).otherwise(F.get(spans_of, i - 1)["end"])
     before = F.transform(spans_of, lambda s, i: F.substring("text", upto(i) + 1, s["start"] - upto(i)))
     behind = F.substring("text", upto(n) + 1, F.length("text"))
     text = F.when(spans_of.isNull(), F.col("text")).otherwise(F.concat(F.array_join(before, ""), behind))
-    out = own.join(spans, "_dedup_row", "left")
-    columns = [text.alias(c) if c == "text" else F.col(c) for c in docs.columns if c != "removed_spans"]
+    out = own.join(spans, "row", "left")
+    columns = [text.alias(c) if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns if c != "removed_spans"]
     return out.select(*columns, F.coalesce(spans_of, empty).alias("removed_spans"))
 
 

@@ -6,8 +6,9 @@ from paperloom.llm import substring_dedup as D
 
 
 def spans(spark, rows, work):
+    """By the options that spare short lines and short runs."""
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    return D.repeats(spark, df, work, lines=False).collect()
+    return D.repeats(spark, df, work, lines=False, least=3, run_words=24).collect()
 
 
 def words(rng, n):
@@ -61,7 +62,7 @@ def test_whole_lines_go_at_every_length(spark, work, tmp_path):
     text, gone = dict(rows), {}
     for r in D.query(spark, str(tmp_path)).orderBy("doc_id", "start").collect():
         gone.setdefault(r["doc_id"], []).append(text[r["doc_id"]][r["start"] : r["end"]])
-    assert {k: " ".join(v) for k, v in gone.items()} == {**{20 + n: line[n] for n in line if n > 2}, 7: "A  whole short document", 8: "see here now"}
+    assert {k: " ".join(v) for k, v in gone.items()} == {**{20 + n: line[n] for n in line}, 5: "two words", 7: "A  whole short document", 8: "see here now"}
     out = D.removed(spark, spark.createDataFrame(rows, "doc_id long, text string"), work, lines=True)
     assert {r["doc_id"]: r["text"] for r in out.collect()}[8] == "see here now\n\nlast"
 
@@ -91,7 +92,7 @@ def test_rows_without_id_are_apart(spark, work):
 
 
 def test_removed_keeps_the_rest(spark, rough, work):
-    out = D.removed(spark, rough, work, lines=False)
+    out = D.removed(spark, rough, work, lines=False, least=3, run_words=24)
     rows = {r["doc_id"]: r for r in out.filter("doc_id is not null").collect()}
     assert out.count() == rough.count() and rows[12]["removed_spans"] == [] and rows[12]["text"].startswith("line one is here now\nline one")
     assert rows[1]["text"] is None and rows[5]["removed_spans"] == [] and rows[4]["text"] == "one" and rows[4]["line"] == "clash"
@@ -164,3 +165,31 @@ def test_every_part_goes_with_runs_of_one_word(spark, work):
         seen.add((a, b))
     got = D.repeats(spark, df, work, run_words=1, least=1)
     assert want and {(i, u) for i, u in want} <= {(r["doc_id"], r["unit"]) for r in got.collect()}
+
+
+def test_the_query_removes_every_repeated_unit(spark, work, tmp_path):
+    """By its defaults: a two-word line, a passage of 20 words within lines, and whatever else repeats by its digest."""
+    rng = random.Random(13)
+    passage, short = " ".join(words(rng, 20)), " ".join(words(rng, 2))
+    rows = [(i, f"{' '.join(words(rng, 30))} {passage} {' '.join(words(rng, 30))}\n{short}\n{' '.join(words(rng, 9))}") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    cut, seen, want = D.Units(), set(), []
+    for i, t in rows:
+        start, end, _, _, a, b, *_ = cut(t)
+        for s, e, *d in zip(start.tolist(), end.tolist(), a.tolist(), b.tolist()):
+            if tuple(d) in seen:
+                want.append((i, s, e))
+            seen.add(tuple(d))
+    got = D.query(spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["start"], r["end"]) for r in got) == sorted(want)
+    text = dict(rows)
+    for i in range(1, 20):
+        gone = " ".join(text[r["doc_id"]][r["start"] : r["end"]] for r in sorted(got, key=lambda r: r["start"]) if r["doc_id"] == i).split()
+        assert set(short.split()) <= set(gone) and set(gone) <= {*short.split(), *passage.split()} and len(set(gone) & set(passage.split())) >= 5
+
+
+def test_short_parts_of_lines_go_with_their_neighbours_only(spark, work):
+    rng = random.Random(14)
+    rows = [(i, " ".join(["the", *words(rng, 40)])) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert D.repeats(spark, df, work).count() == 0
