@@ -10,6 +10,7 @@ from paperloom import shared
 from paperloom.functions import merge
 from paperloom.functions.falsy import filled, wstrip
 from paperloom.functions.text import clean_abstract, clean_comprehensive, doi_key, ellipsis
+from paperloom.operators import matching
 
 
 def upsert(existing: DataFrame, new: DataFrame, key: str = "pmid", seq: str = "ingest_seq") -> DataFrame:
@@ -78,63 +79,56 @@ def missing(requested: DataFrame, returned: DataFrame, key: str = "pmid") -> Dat
     return requested.select(key).join(returned.select(key), key, "left_anti")
 
 
-def merge_stores(source: DataFrame, target: DataFrame) -> DataFrame:
+def merge_stores(source: DataFrame, target: DataFrame, order_by: tuple[str, ...] = ("pmid",)) -> DataFrame:
     """target with source merged in, by DOI first and pmid second; ``action`` says what happened to each row.
 
-    Rows of source that share a target (or a DOI) are first folded into one in order of pmid, as a sequential merge
-    would leave the first non-falsy value of each. Source rows without pmid have their DOI for one, as hits have; rows
-    without either are no papers and aren't merged.
+    The result is that of a merge of one source row after another, in the order of ``order_by`` (rows that it doesn't tell
+    apart come in the order of their hashes): ``matching`` says by keys alone which row each belongs to, and rows of one
+    place are folded in order and merged once. Source rows without pmid have their DOI for one, as hits have; rows without
+    either are no papers and aren't merged.
     """
     source = source.withColumn("pmid", F.coalesce(F.nullif("pmid", F.lit("")), "doi")).filter(filled(F.col("pmid")))
     columns = {f.name: f.dataType for f in target.schema}
-    doi = lambda c: F.when(filled(F.col(c)), F.col(c))
-    keys = target.select(F.col("pmid").alias("t_pmid"), doi("doi").alias("t_doi"))
-    first_doi = keys.filter("t_doi is not null").groupBy("t_doi").agg(F.min("t_pmid").alias("by_doi"))
-    place = source.select("pmid", doi("doi").alias("s_doi"))
-    place = place.join(first_doi, F.col("s_doi") == F.col("t_doi"), "left").join(
-        keys.select(F.col("t_pmid").alias("by_pmid")), F.col("pmid") == F.col("by_pmid"), "left"
-    )
-    place = place.select("pmid", F.coalesce("by_doi", "by_pmid").alias("hit"), "s_doi")
-    place = place.withColumn(
-        "cluster", F.coalesce("hit", F.min("pmid").over(W.Window.partitionBy(F.coalesce("s_doi", "pmid"))))
-    )
-    place = place.withColumn("rn", F.row_number().over(W.Window.partitionBy("cluster").orderBy("pmid")))
-    rows = source.join(place.select("pmid", "hit", "cluster", "rn"), "pmid")
-    longest = lambda n: F.max_by(n, F.struct(F.coalesce(F.length(n), F.lit(0)), -F.col("rn")))
-    folded = []
-    for name, kind in columns.items():
-        c = F.col(name)
-        if name in merge.LISTS:
-            flat = F.flatten(
-                F.transform(
-                    F.array_sort(
-                        F.collect_list(F.struct("rn", F.coalesce(c, F.array().cast("array<string>")).alias("v")))
-                    ),
-                    lambda s: s["v"],
-                )
-            )
-            folded.append(F.array_distinct(flat).alias(name))
-        elif name in merge.LONGEST:
-            folded.append(longest(name).alias(name))
-        elif kind.typeName() == "boolean":
-            folded.append(F.max(F.coalesce(c, F.lit(False))).alias(name))
-        elif name in ("pmid", *merge.EXISTING_ONLY):
-            folded.append(F.min_by(c, "rn").alias(name))
-        else:
-            folded.append(
-                F.coalesce(F.min_by(c, F.when(merge.truthy(c, kind), F.col("rn"))), F.min_by(c, "rn")).alias(name)
-            )
-    one = rows.groupBy("cluster").agg(F.max("hit").alias("hit"), *folded)
+    source = source.withColumn("_seq", F.struct(*order_by, F.xxhash64(*columns).alias("_hash"))).select(*columns, "_seq")
+    spark = source.sparkSession
+    keys = source.select("pmid", "doi", F.col("_seq").alias("seq")).distinct()
+    place = matching.places(spark, keys, target).select("pmid", F.col("seq").alias("_seq"), "place", "there")
+    rows = source.join(place, ["pmid", "_seq"])
+    hit = F.max(F.when(F.col("there"), F.col("place"))).alias("hit")
+    one = rows.groupBy("place").agg(hit, *(folded(n, k).alias(n) for n, k in columns.items()))
     pairs = target.select(F.struct(*columns).alias("a")).join(
-        one.filter("hit is not null").select("hit", F.struct(*columns).alias("b")),
-        F.col("a.pmid") == F.col("hit"),
-        "left",
+        one.filter("hit is not null").select("hit", F.struct(*columns).alias("b")), F.col("a.pmid") == F.col("hit"), "left"
     )
-    merged = pairs.select(*[F.when(F.col("hit").isNull(), F.col(f"a.{n}")).otherwise(c).alias(n) for n, c in zip(columns, merge.records(pairs, columns))], F.when(F.col("hit").isNull(), "kept").otherwise("merged").alias("action"))
+    alone = F.col("hit").isNull()
+    new = [F.when(alone, F.col(f"a.{n}")).otherwise(c).alias(n) for n, c in zip(columns, merge.records(pairs, columns))]
+    merged = pairs.select(*new, F.when(alone, "kept").otherwise("merged").alias("action"))
     added = one.filter("hit is null").select(*columns, F.lit("added").alias("action"))
     return merged.unionByName(added)
 
 
+def folded(name: str, kind) -> Column:
+    """The aggregate that a merge of a group's rows in the order of ``_seq``, one into the next, leaves of a column. What
+    is one row stays as it is."""
+    c, seq = F.col(name), F.col("_seq")
+    first, good = F.min_by(c, seq), merge.truthy(c, kind)
+    if name in ("pmid", *merge.EXISTING_ONLY):
+        return first
+    if name in merge.LISTS:
+        empty = F.array().cast("array<string>")
+        parts = F.array_sort(F.collect_list(F.struct("_seq", F.coalesce(c, empty).alias("v"))))
+        all_of = F.aggregate(F.transform(parts, lambda s: s["v"]), F.lit(None).cast("array<string>"), lambda a, b: F.when(a.isNull(), b).otherwise(merge.lists(a, b)))
+        return F.when(F.count("*") == 1, first).otherwise(all_of)
+    if name in merge.LONGEST:
+        best = F.min_by(F.when(good, c), F.when(good, F.struct((-F.length(c)).alias("size"), "_seq")))
+    elif kind.typeName() == "boolean":
+        best = F.max(F.coalesce(c, F.lit(False)))
+    elif kind.typeName() in ("array", "struct", "map"):
+        best = F.coalesce(F.min_by(c, F.when(good, seq)), F.max_by(c, seq))
+    else:
+        best = F.min_by(c, F.when(good, seq))
+    return F.when(F.count("*") == 1, first).otherwise(best)
+
+
 def store_statistics(papers: DataFrame, failed: DataFrame) -> DataFrame:
     flag = lambda c, v, name: F.count_if(F.col(c) == v).alias(name)
     one = papers.agg(

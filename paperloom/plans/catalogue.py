@@ -22,7 +22,7 @@ def query(name: str, sql: str | None = None):
     def put(f):
         QUERIES[name] = f
         if sql is not None:
-            ORACLES[name] = f"WITH {views.SQL} {sql}"
+            ORACLES[name] = f"WITH {'RECURSIVE ' if 'walk(' in sql else ''}{views.SQL} {sql}"
         return f
 
     return put
@@ -228,10 +228,11 @@ MERGED = f""", {OTHER}, hit AS (SELECT s.*, coalesce((SELECT min(t.pmid) FROM tg
   placed AS (SELECT *, coalesce(hit, min(pmid) OVER (PARTITION BY coalesce(doi, pmid))) AS cluster FROM hit),
   ordered AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY pmid) AS rn FROM placed),
   one AS (SELECT cluster, max(hit) AS hit, arg_min(pmid, rn) AS pmid, coalesce(arg_min(doi, rn) FILTER (WHERE doi <>
-  ''), arg_min(doi, rn)) AS doi, arg_min(title, (-length(title)) * 100000 + rn) AS title,
-    flatten(list(authors ORDER BY rn)) AS every, coalesce(arg_min(cited_by_count, rn) FILTER (WHERE cited_by_count
-  <> 0), arg_min(cited_by_count, rn)) AS cited_by_count FROM ordered GROUP BY cluster),
-  folded AS (SELECT *, list_filter(every, lambda x, i: list_position(every, x) = i) AS authors FROM one)
+  ''), arg_min(doi, rn)) AS doi, CASE WHEN count(*) = 1 THEN any_value(title) ELSE arg_min(title,
+  (-length(title)) * 100000 + rn) FILTER (WHERE title <> '') END AS title, list({{'rn': rn, 'a': authors}} ORDER BY rn) AS every, coalesce(arg_min(cited_by_count, rn) FILTER (WHERE cited_by_count
+  <> 0), CASE WHEN count(*) = 1 THEN any_value(cited_by_count) END) AS cited_by_count FROM ordered GROUP BY cluster),
+  folded AS (SELECT *, flatten(list_transform(every, lambda s: list_filter(s.a, lambda x: len(list_filter(every, lambda e: e.rn < s.rn
+  AND list_contains(e.a, x))) = 0))) AS authors FROM one)
   SELECT t.pmid, coalesce(nullif(t.doi, ''), nullif(o.doi, '')) AS doi, CASE WHEN o.hit IS NULL THEN t.title WHEN
   length(o.title) > length(t.title) THEN o.title ELSE nullif(t.title, '') END AS title,
     array_to_string(CASE WHEN o.hit IS NULL THEN t.authors ELSE t.authors || list_filter(o.authors, lambda x: NOT
@@ -248,6 +249,38 @@ def _merge_stores(s, d):
     return corpus.merge_stores(*two_stores(views.papers(s, d))).withColumn("authors", F.array_join("authors", "|"))
 
 
+#: Crossing keys: every paper once more under another pmid, DOIs shared by a few, merged in the order of the numbers.
+CROSSED = """keyed AS (SELECT CAST(pmid AS BIGINT) AS i, title FROM papers),
+tgt AS (SELECT 'p' || i AS pmid, CASE WHEN i % 4 = 0 THEN NULL WHEN i % 4 = 1 THEN '' ELSE 'd' || (i // 3) END AS doi, title FROM keyed),
+src AS (SELECT i, coalesce(nullif(pmid, ''), doi) AS pmid, doi, title FROM (SELECT i, CASE WHEN i % 9 = 0 THEN NULL ELSE 'p' || ((i * 7) % 1500 + i // 1500) END AS pmid,
+  CASE WHEN i % 5 = 0 THEN '' ELSE 'd' || ((i * 11) % 400) END AS doi, title || ' ' || (i % 4) AS title FROM keyed) WHERE coalesce(nullif(pmid, ''), doi) <> '')"""
+
+
+def crossed(p):
+    i = F.col("pmid").cast("long")
+    name = lambda c: F.concat(F.lit("p"), c.cast("string"))
+    doi = lambda c: F.concat(F.lit("d"), c.cast("string"))
+    tgt = p.select(name(i).alias("pmid"), F.when(i % 4 == 0, None).when(i % 4 == 1, "").otherwise(doi(F.floor(i / 3))).alias("doi"), "title")
+    src = p.select(
+        i.alias("i"), F.when(i % 9 != 0, name((i * 7) % 1500 + F.floor(i / 1500))).alias("pmid"),
+        F.when(i % 5 == 0, "").otherwise(doi((i * 11) % 400)).alias("doi"), F.concat("title", F.lit(" "), (i % 4).cast("string")).alias("title"),
+    )
+    return src, tgt
+
+
+paper_query("merge_crossing_keys", f""", {CROSSED},
+held AS (SELECT doi, min(pmid) AS held FROM tgt WHERE doi <> '' GROUP BY doi),
+open_pairs AS (SELECT pmid, doi, row_number() OVER (ORDER BY min(i)) AS n, min(i) AS i FROM src WHERE doi <> '' AND doi NOT IN (SELECT doi FROM held)
+  AND pmid NOT IN (SELECT pmid FROM tgt WHERE doi <> '') GROUP BY pmid, doi),
+walk(n, takes) AS (SELECT CAST(0 AS BIGINT), CAST([] AS STRUCT(doi VARCHAR, pmid VARCHAR, i BIGINT)[])
+  UNION ALL SELECT w.n + 1, CASE WHEN len(list_filter(takes, lambda t: t.doi = o.doi OR t.pmid = o.pmid)) = 0 THEN list_append(takes, {{'doi': o.doi, 'pmid': o.pmid, 'i': o.i}}) ELSE takes END
+  FROM walk w JOIN open_pairs o ON o.n = w.n + 1),
+takes AS (SELECT t.doi, t.pmid, t.i FROM (SELECT unnest(takes) AS t FROM walk WHERE n = (SELECT max(n) FROM walk))),
+placed AS (SELECT s.*, coalesce(h.held, CASE WHEN s.i > t.i THEN t.pmid END, s.pmid) AS place FROM src s LEFT JOIN held h ON s.doi = h.doi LEFT JOIN takes t ON s.doi = t.doi),
+folded AS (SELECT place, coalesce(arg_min(doi, i) FILTER (WHERE doi <> ''), CASE WHEN count(*) = 1 THEN any_value(doi) END) AS doi, arg_min(title, -length(title) * 10000000 + i) AS title FROM placed GROUP BY place)
+SELECT t.pmid, CASE WHEN f.place IS NULL THEN t.doi ELSE coalesce(nullif(t.doi, ''), nullif(f.doi, '')) END AS doi, CASE WHEN length(f.title) > length(t.title) THEN f.title ELSE t.title END AS title,
+  CASE WHEN f.place IS NULL THEN 'kept' ELSE 'merged' END AS action FROM tgt t LEFT JOIN folded f ON t.pmid = f.place
+UNION ALL SELECT place, doi, title, 'added' FROM folded WHERE place NOT IN (SELECT pmid FROM tgt)""")(lambda p: corpus.merge_stores(*crossed(p), order_by=("i",)))
 query("merge_actions", f""", {OTHER}, hit AS (SELECT s.pmid, coalesce((SELECT min(t.pmid) FROM tgt t WHERE t.doi =
   s.doi), (SELECT min(t.pmid) FROM tgt t WHERE t.pmid = s.pmid)) AS hit, s.doi FROM src s),
   placed AS (SELECT pmid, hit, coalesce(hit, min(pmid) OVER (PARTITION BY coalesce(doi, pmid))) AS cluster FROM hit)

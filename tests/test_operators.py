@@ -1,7 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.operators import corpus, dedup, fulltext, hits, pubmed
+from paperloom.operators import corpus, dedup, fulltext, hits, matching, pubmed
 from paperloom.operators.store import CorpusStore
 from paperloom.plans import collect as C
 from paperloom.sources import files, remote
@@ -60,6 +62,57 @@ def test_merge_stores(spark):
     assert rows["2"]["abstract"] == "x" and rows["8"]["abstract"] == "late" and rows["8"]["action"] == "added"
 
 
+def merged_one_by_one(source, target):
+    """A merge of (pmid, doi, title, authors, cited_by_count, flag) rows, one after another, into a store of such rows."""
+    store = {r[0]: [*r[:3], list(r[3]), *r[4:]] for r in target}
+    actions = dict.fromkeys(store, "kept")
+    first = lambda x, y: x if x else y if y else None
+    for pmid, doi, title, authors, cited, flag in source:
+        pmid = pmid or doi
+        if not pmid:
+            continue
+        # Of several rows with a DOI: the store's own first, by pmid.
+        by_doi = sorted((actions[k] == "added", k) for k, r in store.items() if doi and r[1] == doi)
+        hit = by_doi[0][1] if by_doi else pmid if pmid in store else None
+        if hit is None:
+            store[pmid], actions[pmid] = [pmid, doi, title, list(authors), cited, flag], "added"
+            continue
+        r = store[hit]
+        actions[hit] = "merged" if actions[hit] == "kept" else actions[hit]
+        longest = title if title and (not r[2] or len(title) > len(r[2])) else r[2] or None
+        store[hit] = [hit, first(r[1], doi), longest, r[3] + [a for a in authors if a not in r[3]], first(r[4], cited), bool(r[5] or flag)]
+    return {(r[0], r[1], r[2], tuple(r[3]), r[4], r[5], actions[k]) for k, r in store.items()}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_merging_random_key_graphs_equals_a_sequential_merge(spark, seed):
+    rng = random.Random(seed)
+    kind = "pmid string, doi string, title string, authors array<string>, cited_by_count long, is_full_text_pmc boolean"
+    n, m = ((40, 12), (60, 60), (30, 200))[seed % 3]
+    own = lambda pmid, dois: (pmid, rng.choice(dois), rng.choice([None, "", "ab", "abc", "xyz", "longer"]), rng.choices("abc", k=rng.randrange(4)), rng.choice([None, 0, 3, 5]), rng.choice([None, True, False]))
+    dois = [None, "", *(f"d{k}" for k in range(m))]
+    target = [own(f"p{k}", [None, "", f"d{k % m}", f"d{(k + 1) % m}"]) for k in range(0, n, 2)]
+    source = [own(rng.choice([None, "", *(f"p{j}" for j in range(n))]), dois) for _ in range(3 * n)]
+    rows = spark.createDataFrame([(*r, k) for k, r in enumerate(source)], f"{kind}, at int").repartition(3)
+    got = corpus.merge_stores(rows, spark.createDataFrame(target, kind), order_by=("at",))
+    assert {(r[0], r[1], r[2], tuple(r[3]), *r[4:]) for r in got.collect()} == merged_one_by_one(source, target)
+
+
+def test_merging_leaves_no_two_rows_of_a_doi(spark):
+    target = papers(spark, {"pmid": "b", "doi": None})
+    for order, want in ((("pmid",), {("b", None), ("a", "d")}), (("title",), {("b", "d")})):
+        source = papers(spark, {"pmid": "b", "doi": "d", "title": "1"}, {"pmid": "a", "doi": "d", "title": "2"})
+        got = corpus.merge_stores(source, target, order_by=order)
+        assert {(r["pmid"], r["doi"]) for r in got.collect()} == want
+
+
+def test_a_chain_of_keys_in_its_order(spark):
+    """Each link waits for the one before: the longest way of rounds."""
+    pairs = [(f"p{(k + 1) // 2}", f"d{k // 2}", k) for k in range(14)]
+    got = matching.taken(spark, spark.createDataFrame(pairs, "pmid string, doi string, seq int"))
+    assert {(r["doi"], r["pmid"]) for r in got.collect()} == {(f"d{k}", f"p{k}") for k in range(7)}
+
+
 def test_batches_and_guard(spark):
     df = spark.createDataFrame([(f"{i:04d}",) for i in range(95)], "pmid string")
     rows = sorted((r["pmid"], r["batch"]) for r in corpus.batches(df.repartition(5), 30).collect())
