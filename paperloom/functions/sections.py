@@ -55,21 +55,34 @@ def from_flat(c: Column) -> Column:
     """Sections of a text with ## headings: the text before the first is Main; a heading without lines is dropped; a name
     that comes again replaces the content at its first place."""
     parts = F.split(c, r"(?<=\n)(?=## )", -1)
-    last = F.size(parts) - 1
 
-    def section(part, i):
+    def section(part, i, last):
         # What ends at the next heading ends with a line feed that belongs to neither.
         own = F.when(i < last, F.substring(part, F.lit(1), F.length(part) - 1)).otherwise(part)
         headed = part.startswith("## ")
         lines = F.contains(own, F.lit("\n"))
         name = F.when(headed, wstrip(F.regexp_replace(F.substring_index(own, "\n", 1), "^#+", ""))).otherwise("Main")
         body = F.when(headed, F.regexp_replace(own, r"^[^\n]*\n?", "")).otherwise(own)
-        return F.when(~headed | lines, F.struct(name.alias("name"), wstrip(body).alias("content")))
-
-    found = F.filter(F.transform(parts, section), lambda s: s.isNotNull())
-    names = F.array_distinct(F.transform(found, lambda s: s["name"]))
-    of = lambda n: F.element_at(F.filter(found, lambda s: s["name"] == n), -1)["content"]
-    return F.transform(names, lambda n, i: F.struct(i.alias("pos"), n.alias("name"), of(n).alias("content")))
+        return F.when(~headed | lines, F.struct(name.alias("name"), i.alias("i"), wstrip(body).alias("content")))
+
+    def distinct(found):
+        # Sorted by name, a name's sections lie together: its first gives the place, its last the content.
+        return _let(F.sort_array(found), lambda by_name: F.transform(F.sort_array(F.transform(
+            F.arrays_zip(
+                F.filter(by_name, lambda s, k: (k == 0) | (F.get(by_name, k - 1)["name"] != s["name"])).alias("first"),
+                F.filter(by_name, lambda s, k: (k == F.size(by_name) - 1) | (F.get(by_name, k + 1)["name"] != s["name"])).alias("last"),
+            ),
+            lambda z: F.struct(z["first"]["i"].alias("i"), z["first"]["name"].alias("name"), z["last"]["content"].alias("content")),
+        )), lambda s, i: F.struct(i.alias("pos"), s["name"].alias("name"), s["content"].alias("content"))))
+
+    found = lambda p: F.filter(F.transform(p, lambda x, i: section(x, i, F.size(p) - 1)), lambda s: s.isNotNull())
+    return F.when(c.isNotNull(), _let(parts, lambda p: _let(found(p), distinct)))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once: a lambda's variable, where a name for an expression would be written out
+    (and evaluated) wherever it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def lookup(c: Column, name: Column) -> Column:

@@ -82,3 +82,18 @@ def test_merge(spark):
     assert (long("abc", "xyz"), long("ab", "xyz"), long("", "x"), long("x", None)) == ("abc", "xyz", "x", "x")
     both = spark.createDataFrame([(["a", "a"], ["b", "b", "a"])], "a array<string>, b array<string>")
     assert both.select(merge.lists(F.col("a"), F.col("b"))).first()[0] == ["a", "a", "b", "b"]
+
+
+def test_ten_thousand_headings_take_no_longer_than_their_text(spark):
+    """Each heading costs what its section costs: twice the headings, about twice the time."""
+    import time
+
+    text = "".join(f"## H{k}\n{'word ' * 20}\n" for k in range(10_000)) + "## H7\nagain"
+    df = spark.createDataFrame([("## A\nx",), (text,)], "t string").repartition(1)
+    df.select(sections.from_flat(F.col("t"))).collect()
+    start = time.perf_counter()
+    got = df.select(sections.from_flat(F.col("t")).alias("s")).collect()[-1]["s"]
+    assert time.perf_counter() - start < 5
+    got = got if len(got) > 1 else df.select(sections.from_flat(F.col("t")).alias("s")).collect()[0]["s"]
+    assert len(got) == 10_000 and [x["pos"] for x in got] == list(range(10_000))
+    assert got[7]["name"] == "H7" and got[7]["content"] == "again" and got[8]["content"] == ("word " * 20).strip()
