@@ -1,6 +1,7 @@
 """The corpus store: snapshot-versioned Parquet tables under one base path.
 
-A keyed table is split into ``BUCKETS`` by a hash of its key, others are one bucket. A write puts the buckets that it
+A keyed table is split into buckets by a hash of its key, others are one bucket. How many is part of each snapshot: a store
+that is opened with another number keeps that of its tables until ``rebucket`` deals them anew. A write puts the buckets that it
 changes into a new folder and then commits a manifest, which names the folder of every bucket: readers see the old snapshot
 or the new one, older snapshots are backups that share unchanged buckets, and no write reads a folder it replaces. A
 manifest is written aside and moved to ``commits/<n>``; if another writer has taken that number, the write raises and
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from paperloom import schema
+from paperloom import schema, shared
 from paperloom.functions.falsy import filled
 from paperloom.functions.text import query_hash
 from paperloom.operators import corpus
@@ -62,13 +63,23 @@ class CorpusStore:
         """The folder of each bucket of a snapshot; buckets without rows have none."""
         if not version:
             return {}
+        return {int(k): path for k, path in self._lines(table, version) if k != "buckets"}
+
+    def _lines(self, table: str, version: int) -> list[tuple[str, str]]:
         rows = self.spark.read.text(f"{self.base}/{table}/commits/{version}").collect()
-        return {int(k): path for k, _, path in (r[0].partition(" ") for r in rows if r[0])}
+        return [(k, value) for k, _, value in (r[0].partition(" ") for r in rows if r[0])]
+
+    def buckets_of(self, table: str, version: int | None = None) -> int:
+        """By how many buckets a snapshot's rows are dealt. A table without snapshots gets what the store was opened with."""
+        version = self.version(table) if version is None else version
+        told = dict(self._lines(table, version)).get("buckets") if version else None
+        return int(told) if told else self.buckets
 
-    def _commit(self, table: str, version: int, manifest: dict[int, str]) -> None:
+    def _commit(self, table: str, version: int, manifest: dict[int, str], buckets: int) -> None:
         p, fs = self._fs(f"{self.base}/{table}/commits/.{version}-{uuid.uuid4().hex}")
         out = fs.create(p, False)
-        out.write(bytearray("\n".join(f"{k} {v}" for k, v in sorted(manifest.items())).encode()))
+        lines = [f"buckets {buckets}", *(f"{k} {v}" for k, v in sorted(manifest.items()))]
+        out.write(bytearray("\n".join(lines).encode()))
         out.close()
         to = self._path(f"{self.base}/{table}/commits/{version}")
         if fs.exists(to) or not fs.rename(p, to):
@@ -88,13 +99,13 @@ class CorpusStore:
         manifest = self.manifest(table, self.version(table) if version is None else version)
         return self._rows(table, sorted(manifest.values()))
 
-    def _bucket(self, table: str) -> Column:
-        return F.pmod(F.xxhash64(KEYS[table]), F.lit(self.buckets)).cast("int") if table in KEYS else F.lit(0)
+    def _bucket(self, table: str, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(KEYS[table]), F.lit(buckets)).cast("int") if table in KEYS else F.lit(0)
 
-    def _put(self, table: str, df: DataFrame) -> dict[int, str]:
+    def _put(self, table: str, df: DataFrame, buckets: int) -> dict[int, str]:
         """Write rows as buckets into a new folder: {bucket: folder}. Large buckets are spread over tasks, small ones not."""
         folder = f"data-{uuid.uuid4().hex[:12]}"
-        rows = df.withColumn("_bucket", self._bucket(table))
+        rows = df.withColumn("_bucket", self._bucket(table, buckets))
         rows.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(
             f"{self.base}/{table}/{folder}"
         )
@@ -104,14 +115,20 @@ class CorpusStore:
 
     def write(self, table: str, df: DataFrame) -> int:
         """A whole new snapshot."""
+        v, n = self.version(table) + 1, self.buckets_of(table)
+        self._commit(table, v, self._put(table, df, n), n)
+        return v
+
+    def rebucket(self, table: str, buckets: int) -> int:
+        """The same rows dealt by another number of buckets: more of them, and an upsert rewrites a smaller part."""
         v = self.version(table) + 1
-        self._commit(table, v, self._put(table, df))
+        self._commit(table, v, self._put(table, self.read(table), buckets), buckets)
         return v
 
     def restore(self, table: str, version: int) -> int:
         """Make an older snapshot current again, as a new one. No row is moved."""
         v = self.version(table) + 1
-        self._commit(table, v, self.manifest(table, version))
+        self._commit(table, v, self.manifest(table, version), self.buckets_of(table, version))
         return v
 
     # Mutations
@@ -130,9 +147,11 @@ class CorpusStore:
         new = corpus.upsert(
             new.limit(0).withColumn("_rank", rank), new.withColumn("_rank", rank), key, "_rank"
         ).drop("_rank")
+        # Written once: what comes may be a long plan, and is read for its buckets, its keys and its rows.
+        new = shared.written(self.spark, new, shared.folder(self.spark, f"upsert-{table}"))
         v = self.version(table) + 1
-        manifest = self.manifest(table, v - 1)
-        touched = {r[0] for r in new.select(self._bucket(table)).distinct().collect()}
+        manifest, n = self.manifest(table, v - 1), self.buckets_of(table, v - 1)
+        touched = {r[0] for r in new.select(self._bucket(table, n)).distinct().collect()}
         old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
         return self._replace(
             table,
@@ -140,23 +159,24 @@ class CorpusStore:
             manifest,
             touched,
             old.join(new.select(key), key, "left_anti").select(*new.columns).unionByName(new),
+            n,
         )
 
-    def _replace(self, table: str, v: int, manifest: dict[int, str], touched: set[int], rows: DataFrame) -> int:
+    def _replace(self, table: str, v: int, manifest: dict[int, str], touched: set[int], rows: DataFrame, n: int) -> int:
         kept = {k: p for k, p in manifest.items() if k not in touched}
-        self._commit(table, v, kept | self._put(table, rows) if touched else kept)
+        self._commit(table, v, kept | self._put(table, rows, n) if touched else kept, n)
         return v
 
     def delete(self, table: str, keys: DataFrame) -> int:
         key, v = KEYS[table], self.version(table) + 1
-        manifest = self.manifest(table, v - 1)
+        manifest, n = self.manifest(table, v - 1), self.buckets_of(table, v - 1)
         touched = {
             r[0] for r in keys.select(key).filter(
                 F.col(key).isNotNull()
-            ).select(self._bucket(table)).distinct().collect()
+            ).select(self._bucket(table, n)).distinct().collect()
         }
         old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
-        return self._replace(table, v, manifest, touched, old.join(keys.select(key), key, "left_anti"))
+        return self._replace(table, v, manifest, touched, old.join(keys.select(key), key, "left_anti"), n)
 
     def append(self, table: str, rows: DataFrame) -> int:
         """Rows with the next ids, in the order of their columns; for tables with an id."""

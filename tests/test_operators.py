@@ -295,3 +295,24 @@ def test_stream_upserts(spark, tmp_path):
         papers(spark, {"pmid": "1", "title": t}, {"pmid": f"x{k}", "title": t}).write.mode("append").parquet(f"file://{tmp_path}/in")
         upserts.upsert_stream(upserts.read_stream(spark, f"file://{tmp_path}/in", like), store, "papers", f"file://{tmp_path}/ck").awaitTermination()
     assert sorted((r["pmid"], r["title"]) for r in store.read("papers").collect()) == [("1", "b"), ("x0", "a"), ("x1", "b")]
+
+
+def test_a_store_opened_with_another_number_of_buckets_keeps_unique_keys(spark, tmp_path):
+    rows = lambda note: papers(spark, *({"pmid": str(k), "title": note, "collection_date": note} for k in range(50)))
+    base = f"file://{tmp_path}/store"
+    CorpusStore(spark, base, buckets=32).upsert("papers", rows("a"))
+    other = CorpusStore(spark, base, buckets=8)
+    other.upsert("papers", rows("b"))
+    assert other.buckets_of("papers") == 32
+    got = other.read("papers").select("pmid", "title").collect()
+    assert len(got) == 50 and {r["title"] for r in got} == {"b"}
+    other.delete("papers", spark.createDataFrame([("7",)], "pmid string"))
+    other.rebucket("papers", 5)
+    assert other.buckets_of("papers") == 5 and set(other.manifest("papers", other.version("papers"))) <= set(range(5))
+    CorpusStore(spark, base).upsert("papers", rows("c"))
+    got = other.read("papers").select("pmid", "title").collect()
+    assert len(got) == 50 and {r["title"] for r in got} == {"c"}
+    other.restore("papers", 1)
+    assert other.buckets_of("papers") == 32
+    other.upsert("papers", rows("d"))
+    assert sorted(r["pmid"] for r in other.read("papers").select("pmid").collect()) == sorted(str(k) for k in range(50))
