@@ -45,13 +45,11 @@ def classify(candidates: DataFrame, store: DataFrame, skip_existing: bool = Fals
 
 
 def enrich(papers: DataFrame, works: DataFrame) -> DataFrame:
-    """Citation data by DOI in any case. Matched metrics overwrite, also with null; an address only if there is one."""
-    side = works.select(
-        doi_key(F.col("doi")).alias("_key"),
-        *(F.col(c).alias(f"_{c}") for c in ("cited_by_count", "percentile", "fwci", "oa_url")),
-        F.lit(True).alias("_hit"),
-    )
-    side = side.filter("_key is not null").dropDuplicates(["_key"])
+    """Citation data by DOI in any case. Matched metrics overwrite, also with null; an address only if there is one. Of
+    several works of a DOI the one most often cited counts, then the greatest of the other values."""
+    values = F.struct(*(F.col(c).alias(f"_{c}") for c in ("cited_by_count", "percentile", "fwci", "oa_url")))
+    side = works.select(doi_key(F.col("doi")).alias("_key"), values.alias("_v")).filter("_key is not null")
+    side = side.groupBy("_key").agg(F.max("_v").alias("_v")).select("_key", "_v.*", F.lit(True).alias("_hit"))
     rows = papers.withColumn("_key", F.when(filled(F.col("doi")), doi_key(F.col("doi")))).join(side, "_key", "left")
     hit = F.col("_hit").isNotNull()
     out = {

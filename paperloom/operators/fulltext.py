@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.falsy import filled
 from paperloom.functions.sections import SECTIONS
-from paperloom.functions.text import clean_abstract, clean_comprehensive
+from paperloom.functions.text import clean_abstract, clean_comprehensive, doi_key
 from paperloom.functions.validity import has_meaningful_content
 
 #: Least lengths of paragraphs, of a body, of front or back matter, of a whole article and of a page.
@@ -348,13 +348,22 @@ def assemble(text: Column, sections: Column, has_body: Column, abstract: Column,
     return F.when(good, body).when(filled(a) & filled(page_text), page)
 
 
+def first_text(source: DataFrame, key: Column, text: str = "text") -> DataFrame:
+    """(key, text): the first hit of each key among non-empty texts, by ``rank`` where the source has one, then by text."""
+    rank = F.col("rank") if "rank" in source.columns else F.lit(0)
+    rows = source.filter(filled(F.col(text))).select(key.alias("key"), F.struct(rank.alias("rank"), F.col(text).alias("text")).alias("hit"))
+    return rows.filter(filled(F.col("key"))).groupBy("key").agg(F.min("hit").alias("hit")).select("key", "hit.text")
+
+
 def waterfall(papers: DataFrame, by_pmcid: DataFrame, by_doi: DataFrame) -> DataFrame:
-    """papers (pmid, pmcid, doi) with the first text found: by PMC id, then by DOI. Sources are (pmcid | doi, text)."""
-    a = by_pmcid.select(F.col("pmcid").alias("_pmcid"), F.col("text").alias("_a"))
-    b = by_doi.select(F.col("doi").alias("_doi"), F.col("text").alias("_b"))
-    rows = papers.join(
-        a, filled(F.col("pmcid")) & (F.col("pmcid") == F.col("_pmcid")), "left"
-    ).join(b, filled(F.col("doi")) & (F.col("doi") == F.col("_doi")), "left")
+    """papers (pmid, pmcid, doi) with the first text found: by PMC id, then by DOI in any case. Sources are (pmcid | doi,
+    text, optional rank). Of several texts of a key the first hit counts: that of the least rank, then the least text; a
+    source of empty texts has none. Papers stay one row each."""
+    a = first_text(by_pmcid, F.col("pmcid")).select(F.col("key").alias("_pmcid"), F.col("text").alias("_a"))
+    b = first_text(by_doi, doi_key(F.col("doi"))).select(F.col("key").alias("_doi"), F.col("text").alias("_b"))
+    own_doi = F.when(filled(F.col("doi")), doi_key(F.col("doi")))
+    rows = papers.join(a, filled(F.col("pmcid")) & (F.col("pmcid") == F.col("_pmcid")), "left")
+    rows = rows.withColumn("_own", own_doi).join(b, F.col("_own") == F.col("_doi"), "left").drop("_own")
     text = F.coalesce(F.when(filled(F.col("_a")), F.col("_a")), F.when(filled(F.col("_b")), F.col("_b")))
     return rows.withColumn("full_text", text).withColumn(
         "origin", F.when(filled(F.col("_a")), "pmcid").when(filled(F.col("_b")), "doi")

@@ -73,11 +73,14 @@ def batch_papers(
     """Papers of Europe PMC hits: hits without id are dropped, full text comes from article XML (pmcid, xml) or, where that
     holds no more than boilerplate, from pages (pmcid, page_text), only for hits with a pmcid; then citation data."""
     rows = hits.from_europepmc(hits_)
-    parsed = fulltext.jats(articles.filter(F.col("pmcid") != "").select("pmcid", "xml")).drop("xml")
+    # The first article and the first page of an id: papers stay one row each.
+    first = fulltext.first_text(articles, F.col("pmcid"), "xml").select(F.col("key").alias("pmcid"), F.col("text").alias("xml"))
+    parsed = fulltext.jats(first).drop("xml")
     if page_texts is None:
         parsed = parsed.withColumn("page_text", F.lit(None).cast("string"))
     else:
-        parsed = parsed.join(page_texts.select("pmcid", "page_text"), "pmcid", "left")
+        pages = fulltext.first_text(page_texts, F.col("pmcid"), "page_text")
+        parsed = parsed.join(pages.select(F.col("key").alias("pmcid"), F.col("text").alias("page_text")), "pmcid", "left")
     best = fulltext.assemble(
         F.col("full_text"), F.col("sections"), F.col("has_body"), F.col("abstract"), F.col("page_text")
     )
@@ -111,7 +114,7 @@ def one_paper(
 ) -> DataFrame:
     """The whole path for one id: metadata from XML, text by PMC id, then by DOI (which then names the PMC id), citations."""
     paper = pubmed.papers(xml).filter(F.col("pmid") == pmid).limit(1)
-    by_doi = articles.filter(filled(F.col("doi"))).select(F.lower("doi").alias("_doi"), F.col("pmcid").alias("_late"))
+    by_doi = articles.filter(filled(F.col("doi"))).groupBy(F.lower("doi").alias("_doi")).agg(F.min("pmcid").alias("_late"))
     paper = paper.join(
         by_doi, F.lower("doi") == F.col("_doi"), "left"
     ).withColumn("pmcid", F.coalesce("pmcid", "_late")).drop("_doi", "_late")

@@ -270,10 +270,10 @@ def test_files(spark, tmp_path):
 
 
 class FakeClient:
-    """Eleven thousand ids a year."""
+    """Eleven thousand ids a year, 200 of them without a month."""
 
     def count(self, query):
-        return 900 if "/" in query else 11_000 if "[pdat]" in query else 22_000
+        return 200 if " NOT " in query else 900 if "/" in query else 11_000 if "[pdat]" in query else 22_000
 
     def page(self, query, start, size):
         tag = query.rpartition("AND ")[2]
