@@ -82,7 +82,7 @@ def preprint_details(dois: DataFrame, collections: DataFrame) -> DataFrame:
     """(doi, detail): the first entry of each DOI's ``collection`` (doi, collection), null where there is none. Of several
     collections of a DOI that whose first entry is the least as JSON counts, so rows of ``dois`` stay one each."""
     side = collections.select("doi", F.get("collection", 0).alias("detail")).filter("detail is not null")
-    side = side.groupBy("doi").agg(F.min_by("detail", F.to_json("detail")).alias("detail"))
+    side = side.groupBy("doi").agg(F.min_by("detail", F.to_json(F.struct("detail"))).alias("detail"))
     return dois.select("doi").join(side, "doi", "left")
 
 
