@@ -1,12 +1,11 @@
-"""Duplicate DOIs: groups, reports and the three ways to resolve them. Heavy text columns never enter a window: rows are
-ranked on a narrow projection and joined back."""
+"""Duplicate DOIs: groups, reports and the three ways to resolve them, by aggregates that tasks begin on their own
+rows: a DOI that many rows share costs each task one row."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import window as W
 
 from paperloom.functions.falsy import filled, truthy
 
@@ -20,43 +19,65 @@ def groups(papers: DataFrame) -> DataFrame:
     return with_doi(papers).groupBy("doi").agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def ranked(papers: DataFrame, fulltext_first: bool = False) -> DataFrame:
-    """(pmid, doi, rn, n) of rows with a DOI: the order in which a group's rows are preferred."""
-    first = [F.coalesce("is_full_text_pmc", F.lit(False)).desc()] if fulltext_first else []
-    order = W.Window.partitionBy("doi").orderBy(*first, F.desc("collection_date"), F.asc("pmid"))
-    rows = with_doi(papers).select("pmid", "doi", "collection_date", "is_full_text_pmc")
-    return rows.select(
-        "pmid", "doi", F.row_number().over(order).alias("rn"), F.count("*").over(W.Window.partitionBy("doi")).alias("n")
-    )
+def firsts(papers: DataFrame, fulltext_first: bool = False) -> DataFrame:
+    """(doi, pmid, n): the preferred row of each DOI, and how many have it. The latest is preferred, of these the least pmid;
+    before that, if asked for, those with full text.
+
+    Two aggregates, the first by DOI, full text and date: tasks shuffle a row for each of their groups, so a DOI that a
+    third of all rows share is as cheap as another.
+    """
+    full = F.coalesce("is_full_text_pmc", F.lit(False)) if fulltext_first else F.lit(True)
+    rows = with_doi(papers).select("doi", full.alias("f"), F.col("collection_date").alias("d"), "pmid")
+    # A null date comes last, a null pmid first: structs order nulls before all else.
+    by_date = rows.groupBy("doi", "f", "d").agg(F.min(F.struct("pmid")).alias("p"), F.count("*").alias("k"))
+    best = by_date.groupBy("doi").agg(F.max_by("p", F.struct("f", "d")).alias("p"), F.sum("k").alias("n"))
+    return best.select("doi", "p.pmid", "n")
 
 
 def plan(papers: DataFrame, fulltext_first: bool = False) -> DataFrame:
     """(doi, pmid, action) of every row of a duplicate group: what applying the strategy would do."""
-    return ranked(papers, fulltext_first).filter("n > 1").select(
-        "doi", "pmid", F.when(F.col("rn") == 1, "keep").otherwise("delete").alias("action")
+    first = firsts(papers, fulltext_first).filter("n > 1").select("doi", F.col("pmid").alias("_first"))
+    return with_doi(papers).select("doi", "pmid").join(first, "doi").select(
+        "doi", "pmid", F.when(F.col("pmid").eqNullSafe(F.col("_first")), "keep").otherwise("delete").alias("action")
     )
 
 
 def keep_one(papers: DataFrame, fulltext_first: bool = False) -> DataFrame:
-    """The store without the rows that the plan deletes; rows without DOI stay."""
-    gone = plan(papers, fulltext_first).filter("action = 'delete'").select("pmid")
-    return papers.join(gone, "pmid", "left_anti")
+    """The store without the rows that the plan deletes; rows without DOI stay. Rows are met by pmid, never by DOI."""
+    kept = firsts(papers, fulltext_first).select(F.col("pmid").alias("_kept"))
+    rows = with_doi(papers).join(kept, F.col("pmid").eqNullSafe(F.col("_kept")), "left_semi")
+    return rows.unionByName(papers.filter(~filled(F.col("doi"))))
 
 
 def merge_groups(papers: DataFrame) -> DataFrame:
     """Each group's most recent row, its falsy values filled from the next rows in order. Lists count as stored text, so
-    an empty list is a value. Rows without DOI pass."""
-    place = ranked(papers).select("pmid", "rn")
-    rows = with_doi(papers).join(place, "pmid")
+    an empty list is a value. Rows without DOI pass.
+
+    As in ``firsts`` in two aggregates: the first value of each date by pmid, then of each DOI by date.
+    """
+    other = [f for f in papers.schema if f.name not in ("pmid", "doi", "collection_date")]
 
-    def pick(f: T.StructField):
+    def good(f: T.StructField):
         c = F.col(f.name)
-        good = c.isNotNull() if isinstance(f.dataType, (T.ArrayType, T.StructType)) else truthy(c, f.dataType)
-        return F.coalesce(F.min_by(c, F.when(good, F.col("rn"))), F.min_by(c, "rn")).alias(f.name)
+        return c.isNotNull() if isinstance(f.dataType, (T.ArrayType, T.StructType)) else truthy(c, f.dataType)
+
+    row, date = F.struct("pmid"), F.struct(F.col("_date").alias("d"))
+    values = {f"v{k}": F.min_by(f.name, F.when(good(f), row)) for k, f in enumerate(other)}
+    firsts_ = {f"w{k}": F.min_by(f.name, row) for k, f in enumerate(other)}
+    found = {f"g{k}": F.max(F.coalesce(good(f), F.lit(False))) for k, f in enumerate(other)}
+    by_date = with_doi(papers).withColumn("_date", F.col("collection_date")).groupBy("doi", "_date").agg(
+        F.min(row).alias("p"), *(c.alias(n) for n, c in (values | firsts_ | found).items())
+    )
+
+    def pick(k: int, f: T.StructField):
+        return F.coalesce(F.max_by(f"v{k}", F.when(F.col(f"g{k}"), date)), F.max_by(f"w{k}", date)).alias(f.name)
 
-    other = [pick(f) for f in papers.schema if f.name not in ("pmid", "doi")]
-    merged = rows.groupBy("doi").agg(F.min_by("pmid", "rn").alias("pmid"), *other).select(*papers.columns)
-    return merged.unionByName(papers.filter(~filled(F.col("doi"))))
+    merged = by_date.groupBy("doi").agg(
+        F.max_by("p", date)["pmid"].alias("pmid"),
+        F.max(date)["d"].alias("collection_date"),
+        *(pick(k, f) for k, f in enumerate(other)),
+    )
+    return merged.select(*papers.columns).unionByName(papers.filter(~filled(F.col("doi"))))
 
 
 def report(papers: DataFrame) -> DataFrame:

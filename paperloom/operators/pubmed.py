@@ -1,7 +1,8 @@
 """Bibliographic XML to papers: articles and book chapters.
 
 Records are parsed by Spark's own XML functions over a string column, so a table of XML strings and the XML file source
-share one plan.
+share one plan. A record that can't be read is no paper; ``checked`` parses once and tells each record's fate, so that none
+is lost unseen.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom import schema
 from paperloom.functions.falsy import filled, wstrip
 from paperloom.functions.text import clean_abstract, month_number
 
@@ -37,6 +39,14 @@ BOOK = f"""BookDocument STRUCT<
 PubmedBookData STRUCT<History: STRUCT<PubMedPubDate: ARRAY<{_DATE}>>, ArticleIdList: STRUCT<ArticleId: {_ID}>>"""
 
 
+#: Where Spark puts a record that isn't well-formed.
+_CORRUPT = "_corrupt_record"
+
+
+def _parsed(c: Column, kind: str) -> Column:
+    return F.from_xml(c, f"{kind}, {_CORRUPT} STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+
 def _list(c: Column, kind: str) -> Column:
     return F.coalesce(c, F.array().cast(kind))
 
@@ -76,10 +86,13 @@ def published(date: Column) -> Column:
 
 
 def articles(xml: DataFrame, column: str = "xml") -> DataFrame:
-    """Papers of rows that hold a PubmedArticle; others are dropped."""
-    rows = xml.filter(
-        F.contains(F.col(column), F.lit("<PubmedArticle"))
-    ).select(F.from_xml(F.col(column), ARTICLE).alias("r"))
+    """Papers of rows that hold a well-formed PubmedArticle; others are dropped."""
+    rows = xml.filter(F.contains(F.col(column), F.lit("<PubmedArticle")))
+    return _articles(rows.select(_parsed(F.col(column), ARTICLE).alias("r")).filter(f"r.{_CORRUPT} is null"))
+
+
+def _articles(rows: DataFrame, *kept: str) -> DataFrame:
+    """Papers of parsed records r, behind the columns to keep."""
     m, ids = "r.MedlineCitation", _ids(F.col("r.PubmedData.ArticleIdList.ArticleId"))
     pmcid = F.get(F.filter(ids, lambda x: x["id"].startswith("PMC")), 0)["id"]
     headings = _list(F.col(f"{m}.MeshHeadingList.MeshHeading"), f"array<struct<DescriptorName:{_DESCRIPTOR}>>")
@@ -93,7 +106,7 @@ def articles(xml: DataFrame, column: str = "xml") -> DataFrame:
     kind = F.array_join(F.filter(F.transform(kinds, lambda k: k["_VALUE"]), filled), "; ")
     date = F.col(f"{m}.Article.Journal.JournalIssue.PubDate")
     return rows.select(
-        F.col(f"{m}.PMID._VALUE").alias("pmid"), pmcid.alias("pmcid"), _last(
+        *kept, F.col(f"{m}.PMID._VALUE").alias("pmid"), pmcid.alias("pmcid"), _last(
             ids, lambda x: x["kind"] == "doi"
         ).alias("doi"), F.col(f"{m}.Article.ArticleTitle").alias("title"),
         _abstract(
@@ -110,16 +123,18 @@ def articles(xml: DataFrame, column: str = "xml") -> DataFrame:
 
 
 def books(xml: DataFrame, column: str = "xml") -> DataFrame:
-    """Papers of rows that hold a PubmedBookArticle."""
-    rows = xml.filter(
-        F.contains(F.col(column), F.lit("<PubmedBookArticle"))
-    ).select(F.from_xml(F.col(column), BOOK).alias("r"))
+    """Papers of rows that hold a well-formed PubmedBookArticle."""
+    rows = xml.filter(F.contains(F.col(column), F.lit("<PubmedBookArticle")))
+    return _books(rows.select(_parsed(F.col(column), BOOK).alias("r")).filter(f"r.{_CORRUPT} is null"))
+
+
+def _books(rows: DataFrame, *kept: str) -> DataFrame:
     b = "r.BookDocument"
     ids = F.concat(_ids(F.col("r.PubmedBookData.ArticleIdList.ArticleId")), _ids(F.col(f"{b}.ArticleIdList.ArticleId")))
     year = F.get(F.filter(F.col("r.PubmedBookData.History.PubMedPubDate"), lambda d: filled(d["Year"])), 0)["Year"]
     people = F.flatten(F.transform(F.col(f"{b}.AuthorList"), lambda a: a["Author"]))
     return rows.select(
-        F.coalesce(
+        *kept, F.coalesce(
             F.get(F.filter(ids, lambda x: x["kind"] == "pubmed"), 0)["id"],
             F.get(ids, 0)["id"],
             F.col(f"{b}.PMID._VALUE"),
@@ -132,3 +147,44 @@ def books(xml: DataFrame, column: str = "xml") -> DataFrame:
 
 def papers(xml: DataFrame, column: str = "xml") -> DataFrame:
     return articles(xml, column).unionByName(books(xml, column), allowMissingColumns=True)
+
+
+def checked(xml: DataFrame, column: str = "xml") -> DataFrame:
+    """(digest, record, kind, reason, columns of papers): one row for each record, parsed once.
+
+    ``reason`` is null for a record that is a paper. Else it is "empty" (null or blank), "no record" (neither article nor
+    book), "malformed" (not well-formed, also when cut short) or "no id". ``digest`` is the SHA-256 of the record, or the
+    rows' own where they have a column of that name. A record that holds an article and a book counts as an article.
+    """
+    text = F.col(column)
+    blank = ~filled(wstrip(F.coalesce(text, F.lit(""))))
+    kind = F.when(blank, "empty").when(F.contains(text, F.lit("<PubmedArticle")), "article").when(
+        F.contains(text, F.lit("<PubmedBookArticle")), "book"
+    ).otherwise("no record")
+    digest = F.col("digest") if "digest" in xml.columns else F.sha2(F.coalesce(text, F.lit("")), 256)
+    rows = xml.select(digest.alias("digest"), text.alias("record"), kind.alias("kind"))
+    kept = ("digest", "record", "kind", "reason")
+
+    def branch(name: str, types: str, read) -> DataFrame:
+        parsed = rows.filter(F.col("kind") == name).withColumn("r", _parsed(F.col("record"), types))
+        broken = F.when(F.col(f"r.{_CORRUPT}").isNotNull(), "malformed")
+        out = read(parsed.withColumn("reason", broken), *kept)
+        return out.withColumn("reason", F.coalesce("reason", F.when(~filled(F.col("pmid")), "no id")))
+
+    rest = rows.filter(F.col("kind").isin("empty", "no record")).withColumn("reason", F.col("kind"))
+    out = branch("article", ARTICLE, _articles).unionByName(branch("book", BOOK, _books), allowMissingColumns=True)
+    return out.unionByName(rest, allowMissingColumns=True)
+
+
+def good(told: DataFrame) -> DataFrame:
+    """The papers among ``checked`` records, with all columns of a paper."""
+    rows = told.filter("reason is null").drop("digest", "record", "kind", "reason")
+    lacking = [f for f in schema.paper() if f.name not in rows.columns]
+    return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
+
+
+def bad(told: DataFrame) -> DataFrame:
+    """(digest, pmid, kind, reason, record) of ``checked`` records that are no papers, as they came. The pmid is the first
+    that can be made out in the text."""
+    named = F.nullif(F.regexp_extract("record", r"<PMID[^>]*>\s*([0-9]+)", 1), F.lit(""))
+    return told.filter("reason is not null").select("digest", named.alias("pmid"), "kind", "reason", "record")

@@ -6,6 +6,13 @@ changes into a new folder and then commits a manifest, which names the folder of
 or the new one, older snapshots are backups that share unchanged buckets, and no write reads a folder it replaces. A
 manifest is written aside and moved to ``commits/<n>``; if another writer has taken that number, the write raises and
 nothing has changed. All file access goes through Spark's file system layer, so any store that Spark can reach will do.
+
+A commit may carry a mark, the name of the run or the batch that made it. A write whose mark is there already is done: it
+changes nothing and gives the snapshot that it made, so a run that broke off can be repeated under its name. Restoring an
+older snapshot doesn't take marks back.
+
+Files are sorted by key within a bucket and hold bloom filters of pmid and doi, so a lookup skips the row groups without it;
+a lookup by the table's own key reads one bucket.
 """
 
 from __future__ import annotations
@@ -23,11 +30,13 @@ from paperloom.operators import corpus
 
 TABLES = {
     "papers": schema.PAPER_DDL, "queries": schema.QUERIES_DDL, "collection_runs": schema.RUNS_DDL, "failed_dois": schema.FAILED_DDL,
-    "query_cache": schema.CACHE_DDL,
+    "query_cache": schema.CACHE_DDL, "rejects": schema.REJECTS_DDL,
 }
-KEYS = {"papers": "pmid", "failed_dois": "doi", "query_cache": "query_hash"}
+KEYS = {"papers": "pmid", "failed_dois": "doi", "query_cache": "query_hash", "rejects": "digest"}
 #: Of rows with one key in one batch the last by this column stays.
-ORDER = {"papers": "collection_date", "failed_dois": "timestamp", "query_cache": "cached_date"}
+ORDER = {"papers": "collection_date", "failed_dois": "timestamp", "query_cache": "cached_date", "rejects": "timestamp"}
+#: Columns with bloom filters, beside a table's key.
+LOOKED_UP = {"papers": ("doi",), "failed_dois": ("pmid",)}
 BUCKETS = 32
 
 
@@ -63,7 +72,7 @@ class CorpusStore:
         """The folder of each bucket of a snapshot; buckets without rows have none."""
         if not version:
             return {}
-        return {int(k): path for k, path in self._lines(table, version) if k != "buckets"}
+        return {int(k): path for k, path in self._lines(table, version) if k.isdigit()}
 
     def _lines(self, table: str, version: int) -> list[tuple[str, str]]:
         rows = self.spark.read.text(f"{self.base}/{table}/commits/{version}").collect()
@@ -75,10 +84,24 @@ class CorpusStore:
         told = dict(self._lines(table, version)).get("buckets") if version else None
         return int(told) if told else self.buckets
 
-    def _commit(self, table: str, version: int, manifest: dict[int, str], buckets: int) -> None:
+    def marked(self, table: str, mark: str | None) -> int | None:
+        """The snapshot that the write of this mark committed, if there is one."""
+        if mark is None or not self.versions(table):
+            return None
+        lines = self.spark.read.text(f"{self.base}/{table}/commits").select("value", "_metadata.file_name")
+        hit = lines.filter(F.col("value") == f"mark {mark}").agg(F.max(F.col("file_name").cast("int"))).first()
+        return hit[0]
+
+    def _commit(
+        self, table: str, version: int, manifest: dict[int, str], buckets: int | None = None, mark: str | None = None
+    ) -> None:
+        buckets = self.buckets if buckets is None else buckets
+        if mark is not None and (mark != mark.strip() or "\n" in mark):
+            raise ValueError("a mark is one line without blanks at its ends")
         p, fs = self._fs(f"{self.base}/{table}/commits/.{version}-{uuid.uuid4().hex}")
         out = fs.create(p, False)
         lines = [f"buckets {buckets}", *(f"{k} {v}" for k, v in sorted(manifest.items()))]
+        lines += [f"mark {mark}"] if mark is not None else []
         out.write(bytearray("\n".join(lines).encode()))
         out.close()
         to = self._path(f"{self.base}/{table}/commits/{version}")
@@ -106,9 +129,14 @@ class CorpusStore:
         """Write rows as buckets into a new folder: {bucket: folder}. Large buckets are spread over tasks, small ones not."""
         folder = f"data-{uuid.uuid4().hex[:12]}"
         rows = df.withColumn("_bucket", self._bucket(table, buckets))
-        rows.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(
-            f"{self.base}/{table}/{folder}"
-        )
+        rows = rows.hint("rebalance", "_bucket")
+        if table in KEYS:
+            rows = rows.sortWithinPartitions("_bucket", KEYS[table])
+        out = rows.write.mode("overwrite").partitionBy("_bucket")
+        for c in (KEYS.get(table), *LOOKED_UP.get(table, ())):
+            if c:
+                out = out.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        out.parquet(f"{self.base}/{table}/{folder}")
         p, fs = self._fs(f"{self.base}/{table}/{folder}")
         names = [s.getPath().getName() for s in fs.listStatus(p)]
         return {int(n.partition("=")[2]): f"{folder}/{n}" for n in names if n.startswith("_bucket=")}
@@ -133,11 +161,14 @@ class CorpusStore:
 
     # Mutations
 
-    def upsert(self, table: str, rows: DataFrame) -> int:
+    def upsert(self, table: str, rows: DataFrame, mark: str | None = None, fresh: bool = False) -> int:
         """Whole rows by the table's key; what comes now replaces what is there; rows without key are refused.
 
-        Only buckets that the new keys fall into are read and written again.
+        Only buckets that the new keys fall into are read and written again. Under a mark that is there already
+        nothing is done; ``fresh`` says that the caller knows it not to be there.
         """
+        if not fresh and (done := self.marked(table, mark)) is not None:
+            return done
         key, kinds = KEYS[table], schema.T.StructType.fromDDL(TABLES[table])
         known = {c.lower() for c in rows.columns}
         cast = lambda f: (F.col(f.name) if f.name.lower() in known else F.lit(None)).cast(f.dataType)
@@ -160,11 +191,15 @@ class CorpusStore:
             touched,
             old.join(new.select(key), key, "left_anti").select(*new.columns).unionByName(new),
             n,
+            mark,
         )
 
-    def _replace(self, table: str, v: int, manifest: dict[int, str], touched: set[int], rows: DataFrame, n: int) -> int:
+    def _replace(
+        self, table: str, v: int, manifest: dict[int, str], touched: set[int], rows: DataFrame, n: int,
+        mark: str | None = None,
+    ) -> int:
         kept = {k: p for k, p in manifest.items() if k not in touched}
-        self._commit(table, v, kept | self._put(table, rows, n) if touched else kept, n)
+        self._commit(table, v, kept | self._put(table, rows, n) if touched else kept, n, mark)
         return v
 
     def delete(self, table: str, keys: DataFrame) -> int:
@@ -178,14 +213,20 @@ class CorpusStore:
         old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
         return self._replace(table, v, manifest, touched, old.join(keys.select(key), key, "left_anti"), n)
 
-    def append(self, table: str, rows: DataFrame) -> int:
-        """Rows with the next ids, in the order of their columns; for tables with an id."""
-        old = self.read(table)
+    def append(self, table: str, rows: DataFrame, mark: str | None = None) -> int:
+        """Rows with the next ids, in the order of their columns; for tables with an id. Gives the first of these ids. Under
+        a mark that is there already nothing is appended, and the ids are those given then."""
+        if (done := self.marked(table, mark)) is not None:
+            before = self.read(table, done - 1) if done > 1 else self.read(table, done).limit(0)
+            return before.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0] + 1
+        v = self.version(table) + 1
+        old = self.read(table, v - 1)
         last = old.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
         # A run or a query is a row or a few: their numbering in one task is bounded by what a user enters at once.
         order = W.Window.orderBy(*rows.columns)
         new = rows.withColumn("id", (F.row_number().over(order) + last).cast("long"))
-        self.write(table, old.unionByName(new.select(*old.columns)))
+        n = self.buckets_of(table, v - 1)
+        self._commit(table, v, self._put(table, old.unionByName(new.select(*old.columns)), n), n, mark)
         return last + 1
 
     # Lookups
@@ -194,7 +235,14 @@ class CorpusStore:
         return ids.filter(filled(F.col(by))).join(self.read("papers").select(by), by, "left_semi")
 
     def paper(self, value: str, by: str = "pmid") -> DataFrame:
-        return self.read("papers").filter(F.col(by) == value).orderBy("pmid").limit(1)
+        """The paper of a pmid, which is in one bucket, or the first of a DOI, by the files' bloom filters."""
+        v = self.version("papers")
+        manifest = self.manifest("papers", v)
+        if by == KEYS["papers"]:
+            asked = self.spark.range(1).select(F.lit(value).alias(by))
+            place = asked.select(self._bucket("papers", self.buckets_of("papers", v))).first()[0]
+            manifest = {k: p for k, p in manifest.items() if k == place}
+        return self._rows("papers", sorted(manifest.values())).filter(F.col(by) == value).orderBy("pmid").limit(1)
 
     def with_full_text(self, flag: bool = True) -> DataFrame:
         return self.read("papers").filter(F.col("is_full_text_pmc") == flag)

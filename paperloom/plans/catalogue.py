@@ -73,6 +73,28 @@ paper_query("dedup_merge", f""", {RECENT} SELECT max(CASE WHEN rn = 1 THEN pmid
   cited_by_count, bool_or(is_full_text_pmc) AS is_full_text_pmc FROM ranked GROUP BY doi
   UNION ALL SELECT pmid, doi, title, abstract, year, cited_by_count, is_full_text_pmc FROM papers WHERE
   coalesce(doi, '') = ''""")(lambda p: dedup.merge_groups(p).select("pmid", "doi", "title", "abstract", "year", "cited_by_count", "is_full_text_pmc"))
+HOT_DOI = "CASE WHEN doi IS NOT NULL AND CAST(pmid AS BIGINT) % 3 = 0 THEN '10.5555/hot' ELSE doi END"
+HOT = f", hot AS (SELECT * REPLACE ({HOT_DOI} AS doi) FROM papers)"
+
+
+def _hot(p: DataFrame) -> DataFrame:
+    """Papers of which a third share a DOI."""
+    return p.withColumn("doi", F.expr(HOT_DOI))
+
+
+paper_query("dedup_hot_plan", f"""{HOT}, {FULL.replace("FROM papers", "FROM hot")} SELECT doi, pmid, CASE WHEN rn = 1
+  THEN 'keep' ELSE 'delete' END AS action FROM ranked WHERE n > 1""")(lambda p: dedup.plan(_hot(p), True))
+paper_query("dedup_hot_keep", f"""{HOT}, {RECENT.replace("FROM papers", "FROM hot")} SELECT pmid, doi FROM ranked
+  WHERE rn = 1 UNION ALL SELECT pmid, doi FROM hot WHERE coalesce(doi, '') = ''""")(
+    lambda p: dedup.keep_one(_hot(p)).select("pmid", "doi")
+)
+paper_query("dedup_hot_merge", f"""{HOT}, {RECENT.replace("FROM papers", "FROM hot")} SELECT max(CASE WHEN rn = 1
+  THEN pmid END) AS pmid, doi, coalesce(arg_min(abstract, rn) FILTER (WHERE abstract <> ''), arg_min(abstract, rn)) AS
+  abstract, arg_min(full_text, rn) FILTER (WHERE full_text <> '') AS full_text, max(collection_date) AS collection_date
+  FROM ranked GROUP BY doi UNION ALL SELECT pmid, doi, abstract, full_text, collection_date FROM hot WHERE
+  coalesce(doi, '') = ''""")(
+    lambda p: dedup.merge_groups(_hot(p)).select("pmid", "doi", "abstract", "full_text", "collection_date")
+)
 paper_query(
     "dedup_export",
     """SELECT doi, count(*) AS n, string_agg(pmid, ',' ORDER BY pmid) AS pmids FROM papers WHERE doi IS NOT NULL

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom import shared
 from paperloom.functions.falsy import filled
 from paperloom.operators import corpus, fulltext, hits, pubmed
 from paperloom.operators.store import CorpusStore
@@ -28,28 +29,43 @@ def cached_search(store: CorpusStore, papers: DataFrame, query: str, max_results
 
 
 def collect(
-    store: CorpusStore, found: DataFrame, works: DataFrame, query: str, start: str, end: str, description: str = "", skip_existing: bool = False
-) -> DataFrame:
-    """Put the ``found`` papers into the store: new ones and those that need enrichment; gives the run's row."""
+    store: CorpusStore, found: DataFrame, works: DataFrame, query: str, start: str, end: str, description: str = "",
+    skip_existing: bool = False, run_id: str | None = None, rejects: DataFrame | None = None,
+) -> DataFrame:
+    """Put the ``found`` papers into the store: new ones and those that need enrichment; gives the run's row.
+
+    A run has five commits (its query, papers, DOIs without text, rejected records, its counts), each marked with
+    ``run_id``. A run that broke off is repeated under its id: commits that are there are passed over, and the counts are
+    those of the papers' snapshot that the run made, so the store is as if it had run once. Without an id each call is a
+    run of its own. ``rejects`` (as of ``pubmed.rejects``) are kept with the run's time and counted as failed_pubmed.
+    """
     spark = store.spark
     asked = spark.createDataFrame(
         [(query, description, start)], "query_text string, description string, created_date string"
     )
-    query_id = store.append("queries", asked)
-    state = corpus.classify(found.select(F.col("pmid").alias("id")), store.read("papers"), skip_existing)
-    chosen = state.filter("action <> 'skip'").select(F.col("id").alias("pmid"))
-    todo = found.join(chosen, "pmid", "left_semi")
-    rows = corpus.enrich(
-        todo.withColumn("query_id", F.lit(query_id).cast("long")).withColumn("collection_date", F.lit(start)), works
-    )
-    before = store.version("papers")
-    store.upsert("papers", rows)
-    written = store.read("papers").join(todo.select("pmid") if before == 0 else chosen, "pmid", "left_semi")
+    query_id = store.append("queries", asked, run_id)
+    snapshot = store.marked("papers", run_id)
+    if snapshot is None:
+        state = corpus.classify(found.select(F.col("pmid").alias("id")), store.read("papers"), skip_existing)
+        chosen = state.filter("action <> 'skip'").select(F.col("id").alias("pmid"))
+        todo = found.join(chosen, "pmid", "left_semi")
+        rows = corpus.enrich(
+            todo.withColumn("query_id", F.lit(query_id).cast("long")).withColumn("collection_date", F.lit(start)), works
+        )
+        snapshot = store.upsert("papers", rows, run_id, fresh=True)
+    # The run's papers: query ids are never given twice.
+    written = store.read("papers", snapshot).filter(F.col("query_id") == query_id)
     lacking = written.filter("not coalesce(is_full_text_pmc, false) and coalesce(doi, '') <> ''")
     store.upsert(
         "failed_dois",
         lacking.select("doi", "pmid", F.lit("no full text").alias("reason"), F.lit(end).alias("timestamp")),
+        run_id,
     )
+    failed = 0
+    if rejects is not None:
+        kept = rejects.withColumn("timestamp", F.lit(start))
+        store.upsert("rejects", kept, run_id)
+        failed = rejects.count()
     run = written.agg(
         F.count("*").alias("total_processed"), F.count_if("is_full_text_pmc").alias("with_full_text"),
         F.count_if("openalex_retrieved").alias("with_openalex"),
@@ -58,13 +74,48 @@ def collect(
         ).alias("failed_openalex"),
     )
     told = {
-        "query": F.lit(query), "total_found": F.lit(found.count()).cast("long"), "failed_pubmed": F.lit(0).cast("long"),
+        "query": F.lit(query), "total_found": F.lit(found.count()).cast("long"), "failed_pubmed": F.lit(failed).cast("long"),
         "without_full_text": F.col(
             "total_processed"
         ) - F.col("with_full_text"), "start_time": F.lit(start), "end_time": F.lit(end),
     }
-    store.append("collection_runs", run.withColumns(told))
-    return store.read("collection_runs").filter(F.col("query") == query).orderBy(F.desc("id")).limit(1)
+    number = store.append("collection_runs", run.withColumns(told), run_id)
+    return store.read("collection_runs").filter(F.col("id") == number)
+
+
+def collect_xml(
+    store: CorpusStore, xml: DataFrame, works: DataFrame, query: str, start: str, end: str, description: str = "",
+    skip_existing: bool = False, run_id: str | None = None,
+) -> DataFrame:
+    """``collect`` of bibliographic XML (xml): good records become papers, others go to the store's rejects with a reason.
+    Each record is parsed once."""
+    told = pubmed.checked(xml)
+    told = shared.written(store.spark, told, shared.folder(store.spark, "records"))
+    return collect(
+        store, pubmed.good(told), works, query, start, end, description, skip_existing, run_id, pubmed.bad(told)
+    )
+
+
+def retry_rejects(
+    store: CorpusStore, works: DataFrame, start: str, end: str, run_id: str | None = None, repaired: DataFrame | None = None
+) -> DataFrame:
+    """Read the store's rejects again, those of ``repaired`` (digest, record) with their new text; gives the run's row.
+
+    What can be read now is collected and leaves the rejects; the rest stays, with its reason and time brought up to date
+    and its digest kept, so that a record remains one row however often it fails.
+    """
+    old = store.read("rejects").select("digest", "record")
+    if repaired is not None:
+        new = repaired.groupBy("digest").agg(F.min("record").alias("_new"))
+        old = old.join(new, "digest", "left").select("digest", F.coalesce("_new", "record").alias("record"))
+    path = shared.folder(store.spark, "retry")
+    told = shared.written(store.spark, pubmed.checked(old, "record"), path)
+    mended = pubmed.good(told)
+    run = collect(
+        store, mended, works, "retry of rejects", start, end, run_id=run_id, rejects=pubmed.bad(told)
+    )
+    store.delete("rejects", told.filter("reason is null").select("digest"))
+    return run
 
 
 def batch_papers(
@@ -128,10 +179,10 @@ def one_paper(
 
 
 def collect_from_dois(
-    store: CorpusStore, dois: DataFrame, papers: DataFrame, works: DataFrame, start: str, end: str
+    store: CorpusStore, dois: DataFrame, papers: DataFrame, works: DataFrame, start: str, end: str, run_id: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(run, DOIs not found) of a list of DOIs looked up in ``papers``."""
     found, missed = corpus.doi_lookup(dois, papers)
     return collect(
-        store, papers.join(found.select("pmid").distinct(), "pmid", "left_semi"), works, "DOI list", start, end
+        store, papers.join(found.select("pmid").distinct(), "pmid", "left_semi"), works, "DOI list", start, end, run_id=run_id
     ), missed

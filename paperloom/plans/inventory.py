@@ -177,6 +177,29 @@ query("pubmed_union", f""", a AS ({ARTICLES}), b AS ({BOOKS}) SELECT pmid, journ
 )
 
 
+# Records that can't be read: a seventh each cut short, without an id, or no XML at all
+
+
+def mixed_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(xml) of all articles, of which three in seven can't be read."""
+    i, xml = number(), F.col("xml")
+    broken = F.when(i % 7 == 1, F.substring(xml, F.lit(1), F.floor(F.length(xml) / 2).cast("int"))).when(
+        i % 7 == 2, F.regexp_replace(xml, "<PMID[^>]*>[^<]*</PMID>", "")
+    ).when(i % 7 == 3, F.concat(F.lit("moved to "), "pmid")).otherwise(xml)
+    return article_xml(spark, sf_dir).select(broken.alias("xml"))
+
+
+REJECTS = """SELECT CASE WHEN doc_id % 7 = 1 THEN CAST(doc_id AS VARCHAR) END AS pmid, CASE WHEN doc_id % 7 = 3 THEN
+  'no record' ELSE 'article' END AS kind, CASE doc_id % 7 WHEN 1 THEN 'malformed' WHEN 2 THEN 'no id' ELSE 'no record'
+  END AS reason FROM documents WHERE doc_id % 7 IN (1, 2, 3)"""
+query("pubmed_rejects", f", r AS ({REJECTS}) SELECT * FROM r")(
+    lambda s, d: pubmed.bad(pubmed.checked(mixed_xml(s, d))).select("pmid", "kind", "reason")
+)
+query("pubmed_checked", f", a AS ({ARTICLES}) SELECT * FROM a WHERE {NUMBER} % 7 NOT IN (1, 2, 3)")(
+    lambda s, d: told_articles(pubmed.good(pubmed.checked(mixed_xml(s, d))))
+)
+
+
 # Article XML
 
 
@@ -973,6 +996,48 @@ def _bare(s: SparkSession, d: str) -> DataFrame:
     return views.papers(s, d).withColumns(none)
 
 
+query("collection_repeated", f"""SELECT 1 AS id, 'aging' AS query, {COUNTS}, 1 AS runs, 1 AS queries, 1 AS snapshots FROM
+  papers""")(lambda s, d: _repeated_run(s, d))
+
+
+def _repeated_run(s: SparkSession, d: str) -> DataFrame:
+    """A run that broke off behind its query and its papers, and is repeated twice under its id."""
+    store, p, w, when = new_store(s), _bare(s, d), views.works(s, d), "2024-01-01T00:00:00"
+    run = lambda: collect.collect(store, p, w, "aging", when, "2024-01-01T00:01:00", run_id="run-1")
+    asked = s.createDataFrame([("aging", "", when)], "query_text string, description string, created_date string")
+    number_ = store.append("queries", asked, "run-1")
+    dated = corpus.enrich(p.withColumns({"query_id": F.lit(number_).cast("long"), "collection_date": F.lit(when)}), w)
+    store.upsert("papers", dated, "run-1")
+    run()
+    told = {"runs": "collection_runs", "queries": "queries"}
+    counts = {n: F.lit(len(store.versions(t))) for n, t in told.items()} | {"snapshots": F.lit(len(store.versions("papers")))}
+    return run().select("id", "query", "total_processed", "with_full_text").withColumns(counts)
+
+
+query("collection_rejects", """SELECT count(*) FILTER (WHERE doc_id % 7 NOT IN (1, 2, 3)) AS total_processed, count(*)
+  FILTER (WHERE doc_id % 7 NOT IN (1, 2, 3)) AS total_found, count(*) FILTER (WHERE doc_id % 7 IN (1, 2, 3)) AS
+  failed_pubmed FROM documents""")(
+    lambda s, d: collect.collect_xml(
+        new_store(s), mixed_xml(s, d), views.works(s, d), "aging", "2024-01-01T00:00:00", "2024-01-01T00:01:00"
+    ).select("total_processed", "total_found", "failed_pubmed")
+)
+query("rejects_retried", f""", r AS ({REJECTS}) SELECT pmid, 'paper' AS state FROM (SELECT CAST(doc_id AS VARCHAR) AS
+  pmid FROM documents WHERE doc_id % 7 NOT IN (2, 3)) UNION ALL SELECT pmid, reason FROM r WHERE reason <>
+  'malformed'""")(lambda s, d: _retried(s, d))
+
+
+def _retried(s: SparkSession, d: str) -> DataFrame:
+    """All records are collected, then the ones that were cut short come whole."""
+    store, works = new_store(s), views.works(s, d)
+    collect.collect_xml(store, mixed_xml(s, d), works, "aging", "2024-01-01T00:00:00", "2024-01-01T00:01:00")
+    whole = store.read("rejects").filter("reason = 'malformed'").select("digest", "pmid").join(article_xml(s, d), "pmid")
+    collect.retry_rejects(
+        store, works, "2024-01-02T00:00:00", "2024-01-02T00:01:00", repaired=whole.select("digest", F.col("xml").alias("record"))
+    )
+    papers = store.read("papers").select("pmid", F.lit("paper").alias("state"))
+    return papers.unionByName(store.read("rejects").select("pmid", F.col("reason").alias("state")))
+
+
 query("dois_run_missing", """SELECT 'no-' || pmid AS doi FROM papers WHERE CAST(pmid AS BIGINT) % 2 = 1 AND doi IS
   NOT NULL""")(
     lambda s, d: (

@@ -18,6 +18,8 @@ QUERIES_DDL = "id bigint, query_text string, description string, created_date st
 RUNS_DDL = """id bigint, query string, total_found bigint, total_processed bigint, with_full_text bigint,
 without_full_text bigint, with_openalex bigint, failed_pubmed bigint, failed_openalex bigint, start_time string, end_time string"""
 FAILED_DDL = "doi string, pmid string, reason string, timestamp string"
+#: Records that couldn't be read: what they were, why, and their text as it came.
+REJECTS_DDL = "digest string, pmid string, kind string, reason string, record string, timestamp string"
 CACHE_DDL = "query_hash string, query string, pmids array<string>, count int, max_results int, cached_date string"
 
 

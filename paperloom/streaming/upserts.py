@@ -9,10 +9,23 @@ from paperloom.operators.store import CorpusStore
 
 
 def upsert_stream(rows: DataFrame, store: CorpusStore, table: str, checkpoint: str, available_now: bool = True):
-    """Start the query that upserts a stream of rows into a table of the store. A repeated batch gives the same table."""
-    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, _: store.upsert(table, batch) if not batch.isEmpty() else None
-    )
+    """Start the query that upserts a stream of rows into a table of the store, each batch once.
+
+    A batch's commit carries its number and the stream's id, which is that of the checkpoint. Spark repeats at most the last
+    batch before a restart, so the first batch of a start is looked up among the marks; others are new. What another writer
+    has put since into a batch's keys is thus not overwritten by the repeat.
+    """
+    started = False
+
+    def put(batch: DataFrame, number: int) -> None:
+        nonlocal started
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        mark = f"{stream}/{number}"
+        if (started or store.marked(table, mark) is None) and not batch.isEmpty():
+            store.upsert(table, batch, mark, fresh=True)
+        started = True
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
