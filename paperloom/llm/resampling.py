@@ -7,7 +7,9 @@ of the scores into a draw without replacement, in proportion to the weights' exp
 
 Scoring is free of explodes: higher-order functions make a document's array of buckets, and an aggregate over
 ``element_at`` of a literal array of gains sums it up, so a document stays one row and nothing of it is shuffled. What
-shuffles are totals: at most ``BUCKETS`` rows a task, summed before. The draw takes the K best of all by ranges: scores
+shuffles are totals: at most ``BUCKETS`` rows a task, summed before. Words are found and hashed once: the arrays are
+written (about two bytes a word) for the totals and the weights, and go when the scores are written, from which the
+ranges are sampled and dealt. The draw takes the K best of all by ranges: scores
 are written in ranges of (score, id), each range is numbered apart, and its first number comes from the counts of the
 ranges before, so no task sees more than its range.
 
@@ -53,11 +55,16 @@ def buckets(found: Column, longest: int = 1, n_buckets: int = BUCKETS) -> Column
     return each[0] if len(each) == 1 else F.concat(*each)
 
 
-def totals(texts: DataFrame, longest: int = 1, n_buckets: int = BUCKETS) -> list[int]:
-    """How many n-grams of all texts each bucket holds. At most ``n_buckets`` rows leave each task or reach the driver."""
-    rows = texts.select(F.explode(buckets(words(common.text_of(texts)), longest, n_buckets)).alias("bucket"))
+def hashed(docs: DataFrame, longest: int = 1, n_buckets: int = BUCKETS) -> DataFrame:
+    """(doc_id, n_words, own): each document's array of buckets."""
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), words(common.text_of(docs)).alias("found"))
+    return rows.select("doc_id", F.size("found").cast("long").alias("n_words"), buckets(F.col("found"), longest, n_buckets).alias("own"))
+
+
+def totals(own: DataFrame, n_buckets: int = BUCKETS) -> list[int]:
+    """How many n-grams of all arrays ``own`` each bucket holds. At most ``n_buckets`` rows leave each task or reach the driver."""
     out = [0] * n_buckets
-    for r in rows.groupBy("bucket").agg(F.count("*").alias("n")).collect():
+    for r in own.select(F.explode("own").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n")).collect():
         out[r["bucket"] - 1] = r["n"]
     return out
 
@@ -80,10 +87,8 @@ def noise(doc_id: Column, seed: int = SEED) -> Column:
     return F.floor(F.lit(-1000.0) * F.log(-F.log((h + 0.5) / 4294967296.0))).cast("long")
 
 
-def scored(docs: DataFrame, gain: list[int], longest: int = 1, seed: int = SEED) -> DataFrame:
-    """(doc_id, n_words, n_features, weight, score) of every row of ``docs``, by one pass without a shuffle."""
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), words(common.text_of(docs)).alias("found"))
-    rows = rows.select("doc_id", F.size("found").cast("long").alias("n_words"), buckets(F.col("found"), longest, len(gain)).alias("own"))
+def scored(rows: DataFrame, gain: list[int], seed: int = SEED) -> DataFrame:
+    """(doc_id, n_words, n_features, weight, score) of every row of ``hashed``, by one pass without a shuffle."""
     weight = F.aggregate("own", F.lit(0).cast("long"), lambda sum, b: sum + F.element_at(literal(gain), b))
     rows = rows.select("doc_id", "n_words", F.size("own").cast("long").alias("n_features"), weight.alias("weight"))
     return rows.withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
@@ -118,8 +123,12 @@ def scores(
     spark: SparkSession, docs: DataFrame, target: DataFrame, longest: int = 1, n_buckets: int = BUCKETS, percent: int = PERCENT
 ) -> DataFrame:
     """(doc_id, n_words, n_features, weight, score, rank) of every row of ``docs`` by its likeness to ``target`` (text)."""
-    gain = gains(totals(docs, longest, n_buckets), totals(target, longest, n_buckets))
-    return drawn(spark, scored(docs, gain, longest), percent)
+    work = common.work_dir(spark, "resampling")
+    rows = common.cut(spark, hashed(docs, longest, n_buckets), f"{work}/buckets")
+    wanted = target.select(buckets(words(common.text_of(target)), longest, n_buckets).alias("own"))
+    told = common.cut(spark, scored(rows, gains(totals(rows, n_buckets), totals(wanted, n_buckets))), f"{work}/scores")
+    common.drop(spark, f"{work}/buckets")
+    return drawn(spark, told, percent)
 
 
 def resampled(spark: SparkSession, docs: DataFrame, target: DataFrame, percent: int = PERCENT) -> DataFrame:
