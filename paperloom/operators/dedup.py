@@ -53,31 +53,44 @@ def merge_groups(papers: DataFrame) -> DataFrame:
     """Each group's most recent row, its falsy values filled from the next rows in order. Lists count as stored text, so
     an empty list is a value. Rows without DOI pass.
 
-    As in ``firsts`` in two aggregates: the first value of each date by pmid, then of each DOI by date.
+    Which row gives which value is found on flags alone, as in ``firsts`` in two aggregates, by date and by DOI. Then only
+    rows that give a value are fetched, by pmid: a group, however large, has at most one for each column, and rows that
+    are alone with their DOI pass as they are.
     """
     other = [f for f in papers.schema if f.name not in ("pmid", "doi", "collection_date")]
 
     def good(f: T.StructField):
         c = F.col(f.name)
-        return c.isNotNull() if isinstance(f.dataType, (T.ArrayType, T.StructType)) else truthy(c, f.dataType)
-
-    row, date = F.struct("pmid"), F.struct(F.col("_date").alias("d"))
-    values = {f"v{k}": F.min_by(f.name, F.when(good(f), row)) for k, f in enumerate(other)}
-    firsts_ = {f"w{k}": F.min_by(f.name, row) for k, f in enumerate(other)}
-    found = {f"g{k}": F.max(F.coalesce(good(f), F.lit(False))) for k, f in enumerate(other)}
-    by_date = with_doi(papers).withColumn("_date", F.col("collection_date")).groupBy("doi", "_date").agg(
-        F.min(row).alias("p"), *(c.alias(n) for n, c in (values | firsts_ | found).items())
-    )
-
-    def pick(k: int, f: T.StructField):
-        return F.coalesce(F.max_by(f"v{k}", F.when(F.col(f"g{k}"), date)), F.max_by(f"w{k}", date)).alias(f.name)
+        full = c.isNotNull() if isinstance(f.dataType, (T.ArrayType, T.StructType)) else truthy(c, f.dataType)
+        return F.coalesce(full, F.lit(False))
 
-    merged = by_date.groupBy("doi").agg(
-        F.max_by("p", date)["pmid"].alias("pmid"),
-        F.max(date)["d"].alias("collection_date"),
-        *(pick(k, f) for k, f in enumerate(other)),
+    flags = with_doi(papers).select(
+        "doi", F.col("collection_date").alias("d"), F.struct("pmid").alias("row"),
+        *(good(f).alias(f"g{k}") for k, f in enumerate(other)),
+    )
+    by_date = flags.groupBy("doi", "d").agg(
+        F.count("*").alias("n"), F.min("row").alias("row"),
+        *(F.min(F.when(F.col(f"g{k}"), F.col("row"))).alias(f"g{k}") for k in range(len(other))),
+    )
+    date = F.struct("d")
+    # Where no row of a group has a value, its first row's stands.
+    first = F.max_by("row", date)
+    giver = lambda k: F.coalesce(F.max_by(f"g{k}", F.when(F.col(f"g{k}").isNotNull(), date)), first)
+    groups_ = by_date.groupBy("doi").agg(
+        F.sum("n").alias("_n"), first.alias("_first"), F.array(*(giver(k) for k in range(len(other)))).alias("_givers")
+    )
+    asked = groups_.select("_n", "_first", "_givers", F.explode(F.array_distinct(F.concat(F.array("_first"), "_givers"))).alias("_giver"))
+    rows = with_doi(papers).join(asked, F.col("pmid").eqNullSafe(F.col("_giver.pmid")))
+    alone = rows.filter("_n = 1").select(*papers.columns)
+    # A value in an array of its own: a null that a row gives differs from the rows that don't give it.
+    given = lambda k, f: F.when(F.get("_givers", F.lit(k)) == F.col("_giver"), F.array(f.name))
+    is_first = F.col("_giver") == F.col("_first")
+    merged = rows.filter("_n > 1").groupBy("doi").agg(
+        F.max("_first")["pmid"].alias("pmid"),
+        F.max(F.when(is_first, F.col("collection_date"))).alias("collection_date"),
+        *(F.get(F.first(given(k, f), ignorenulls=True), F.lit(0)).alias(f.name) for k, f in enumerate(other)),
     )
-    return merged.select(*papers.columns).unionByName(papers.filter(~filled(F.col("doi"))))
+    return merged.select(*papers.columns).unionByName(alone).unionByName(papers.filter(~filled(F.col("doi"))))
 
 
 def report(papers: DataFrame) -> DataFrame:
