@@ -154,7 +154,7 @@ def checked(xml: DataFrame, column: str = "xml") -> DataFrame:
 
     ``reason`` is null for a record that is a paper. Else it is "empty" (null or blank), "no record" (neither article nor
     book), "malformed" (not well-formed, also when cut short) or "no id". ``digest`` is the SHA-256 of the record, or the
-    rows' own where they have a column of that name. A record that holds an article and a book counts as an article.
+    rows' own where they have a column of that name; ``record`` is kept of those only that are no papers. A record that holds an article and a book counts as an article.
     """
     text = F.col(column)
     blank = ~filled(wstrip(F.coalesce(text, F.lit(""))))
@@ -173,7 +173,8 @@ def checked(xml: DataFrame, column: str = "xml") -> DataFrame:
 
     rest = rows.filter(F.col("kind").isin("empty", "no record")).withColumn("reason", F.col("kind"))
     out = branch("article", ARTICLE, _articles).unionByName(branch("book", BOOK, _books), allowMissingColumns=True)
-    return out.unionByName(rest, allowMissingColumns=True)
+    out = out.unionByName(rest, allowMissingColumns=True)
+    return out.withColumn("record", F.when(F.col("reason").isNotNull(), F.col("record")))
 
 
 def good(told: DataFrame) -> DataFrame:

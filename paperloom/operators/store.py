@@ -179,20 +179,16 @@ class CorpusStore:
             new.limit(0).withColumn("_rank", rank), new.withColumn("_rank", rank), key, "_rank"
         ).drop("_rank")
         # Written once: what comes may be a long plan, and is read for its buckets, its keys and its rows.
-        new = shared.written(self.spark, new, shared.folder(self.spark, f"upsert-{table}"))
+        path = shared.folder(self.spark, f"upsert-{table}")
+        new = shared.written(self.spark, new, path)
         v = self.version(table) + 1
         manifest, n = self.manifest(table, v - 1), self.buckets_of(table, v - 1)
         touched = {r[0] for r in new.select(self._bucket(table, n)).distinct().collect()}
         old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
-        return self._replace(
-            table,
-            v,
-            manifest,
-            touched,
-            old.join(new.select(key), key, "left_anti").select(*new.columns).unionByName(new),
-            n,
-            mark,
-        )
+        rows = old.join(new.select(key), key, "left_anti").select(*new.columns).unionByName(new)
+        self._replace(table, v, manifest, touched, rows, n, mark)
+        shared.drop(self.spark, path)
+        return v
 
     def _replace(
         self, table: str, v: int, manifest: dict[int, str], touched: set[int], rows: DataFrame, n: int,

@@ -90,10 +90,13 @@ def collect_xml(
     """``collect`` of bibliographic XML (xml): good records become papers, others go to the store's rejects with a reason.
     Each record is parsed once."""
     told = pubmed.checked(xml)
-    told = shared.written(store.spark, told, shared.folder(store.spark, "records"))
-    return collect(
+    path = shared.folder(store.spark, "records")
+    told = shared.written(store.spark, told, path)
+    run = collect(
         store, pubmed.good(told), works, query, start, end, description, skip_existing, run_id, pubmed.bad(told)
     )
+    shared.drop(store.spark, path)
+    return run
 
 
 def retry_rejects(
@@ -115,6 +118,7 @@ def retry_rejects(
         store, mended, works, "retry of rejects", start, end, run_id=run_id, rejects=pubmed.bad(told)
     )
     store.delete("rejects", told.filter("reason is null").select("digest"))
+    shared.drop(store.spark, path)
     return run
 
 

@@ -28,3 +28,9 @@ def written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """``df`` as a Parquet table: every later read sees the same rows."""
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a work folder that no plan reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
