@@ -295,3 +295,40 @@ def test_a_stream_that_is_stopped_and_started_again_gives_each_id_once(spark, tm
     assert run.__name__ and sorted(updates_table(spark, table, 10) - early) == run()
     assert run() == sorted(updates_table(spark, table, 10) - early)
     assert sorted(updates_table(spark, table, 28) - early) == run()
+
+
+def test_a_client_over_a_table_holds_no_rows(tmp_path):
+    """Counts and pages over several files are those of a loop over all rows, and a client's memory is a batch's."""
+    import re
+    import tracemalloc
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    dates = (None, "2024", "2023-03", "2024-03-05", "2024-03-06", "2022-12-31")
+    rows = [(f"p{k}", None if k % 9 == 0 else f"Ünder{k % 4} {'the' if k % 2 else 'éthe a_the'} x{k}" + " word" * 20, dates[k % 6]) for k in range(60_000)]
+    for k in range(3):
+        part = pa.table(dict(zip(("pmid", "title", "date_published"), map(list, zip(*rows[k::3])))))
+        pq.write_table(part, tmp_path / f"part-{k}.parquet", row_group_size=5_000)
+    tracemalloc.start()
+    client = offline.Papers(f"file://{tmp_path}")
+    word = lambda title, w: re.search(rf"(^|[^\w]){w}", (title or "").lower()) is not None
+    day = lambda d: (d or "").startswith("2024-03-05")
+    cases = {
+        "q": lambda t, d: True,
+        "(q) AND 2024[pdat]": lambda t, d: (d or "").startswith("2024"),
+        "(q) NOT 2023:2024[pdat]": lambda t, d: not "2023" <= (d or "") <= "2024~",
+        "((q) AND 2024[pdat]) NOT 2024/01:2024/12[pdat]": lambda t, d: d == "2024",
+        "(((q) AND 2024/03/05[pdat]) NOT t*[ti]) AND x1*[ti]": lambda t, d: day(d) and not word(t, "t") and word(t, "x1"),
+        "((q) AND 2024/03/05[pdat]) NOT ü*[ti]": lambda t, d: day(d) and not word(t, "ü"),
+    }
+    counts = {q: client.count(q) for q in cases}
+    assert client.latest() == "2024/03/06"
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 << 20
+    for query, holds in cases.items():
+        wanted = sorted(p for p, t, d in rows if holds(t, d))
+        size = max(1, len(wanted) // 3)
+        pages = [client.page(query, s, size) for s in range(0, len(wanted), size)]
+        assert counts[query] == len(wanted) and sorted(x for page in pages for x in page) == wanted, query
