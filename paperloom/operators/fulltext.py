@@ -7,10 +7,12 @@ can be decided before parsing (which rows, which columns) is, so only needed pag
 from __future__ import annotations
 
 import bisect
+from collections.abc import Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from paperloom.functions.validity import has_meaningful_content
 
 #: Least lengths of paragraphs, of a body, of front or back matter, of a whole article and of a page.
 PARAGRAPH, BODY, MATTER, ARTICLE, PAGE, HEADING = 30, 100, 100, 200, 500, 200
+#: Pages that a task parses before it passes their texts on.
+PAGES = 64
 #: Sections nested deeper than this are headed and named like one at this depth.
 DEPTH = 100
 JATS = f"full_text string, sections {SECTIONS}, has_body boolean, abstract string"
@@ -320,12 +324,19 @@ def article_extras(articles: DataFrame, column: str = "xml") -> DataFrame:
     return articles.withColumn("_extra", parsed(F.col(column))).select(*articles.columns, "_extra.*")
 
 
+def page_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Parsed pages, a few at a time: only these are Python strings, beside the batch that Arrow holds."""
+    for b in batches:
+        for k in range(0, len(b), PAGES):
+            yield pa.array([parse_html(x) for x in b.slice(k, PAGES).to_pylist()], pa.string())
+
+
 def pages(df: DataFrame, column: str = "html", out: str = "page_text") -> DataFrame:
     """``df`` with the cleaned text of each HTML page."""
 
-    @F.pandas_udf("string")
-    def parsed(page: pd.Series) -> pd.Series:
-        return page.map(parse_html).astype(object).where(lambda s: s.notna(), None)
+    @F.arrow_udf("string")
+    def parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return page_texts(batches)
 
     return df.withColumn(out, clean_comprehensive(parsed(F.col(column))))
 

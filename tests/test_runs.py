@@ -332,3 +332,15 @@ def test_a_client_over_a_table_holds_no_rows(tmp_path):
         size = max(1, len(wanted) // 3)
         pages = [client.page(query, s, size) for s in range(0, len(wanted), size)]
         assert counts[query] == len(wanted) and sorted(x for page in pages for x in page) == wanted, query
+
+
+def test_pages_are_parsed_a_few_at_a_time(spark):
+    import pyarrow as pa
+
+    text = "A sentence that is certainly long enough to stay in it. " * 12
+    html = [None if k % 50 == 0 else f"<article><p>{k} {text}</p></article>" if k % 3 else "<p>short</p>" for k in range(1_000)]
+    parts = list(fulltext.page_texts(iter([pa.array(html, pa.string()), pa.array([], pa.string())])))
+    assert max(map(len, parts)) <= fulltext.PAGES < 100 and [x for p in parts for x in p.to_pylist()] == [fulltext.parse_html(x) for x in html]
+    df = spark.createDataFrame(list(enumerate(html)), "id int, html string").coalesce(1)
+    got = {r["id"]: r["page_text"] for r in fulltext.pages(df).collect()}
+    assert len(got) == 1_000 and all((got[k] or "").startswith(f"{k} A sentence") == bool(k % 3 and k % 50) for k in got)
