@@ -125,14 +125,15 @@ class CorpusStore:
     def _bucket(self, table: str, buckets: int) -> Column:
         return F.pmod(F.xxhash64(KEYS[table]), F.lit(buckets)).cast("int") if table in KEYS else F.lit(0)
 
-    def _put(self, table: str, df: DataFrame, buckets: int) -> dict[int, str]:
-        """Write rows as buckets into a new folder: {bucket: folder}. Large buckets are spread over tasks, small ones not."""
+    def _put(self, table: str, df: DataFrame, buckets: int, dealt: bool = False) -> dict[int, str]:
+        """Write rows as buckets into a new folder: {bucket: folder}. Large buckets are spread over tasks, small ones not.
+        ``dealt``: the rows are, and have their column _bucket."""
         folder = f"data-{uuid.uuid4().hex[:12]}"
-        rows = df.withColumn("_bucket", self._bucket(table, buckets))
-        rows = rows.hint("rebalance", "_bucket")
+        rows = df if dealt else df.withColumn("_bucket", self._bucket(table, buckets)).hint("rebalance", "_bucket")
         if table in KEYS:
             rows = rows.sortWithinPartitions("_bucket", KEYS[table])
-        out = rows.write.mode("overwrite").partitionBy("_bucket")
+        # A filter is as large as its file's values need: a bucket has several files.
+        out = rows.write.mode("overwrite").partitionBy("_bucket").option("parquet.bloom.filter.adaptive.enabled", "true")
         for c in (KEYS.get(table), *LOOKED_UP.get(table, ())):
             if c:
                 out = out.option(f"parquet.bloom.filter.enabled#{c}", "true")
@@ -172,42 +173,56 @@ class CorpusStore:
         key, kinds = KEYS[table], schema.T.StructType.fromDDL(TABLES[table])
         known = {c.lower() for c in rows.columns}
         cast = lambda f: (F.col(f.name) if f.name.lower() in known else F.lit(None)).cast(f.dataType)
-        new = rows.select(*(cast(f).alias(f.name) for f in kinds))
-        others = [f.name for f in kinds if f.name != key]
-        rank = F.struct(F.col(ORDER[table]), F.xxhash64(*others))
-        new = corpus.upsert(
-            new.limit(0).withColumn("_rank", rank), new.withColumn("_rank", rank), key, "_rank"
-        ).drop("_rank")
-        # Written once: what comes may be a long plan, and is read for its buckets, its keys and its rows.
-        path = shared.folder(self.spark, f"upsert-{table}")
-        new = shared.written(self.spark, new, path)
+        new = rows.select(*(cast(f).alias(f.name) for f in kinds)).filter(F.col(key).isNotNull())
         v = self.version(table) + 1
         manifest, n = self.manifest(table, v - 1), self.buckets_of(table, v - 1)
+        if not manifest:
+            self._commit(table, v, self._put(table, self._last(table, new, None, n), n, dealt=True), n, mark)
+            return v
+        # Written once: what comes may be a long plan, and is read for its buckets and its rows.
+        path = shared.folder(self.spark, f"upsert-{table}")
+        new = shared.written(self.spark, new, path)
         touched = {r[0] for r in new.select(self._bucket(table, n)).distinct().collect()}
         old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
-        rows = old.join(new.select(key), key, "left_anti").select(*new.columns).unionByName(new)
-        self._replace(table, v, manifest, touched, rows, n, mark)
+        self._replace(table, v, manifest, touched, self._last(table, new, old, n), n, mark)
         shared.drop(self.spark, path)
         return v
 
+    def _last(self, table: str, new: DataFrame, old: DataFrame | None, n: int, gone: bool = False) -> DataFrame:
+        """The last row of each key, those of ``new`` before those of ``old``; ``gone``: none of the keys of ``new``. Rows
+        move once, to parts of their buckets, where they are sorted by key; no row is joined or dealt again to be written."""
+        key = KEYS[table]
+        others = [c for c in new.columns if c != key]
+        rank = F.struct(F.lit(1).alias("come"), F.col(ORDER[table]).alias("at"), F.xxhash64(*others).alias("tie"))
+        rows = new.withColumn("_rank", rank)
+        if old is not None:
+            rank = F.struct(F.lit(0).alias("come"), F.col(ORDER[table]).alias("at"), F.lit(0).cast("long").alias("tie"))
+            rows = old.select(*new.columns).withColumn("_rank", rank).unionByName(rows)
+        # Several parts of buckets a task, so that tasks are about even and a bucket has a few files.
+        parts = -(-4 * int(self.spark.conf.get("spark.sql.shuffle.partitions")) // n)
+        dealt = rows.withColumns({"_bucket": self._bucket(table, n), "_part": F.pmod(F.hash(key), F.lit(parts))})
+        dealt = dealt.repartition("_bucket", "_part")
+        last = dealt.groupBy("_bucket", key, "_part").agg(F.max_by(F.struct("_rank", *others), "_rank").alias("r"))
+        last = last.filter("r._rank.come = 0") if gone else last
+        return last.select(*(F.col(c) if c == key else F.col(f"r.`{c}`").alias(c) for c in new.columns), "_bucket")
+
     def _replace(
         self, table: str, v: int, manifest: dict[int, str], touched: set[int], rows: DataFrame, n: int,
         mark: str | None = None,
     ) -> int:
         kept = {k: p for k, p in manifest.items() if k not in touched}
-        self._commit(table, v, kept | self._put(table, rows, n) if touched else kept, n, mark)
+        self._commit(table, v, kept | self._put(table, rows, n, dealt=True) if touched else kept, n, mark)
         return v
 
     def delete(self, table: str, keys: DataFrame) -> int:
         key, v = KEYS[table], self.version(table) + 1
         manifest, n = self.manifest(table, v - 1), self.buckets_of(table, v - 1)
-        touched = {
-            r[0] for r in keys.select(key).filter(
-                F.col(key).isNotNull()
-            ).select(self._bucket(table, n)).distinct().collect()
-        }
+        gone = keys.select(key).filter(F.col(key).isNotNull()).distinct()
+        touched = {r[0] for r in gone.select(self._bucket(table, n)).distinct().collect()}
         old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
-        return self._replace(table, v, manifest, touched, old.join(keys.select(key), key, "left_anti"), n)
+        none = {f.name: F.lit(None).cast(f.dataType) for f in old.schema if f.name != key}
+        gone = gone.withColumn(key, F.col(key).cast(old.schema[key].dataType)).withColumns(none).select(*old.columns)
+        return self._replace(table, v, manifest, touched, self._last(table, gone, old, n, gone=True), n)
 
     def append(self, table: str, rows: DataFrame, mark: str | None = None) -> int:
         """Rows with the next ids, in the order of their columns; for tables with an id. Gives the first of these ids. Under

@@ -344,3 +344,21 @@ def test_pages_are_parsed_a_few_at_a_time(spark):
     df = spark.createDataFrame(list(enumerate(html)), "id int, html string").coalesce(1)
     got = {r["id"]: r["page_text"] for r in fulltext.pages(df).collect()}
     assert len(got) == 1_000 and all((got[k] or "").startswith(f"{k} A sentence") == bool(k % 3 and k % 50) for k in got)
+
+
+def test_upserts_and_deletes_move_rows_once(spark, tmp_path):
+    """Batches with repeated and null keys against a dictionary; whole rows pass one exchange, and none is joined."""
+    rng = random.Random(8)
+    store, held = CorpusStore(spark, f"file://{tmp_path}/s", buckets=3), {}
+    for turn in range(3):
+        rows = [(rng.choice([None, *(str(k) for k in range(40))]), f"t{turn}-{k}", f"20{k:02d}") for k in range(30)]
+        store.upsert("papers", paper(spark, *rows).repartition(3))
+        held |= {k: t for k, t, _ in rows if k is not None}
+        gone = [str(rng.randrange(60)) for _ in range(5)]
+        store.delete("papers", spark.createDataFrame([(k,) for k in [*gone, *gone, None]], "pmid string"))
+        held = {k: t for k, t in held.items() if k not in gone}
+        assert sorted((r["pmid"], r["title"]) for r in store.read("papers").collect()) == sorted(held.items())
+    old = store.read("papers")
+    for before in (None, old):
+        plan = store._last("papers", old, before, 3)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Join" not in plan
