@@ -23,6 +23,7 @@ indexed; of papers of one pmid one row each is indexed.
 from __future__ import annotations
 
 import math
+from itertools import accumulate, chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,24 +54,43 @@ def streams(papers: DataFrame) -> DataFrame:
     def run(batches):
         import re
 
-        find = re.compile(r"[^\W_]+").findall
+        find, fold = re.compile(r"[^\W_]+").findall, {}
+
+        def made(out):
+            terms, pmids, sizes, places, *ends = out
+            offsets = pa.array(list(accumulate(sizes, initial=0)), pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(places, pa.int32()))
+            columns = [pa.array(terms, pa.string()), pa.array(pmids, pa.string()), lists, *(pa.array(c, pa.int32()) for c in ends)]
+            return pa.RecordBatch.from_arrays(columns, schema=schema)
+
         for b in batches:
             columns = [b.column(c).to_pylist() for c in ("pmid", "title", "abstract", "more")]
-            out: list = [[] for _ in kinds]
+            out: list = [[] for _ in range(7)]
             for pmid, *texts in zip(*columns):
                 at, ends, own = 0, [], {}
                 for text in texts:
                     for w in find(text or ""):
-                        own.setdefault(folded(w), []).append(at)
+                        if (term := fold.get(w)) is None:
+                            if len(fold) > 100_000:
+                                fold.clear()
+                            term = fold[w] = folded(w)
+                        if term in own:
+                            own[term].append(at)
+                        else:
+                            own[term] = [at]
                         at += 1
                     ends.append(at)
-                for term, places in own.items():
-                    for column, value in zip(out, (term, pmid, places, ends[0], ends[1], at)):
-                        column.append(value)
+                n = len(own)
+                out[0] += own
+                out[1] += [pmid] * n
+                out[2] += map(len, own.values())
+                out[3] += chain.from_iterable(own.values())
+                for column, value in zip(out[4:], (ends[0], ends[1], at)):
+                    column += [value] * n
                 if len(out[0]) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
-                    out = [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+                    yield made(out)
+                    out = [[] for _ in range(7)]
+            yield made(out)
 
     more = F.concat_ws(" ", F.array_join("mesh_terms", " "), F.array_join("authors", " "))
     rows = papers.filter("pmid is not null").select("pmid", "title", "abstract", more.alias("more"))
@@ -90,7 +110,9 @@ class TextIndex:
         index, parts = cls(spark, base), int(spark.conf.get("spark.sql.shuffle.partitions"))
         found = shared.written(spark, streams(papers.dropDuplicates(["pmid"])), f"{base}/streams")
         sizes = papers.filter("pmid is not null").select("pmid").distinct()
-        sizes = sizes.join(found.groupBy("pmid").agg(F.first("words").alias("words")), "pmid", "left").na.fill(0, ["words"])
+        sizes = sizes.join(found.groupBy("pmid").agg(F.max("words").alias("words")), "pmid", "left").na.fill(0, ["words"])
+        # Written: of all postings, and read for the totals and for the papers.
+        sizes = shared.written(spark, sizes, f"{base}/sizes")
         told = sizes.agg(F.count("*").alias("papers"), F.coalesce(F.avg("words"), F.lit(0.0)).alias("mean"))
         totals = shared.written(spark, told, f"{base}/totals").first()
         blocks = max(1, math.ceil(totals["papers"] / BLOCK_PAPERS))
@@ -125,8 +147,13 @@ class TextIndex:
         inside = lambda s: (s >= begin) & (F.lit(True) if STREAM[field][1] is None else s + len(words) <= end)
         rows = rows.select("pmid", "k", F.filter(starts, inside).alias("starts")).filter(F.size("starts") > 0)
         if len(words) > 1:
-            met = rows.select("pmid", "k", F.explode("starts").alias("start")).groupBy("pmid", "start").agg(F.count_distinct("k").alias("n"))
-            rows = met.filter(F.col("n") == len(words))
+            # Word by word: a paper's places so far with those of the next word. A place is never a row of its own.
+            met = rows.filter("k = 0").select("pmid", "starts")
+            for k in range(1, len(words)):
+                after = rows.filter(F.col("k") == k).select("pmid", F.col("starts").alias("_after"))
+                met = met.join(after, "pmid").select("pmid", F.array_intersect("starts", "_after").alias("starts"))
+                met = met.filter(F.size("starts") > 0)
+            rows = met
         return rows.select("pmid", F.lit(number).alias("leaf")).distinct()
 
     def search(self, papers: DataFrame, query: str) -> DataFrame:

@@ -97,3 +97,13 @@ def test_a_lookup_reads_its_terms_only(built):
 def test_empty_tables(spark, papers, tmp_path):
     own = TextIndex.build(papers.limit(0), f"file://{tmp_path}")
     assert own.search(papers.limit(0), "alpha").count() == 0 and own.best(["alpha"], 3).count() == 0
+
+
+def test_a_phrase_is_met_without_a_row_a_place(papers, built):
+    """Words that follow one another are met by papers: no place is a row, as the lists of frequent words are long."""
+    for text in ('"alpha beta"', '"beta al"*', '"alpha alpha"', '"beta gamma gamma a"'):
+        plan = built.leaf(0, text, "all")._jdf.queryExecution().optimizedPlan().toString()
+        assert "explode(starts" not in plan and "start#" not in plan, text
+    found = sorted(r["pmid"] for r in built.leaf(0, '"beta al"*', "all").collect())
+    want = sorted(r["pmid"] for r in papers.filter("pmid is not null").filter(predicate('"beta al"*', papers.columns)).collect())
+    assert found == want and found
