@@ -159,7 +159,8 @@ def collect_to_files(
     todo = found.dropDuplicates(["pmid"]) if seen is None else found.dropDuplicates(["pmid"]).join(
         seen.select("pmid"), "pmid", "left_anti"
     )
-    rows = corpus.enrich(todo, works)
+    # Written once: each artefact is a pass over the run's papers.
+    rows = shared.written(found.sparkSession, corpus.enrich(todo, works), shared.folder(found.sparkSession, "files-run"))
     files.write_runs(rows, path, query, description)
     return rows
 

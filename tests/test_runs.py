@@ -362,3 +362,15 @@ def test_upserts_and_deletes_move_rows_once(spark, tmp_path):
     for before in (None, old):
         plan = store._last("papers", old, before, 3)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_a_run_to_files_finds_its_papers_once(spark, tmp_path):
+    from paperloom.plans import collect
+
+    kind = "pmid string, doi string, cited_by_count bigint, citation_normalized_percentile double, fwci double, oa_url string, openalex_retrieved boolean, is_full_text_pmc boolean"
+    found = spark.createDataFrame([(str(k % 6), f"10.1/{k % 6}", 0, None, None, None, None, k % 2 == 0) for k in range(12)], kind)
+    works = spark.createDataFrame([("10.1/3", 9, None, None, None)], "doi string, cited_by_count bigint, percentile double, fwci double, oa_url string")
+    rows = collect.collect_to_files(found, works, f"file://{tmp_path}/run", "aging", seen=found.filter("pmid = '0'").select("pmid"))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    got = spark.read.schema("pmid string, cited_by_count bigint").json(f"file://{tmp_path}/run/papers_all").collect()
+    assert sorted((r[0], r[1]) for r in got) == [("1", 0), ("2", 0), ("3", 9), ("4", 0), ("5", 0)]
