@@ -38,6 +38,8 @@ ORDER = {"papers": "collection_date", "failed_dois": "timestamp", "query_cache":
 #: Columns with bloom filters, beside a table's key.
 LOOKED_UP = {"papers": ("doi",), "failed_dois": ("pmid",)}
 BUCKETS = 32
+#: Bits of the map of a batch's keys, whatever their number: 1,024 rows of 4 KB.
+SLOTS = 1 << 25
 
 
 class CorpusStore:
@@ -133,7 +135,8 @@ class CorpusStore:
         if table in KEYS:
             rows = rows.sortWithinPartitions("_bucket", KEYS[table])
         # A filter is as large as its file's values need: a bucket has several files.
-        out = rows.write.mode("overwrite").partitionBy("_bucket").option("parquet.bloom.filter.adaptive.enabled", "true")
+        out = rows.write.mode("overwrite").partitionBy("_bucket").option("compression", "zstd")
+        out = out.option("parquet.bloom.filter.adaptive.enabled", "true")
         for c in (KEYS.get(table), *LOOKED_UP.get(table, ())):
             if c:
                 out = out.option(f"parquet.bloom.filter.enabled#{c}", "true")
@@ -184,7 +187,7 @@ class CorpusStore:
         new = shared.written(self.spark, new, path)
         touched = {r[0] for r in new.select(self._bucket(table, n)).distinct().collect()}
         old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
-        self._replace(table, v, manifest, touched, self._last(table, new, old, n), n, mark)
+        self._replace(table, v, manifest, touched, self._merged(table, new, old, n), n, mark)
         shared.drop(self.spark, path)
         return v
 
@@ -206,6 +209,35 @@ class CorpusStore:
         last = last.filter("r._rank.come = 0") if gone else last
         return last.select(*(F.col(c) if c == key else F.col(f"r.`{c}`").alias(c) for c in new.columns), "_bucket")
 
+    def _merged(self, table: str, new: DataFrame, old: DataFrame, n: int, gone: bool = False) -> DataFrame:
+        """``_last`` of both. Old rows that share no slot with a key of ``new`` are the last of theirs: they are written by
+        the tasks that read them and don't move."""
+        key = KEYS[table]
+        hit = self._hit(new, key)
+        last = self._last(table, new, self._met(old, hit, key, True), n, gone)
+        stay = self._met(old, hit, key, False).select(*new.columns)
+        return last.unionByName(stay.withColumn("_bucket", self._bucket(table, n)))
+
+    @staticmethod
+    def _slot(key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(SLOTS)) + 1
+
+    def _hit(self, new: DataFrame, key: str) -> DataFrame:
+        """(_page, _bits): the slots that keys of ``new`` fall into, a bit each."""
+        slot = self._slot(key)
+        pages = new.groupBy(F.bitmap_bucket_number(slot).alias("_page"))
+        return pages.agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
+
+    def _met(self, old: DataFrame, hit: DataFrame, key: str, met: bool) -> DataFrame:
+        """The old rows whose slot is hit, which a new row may replace; not ``met``: the others, which none does."""
+        slot = self._slot(key)
+        at = F.bitmap_bit_position(slot)
+        byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        is_hit = F.coalesce(F.expr("getbit(_byte, _at)") == 1, F.lit(False))
+        rows = old.withColumn("_page", F.bitmap_bucket_number(slot)).join(F.broadcast(hit), "_page", "left")
+        rows = rows.withColumns({"_byte": byte, "_at": F.pmod(at, F.lit(8)).cast("int")})
+        return rows.filter(is_hit if met else ~is_hit).select(*old.columns)
+
     def _replace(
         self, table: str, v: int, manifest: dict[int, str], touched: set[int], rows: DataFrame, n: int,
         mark: str | None = None,
@@ -222,7 +254,7 @@ class CorpusStore:
         old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
         none = {f.name: F.lit(None).cast(f.dataType) for f in old.schema if f.name != key}
         gone = gone.withColumn(key, F.col(key).cast(old.schema[key].dataType)).withColumns(none).select(*old.columns)
-        return self._replace(table, v, manifest, touched, self._last(table, gone, old, n, gone=True), n)
+        return self._replace(table, v, manifest, touched, self._merged(table, gone, old, n, gone=True), n)
 
     def append(self, table: str, rows: DataFrame, mark: str | None = None) -> int:
         """Rows with the next ids, in the order of their columns; for tables with an id. Gives the first of these ids. Under

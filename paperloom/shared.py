@@ -26,7 +26,7 @@ def folder(spark: SparkSession, name: str) -> str:
 
 def written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """``df`` as a Parquet table: every later read sees the same rows."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -374,3 +374,27 @@ def test_a_run_to_files_finds_its_papers_once(spark, tmp_path):
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
     got = spark.read.schema("pmid string, cited_by_count bigint").json(f"file://{tmp_path}/run/papers_all").collect()
     assert sorted((r[0], r[1]) for r in got) == [("1", 0), ("2", 0), ("3", 9), ("4", 0), ("5", 0)]
+
+
+def test_rows_that_no_batch_replaces_do_not_move(spark, tmp_path, monkeypatch):
+    """Old rows pass an exchange where their slot is hit; keys that share a slot with a new one stay, too."""
+    from paperloom.operators import store as module
+
+    for slots in (1 << 25, 40):
+        monkeypatch.setattr(module, "SLOTS", slots)
+        store = CorpusStore(spark, f"file://{tmp_path}/s{slots}", buckets=3)
+        store.upsert("papers", paper(spark, *((str(k), f"old {k}", "2024") for k in range(200))))
+        new = paper(spark, *((str(k), f"new {k}", "2023") for k in range(190, 210)))
+        old, hit = store.read("papers"), store._hit(new, "pmid")
+        stay, moved = (store._met(old, hit, "pmid", met) for met in (False, True))
+        plan = stay._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(pmid" not in plan and "hashpartitioning(_bucket" not in plan
+        assert stay.count() + moved.count() == 200 and moved.filter("cast(pmid as int) >= 190").count() == 10
+        assert moved.count() == 10 if slots > 40 else 10 < moved.count() < 200
+        store.upsert("papers", new)
+        store.delete("papers", spark.createDataFrame([("0",), ("205",)], "pmid string"))
+        wanted = {str(k): f"{'new' if k >= 190 else 'old'} {k}" for k in range(210) if k not in (0, 205)}
+        got = store.read("papers").select("pmid", "title").collect()
+        assert len(got) == len(wanted) and dict(map(tuple, got)) == wanted
+    files_ = list(tmp_path.glob("s40/papers/data-*/*/*.parquet"))
+    assert files_ and all(".zstd." in f.name for f in files_)
