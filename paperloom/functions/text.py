@@ -49,7 +49,9 @@ REFERENCE_TAILS = (r"(?is)\n##\s*references\s*\n.*$", r"(?is)\nreferences\s*\n.*
 
 
 def clean_abstract(c: Column) -> Column:
-    return wstrip(F.regexp_replace(c, f"{WS}+", " "))
+    # Single spaces, which are most white space, are no matches; what is left at the ends is one space.
+    other = WS.replace(r"\x{1c}-\x{20}", r"\x{1c}-\x{1f}")
+    return F.trim(F.regexp_replace(c, f"{other}{WS}*|\\x{{20}}{WS}+", " "))
 
 
 def clean_full_text(c: Column) -> Column:

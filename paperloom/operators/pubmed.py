@@ -7,11 +7,14 @@ is lost unseen.
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import chain
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom import schema
-from paperloom.functions.falsy import filled, wstrip
+from paperloom.functions.falsy import WS, filled, wstrip
 from paperloom.functions.text import clean_abstract, month_number
 
 _ID = "ARRAY<STRUCT<_IdType: STRING, _VALUE: STRING>>"
@@ -91,9 +94,13 @@ def articles(xml: DataFrame, column: str = "xml") -> DataFrame:
     return _articles(rows.select(_parsed(F.col(column), ARTICLE).alias("r")).filter(f"r.{_CORRUPT} is null"))
 
 
-def _articles(rows: DataFrame, *kept: str) -> DataFrame:
-    """Papers of parsed records r, behind the columns to keep."""
-    m, ids = "r.MedlineCitation", _ids(F.col("r.PubmedData.ArticleIdList.ArticleId"))
+def _articles(rows: DataFrame) -> DataFrame:
+    """Papers of parsed records r."""
+    return rows.select(*(c.alias(name) for name, c in _article_columns("r").items()))
+
+
+def _article_columns(r: str) -> dict[str, Column]:
+    m, ids = f"{r}.MedlineCitation", _ids(F.col(f"{r}.PubmedData.ArticleIdList.ArticleId"))
     pmcid = F.get(F.filter(ids, lambda x: x["id"].startswith("PMC")), 0)["id"]
     headings = _list(F.col(f"{m}.MeshHeadingList.MeshHeading"), f"array<struct<DescriptorName:{_DESCRIPTOR}>>")
     values = lambda c: F.filter(F.transform(c, lambda h: h["DescriptorName"]["_VALUE"]), filled)
@@ -105,21 +112,15 @@ def _articles(rows: DataFrame, *kept: str) -> DataFrame:
     kinds = _list(F.col(f"{m}.Article.PublicationTypeList.PublicationType"), "array<struct<_VALUE:string,_UI:string>>")
     kind = F.array_join(F.filter(F.transform(kinds, lambda k: k["_VALUE"]), filled), "; ")
     date = F.col(f"{m}.Article.Journal.JournalIssue.PubDate")
-    return rows.select(
-        *kept, F.col(f"{m}.PMID._VALUE").alias("pmid"), pmcid.alias("pmcid"), _last(
-            ids, lambda x: x["kind"] == "doi"
-        ).alias("doi"), F.col(f"{m}.Article.ArticleTitle").alias("title"),
-        _abstract(
-            F.col(f"{m}.Article.Abstract.AbstractText")
-        ).alias("abstract"), mesh.alias("mesh_terms"), keywords.alias("keywords"),
-        F.coalesce(
-            _authors(F.col(f"{m}.Article.AuthorList.Author")), F.array().cast("array<string>")
-        ).alias("authors"), F.when(filled(date["Year"]), date["Year"]).alias("year"),
-        published(date).alias("date_published"), F.col(
-            f"{m}.Article.Journal.Title"
-        ).alias("journal"), pmcid.isNotNull().alias("is_full_text_pmc"),
-        F.nullif(kind, F.lit("")).alias("publication_type"), major.alias("mesh_major"),
-    )
+    return {
+        "pmid": F.col(f"{m}.PMID._VALUE"), "pmcid": pmcid, "doi": _last(ids, lambda x: x["kind"] == "doi"),
+        "title": F.col(f"{m}.Article.ArticleTitle"), "abstract": _abstract(F.col(f"{m}.Article.Abstract.AbstractText")),
+        "mesh_terms": mesh, "keywords": keywords,
+        "authors": F.coalesce(_authors(F.col(f"{m}.Article.AuthorList.Author")), F.array().cast("array<string>")),
+        "year": F.when(filled(date["Year"]), date["Year"]), "date_published": published(date),
+        "journal": F.col(f"{m}.Article.Journal.Title"), "is_full_text_pmc": pmcid.isNotNull(),
+        "publication_type": F.nullif(kind, F.lit("")), "mesh_major": major,
+    }
 
 
 def books(xml: DataFrame, column: str = "xml") -> DataFrame:
@@ -128,21 +129,23 @@ def books(xml: DataFrame, column: str = "xml") -> DataFrame:
     return _books(rows.select(_parsed(F.col(column), BOOK).alias("r")).filter(f"r.{_CORRUPT} is null"))
 
 
-def _books(rows: DataFrame, *kept: str) -> DataFrame:
-    b = "r.BookDocument"
-    ids = F.concat(_ids(F.col("r.PubmedBookData.ArticleIdList.ArticleId")), _ids(F.col(f"{b}.ArticleIdList.ArticleId")))
-    year = F.get(F.filter(F.col("r.PubmedBookData.History.PubMedPubDate"), lambda d: filled(d["Year"])), 0)["Year"]
+def _books(rows: DataFrame) -> DataFrame:
+    return rows.select(*(c.alias(name) for name, c in _book_columns("r").items()))
+
+
+def _book_columns(r: str) -> dict[str, Column]:
+    b = f"{r}.BookDocument"
+    ids = F.concat(_ids(F.col(f"{r}.PubmedBookData.ArticleIdList.ArticleId")), _ids(F.col(f"{b}.ArticleIdList.ArticleId")))
+    year = F.get(F.filter(F.col(f"{r}.PubmedBookData.History.PubMedPubDate"), lambda d: filled(d["Year"])), 0)["Year"]
     people = F.flatten(F.transform(F.col(f"{b}.AuthorList"), lambda a: a["Author"]))
-    return rows.select(
-        *kept, F.coalesce(
-            F.get(F.filter(ids, lambda x: x["kind"] == "pubmed"), 0)["id"],
-            F.get(ids, 0)["id"],
-            F.col(f"{b}.PMID._VALUE"),
-        ).alias("pmid"), F.col(f"{b}.ArticleTitle._VALUE").alias("title"),
-        _abstract(F.col(f"{b}.Abstract.AbstractText")).alias("abstract"), F.coalesce(
-            _authors(people), F.array().cast("array<string>")
-        ).alias("authors"), year.alias("year"), F.col(f"{b}.Book.BookTitle._VALUE").alias("journal"),
-    )
+    pmid = F.coalesce(
+        F.get(F.filter(ids, lambda x: x["kind"] == "pubmed"), 0)["id"], F.get(ids, 0)["id"], F.col(f"{b}.PMID._VALUE")
+    )
+    return {
+        "pmid": pmid, "title": F.col(f"{b}.ArticleTitle._VALUE"), "abstract": _abstract(F.col(f"{b}.Abstract.AbstractText")),
+        "authors": F.coalesce(_authors(people), F.array().cast("array<string>")), "year": year,
+        "journal": F.col(f"{b}.Book.BookTitle._VALUE"),
+    }
 
 
 def papers(xml: DataFrame, column: str = "xml") -> DataFrame:
@@ -157,24 +160,27 @@ def checked(xml: DataFrame, column: str = "xml") -> DataFrame:
     rows' own where they have a column of that name; ``record`` is kept of those only that are no papers. A record that holds an article and a book counts as an article.
     """
     text = F.col(column)
-    blank = ~filled(wstrip(F.coalesce(text, F.lit(""))))
+    # A sign that isn't white space ends the search; records are large.
+    blank = ~F.coalesce(F.rlike(text, F.lit(WS.replace("[", "[^", 1))), F.lit(False))
     kind = F.when(blank, "empty").when(F.contains(text, F.lit("<PubmedArticle")), "article").when(
         F.contains(text, F.lit("<PubmedBookArticle")), "book"
     ).otherwise("no record")
     digest = F.col("digest") if "digest" in xml.columns else F.sha2(F.coalesce(text, F.lit("")), 256)
     rows = xml.select(digest.alias("digest"), text.alias("record"), kind.alias("kind"))
-    kept = ("digest", "record", "kind", "reason")
-
-    def branch(name: str, types: str, read) -> DataFrame:
-        parsed = rows.filter(F.col("kind") == name).withColumn("r", _parsed(F.col("record"), types))
-        broken = F.when(F.col(f"r.{_CORRUPT}").isNotNull(), "malformed")
-        out = read(parsed.withColumn("reason", broken), *kept)
-        return out.withColumn("reason", F.coalesce("reason", F.when(~filled(F.col("pmid")), "no id")))
-
-    rest = rows.filter(F.col("kind").isin("empty", "no record")).withColumn("reason", F.col("kind"))
-    out = branch("article", ARTICLE, _articles).unionByName(branch("book", BOOK, _books), allowMissingColumns=True)
-    out = out.unionByName(rest, allowMissingColumns=True)
-    return out.withColumn("record", F.when(F.col("reason").isNotNull(), F.col("record")))
+    # One pass over the records, whose making may be most of the work; each is parsed as what it is.
+    of = {"article": (ARTICLE, _article_columns("_article")), "book": (BOOK, _book_columns("_book"))}
+    parsed = {f"_{k}": F.when(F.col("kind") == k, _parsed(F.col("record"), types)) for k, (types, _) in of.items()}
+    rows = rows.withColumns(parsed)
+    names = dict.fromkeys(chain.from_iterable(columns for _, columns in of.values()))
+    own = lambda name: F.coalesce(*(F.when(F.col("kind") == k, c[name]) for k, (_, c) in of.items() if name in c))
+    broken = reduce(lambda x, y: x | y, (F.col(f"{r}.{_CORRUPT}").isNotNull() for r in parsed))
+    told = rows.select("digest", "record", "kind", broken.alias("_broken"), *(own(n).alias(n) for n in names))
+    reason = F.when(F.col("kind").isin("empty", "no record"), F.col("kind")).when(F.col("_broken"), "malformed").when(
+        ~filled(F.col("pmid")), "no id"
+    )
+    told = told.withColumn("reason", reason)
+    record = F.when(F.col("reason").isNotNull(), F.col("record")).alias("record")
+    return told.select("digest", record, "kind", "reason", *names)
 
 
 def good(told: DataFrame) -> DataFrame:

@@ -97,3 +97,26 @@ def test_ten_thousand_headings_take_no_longer_than_their_text(spark):
     got = got if len(got) > 1 else df.select(sections.from_flat(F.col("t")).alias("s")).collect()[0]["s"]
     assert len(got) == 10_000 and [x["pos"] for x in got] == list(range(10_000))
     assert got[7]["name"] == "H7" and got[7]["content"] == "again" and got[8]["content"] == ("word " * 20).strip()
+
+
+def test_white_space_of_abstracts_by_the_rule(spark):
+    from paperloom.functions.falsy import WS, wstrip
+
+    some = ["", " ", "\t", "a  b", " a  b 　", " x\ty\x1c z\x85", "a b c", "\n a \n", None, "\x1f\x20\x20q\x20\x0b", "é  é"]
+    df = spark.createDataFrame([(x,) for x in some], "t string")
+    rows = df.select(text.clean_abstract(F.col("t")).alias("a"), wstrip(F.regexp_replace("t", f"{WS}+", " ")).alias("b")).collect()
+    assert [r["a"] for r in rows] == [r["b"] for r in rows]
+
+
+def test_records_are_made_and_parsed_once(spark):
+    """What makes the records may be most of the work: articles, books and the rest come from one pass over them."""
+    from paperloom.operators import pubmed
+
+    book = "<PubmedBookArticle><BookDocument><PMID>7</PMID></BookDocument></PubmedBookArticle>"
+    some = ["<PubmedArticle><MedlineCitation><PMID>1</PMID></MedlineCitation></PubmedArticle>", book, "<PubmedArticle>", " 　\t", None, "else", book[:-9], "<PubmedArticle></PubmedArticle>"]
+    told = pubmed.checked(spark.createDataFrame([(x,) for x in some], "xml string").coalesce(1))
+    assert "Union" not in told._jdf.queryExecution().optimizedPlan().toString()
+    rows = {r["record"] if r["reason"] else r["pmid"]: r for r in told.collect()}
+    assert {k: r["reason"] for k, r in rows.items()} == {"1": None, "7": None, some[2]: "malformed", some[3]: "empty", None: "empty", "else": "no record", some[6]: "malformed", some[7]: "no id"}
+    assert rows["1"]["mesh_terms"] == [] and rows["7"]["mesh_terms"] is None and rows["7"]["authors"] == [] and rows["else"]["authors"] is None
+    assert rows["1"]["is_full_text_pmc"] is False and rows["7"]["is_full_text_pmc"] is None
