@@ -39,7 +39,7 @@ HEAVY = 16
 TILE = 128
 #: Cells of a dense tile, and documents' terms that a task holds before it passes counts on.
 CELLS = 1 << 16
-HELD = 300_000
+HELD = 600_000
 TERM = rb"[A-Za-z\x80-\xff]+"
 
 COUNTS = "lang string, source string, term string, n long, docs long"
@@ -96,6 +96,8 @@ def counted(docs: DataFrame) -> DataFrame:
 
     named = lambda c: F.coalesce(docs[c].cast("string"), F.lit("")).alias(c)
     rows = docs.select(*map(named, ("text", "lang", "source"))).mapInArrow(common.task(run), COUNTS)
+    # Dealt by term: tasks have put theirs together, and what is told of a term needs no other exchange.
+    rows = rows.repartition("lang", "term")
     return rows.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -112,19 +114,21 @@ def departure(p: Column, q: Column) -> Column:
 
 
 class Tables:
-    """Written tables: ``rows`` (lang, term, source, n, spread, in_lang), one a group and kept term it holds, and ``groups``
+    """Written tables: ``rows`` (lang, term, source, n, in_lang, spread, lead), one a group and kept term it holds, of which
+    one a term is its lead, and ``groups``
     (lang, source, no, total, lang_total, v, width): a group's number within its language and sums of counts."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, work: str, least_docs: int = LEAST_DOCS):
-        counts = common.cut(spark, counted(docs), f"{work}/counts")
-        terms = counts.groupBy("lang", "term").agg(F.sum("docs").alias("in_docs"), F.sum("n").alias("in_lang"), F.count("*").alias("spread"))
-        kept = terms.filter(F.col("in_docs") >= least_docs).drop("in_docs")
-        self.rows = common.cut(spark, counts.drop("docs").join(kept, ["lang", "term"]), f"{work}/rows", "zstd")
-        common.drop(spark, f"{work}/counts")
+        # A term has a row a group at most.
+        term = W.Window.partitionBy("lang", "term")
+        whole = {"in_docs": F.sum("docs"), "in_lang": F.sum("n"), "spread": F.count("*"), "_least": F.min("source")}
+        rows = counted(docs).select("*", *(c.over(term).alias(name) for name, c in whole.items()))
+        rows = rows.filter(F.col("in_docs") >= least_docs).withColumn("lead", F.col("source") == F.col("_least"))
+        self.rows = common.cut(spark, rows.drop("docs", "in_docs", "_least"), f"{work}/rows", "zstd")
         named = lambda c: F.coalesce(docs[c].cast("string"), F.lit("")).alias(c)
         every = docs.select(named("lang"), named("source")).distinct()
         totals = self.rows.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-        sizes = self.rows.groupBy("lang", "term").agg(F.first("in_lang").alias("in_lang")).groupBy("lang")
+        sizes = self.rows.filter("lead").groupBy("lang")
         sizes = sizes.agg(F.count("*").alias("v"), F.sum("in_lang").alias("lang_total"))
         of = W.Window.partitionBy("lang")
         zero = F.lit(0).cast("long")
@@ -159,18 +163,20 @@ def dense(rows: DataFrame) -> DataFrame:
         import pandas as pd
 
         lang, _, i, j = key
-        left, right = frame[frame["tile"] == i], frame[frame["tile"] == j]
-        terms = {t: k for k, t in enumerate(pd.unique(frame["term"].dropna()))}
-
-        def tile(own):
-            none = own[own["term"].isna()].sort_values("no")
-            at = {g: k for k, g in enumerate(none["no"])}
-            out = np.tile(none["p"].to_numpy(np.int64), (len(terms), 1))
-            some = own[own["term"].notna()]
-            out[some["term"].map(terms).to_numpy(np.int64), some["no"].map(at).to_numpy(np.int64)] = some["p"].to_numpy(np.int64)
-            return none["no"].to_numpy(np.int64), none["p"].to_numpy(np.int64), out
-
-        (a, none_p, p), (b, none_q, q) = tile(left), tile(right)
+        # Rows of absent terms have the number -1.
+        number, terms = pd.factorize(frame["term"])
+        tiles, nos, shares = (frame[c].to_numpy(np.int64) for c in ("tile", "no", "p"))
+
+        def tile(which):
+            none, some = np.flatnonzero(which & (number < 0)), np.flatnonzero(which & (number >= 0))
+            none = none[np.argsort(nos[none])]
+            groups, none_p = nos[none], shares[none]
+            out = np.tile(none_p, (len(terms), 1))
+            out[number[some], np.searchsorted(groups, nos[some])] = shares[some]
+            return groups, none_p, out
+
+        a, none_p, p = left = tile(tiles == i)
+        b, none_q, q = left if i == j else tile(tiles == j)
         values = np.stack([_f(p[:, [k]], q).sum(axis=0) for k in range(len(a))])
         # Terms of the block that no group of the two tiles holds.
         values += (int(frame["terms"].max()) - len(terms)) * _f(none_p[:, None], none_q[None, :])
@@ -186,7 +192,7 @@ def tiled(rows: DataFrame, groups: DataFrame, heavy: int) -> DataFrame:
     each block and pair the shares that the tiles' groups give to absent terms (term is null) and the block's terms."""
     own = rows.filter(F.col("spread") > heavy)
     # Blocks of a language hold about CELLS cells of one tile each.
-    distinct = own.select("lang", "term").distinct()
+    distinct = own.filter("lead").select("lang", "term")
     n_terms = distinct.groupBy("lang").agg(F.count("*").alias("n_terms"))
     blocks = F.ceil(F.col("n_terms") * F.least("width", F.lit(TILE)) / F.lit(CELLS)).cast("int")
     sized = groups.join(n_terms, "lang").withColumn("blocks", blocks).withColumn("tile", F.floor(F.col("no") / TILE).cast("int"))
@@ -268,7 +274,7 @@ def pairs(t: Tables, heavy: int = HEAVY) -> DataFrame:
     sums = dense(tiled(t.rows, t.groups, heavy)).unionByName(met)
     # Every pair of groups of a language is a row of the result, so it is a row here, once.
     absent = share(F.lit(0).cast("long"), F.col("total"), F.col("v"))
-    n_light = t.rows.filter(F.col("spread") <= heavy).select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("n_light"))
+    n_light = t.rows.filter(F.col("lead") & (F.col("spread") <= heavy)).groupBy("lang").agg(F.count("*").alias("n_light"))
     groups = t.groups.join(n_light, "lang", "left").select("lang", "source", "no", absent.alias("none"), F.coalesce("n_light", F.lit(0).cast("long")).alias("n_light"))
     a = groups.select("lang", F.col("no").alias("a"), F.col("source").alias("source"), F.col("none").alias("p"), "n_light")
     b = groups.select("lang", F.col("no").alias("b"), F.col("source").alias("item"), F.col("none").alias("q"))

@@ -84,3 +84,14 @@ def test_counts_are_passed_on_in_parts(spark, monkeypatch):
     for lang, source, text in rows:
         whole.update((lang or "", source or "", t) for t in TERM.findall((text or "").translate(TO_LOWER)))
     assert {(r["lang"], r["source"], r["term"]): r["n"] for r in divergence.counted(docs).collect()} == dict(whole)
+
+
+def test_counts_of_terms_pass_one_exchange(spark, work):
+    """What is told of a term (documents, occurrences, groups) comes from the exchange that counts it, and is no join."""
+    docs = spark.createDataFrame(texts(9, 200, [*"abc", None]), "lang string, source string, text string").repartition(5)
+    plan = divergence.counted(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(lang" in plan and "source" not in plan.split("hashpartitioning(", 1)[1].split(")")[0]
+    rows = divergence.Tables(spark, docs, work).rows
+    assert "lead" in rows.columns
+    leads = rows.filter("lead").select("lang", "term")
+    assert leads.count() == leads.distinct().count() == rows.select("lang", "term").distinct().count() < rows.count()
