@@ -6,7 +6,8 @@ phrase may run from the title into the abstract, as it may in a search over both
 * ``postings`` (term, block, pmid, positions, title_end, abstract_end, weight): one row a word and paper, in ranges of (term,
   block, pmid) and sorted, so a lookup reads the row groups of its terms only, and the list of a word that most papers have is
   spread over as many files as it fills. ``weight`` is BM25's part that doesn't depend on the query.
-* ``terms`` (term, papers), sorted; ``blocks`` (term, block, best): the largest weight of a term in a block of papers.
+* ``terms`` (term, papers), sorted; ``blocks`` (term, block, best, papers), files sorted: the largest weight of a term in a block
+  of papers, and how many of them hold it.
 * ``papers`` (pmid, words, block) and ``totals`` (papers, mean): one row.
 
 Boolean queries: each leaf with words becomes rows (pmid, leaf) by intersecting positions; leaves on other columns (dates,
@@ -108,9 +109,12 @@ class TextIndex:
     def build(cls, papers: DataFrame, base: str) -> TextIndex:
         spark = papers.sparkSession
         index, parts = cls(spark, base), int(spark.conf.get("spark.sql.shuffle.partitions"))
-        found = shared.written(spark, streams(papers.dropDuplicates(["pmid"])), f"{base}/streams")
-        sizes = papers.filter("pmid is not null").select("pmid").distinct()
-        sizes = sizes.join(found.groupBy("pmid").agg(F.max("words").alias("words")), "pmid", "left").na.fill(0, ["words"])
+        # By ids alone: texts are dealt only where a pmid repeats.
+        ids = papers.filter("pmid is not null").groupBy("pmid").agg(F.count("*").alias("rows"))
+        ids = shared.written(spark, ids, f"{base}/ids")
+        once = papers if ids.filter("rows > 1").isEmpty() else papers.dropDuplicates(["pmid"])
+        found = shared.written(spark, streams(once), f"{base}/streams")
+        sizes = ids.select("pmid").join(found.groupBy("pmid").agg(F.max("words").alias("words")), "pmid", "left").na.fill(0, ["words"])
         # Written: of all postings, and read for the totals and for the papers.
         sizes = shared.written(spark, sizes, f"{base}/sizes")
         told = sizes.agg(F.count("*").alias("papers"), F.coalesce(F.avg("words"), F.lit(0.0)).alias("mean"))
@@ -124,9 +128,11 @@ class TextIndex:
         rows = found.withColumn("block", block).withColumn("weight", weight).drop("words")
         rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).write.mode("overwrite").option("parquet.block.size", 8 << 20).parquet(f"{base}/postings")
         postings = index.table("postings")
-        postings.groupBy("term").agg(F.count("*").alias("papers")).repartitionByRange(parts, "term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{base}/terms")
-        best = postings.groupBy("term", "block").agg(F.max("weight").alias("best"))
-        best.repartitionByRange(parts, "term", "block").sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{base}/blocks")
+        best = postings.groupBy("term", "block").agg(F.max("weight").alias("best"), F.count("*").alias("papers"))
+        best.sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{base}/blocks")
+        # A term's papers are those of its blocks, so the postings are read for both once.
+        terms = index.table("blocks").groupBy("term").agg(F.sum("papers").alias("papers"))
+        terms.repartitionByRange(parts, "term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{base}/terms")
         return index
 
     # Words, phrases, prefixes
@@ -213,7 +219,7 @@ class TextIndex:
     def best(self, words: list[str], k: int) -> DataFrame:
         """(pmid, score, rank) of the best k papers, by score to nine places and pmid."""
         terms, idf = self._weighed(words)
-        bounds = self.table("blocks").filter(F.col("term").isin(*terms)).join(F.broadcast(idf), "term")
+        bounds = self.table("blocks").drop("papers").filter(F.col("term").isin(*terms)).join(F.broadcast(idf), "term")
         bounds = bounds.groupBy("block").agg(F.sum(F.col("idf") * F.col("best")).alias("bound"))
         bounds = shared.written(self.spark, bounds, shared.folder(self.spark, "bounds"))
         first = bounds.orderBy(F.desc("bound"), "block").limit(FIRST_BLOCKS)

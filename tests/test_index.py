@@ -107,3 +107,16 @@ def test_a_phrase_is_met_without_a_row_a_place(papers, built):
     found = sorted(r["pmid"] for r in built.leaf(0, '"beta al"*', "all").collect())
     want = sorted(r["pmid"] for r in papers.filter("pmid is not null").filter(predicate('"beta al"*', papers.columns)).collect())
     assert found == want and found
+
+
+def test_texts_are_dealt_only_where_ids_repeat(spark, tmp_path, monkeypatch):
+    """Of papers of one pmid one is indexed; where none repeats, their texts reach the index from where they are read."""
+    seen, plain_streams = [], index.streams
+    monkeypatch.setattr(index, "streams", lambda p: (seen.append(p._jdf.queryExecution().optimizedPlan().toString()), plain_streams(p))[1])
+    empty = [F.array().cast("array<string>").alias(c) for c in ("mesh_terms", "authors")]
+    own = lambda n: spark.range(60).select((F.col("id") % n).cast("string").alias("pmid"), F.lit("same words").alias("title"), F.lit(None).cast("string").alias("abstract"), *empty)
+    for n in (60, 50):
+        built = TextIndex.build(own(n), f"file://{tmp_path}/{n}")
+        assert {tuple(r) for r in built.table("terms").collect()} == {("same", n), ("words", n)}
+        assert built.table("blocks").agg(F.sum("papers")).first()[0] == 2 * n and built.table("papers").count() == n
+    assert "Aggregate" not in seen[0] and "Aggregate" in seen[1]
