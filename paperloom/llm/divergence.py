@@ -26,6 +26,8 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -37,15 +39,78 @@ UNIT = 1_000_000_000
 TOP = 200
 HEAVY = 16
 TILE = 128
-#: Cells of a dense tile, and documents' terms that a task holds before it passes counts on.
+#: Cells of a dense tile, counts that a task holds before it passes them on, pairs within postings and bytes of text that
+#: it takes at once.
 CELLS = 1 << 16
-HELD = 600_000
+HELD = 2_000_000
+PAIRS = 1 << 18
+PIECE = 1 << 23
 TERM = rb"[A-Za-z\x80-\xff]+"
 
 COUNTS = "lang string, source string, term string, n long, docs long"
 SUMS = "lang string, a int, b int, value long"
 
 
+def _words(texts, groups):
+    """(terms, codes, groups, n, docs) of texts and their groups: occurrences of each term in each group and documents that
+    hold it, ``codes`` being places in ``terms``. Words are found and numbered by columns, none is a Python object."""
+    import numpy as np
+    import pyarrow as pa
+
+    # Bytes of characters beyond ASCII are all above 127, so terms are runs of bytes; only A-Z change case.
+    every = bytes(range(256))
+    others = re.sub(TERM, b"", every)
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2].slice(at[0], at[-1] - at[0]).to_pybytes() if at[-1] > at[0] else b""
+    at = at - at[0]
+    inside = np.frombuffer(data.translate(bytes(b not in others for b in every)), bool)
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    # Texts lie side by side: a word ends with its text.
+    edges = at[:-1][at[:-1] < len(data)]
+    first[edges] = inside[edges]
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | first[1:]
+    start = np.flatnonzero(first)
+    doc = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, at)))
+    ends = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - start)]).astype(np.int64)
+    letters = pa.py_buffer(data.translate(every.lower(), others))
+    words = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(ends), letters])
+    words = words.dictionary_encode()
+    # Documents of a group are made neighbours, so one sort by term and document serves both counts.
+    order = np.argsort(groups, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    keys = words.indices.to_numpy().astype(np.int64) << 32 | place[doc]
+    keys.sort()
+    once = np.flatnonzero(np.diff(keys, prepend=-1))
+    n = np.diff(once, append=len(keys))
+    keys = keys[once]
+    return words.dictionary, *_added(keys >> 32, groups[order[keys & 0xFFFFFFFF]], n, np.ones(len(n), np.int64))
+
+
+def _added(codes, groups, n, docs):
+    """Neighbouring rows of one term and group put together."""
+    import numpy as np
+
+    new = np.flatnonzero((np.diff(codes, prepend=-1) != 0) | (np.diff(groups, prepend=-1) != 0))
+    n, docs = (np.add.reduceat(x, new) if len(new) else x for x in (n, docs))
+    return codes[new], groups[new], n, docs
+
+
+def _united(parts):
+    """Several results of ``_words`` as one."""
+    import numpy as np
+    import pyarrow as pa
+
+    named = [pa.DictionaryArray.from_arrays(pa.array(codes, pa.int32()), terms) for terms, codes, *_ in parts]
+    named = pa.chunked_array(named).unify_dictionaries()
+    codes = np.concatenate([c.indices.to_numpy() for c in named.chunks]).astype(np.int64)
+    groups, n, docs = (np.concatenate([p[k] for p in parts]) for k in (2, 3, 4))
+    order = np.argsort(codes << 32 | groups)
+    return named.chunk(0).dictionary, *_added(*(x[order] for x in (codes, groups, n, docs)))
+
+
 def counted(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences of each term in each group and documents that hold it."""
     import pyarrow as pa
@@ -53,46 +118,37 @@ def counted(docs: DataFrame) -> DataFrame:
     schema = pa.schema([(c, pa.string()) for c in ("lang", "source", "term")] + [(c, pa.int64()) for c in ("n", "docs")])
 
     def run(batches):
-        import re
-        from collections import Counter
+        import numpy as np
 
-        find = re.compile(TERM).findall
-        occurred: dict = {}
-        held: dict = {}
-        size = 0
+        number: dict = {}
+        held: list = []
 
         def flush():
-            for (lang, source), n in occurred.items():
-                docs_of, terms = held[lang, source], list(n)
-                for i in range(0, len(terms), 50_000):
-                    some = terms[i : i + 50_000]
-                    names = pa.array(some, pa.binary()).cast(pa.string())
-                    k = len(some)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()), names, pa.array([n[t] for t in some], pa.int64()), pa.array([docs_of[t] for t in some], pa.int64())],
-                        schema=schema,
-                    )
+            terms, codes, groups, n, docs = held.pop()
+            names = [pa.array(x, pa.string()) for x in zip(*number)] if number else []
+            for i in range(0, len(codes), 50_000):
+                some = slice(i, i + 50_000)
+                columns = [c.take(pa.array(groups[some])) for c in names]
+                columns += [terms.take(pa.array(codes[some])).cast(pa.string()), pa.array(n[some]), pa.array(docs[some])]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
         for b in batches:
-            for text, lang, source in zip(b.column("text"), b.column("lang").to_pylist(), b.column("source").to_pylist()):
-                # Bytes of characters beyond ASCII are all above 127, so terms are runs of bytes; only A-Z change case.
-                found = find(text.as_py().encode("utf-8", "replace").lower())
-                if not found:
-                    continue
-                key = lang, source
-                if key not in occurred:
-                    occurred[key], held[key] = Counter(), Counter()
-                n, own = occurred[key], held[key]
-                before = len(n)
-                n.update(found)
-                own.update(set(found))
-                size += len(n) - before
-                if size > HELD:
+            keys = zip(b.column("lang").to_pylist(), b.column("source").to_pylist())
+            groups = np.array([number.setdefault(k, len(number)) for k in keys], np.int64)
+            texts = b.column("text").cast(pa.large_binary())
+            sizes = np.cumsum(pa.compute.binary_length(texts).to_numpy())
+            cuts = [*np.flatnonzero(np.diff(sizes // PIECE, prepend=0)).tolist(), len(texts)]
+            for i, j in zip([0, *cuts], cuts):
+                if i < j:
+                    held.append(_words(texts.slice(i, j - i), groups[i:j]))
+            if sum(len(p[1]) for p in held) > HELD:
+                held[:] = [_united(held)]
+                # Little came together: what is held is passed on.
+                if len(held[0][1]) > HELD // 2:
                     yield from flush()
-                    occurred.clear()
-                    held.clear()
-                    size = 0
-        yield from flush()
+        if held:
+            held[:] = [_united(held)]
+            yield from flush()
 
     named = lambda c: F.coalesce(docs[c].cast("string"), F.lit("")).alias(c)
     rows = docs.select(*map(named, ("text", "lang", "source"))).mapInArrow(common.task(run), COUNTS)
@@ -241,25 +297,28 @@ def light(t: Tables, heavy: int) -> tuple[DataFrame, DataFrame]:
             size = np.diff(at)
             langs = batch.column("lang").dictionary_encode()
             code, names = langs.indices.to_numpy(), langs.dictionary.to_pylist()
+            found = []
             for k in np.unique(size):
-                # Postings of one length are a matrix; each pair of places is one column operation.
-                which = np.flatnonzero(size == k)
-                place = at[which][:, None] + np.arange(k)
-                g, x, z = no[place], p[place], none[place]
-                for a in range(k):
-                    for b in range(k):
-                        if a == b:
-                            continue
-                        value = _f(x[:, a], x[:, b]) - _f(x[:, a], z[:, b]) - _f(z[:, a], x[:, b]) + _f(z[:, a], z[:, b])
-                        keys = g[:, a] << 32 | g[:, b]
-                        for c in np.unique(code[which]):
-                            mine = code[which] == c
-                            pair, back = np.unique(keys[mine], return_inverse=True)
-                            total = np.zeros(len(pair), np.int64)
-                            np.add.at(total, back, value[mine])
-                            own = sums.setdefault(names[c], {})
-                            for q, s in zip(pair.tolist(), total.tolist()):
-                                own[q] = own.get(q, 0) + s
+                # Postings of one length are a matrix; their pairs of places are one column operation.
+                every = np.flatnonzero(size == k)
+                for which in np.array_split(every, -(-len(every) * k * k // PAIRS)):
+                    place = at[which][:, None] + np.arange(k)
+                    g, x, z = no[place], p[place], none[place]
+                    xa, xb, za, zb = x[:, :, None], x[:, None, :], z[:, :, None], z[:, None, :]
+                    value = _f(xa, xb) - _f(xa, zb) - _f(za, xb) + _f(za, zb)
+                    other = ~np.eye(k, dtype=bool)
+                    at_lang = np.broadcast_to(code[which].astype(np.int64)[:, None, None], value.shape)[:, other]
+                    pair = (g[:, :, None] << 32 | g[:, None, :])[:, other]
+                    found.append((at_lang.ravel(), pair.ravel(), value[:, other].ravel()))
+            if found:
+                at_lang, pair, value = map(np.concatenate, zip(*found))
+                order = np.lexsort((pair, at_lang))
+                at_lang, pair = at_lang[order], pair[order]
+                new = np.flatnonzero((np.diff(at_lang, prepend=-1) != 0) | (np.diff(pair, prepend=-1) != 0))
+                total = np.add.reduceat(value[order], new) if len(new) else value
+                for c, q, s in zip(at_lang[new].tolist(), pair[new].tolist(), total.tolist()):
+                    own = sums.setdefault(names[c], {})
+                    own[q] = own.get(q, 0) + s
             if sum(map(len, sums.values())) > HELD:
                 yield from flush()
                 sums.clear()

@@ -95,3 +95,51 @@ def test_counts_of_terms_pass_one_exchange(spark, work):
     assert "lead" in rows.columns
     leads = rows.filter("lead").select("lang", "term")
     assert leads.count() == leads.distinct().count() == rows.select("lang", "term").distinct().count() < rows.count()
+
+
+def test_words_end_with_their_text_and_pieces_add_up(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "PIECE", 40)
+    monkeypatch.setattr(divergence, "HELD", 30)
+    some = ["ab", "cd", "", "ab CD\0ab", "é", "Éx1é", None, "漢字 " * 30, "x" * 100, "ab", "\n", "[`{@Z"]
+    rows = [(lang, source, text) for lang in ("en", None) for source in ("a", "b") for text in some * 3]
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").repartition(2)
+    n, held = Counter(), Counter()
+    for lang, source, text in rows:
+        found = TERM.findall((text or "").translate(TO_LOWER))
+        n.update((lang or "", source, t) for t in found)
+        held.update((lang or "", source, t) for t in set(found))
+    got = divergence.counted(docs).select("lang", "source", "term", "n", "docs").collect()
+    assert {tuple(r)[:3]: tuple(r)[3:] for r in got} == {k: (n[k], held[k]) for k in n} and len(got) == len(n)
+
+
+def test_steps_of_a_task_are_columns(spark, work, monkeypatch):
+    """A task's Python takes no step a word, and none a pair of places of a posting."""
+    import sys
+
+    import pyarrow as pa
+
+    runs, steps = [], Counter()
+    monkeypatch.setattr(divergence.common, "task", lambda run: runs.append(run) or run)
+    docs = spark.createDataFrame([("en", "a", "w")], "lang string, source string, text string")
+    divergence.counted(docs)
+    many = 2_000
+    texts = pa.array([f"w{'abcdefghij'[i % 10]} same words again" for i in range(many)])
+    batch = pa.RecordBatch.from_arrays([texts, pa.array(["en"] * many), pa.array(["a"] * many)], names=["text", "lang", "source"])
+    sys.setprofile(lambda _, kind, __: steps.update([kind]))
+    out = list(runs[0](iter([batch])))
+    sys.setprofile(None)
+    assert sum(b.num_rows for b in out) == 13 and steps["call"] + steps["c_call"] < 3 * many
+
+    divergence.light(divergence.Tables(spark, docs, work), 16)
+    plain, calls = divergence._f, []
+    monkeypatch.setattr(divergence, "_f", lambda p, q: calls.append(1) or plain(p, q))
+    held = [[{"no": i, "p": 5 + i * k, "none": 3 + i} for i in range(k)] for k in range(2, 12)]
+    kind = pa.list_(pa.struct([("no", pa.int32()), ("p", pa.int64()), ("none", pa.int64())]))
+    out = list(runs[-1](iter([pa.RecordBatch.from_arrays([pa.array(["en"] * 10), pa.array(held, kind)], names=["lang", "held"])])))
+    want = Counter()
+    for posting in held:
+        for a in posting:
+            for b in posting:
+                if a is not b:
+                    want[a["no"], b["no"]] += plain(a["p"], b["p"]) - plain(a["p"], b["none"]) - plain(a["none"], b["p"]) + plain(a["none"], b["none"])
+    assert {(r["a"], r["b"]): r["value"] for b in out for r in b.to_pylist()} == dict(want) and len(calls) <= 4 * 10
