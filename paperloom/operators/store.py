@@ -127,15 +127,15 @@ class CorpusStore:
     def _bucket(self, table: str, buckets: int) -> Column:
         return F.pmod(F.xxhash64(KEYS[table]), F.lit(buckets)).cast("int") if table in KEYS else F.lit(0)
 
-    def _put(self, table: str, df: DataFrame, buckets: int, dealt: bool = False) -> dict[int, str]:
-        """Write rows as buckets into a new folder: {bucket: folder}. Large buckets are spread over tasks, small ones not.
-        ``dealt``: the rows are, and have their column _bucket."""
-        folder = f"data-{uuid.uuid4().hex[:12]}"
+    def _put(self, table: str, df: DataFrame, buckets: int, dealt: bool = False, folder: str | None = None) -> dict[int, str]:
+        """Write rows as buckets into a new folder, or beside those of ``folder``: {bucket: folder}. Large buckets are spread
+        over tasks, small ones not. ``dealt``: the rows are, and have their column _bucket."""
+        folder = folder or f"data-{uuid.uuid4().hex[:12]}"
         rows = df if dealt else df.withColumn("_bucket", self._bucket(table, buckets)).hint("rebalance", "_bucket")
         if table in KEYS:
             rows = rows.sortWithinPartitions("_bucket", KEYS[table])
         # A filter is as large as its file's values need: a bucket has several files.
-        out = rows.write.mode("overwrite").partitionBy("_bucket").option("compression", "zstd")
+        out = rows.write.mode("append").partitionBy("_bucket").option("compression", "zstd")
         out = out.option("parquet.bloom.filter.adaptive.enabled", "true")
         for c in (KEYS.get(table), *LOOKED_UP.get(table, ())):
             if c:
@@ -179,18 +179,19 @@ class CorpusStore:
         new = rows.select(*(cast(f).alias(f.name) for f in kinds)).filter(F.col(key).isNotNull())
         v = self.version(table) + 1
         manifest, n = self.manifest(table, v - 1), self.buckets_of(table, v - 1)
-        if not manifest:
-            self._commit(table, v, self._put(table, self._last(table, new, None, n), n, dealt=True), n, mark)
-            return v
-        # Written once: what comes may be a long plan, and is read for its buckets and its rows.
-        path = shared.folder(self.spark, f"upsert-{table}")
-        new = shared.written(self.spark, new, path)
-        touched = {r[0] for r in new.select(self._bucket(table, n)).distinct().collect()}
-        old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
-        self._replace(table, v, manifest, touched, self._merged(table, new, old, n), n, mark)
-        shared.drop(self.spark, path)
+        # What comes may be a long plan: it is evaluated once, by the write that deals it out.
+        put = self._put(table, self._last(table, new, None, n), n, dealt=True)
+        if manifest and put:
+            keys = self._rows(table, sorted(put.values())).select(key)
+            old = self._old(table, manifest, set(put)).select(*new.columns)
+            folder = next(iter(put.values())).partition("/")[0]
+            self._put(table, self._kept(table, keys, old, n), n, dealt=True, folder=folder)
+        self._commit(table, v, manifest | put, n, mark)
         return v
 
+    def _old(self, table: str, manifest: dict[int, str], touched: set[int]) -> DataFrame:
+        return self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
+
     def _last(self, table: str, new: DataFrame, old: DataFrame | None, n: int, gone: bool = False) -> DataFrame:
         """The last row of each key, those of ``new`` before those of ``old``; ``gone``: none of the keys of ``new``. Rows
         move once, to parts of their buckets, where they are sorted by key; no row is joined or dealt again to be written."""
@@ -209,14 +210,18 @@ class CorpusStore:
         last = last.filter("r._rank.come = 0") if gone else last
         return last.select(*(F.col(c) if c == key else F.col(f"r.`{c}`").alias(c) for c in new.columns), "_bucket")
 
-    def _merged(self, table: str, new: DataFrame, old: DataFrame, n: int, gone: bool = False) -> DataFrame:
-        """``_last`` of both. Old rows that share no slot with a key of ``new`` are the last of theirs: they are written by
-        the tasks that read them and don't move."""
+    def _kept(self, table: str, keys: DataFrame, old: DataFrame, n: int) -> DataFrame:
+        """The old rows whose key is none of ``keys``, with their bucket. They are written by the tasks that read them and
+        don't move, nor do those that go; only rows in a slot that a key to keep shares with one of ``keys`` meet these."""
         key = KEYS[table]
-        hit = self._hit(new, key)
-        last = self._last(table, new, self._met(old, hit, key, True), n, gone)
-        stay = self._met(old, hit, key, False).select(*new.columns)
-        return last.unionByName(stay.withColumn("_bucket", self._bucket(table, n)))
+        hit = self._hit(keys, key)
+        met = self._met(old, hit, key, True)
+        spared = met.select(key).join(keys, key, "left_anti")
+        unclear = self._met(met, self._hit(spared, key), key, True)
+        none = {f.name: F.lit(None).cast(f.dataType) for f in old.schema if f.name != key}
+        gone = keys.withColumns(none).select(*old.columns)
+        stay = self._met(old, hit, key, False).withColumn("_bucket", self._bucket(table, n))
+        return stay.unionByName(self._last(table, gone, unclear, n, gone=True))
 
     @staticmethod
     def _slot(key: str) -> Column:
@@ -238,23 +243,20 @@ class CorpusStore:
         rows = rows.withColumns({"_byte": byte, "_at": F.pmod(at, F.lit(8)).cast("int")})
         return rows.filter(is_hit if met else ~is_hit).select(*old.columns)
 
-    def _replace(
-        self, table: str, v: int, manifest: dict[int, str], touched: set[int], rows: DataFrame, n: int,
-        mark: str | None = None,
-    ) -> int:
-        kept = {k: p for k, p in manifest.items() if k not in touched}
-        self._commit(table, v, kept | self._put(table, rows, n, dealt=True) if touched else kept, n, mark)
-        return v
-
     def delete(self, table: str, keys: DataFrame) -> int:
         key, v = KEYS[table], self.version(table) + 1
         manifest, n = self.manifest(table, v - 1), self.buckets_of(table, v - 1)
-        gone = keys.select(key).filter(F.col(key).isNotNull()).distinct()
+        path = shared.folder(self.spark, f"delete-{table}")
+        gone = keys.select(F.col(key).cast(schema.T.StructType.fromDDL(TABLES[table])[key].dataType).alias(key))
+        gone = shared.written(self.spark, gone.filter(F.col(key).isNotNull()).distinct(), path)
         touched = {r[0] for r in gone.select(self._bucket(table, n)).distinct().collect()}
-        old = self._rows(table, sorted(p for k, p in manifest.items() if k in touched))
-        none = {f.name: F.lit(None).cast(f.dataType) for f in old.schema if f.name != key}
-        gone = gone.withColumn(key, F.col(key).cast(old.schema[key].dataType)).withColumns(none).select(*old.columns)
-        return self._replace(table, v, manifest, touched, self._merged(table, gone, old, n, gone=True), n)
+        kept = {k: p for k, p in manifest.items() if k not in touched}
+        if touched:
+            old = self._old(table, manifest, touched)
+            kept |= self._put(table, self._kept(table, gone, old, n), n, dealt=True)
+        self._commit(table, v, kept, n)
+        shared.drop(self.spark, path)
+        return v
 
     def append(self, table: str, rows: DataFrame, mark: str | None = None) -> int:
         """Rows with the next ids, in the order of their columns; for tables with an id. Gives the first of these ids. Under

@@ -398,3 +398,31 @@ def test_rows_that_no_batch_replaces_do_not_move(spark, tmp_path, monkeypatch):
         assert len(got) == len(wanted) and dict(map(tuple, got)) == wanted
     files_ = list(tmp_path.glob("s40/papers/data-*/*/*.parquet"))
     assert files_ and all(".zstd." in f.name for f in files_)
+
+
+def test_rows_that_a_batch_replaces_or_deletes_do_not_move(spark, tmp_path, monkeypatch):
+    """Of an upsert only the batch passes an exchange, whole, of a delete nothing but keys."""
+    import time
+
+    from paperloom.operators import store as module
+
+    def moved():
+        time.sleep(1)
+        return spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+
+    rng = random.Random(4)
+    text = lambda: "".join(chr(rng.randrange(33, 127)) for _ in range(20_000))
+    for slots in (1 << 25, 40):
+        monkeypatch.setattr(module, "SLOTS", slots)
+        store = CorpusStore(spark, f"file://{tmp_path}/s{slots}", buckets=3)
+        store.upsert("papers", paper(spark, *((str(k), text(), "2024") for k in range(60))))
+        before = moved()
+        store.upsert("papers", paper(spark, *((str(k), "new", "2023") for k in range(30)), ("7", "newest", "2024"), (None, "none", "2024")))
+        store.upsert("papers", spark.createDataFrame([], "pmid string, title string"))
+        store.delete("papers", spark.createDataFrame([(k,) for k in [*range(20, 50), 7_000, None]], "pmid long"))
+        if slots > 40:
+            assert moved() - before < 100_000
+        wanted = {str(k): "newest" if k == 7 else "new" if k < 20 else None for k in range(60) if not 20 <= k < 50}
+        got = store.read("papers").select("pmid", "title").collect()
+        assert len(got) == len(wanted) and {r[0]: r[1] if len(r[1]) < 10 else None for r in got} == wanted
+        assert store.read("papers", 1).count() == 60 and store.read("papers", 2).count() == 60 and store.versions("papers") == [1, 2, 3, 4]
